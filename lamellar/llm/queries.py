@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, pii, quality, token_counts
+from . import bpe, fingerprints, mixing, pii, quality, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.query,
+    "op2_fingerprints": fingerprints.query,
+    "op5_simhash": simhash.query,
     "op6_quality": quality.query,
     "op8_mixing": mixing.query,
     "op9_pii": pii.query,
