@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, mixing, pii, quality, simhash, token_counts, warc
+from . import bpe, fingerprints, mixing, pii, quality, simhash, suffix_dedup, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.query,
     "op2_fingerprints": fingerprints.query,
     "op3_warc": warc.query,
+    "op4_suffix_dedup": suffix_dedup.query,
     "op5_simhash": simhash.query,
     "op6_quality": quality.query,
     "op8_mixing": mixing.query,
