@@ -59,15 +59,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.materialized_at = path
+    return out
 
 
 def remove(df: DataFrame) -> None:
     """Delete the files of a table made by :func:`materialize` that nothing reads any more."""
-    jvm, jsc = df.sparkSession._jvm, df.sparkSession._jsc
-    for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(parent)
-        path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.materialized_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship(spark: SparkSession) -> None:
