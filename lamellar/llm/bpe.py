@@ -12,9 +12,9 @@ The copies share almost everything, so they are kept persistently: a state is th
 ``r`` inherits the arcs of its right part as they stood at ``r`` and exists wherever its left part did.
 A transition is resolved through these tables once and stored in a flat transition table afterwards.
 
-The accepted token strings are exactly the merge results, and every byte string has one.  A word is encoded
-left to right: position ``j`` gets the only token that ends there and whose arc leaves the state reached at
-its start.  Decoding emits the byte labels of the arcs.
+The accepted token strings are exactly the merge results, and every byte string has one.  A word is encoded by
+following arcs from its start; a position reached by an accepted path is always reached by the same token, so
+the search enters each position once.  Decoding emits the byte labels of the arcs.
 """
 
 from __future__ import annotations
@@ -29,10 +29,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from lamellar.session import ship, table
+
 #: Pre-splitting pattern of the byte-level tokenizer file format (fixed by the format).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries that each per-process word table holds before it is emptied; bounds memory only.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 300_000
 _FAR = 1 << 60
 
 
@@ -60,7 +62,12 @@ class MergeAutomaton:
             raise ValueError("two merges make the same token; such merge lists are not supported")
         for step, (u, v, t) in enumerate(merges):
             self._gadget(step, u, v, t)
-        self.prefixes = {s[:k] for s in self.arcs for k in range(1, len(s) + 1)}
+        self.trie: dict = {}
+        for label, token in self.arcs.items():
+            node = self.trie
+            for b in label:
+                node = node.setdefault(b, {})
+            node[-1] = token
 
     def _gadget(self, step: int, u: int, v: int, t: int) -> None:
         live = self.arcs.get(self.labels[u]) == u and self.arcs.get(self.labels[v]) == v
@@ -85,36 +92,50 @@ class MergeAutomaton:
                 return True
             until, state = self.step[state], self.right[state]
 
+    def _matches(self, word: bytes, at: int) -> list[tuple[int, int]]:
+        """(token, end) of every arc label that the word has at ``at``, shortest first."""
+        out, node = [], self.trie
+        for k in range(at, len(word)):
+            node = node.get(word[k])
+            if node is None:
+                break
+            if (token := node.get(-1)) is not None:
+                out.append((token, k + 1))
+        return out
+
     def encode(self, word: bytes) -> tuple[int, ...]:
-        """Tokens of one pre-split word."""
-        arcs, n = self.arcs, len(word)
-        whole = arcs.get(word)
+        """Tokens of one pre-split word: the accepted path, long labels tried first.
+
+        All accepted paths to a position end in the same token, so no position is entered twice.
+        """
+        whole = self.arcs.get(word)
         if whole is not None:
             return (whole,)
-        prefixes, table = self.prefixes, self.table
-        last = [-1] * (n + 1)  # the token that ends at each position
-        for i in range(n):
-            state, j = last[i], i + 1
-            piece = word[i:j]
-            while piece in prefixes:
-                if last[j] < 0 and (token := arcs.get(piece)) is not None:
-                    if state < 0:
-                        ok = i == 0
-                    else:
-                        ok = table.get((state, token))
-                        if ok is None:
-                            ok = table[state, token] = self._open(state, token)
-                    if ok:
-                        last[j] = token
-                j += 1
-                if j > n:
-                    break
-                piece = word[i:j]
-        out, j = [], n
-        while j:
-            out.append(last[j])
-            j -= len(self.labels[last[j]])
-        return tuple(reversed(out))
+        n, table = len(word), self.table
+        if not n:
+            return ()
+        seen, path, state = bytearray(n + 1), [], -1
+        stack: list[tuple[int, list[tuple[int, int]]]] = []
+        choices = self._matches(word, 0)
+        while True:
+            while choices:
+                token, end = choices.pop()
+                if seen[end]:
+                    continue
+                if state >= 0:
+                    ok = table.get((state, token))
+                    if ok is None:
+                        ok = table[state, token] = self._open(state, token)
+                    if not ok:
+                        continue
+                path.append(token)
+                if end == n:
+                    return tuple(path)
+                seen[end] = 1
+                stack.append((state, choices))
+                state, choices = token, self._matches(word, end)
+            state, choices = stack.pop()
+            path.pop()
 
 
 class _Words(dict):
@@ -192,6 +213,11 @@ def read_vocabulary(path: str) -> bytes:
         return f.read()
 
 
+def _shared(spark: SparkSession, path: str):
+    ship(spark)
+    return spark.sparkContext.broadcast(read_vocabulary(path))
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Add ``ids`` (array<int>) of every whole text; null texts count as empty and give an empty array.
 
@@ -199,7 +225,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
     """
     fields = [docs.schema[c] for c in keep]
     schema = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
-    content = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+    content = _shared(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = loaded(content.value)
@@ -213,7 +239,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
 def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``text`` of every row's ``ids``; null ids give an empty text."""
     schema = T.StructType([*(encoded.schema[c] for c in keep), T.StructField("text", T.StringType())])
-    content = encoded.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+    content = _shared(encoded.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = loaded(content.value)
@@ -233,7 +259,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     Same rules as :func:`encode`.  Columns: doc_id, n_tokens, ids_sha256, decoded_sha256.
     """
     schema = T.StructType([docs.schema["doc_id"], *DIGESTS.fields])
-    content = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+    content = _shared(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = loaded(content.value)
@@ -259,7 +285,4 @@ def default_path() -> str:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op1: every whole text of documents, encoded and decoded."""
-    from lamellar.session import ship, table
-
-    ship(spark)
     return digests(table(spark, sf_dir, "documents"), default_path())
