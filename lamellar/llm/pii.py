@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from lamellar.session import ship, table
+
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -274,6 +276,7 @@ def find(docs: DataFrame, field: Field | None = None) -> DataFrame:
     Null and empty texts have no spans.  Texts are read whole; repeated rows give repeated results; an empty
     table gives an empty one; other columns are not read.
     """
+    ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(field or train(labelled_table()))
     schema = T.StructType([docs.schema["doc_id"], *(T.StructField(f"n_{k}", T.LongType()) for k in KINDS), T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())])
 
@@ -291,6 +294,7 @@ def find(docs: DataFrame, field: Field | None = None) -> DataFrame:
 
 def mask(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in angle brackets; n_chars, if there, follows."""
+    ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(field or train(labelled_table()))
     at = docs.columns.index("text")
 
@@ -323,7 +327,4 @@ def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op9: personal data in all documents."""
-    from lamellar.session import ship, table
-
-    ship(spark)
     return find(table(spark, sf_dir, "documents"))

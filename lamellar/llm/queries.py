@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, mixing, pii, quality, simhash, suffix_dedup, token_counts, warc
+from . import bpe, fingerprints, katz, mixing, pii, quality, simhash, suffix_dedup, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.query,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_dedup": suffix_dedup.query,
     "op5_simhash": simhash.query,
     "op6_quality": quality.query,
+    "op7_katz": katz.query,
     "op8_mixing": mixing.query,
     "op9_pii": pii.query,
     "op10_token_counts": token_counts.query,

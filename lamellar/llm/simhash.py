@@ -196,6 +196,7 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, blocks: i
     Texts without words have fingerprint 0 and link like any other.  Rows that repeat an id each keep a row;
     null ids join their class and never name it unless it has no other.  Other columns are not read.
     """
+    ship(docs.sparkSession)
     own = materialize(fingerprints(docs, shingle), "simhash-fps")
     distinct = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     found = components(links(distinct.select("fp"), bits, blocks))
@@ -215,6 +216,5 @@ def keep_first(docs: DataFrame, shingle: int = 5, bits: int = BITS, blocks: int
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op5: near-duplicate classes of all documents."""
-    ship(spark)
     found = classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

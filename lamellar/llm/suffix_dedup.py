@@ -194,6 +194,7 @@ def _again(rows: DataFrame, column: str) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM) -> DataFrame:
     """(doc, uid, start, end): byte ranges, overlapping ones included, that repeated windows cover."""
+    ship(docs.sparkSession)
     at = materialize(_anchors(docs, depth, gram), "minimizers")
     groups = materialize(at.groupBy("key", "around").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "uid", "pos", "low", "high")).alias("rep")), "surroundings")
     # First digit done: all windows of minimizers with repeated surroundings are repeated.
@@ -283,7 +284,6 @@ def _cut(data: bytes, runs: list[dict]) -> tuple[bytes, int, int, int]:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op4: all documents without their 400-byte repeats."""
-    ship(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

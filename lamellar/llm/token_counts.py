@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from lamellar.session import ship, table
+
 #: The piece format's visible space (fixed by the format).
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -113,6 +115,7 @@ def count_tokens(docs: DataFrame, pieces: list[tuple[str, float]]) -> DataFrame:
     count as empty: no tokens, score 0.  Repeated rows give repeated results, an empty table an empty one,
     and other columns are not read.
     """
+    ship(docs.sparkSession)
     key = hashlib.sha256(repr(pieces).encode()).hexdigest()
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
     schema = T.StructType([docs.schema["doc_id"], T.StructField("n_chars", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("score", T.DoubleType())])
@@ -136,7 +139,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op10: token counts of all documents with the 32k piece vocabulary and its scores."""
     import public_tokenizers
 
-    from lamellar.session import ship, table
-
-    ship(spark)
     return count_tokens(table(spark, sf_dir, "documents"), read_pieces(public_tokenizers.path("piece_bpe_32k.model")))

@@ -130,6 +130,7 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
     responses.  Rows that repeat the smallest id of a payload are responses too; rows without an id are
     revisits of a payload that has one and responses otherwise.  Other columns are not read.
     """
+    ship(pages.sparkSession)
     p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     p = p.withColumn("digest", F.sha1(F.col("html").cast("binary"))).withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
     groups = p.where(F.octet_length("html") >= min_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
@@ -163,6 +164,7 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
 
 def index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> DataFrame:
     """Build both index levels; one row per shard: first_key, blocks_file, directory_file."""
+    ship(captures.sparkSession)
     n = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = captures.repartitionByRange(n, "key").sortWithinPartitions("key")
 
@@ -247,6 +249,7 @@ def lookup(requests: DataFrame, shards: DataFrame, folder: str) -> DataFrame:
     The shard list has one row per index partition and goes to every task.
     """
     spark = requests.sparkSession
+    ship(spark)
     known = spark.sparkContext.broadcast([tuple(r) for r in shards.orderBy("first_key").collect()])
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = requests.select(capture_key(F.col("url"), F.col("page_id")).alias("key")).distinct()
@@ -274,7 +277,6 @@ def lookup(requests: DataFrame, shards: DataFrame, folder: str) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op3: archive all pages, index them, and read every one back through the index."""
-    ship(spark)
     pages = table(spark, sf_dir, "pages")
     folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     shards = index(write(pages, folder), folder)
