@@ -296,21 +296,20 @@ def mask(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in angle brackets; n_chars, if there, follows."""
     ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(field or train(labelled_table()))
-    at = docs.columns.index("text")
+    names, at = docs.columns, docs.columns.index("text")
+    size = names.index("n_chars") if "n_chars" in names and docs.schema["n_chars"].dataType.typeName() in ("integer", "long") else -1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(at).to_pylist()
-            plain = [x or "" for x in texts]
-            found = field_spans(plain, model.value)
+            found = field_spans([x or "" for x in texts], model.value)
             clean = [x if x is None else masked(x, merge(base_spans(x), f)) for x, f in zip(texts, found, strict=True)]
             columns = list(b.columns)
             columns[at] = pa.array(clean, pa.string())
-            if "n_chars" in docs.columns and pa.types.is_integer(b.schema.field("n_chars").type):
-                old = b.column(docs.columns.index("n_chars"))
-                sizes = [o if x is None or o is None else len(x) for x, o in zip(clean, old.to_pylist(), strict=True)]
-                columns[docs.columns.index("n_chars")] = pa.array(sizes, old.type)
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            if size >= 0:
+                old = b.column(size)
+                columns[size] = pa.array([o if x is None or o is None else len(x) for x, o in zip(clean, old.to_pylist(), strict=True)], old.type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.mapInArrow(run, docs.schema)
 
