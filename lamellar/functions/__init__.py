@@ -1 +1 @@
-"""Lamellar: functions."""
+"""Column functions: geometry, cost models, text and bit helpers.  No Python UDFs."""

@@ -1 +1 @@
-"""Lamellar: operators."""
+"""Operators on label volumes: codecs, volumes, label statistics, planning, verification, telemetry, calibration."""

@@ -1,4 +1,5 @@
 """Registered queries of the engine and the SQL that states the same results."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from .registry import ORACLES, QUERIES, flagship
+
+__all__ = ["ORACLES", "QUERIES", "flagship"]

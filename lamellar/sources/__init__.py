@@ -1 +1 @@
-"""Lamellar: sources."""
+"""Sources and sinks: Arrow shards, chunk indexes, volume specs, manifests, profiles, logs and listings."""
