@@ -28,8 +28,8 @@ def per_scale(scale: Column, values: dict[int, float], default: float) -> Column
     """A constant by scale: a CASE over literals, so no join."""
     out = None
     for k, v in values.items():
-        out = F.when(scale == k, F.lit(v)) if out is None else out.when(scale == k, F.lit(v))
-    return out.otherwise(F.lit(default))
+        out = F.when(scale == k, F.lit(float(v))) if out is None else out.when(scale == k, F.lit(float(v)))
+    return out.otherwise(F.lit(float(default)))
 
 
 def output_gib(chunks: Column, scale: Column) -> Column:
@@ -66,7 +66,7 @@ def downres(scale: Column, chunks: Column, labels: Column | None = None) -> dict
     by_label = count * per_scale(scale, BYTES_PER_LABEL, BYTES_PER_LABEL_DEFAULT) / F.lit(GIB)
     out = F.when(known, by_label).otherwise(output_gib(chunks, scale))
     raw = F.greatest(F.lit(1.0), F.floor(F.pow(chunks.cast("double"), F.lit(2 / 3))).cast("double")) * 2 * float(1 << 20) / F.lit(GIB)
-    dynamic = F.greatest(F.lit(READBACK_GIB), count * READBACK_BYTES_PER_LABEL / F.lit(GIB))
+    dynamic = F.greatest(F.lit(READBACK_GIB), count * float(READBACK_BYTES_PER_LABEL) / F.lit(GIB))
     readback = F.when(known & (scale >= READBACK_FROM_SCALE), dynamic).otherwise(F.lit(READBACK_GIB))
     spike = per_scale(scale, COMMIT_SPIKE_GIB, COMMIT_SPIKE_DEFAULT_GIB)
     fixed = F.lit(SOURCE_CACHE_GIB + DEST_CACHE_GIB + RUNTIME_GIB)
