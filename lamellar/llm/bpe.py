@@ -33,8 +33,8 @@ from lamellar.session import ship, table
 
 #: Pre-splitting pattern of the byte-level tokenizer file format (fixed by the format).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Entries that each per-process word table holds before it is emptied; bounds memory only.
-CACHE_ENTRIES = 300_000
+#: Entries of either half of each per-process word table; bounds memory only.
+CACHE_ENTRIES = 100_000
 _FAR = 1 << 60
 
 
@@ -139,15 +139,19 @@ class MergeAutomaton:
 
 
 class _Words(dict):
-    """Word -> tokens, filled on demand and emptied when full."""
+    """Word -> tokens, filled on demand.  When full, what was used last becomes the old half; older words go."""
 
     def __init__(self, fill):
-        self.fill = fill
+        self.fill, self.old = fill, {}
 
     def __missing__(self, key):
+        got = self.old.get(key)
+        if got is None:
+            got = self.fill(key)
         if len(self) >= CACHE_ENTRIES:
+            self.old = self.copy()
             self.clear()
-        got = self[key] = self.fill(key)
+        self[key] = got
         return got
 
 

@@ -34,6 +34,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _CANDIDATE = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
 _DIGIT = re.compile("[0-9]")
 TABLE_ROWS = 400
+SLICE = 500
 
 
 def luhn(digits: str) -> bool:
@@ -270,6 +271,13 @@ def written(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in pieces of ``SLICE`` rows: enough for numpy, and few texts at a time in memory."""
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE):
+            yield b.slice(at, SLICE)
+
+
 def find(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone and base_sha256 of base spans, and all spans.
 
@@ -281,7 +289,7 @@ def find(docs: DataFrame, field: Field | None = None) -> DataFrame:
     schema = T.StructType([docs.schema["doc_id"], *(T.StructField(f"n_{k}", T.LongType()) for k in KINDS), T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             texts = [x or "" for x in b.column(1).to_pylist()]
             base = [base_spans(x) for x in texts]
             spans = [merge(x, y) for x, y in zip(base, field_spans(texts, model.value), strict=True)]
@@ -300,7 +308,7 @@ def mask(docs: DataFrame, field: Field | None = None) -> DataFrame:
     size = names.index("n_chars") if "n_chars" in names and docs.schema["n_chars"].dataType.typeName() in ("integer", "long") else -1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             texts = b.column(at).to_pylist()
             found = field_spans([x or "" for x in texts], model.value)
             clean = [x if x is None else masked(x, merge(base_spans(x), f)) for x, f in zip(texts, found, strict=True)]
