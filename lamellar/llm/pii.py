@@ -93,17 +93,14 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 # --- the random field -------------------------------------------------------------------------------------
 
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
-_SHAPES = ((re.compile("[0-9]"), "d"), (re.compile("[a-z]"), "x"), (re.compile("[A-Z]"), "X"))
+_CLASSES = str.maketrans({chr(c): "d" if chr(c).isdigit() else "x" if chr(c).islower() else "X" for c in range(128) if chr(c).isalnum()})
 _RUN = re.compile(r"(x|X)\1+|d{5,}")
 
 
 def shape(token: str) -> str:
     """Word shape: letters x and X with runs cut to one, digits d with runs of five and more as "d" and their length."""
-    core = token[:64]
-    for pattern, to in _SHAPES:
-        core = pattern.sub(to, core)
-    core = "".join(c if ord(c) < 128 else "x" for c in core)
-    return _RUN.sub(lambda m: m[1] or f"d{len(m[0])}", core)
+    own = "".join(c if c.isascii() else "x" for c in token[:64]).translate(_CLASSES)
+    return _RUN.sub(lambda m: m[1] or f"d{len(m[0])}", own)
 
 
 def core(token: str) -> tuple[int, int]:
