@@ -34,7 +34,7 @@ K = 5
 #: Bytes of text in a bucket; bounds a task's memory.
 BUCKET_BYTES = 24 << 20
 #: Tokens per part of the bigram exchange.
-PART_TOKENS = 4_000_000
+PART_TOKENS = 2_000_000
 HOT = 512
 END, BEGIN = np.uint64(1), np.uint64(0)
 _ROWS = "kind string, part int, bucket string, blob binary, totals array<long>"
@@ -62,13 +62,11 @@ def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 7 == 2
 
 
-class _Ids(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+class _Numbers(dict):
+    """Word -> its number in the bucket, in order of first sight; number 0 is the end."""
 
-        if len(self) > 500_000:
-            self.clear()
-        got = self[word] = xxhash.xxh64_intdigest(word, 7)
+    def __missing__(self, word: bytes) -> int:
+        got = self[word] = len(self) + 1
         return got
 
 
@@ -89,36 +87,40 @@ def _dealt(part: np.ndarray) -> tuple[np.ndarray, Iterator[tuple[int, slice]]]:
 def buckets(docs: DataFrame, folder: str, parts: int) -> DataFrame:
     """Write the buckets; their word requests, one row per bucket and part."""
 
-    def flush(store: Store, ids: list, sizes: list[int], held: list[bool], tokens: list[np.ndarray]) -> list[tuple]:
+    def flush(store: Store, words: _Numbers, ids: list, held: list[bool], tokens: list[np.ndarray]) -> list[tuple]:
+        import xxhash
+
         name = uuid.uuid4().hex
-        vocab, index = np.unique(np.concatenate(tokens), return_inverse=True)
-        sizes_, held_ = np.array(sizes, np.int64), np.array(held)
+        vocab = np.r_[END, np.fromiter((xxhash.xxh64_intdigest(w, 7) for w in words), np.uint64, len(words))]
+        words.clear()
+        sizes_, held_ = np.array([len(t) for t in tokens], np.int64), np.array(held)
+        index = np.concatenate(tokens)
+        tokens.clear()
         counts = np.bincount(index[~np.repeat(held_, sizes_)], minlength=len(vocab)).astype(np.uint32)
         known = np.array([x is not None for x in ids])
         with store.create(name) as f:
-            f.write(pack(ids=np.array([x or 0 for x in ids], np.int64), known=known, sizes=sizes_, held=held_, vocab=vocab, index=index.astype(np.int32)))
+            f.write(pack(ids=np.array([x or 0 for x in ids], np.int64), known=known, sizes=sizes_, held=held_, vocab=vocab, index=index))
         order, slices = _dealt((mixed(vocab) % np.uint64(parts)).astype(np.int32))
         return [("word", p, name, pack(words=vocab[order[s]], counts=counts[order[s]]), None) for p, s in slices]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, known = Store(folder), _Ids()
-        state: tuple[list, list, list, list] = ([], [], [], [])
-        size = 0
+        store, words = Store(folder), _Numbers()
+        ids, held, tokens, size = [], [], [], 0
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 data = (text.as_buffer() or b"") if text.is_valid else b""
-                words = bytes(data).lower().split()  # bytes: ASCII case and white space only
-                own = np.empty(len(words) + 1, np.uint64)
-                own[:-1] = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-                own[-1] = END
-                for x, y in zip(state, (doc_id, len(own), held_out(doc_id), own), strict=True):
-                    x.append(y)
+                own = bytes(data).lower().split()  # bytes: ASCII case and white space only
+                numbers = np.zeros(len(own) + 1, np.int32)
+                numbers[:-1] = np.fromiter(map(words.__getitem__, own), np.int32, len(own))
+                ids.append(doc_id)
+                held.append(held_out(doc_id))
+                tokens.append(numbers)
                 size += len(data) + 100
                 if size >= BUCKET_BYTES:
-                    yield _rows(flush(store, *state))
-                    state, size = ([], [], [], []), 0
-        if state[0]:
-            yield _rows(flush(store, *state))
+                    yield _rows(flush(store, words, ids, held, tokens))
+                    ids, held, size = [], [], 0
+        if ids:
+            yield _rows(flush(store, words, ids, held, tokens))
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _ROWS)
 
@@ -153,18 +155,23 @@ class Bucket:
 
     def __init__(self, data: dict[str, np.ndarray], counts: np.ndarray, n: int, v: int, n_docs: int, parts: int):
         self.data, self.counts = data, counts
-        vocab, index, sizes = data["vocab"], data["index"].astype(np.int64), data["sizes"]
+        vocab, index, sizes = data["vocab"], data["index"], data["sizes"]
         self.p1 = (counts + 1) / (n + v + 1)
         begin = len(vocab)
         self.names = np.r_[vocab, BEGIN]
         self.total = np.r_[counts, n_docs].astype(np.int64)
-        ends = np.cumsum(sizes)
-        context = np.r_[begin, index[:-1]] if len(index) else index
-        context[ends[:-1]] = begin
-        keys, self.at = np.unique(context * (begin + 1) + index, return_inverse=True)
-        self.c, self.w = keys // (begin + 1), keys % (begin + 1)
+        keys = np.empty(len(index), np.int64)
+        keys[1:] = index[:-1]
+        keys[0] = begin
+        keys[np.cumsum(sizes)[:-1]] = begin  # every document begins anew
+        keys *= begin + 1
+        keys += index
+        keys, at = np.unique(keys, return_inverse=True)
+        self.at = at.astype(np.int32)
+        self.c, self.w = (keys // (begin + 1)).astype(np.int32), (keys % (begin + 1)).astype(np.int32)
+        del keys, at
         self.train = ~np.repeat(data["held"], sizes)
-        self.local = np.bincount(self.at[self.train], minlength=len(keys)).astype(np.uint32)
+        self.local = np.bincount(self.at[self.train], minlength=len(self.c)).astype(np.uint32)
         hot = self.total[self.c] * HOT > n
         name = mixed(self.names[self.c])
         owner = np.where(hot, mixed(name + self.names[self.w]), name)
