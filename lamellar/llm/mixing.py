@@ -58,7 +58,7 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, expon
 def replicate(docs: DataFrame, weights: dict[str | None, float] | None = None, exponent: float = 0.5, total: float | None = None, seed: int = SEED, keep_draw: bool = False) -> DataFrame:
     """``docs``, each row as often as drawn, globally shuffled; all columns stay.
 
-    ``keep_draw`` adds n_copies, copy (from 0) and shuffle_key.  Rows that repeat an id are drawn alike but
+    ``keep_draw`` adds n_copies, copy (from 0) and shuffle_key, in place of columns of these names.  Rows that repeat an id are drawn alike but
     each for itself; a null id is drawn as an empty string; texts are not looked at.
     """
     spark = docs.sparkSession
@@ -82,7 +82,8 @@ def replicate(docs: DataFrame, weights: dict[str | None, float] | None = None, e
     drawn = drawn.withColumn("__key", F.md5(F.concat_ws("|", F.lit(str(seed + 1)), key, F.col("__copy").cast("string"))))
     drawn = drawn.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "__key").sortWithinPartitions("__key")
     extra = [F.col("__n").cast("long").alias("n_copies"), F.col("__copy").cast("long").alias("copy"), F.col("__key").alias("shuffle_key")] if keep_draw else []
-    return drawn.select(*docs.columns, *extra)
+    added = ("n_copies", "copy", "shuffle_key") if keep_draw else ()
+    return drawn.select(*(c for c in docs.columns if c not in added), *extra)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
