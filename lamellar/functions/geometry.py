@@ -178,10 +178,20 @@ def clip(voxels: DataFrame, scale: Scale) -> DataFrame:
     return voxels.where(reduce(Column.__and__, ((F.col(a) >= 0) & (F.col(a) < s) for a, s in zip(AXES, scale.size, strict=True))))
 
 
+def settled(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns that later expressions refer to instead of repeating.
+
+    Catalyst would copy a projected expression into each of its uses; long bit expressions used a few times over
+    then grow past what compiles well.  A generator of one row is a boundary that they do not cross.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(k) for k, c in columns.items())))))
+
+
 def shard_table(scale: Scale, numbers: DataFrame) -> DataFrame:
     """Origin, extent, chunks and volume of shard numbers (column shard); empty ones dropped."""
     origin, extent = shard_box(scale, F.col("shard"))
-    out = numbers.select("shard", *(o.alias(f"o{a}") for a, o in zip(AXES, origin, strict=True)), *(e.alias(f"e{a}") for a, e in zip(AXES, extent, strict=True)), chunks_per_shard(scale, F.col("shard")).alias("chunks"))
+    boxes = {f"o{a}": o for a, o in zip(AXES, origin, strict=True)} | {f"e{a}": e for a, e in zip(AXES, extent, strict=True)}
+    out = settled(numbers.select("shard"), **boxes, chunks=chunks_per_shard(scale, F.col("shard")))
     return out.withColumn("volume", F.col("ex") * F.col("ey") * F.col("ez")).where("volume > 0")
 
 
@@ -193,7 +203,8 @@ def all_shards(scale: Scale, spark) -> DataFrame:
 def chunk_coordinates(scale: Scale, shards: DataFrame) -> DataFrame:
     """(shard, cx, cy, cz) of every chunk of the shards, cut at the grid."""
     origin, extent = shard_origin(scale, F.col("shard")), _extent(scale, F.col("shard"))
-    out = shards.select("shard", *(o.alias(f"o{a}") for a, o in zip(AXES, origin, strict=True)), *(e.alias(f"e{a}") for a, e in zip(AXES, extent, strict=True))).where("ex > 0 and ey > 0 and ez > 0")
+    boxes = {f"o{a}": o for a, o in zip(AXES, origin, strict=True)} | {f"e{a}": e for a, e in zip(AXES, extent, strict=True)}
+    out = settled(shards.select("shard"), **boxes).where("ex > 0 and ey > 0 and ez > 0")
     for a in "zyx":
         out = out.withColumn(f"c{a}", F.explode(F.sequence(F.col(f"o{a}"), F.col(f"o{a}") + F.col(f"e{a}") - 1)))
     return out.select("shard", "cx", "cy", "cz")
@@ -211,7 +222,8 @@ def child_shards(parent: Scale, child: Scale, shards: DataFrame) -> DataFrame:
     length, from its own boundary, meets each overlapping child shard once.
     """
     origin, extent, factor = shard_origin(parent, F.col("shard")), _extent(parent, F.col("shard")), axis_factors(parent, child)
-    out = shards.select("shard", *(o.alias(f"o{a}") for a, o in zip(AXES, origin, strict=True)), *(e.alias(f"e{a}") for a, e in zip(AXES, extent, strict=True))).where("ex > 0 and ey > 0 and ez > 0")
+    boxes = {f"o{a}": o for a, o in zip(AXES, origin, strict=True)} | {f"e{a}": e for a, e in zip(AXES, extent, strict=True)}
+    out = settled(shards.select("shard"), **boxes).where("ex > 0 and ey > 0 and ez > 0")
     for k, a in enumerate(AXES):
         n, f = child.shard_shape[k], factor[k]
         low = F.floor(F.col(f"o{a}") / f)

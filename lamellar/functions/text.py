@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def error_class(message: Column) -> Column:
@@ -20,10 +19,12 @@ def error_class(message: Column) -> Column:
     )
 
 
-def embedded_json(line: Column, schema: T.StructType | str) -> Column:
+def embedded_json(line: Column, schema: str) -> Column:
     """The JSON object from a line's first brace on; null if there is none or it is broken."""
     at = F.instr(line, "{")
-    return F.when(at > 0, F.from_json(F.substring(line, at, F.length(line)), schema))
+    bad = "_broken"
+    parsed = F.from_json(F.substring(line, at, F.length(line)), f"{schema}, {bad} string", {"columnNameOfCorruptRecord": bad})
+    return F.when((at > 0) & parsed[bad].isNull(), parsed.dropFields(bad))
 
 
 def stem(path: Column) -> Column:

@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamellar.functions import models
-from lamellar.functions.geometry import Scale, child_shards, chunks_per_shard, shard_box, shard_filename, shard_of_name
-from lamellar.functions.geometry import AXES
+from lamellar.functions.geometry import AXES, Scale, child_shards, chunks_per_shard, settled, shard_box, shard_filename, shard_of_name
 
 
 def without(rows: DataFrame, excluded: DataFrame, keys: list[str]) -> DataFrame:
@@ -36,7 +35,7 @@ def only_missing(sources: DataFrame, outputs: DataFrame, scale: Scale, z_compres
 
 def with_tier(shards: DataFrame, least: int = 4) -> DataFrame:
     """Memory estimate and tier of source shards (scale, bytes, chunks)."""
-    out = shards.withColumn("memory_gib", models.export_gib(F.col("bytes"), F.col("chunks"), F.col("scale")))
+    out = settled(shards, memory_gib=models.export_gib(F.col("bytes"), F.col("chunks"), F.col("scale")))
     return out.withColumn("tier_gib", models.pick_tier(F.col("memory_gib"), least))
 
 
@@ -97,14 +96,14 @@ def downres_plan(parent: Scale, child: Scale, level: int, parents: DataFrame, ex
     if existing is not None:
         out = out.join(existing.select("file"), "file", "left_anti")
     origin, extent = shard_box(child, F.col("shard"))
-    out = out.select("shard", "file", *(o.alias(f"o{a}") for a, o in zip(AXES, origin, strict=True)), *(e.alias(f"e{a}") for a, e in zip(AXES, extent, strict=True)), chunks_per_shard(child, F.col("shard")).alias("chunks")).where("chunks > 0")
+    boxes = {f"o{a}": o for a, o in zip(AXES, origin, strict=True)} | {f"e{a}": e for a, e in zip(AXES, extent, strict=True)}
+    out = settled(out, **boxes, chunks=chunks_per_shard(child, F.col("shard"))).where("chunks > 0")
     if label_totals is not None:
         out = out.join(label_totals.select("shard", "total_labels"), "shard", "left")
     else:
         out = out.withColumn("total_labels", F.lit(None).cast("long"))
     parts = models.downres(F.lit(level), F.col("chunks"), F.col("total_labels"))
-    out = out.select("*", *(v.alias(k) for k, v in parts.items()))
-    out = out.withColumn("tier_gib", models.pick_tier(F.col("total_gib")))
+    out = settled(out, **parts).withColumn("tier_gib", models.pick_tier(F.col("total_gib")))
     return balanced(out, "chunks", max_tasks)
 
 

@@ -1 +1 @@
-"""Lamellar: streaming."""
+"""Streaming views of run telemetry."""
