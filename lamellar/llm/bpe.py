@@ -34,7 +34,7 @@ from lamellar.session import ship, table
 #: Pre-splitting pattern of the byte-level tokenizer file format (fixed by the format).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries of either half of each per-process word table; bounds memory only.
-CACHE_ENTRIES = 100_000
+CACHE_ENTRIES = 200_000
 _FAR = 1 << 60
 
 
@@ -55,19 +55,14 @@ class MergeAutomaton:
         self.right: dict[int, int] = {}
         self.step: dict[int, int] = {}
         self.removed: dict[tuple[int, int], int] = {}
-        self.table: dict[tuple[int, int], bool] = {}
+        self.table: dict[int, bool] = {}
         made = {t for _, _, t in merges}
         self.arcs: dict[bytes, int] = {s: t for t, s in labels.items() if t not in made and len(s) == 1}
         if len(made) != len(merges):
             raise ValueError("two merges make the same token; such merge lists are not supported")
         for step, (u, v, t) in enumerate(merges):
             self._gadget(step, u, v, t)
-        self.trie: dict = {}
-        for label, token in self.arcs.items():
-            node = self.trie
-            for b in label:
-                node = node.setdefault(b, {})
-            node[-1] = token
+        self.prefixes = {s[:k] for s in self.arcs for k in range(1, len(s) + 1)}
 
     def _gadget(self, step: int, u: int, v: int, t: int) -> None:
         live = self.arcs.get(self.labels[u]) == u and self.arcs.get(self.labels[v]) == v
@@ -92,63 +87,62 @@ class MergeAutomaton:
                 return True
             until, state = self.step[state], self.right[state]
 
-    def _matches(self, word: bytes, at: int) -> list[tuple[int, int]]:
-        """(token, end) of every arc label that the word has at ``at``, shortest first."""
-        out, node = [], self.trie
-        for k in range(at, len(word)):
-            node = node.get(word[k])
-            if node is None:
-                break
-            if (token := node.get(-1)) is not None:
-                out.append((token, k + 1))
-        return out
-
     def encode(self, word: bytes) -> tuple[int, ...]:
         """Tokens of one pre-split word: the accepted path, long labels tried first.
 
-        All accepted paths to a position end in the same token, so no position is entered twice.
+        All accepted paths to a position end in the same token, so a position that led nowhere is left for good.
         """
-        whole = self.arcs.get(word)
-        if whole is not None:
-            return (whole,)
-        n, table = len(word), self.table
+        arc, move, known = self.arcs.get, self.table, self.prefixes
+        token = arc(word)
+        if token is not None:
+            return (token,)
+        n = len(word)
         if not n:
             return ()
-        seen, path, state = bytearray(n + 1), [], -1
-        stack: list[tuple[int, list[tuple[int, int]]]] = []
-        choices = self._matches(word, 0)
+        path, back, dead = [], [], set()
+        state, at, end = -1, 0, 0
         while True:
-            while choices:
-                token, end = choices.pop()
-                if seen[end]:
-                    continue
-                if state >= 0:
-                    ok = table.get((state, token))
-                    if ok is None:
-                        ok = table[state, token] = self._open(state, token)
-                    if not ok:
-                        continue
-                path.append(token)
-                if end == n:
-                    return tuple(path)
-                seen[end] = 1
-                stack.append((state, choices))
-                state, choices = token, self._matches(word, end)
-            state, choices = stack.pop()
-            path.pop()
+            if end == 0:  # a position just entered: how far labels may reach from here
+                end, step = at + 1, 4
+                while at + step <= n and word[at : at + step] in known:
+                    end, step = at + step, 2 * step
+                while end < n and word[at : end + 1] in known:
+                    end += 1
+            while end > at:
+                token = arc(word[at:end])
+                if token is not None and end not in dead:
+                    key = state << 32 | token
+                    open_ = move.get(key)
+                    if open_ is None:
+                        open_ = move[key] = state < 0 or self._open(state, token)
+                    if open_:
+                        path.append(token)
+                        if end == n:
+                            return tuple(path)
+                        break
+                end -= 1
+            if end > at:
+                back.append((state, at, end))
+                state, at, end = token, end, 0
+            else:
+                dead.add(at)
+                state, at, end = back.pop()
+                path.pop()
+                end -= 1
+                end = end if end > at else -1  # none left; 0 would look again
 
 
 class _Words(dict):
     """Word -> tokens, filled on demand.  When full, what was used last becomes the old half; older words go."""
 
-    def __init__(self, fill):
-        self.fill, self.old = fill, {}
+    def __init__(self, fill, size):
+        self.fill, self.size, self.old = fill, size, {}
 
     def __missing__(self, key):
         got = self.old.get(key)
         if got is None:
             got = self.fill(key)
-        if len(self) >= CACHE_ENTRIES:
+        if len(self) >= self.size:
             self.old = self.copy()
             self.clear()
         self[key] = got
@@ -173,11 +167,14 @@ class Tokenizer:
         self._split = regex.compile(SPLIT.replace(r"\S", r"\P{White_Space}").replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}")).findall
         self._run = regex.compile(r" \p{White_Space}").search
         self._special = regex.compile("(" + "|".join(sorted(map(regex.escape, self.special), key=len, reverse=True)) + ")").split if self.special else None
-        self._words = _Words(lambda w: self.automaton.encode(w.encode()))
-        self._chunks = _Words(lambda c: self._plain(" " + c))
+        self._words = _Words(lambda w: self.automaton.encode(w.encode()), CACHE_ENTRIES // 4)
+        self._chunks = _Words(lambda c: self._plain(" " + c), CACHE_ENTRIES)
 
     def _plain(self, text: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(self._words.__getitem__, self._split(text))))
+        parts = self._split(text)
+        if len(parts) == 1 and len(text) < 64:
+            return self.automaton.encode(text.encode())  # the chunk table keeps it
+        return tuple(chain.from_iterable(map(self._words.__getitem__, parts)))
 
     def _ordinary(self, text: str) -> list[int]:
         if self._run(text):
