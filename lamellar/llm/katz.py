@@ -32,7 +32,7 @@ from .warc import Store
 
 K = 5
 #: Bytes of text in a bucket; bounds a task's memory.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 18 << 20
 #: Tokens per part of the bigram exchange.
 PART_TOKENS = 2_000_000
 HOT = 512
