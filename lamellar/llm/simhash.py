@@ -8,6 +8,9 @@ codeword) and all patterns on its other bits.  A fingerprint is at home at its n
 at most, and visits every anchor within 1 + bits // blocks, so a linked pair meets at the home of either.
 Homes are compared with visitors anchor by anchor, in numpy.
 
+A second fingerprint of remixed hashes can widen the first to 128 bits; it plays no part in finding anchors but
+must agree too, which keeps chance links out when more bits may differ.
+
 Only distinct fingerprints are replicated, so copies never form a group.  An anchor that still draws very
 many is split: its homes are dealt over slots and its visitors sent to each slot, so every comparison is made
 once and no task holds the whole group.  A task reports what it links as a forest, not as pairs.
@@ -35,37 +38,59 @@ PAIRS_AT_ONCE = 2_000_000
 _CODE = 15
 
 
-def fingerprint(text: str, shingle: int = SHINGLE) -> int:
-    """The fingerprint of one text; 0 without words."""
+def hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
+    """XXH64 of every shingle of a text; of its whole word sequence, if shorter; none without words."""
     import xxhash
 
     words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII case and white space only
     n = len(words)
     if n == 0:
-        return 0
+        return np.empty(0, np.uint64)
     line = b" ".join(words)
     if n < shingle:
-        return xxhash.xxh64_intdigest(line, SEED)
+        return np.array([xxhash.xxh64_intdigest(line, SEED)], np.uint64)
     sizes = np.fromiter(map(len, words), np.int64, n)
     ends = np.cumsum(sizes + 1) - 1
     starts = ends - sizes
     h = xxhash.xxh64_intdigest
-    hashes = np.array([h(line[a:b], SEED) for a, b in zip(starts[: n - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)], dtype=np.uint64)
+    return np.array([h(line[a:b], SEED) for a, b in zip(starts[: n - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)], dtype=np.uint64)
+
+
+def majority(h: np.ndarray) -> int:
+    """The 64 bits that more than half of the hashes set."""
     counts = np.zeros(64, np.int64)
-    for k in range(0, len(hashes), 32_768):
-        part = hashes[k : k + 32_768].astype(">u8").view(np.uint8)
-        counts += np.unpackbits(part).reshape(-1, 64).sum(0, dtype=np.int32)
-    return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
+    for k in range(0, len(h), 32_768):
+        counts += np.unpackbits(h[k : k + 32_768].astype(">u8").view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int32)
+    return int.from_bytes(np.packbits(2 * counts > len(h)).tobytes(), "big")
+
+
+def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+    """The fingerprint of one text; 0 without words."""
+    return majority(hashes(text, shingle))
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed 64-bit number, of every whole text; null counts as empty."""
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("fp", T.LongType())])
+def remixed(h: np.ndarray) -> np.ndarray:
+    """Other 64 bits of the same shingles, for the second half of wide fingerprints."""
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (h ^ (h >> np.uint64(32))) * np.uint64(0xA0761D6478BD642F)
+
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, wide: bool = False) -> DataFrame:
+    """doc_id and fp, the fingerprint as a signed 64-bit number, of every whole text; null counts as empty.
+
+    ``wide`` adds ``more``, a second fingerprint from remixed hashes (else it is 0).
+    """
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("fp", T.LongType()), T.StructField("more", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own = np.array([fingerprint(x.as_py() or "", shingle) for x in b.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own.view(np.int64))], names=["doc_id", "fp"])
+            first, second = [], []
+            for x in b.column(1):
+                h = hashes(x.as_py() or "", shingle)
+                first.append(majority(h))
+                second.append(majority(remixed(h)) if wide else 0)
+            arrays = [pa.array(np.array(v, np.uint64).view(np.int64)) for v in (first, second)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *arrays], names=schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -99,7 +124,7 @@ def _visit(block: Column, home: Column, tag: Column):
 
 
 def anchored(fps: DataFrame, bits: int, blocks: int) -> DataFrame:
-    """(anchor, home, fp): every fingerprint at all anchors that it visits; ``home`` marks its own one."""
+    """(anchor, home, node, fp, more): every fingerprint at all anchors that it visits; ``home`` marks its own one."""
     radius = 1 + bits // blocks
     rows: list[Column] = []
     low = 0
@@ -112,7 +137,7 @@ def anchored(fps: DataFrame, bits: int, blocks: int) -> DataFrame:
         home = F.element_at(nearest, syndrome.cast("int") + 1)
         rows.append(F.transform(F.element_at(table_, syndrome.cast("int") + 1), _visit(block, home, F.lit(k << 58))))
         low += width
-    return fps.select("fp", F.explode(F.concat(*rows)).alias("at")).select("at.anchor", "at.home", "fp")
+    return fps.select("node", "fp", "more", F.explode(F.concat(*rows)).alias("at")).select("at.anchor", "at.home", "node", "fp", "more")
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +157,7 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names[own], names[label[own]]
 
 
-def _links(slot: np.ndarray, home: np.ndarray, fp: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _links(slot: np.ndarray, home: np.ndarray, node: np.ndarray, fp: np.ndarray, more: np.ndarray, bits: int, all_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links between homes and visitors of each run of equal slots; rows are sorted by slot."""
     start = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
     size = np.diff(np.r_[start, len(slot)])
@@ -146,42 +171,51 @@ def _links(slot: np.ndarray, home: np.ndarray, fp: np.ndarray, bits: int) -> Ite
         own, n = homes[at:to], work[at:to]
         left = np.repeat(own, n)
         right = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[run[own]], n)
-        x, y = fp[left], fp[right]
-        near = (np.bitwise_count(x ^ y) <= bits) & (x != y)
+        apart = np.bitwise_count(fp[left] ^ fp[right])
+        near = np.flatnonzero(apart <= bits)
+        left, right = left[near], right[near]
+        near = (apart[near] + np.bitwise_count(more[left] ^ more[right]) <= all_bits) & (node[left] != node[right])
         if near.any():
-            yield _forest(x[near], y[near])
+            yield _forest(node[left[near]], node[right[near]])
         at = to
 
 
-def links(fps: DataFrame, bits: int = BITS, blocks: int = BLOCKS) -> DataFrame:
-    """(a, b): forests that connect exactly the distinct fingerprints linked at ``bits`` or fewer bits."""
+def links(fps: DataFrame, bits: int = BITS, blocks: int = BLOCKS, all_bits: int = 128) -> DataFrame:
+    """(a, b): forests that connect exactly the linked rows of ``fps`` (node, fp, more: distinct fingerprints).
+
+    Linked are rows that differ in ``bits`` bits of fp at most, and in ``all_bits`` of fp and more together.
+    """
     at = anchored(fps, bits, blocks)
     crowded = at.groupBy("anchor").agg(F.count(F.when(F.col("home"), 1)).alias("homes")).where(F.col("homes") > SLOT_HOMES)
     crowded = materialize(crowded.select("anchor", F.ceil(F.col("homes") / SLOT_HOMES).cast("int").alias("slots")), "simhash-crowded")
+    rest = ["node", "fp", "more"]
     if not crowded.isEmpty():  # adaptive execution broadcasts it if its size allows
         at = at.join(crowded, "anchor", "left")
-        mine = F.array(F.pmod(F.xxhash64("fp"), F.col("slots")).cast("int"))
+        mine = F.pmod(F.xxhash64("node"), F.col("slots")).cast("int")
         # A home is compared in one slot; it visits the others.
-        all_slots = F.transform(F.sequence(F.lit(0), F.col("slots") - 1), lambda s: F.struct(s.alias("slot"), (F.col("home") & (s == mine[0])).alias("home")))
+        all_slots = F.transform(F.sequence(F.lit(0), F.col("slots") - 1), lambda s: F.struct(s.alias("slot"), (F.col("home") & (s == mine)).alias("home")))
         one = F.array(F.struct(F.lit(0).alias("slot"), F.col("home").alias("home")))
-        at = at.select("anchor", "fp", F.explode(F.when(F.col("slots").isNull(), one).otherwise(all_slots)).alias("to")).select(F.xxhash64("anchor", "to.slot").alias("slot"), F.col("to.home").alias("home"), "fp")
+        at = at.select("anchor", *rest, F.explode(F.when(F.col("slots").isNull(), one).otherwise(all_slots)).alias("to"))
+        at = at.select(F.xxhash64("anchor", "to.slot").alias("slot"), F.col("to.home").alias("home"), *rest)
     else:
-        at = at.select(F.xxhash64("anchor", F.lit(0)).alias("slot"), "home", "fp")
+        at = at.select(F.xxhash64("anchor", F.lit(0)).alias("slot"), "home", *rest)
     dealt = at.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "slot").sortWithinPartitions("slot")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
         def out(rows: list[tuple[np.ndarray, ...]], last: bool) -> Iterator[pa.RecordBatch]:
-            slot, home, fp = (np.concatenate(x) for x in zip(*rows, strict=True))
-            cut = len(slot) if last else int(np.searchsorted(slot, slot[-1]))
-            for a, b in _links(slot[:cut], home[:cut], fp[:cut], bits) if cut else ():
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
-            held[:] = [] if cut == len(slot) else [(slot[cut:], home[cut:], fp[cut:])]
+            columns = [np.concatenate(x) for x in zip(*rows, strict=True)]
+            n = len(columns[0])
+            cut = n if last else int(np.searchsorted(columns[0], columns[0][-1]))
+            for a, b in _links(*(c[:cut] for c in columns), bits, all_bits) if cut else ():
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            held[:] = [] if cut == n else [tuple(c[cut:] for c in columns)]
 
         for batch in batches:
             if batch.num_rows:
-                held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy().view(np.uint64)))
+                slot, home, node, fp, more = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
+                held.append((slot, home, node, fp.view(np.uint64), more.view(np.uint64)))
                 if sum(len(x[0]) for x in held) >= 100_000:
                     yield from out(held, False)
         if held:
@@ -190,28 +224,38 @@ def links(fps: DataFrame, bits: int = BITS, blocks: int = BLOCKS) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def classes(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, blocks: int = BLOCKS) -> DataFrame:
+def classes(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, blocks: int = BLOCKS, all_bits: int | None = None) -> DataFrame:
     """doc_id, fp and component_id, the smallest doc_id that links lead to, of every row.
 
-    Texts without words have fingerprint 0 and link like any other.  Rows that repeat an id each keep a row;
-    null ids join their class and never name it unless it has no other.  Other columns are not read.
+    ``all_bits`` widens fingerprints to 128 bits, of which linked ones may differ in so many.  Texts without
+    words have fingerprint 0 and link like any other.  Rows that repeat an id each keep a row; null ids join
+    their class and never name it unless it has no other.  Other columns are not read.
     """
     ship(docs.sparkSession)
-    own = materialize(fingerprints(docs, shingle), "simhash-fps")
-    distinct = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    found = components(links(distinct.select("fp"), bits, blocks))
-    rooted = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    own = materialize(fingerprints(docs, shingle, all_bits is not None), "simhash-fps")
+    distinct = own.groupBy("fp", "more").agg(F.min("doc_id").alias("least"))
+    node = F.col("fp") if all_bits is None else F.xxhash64("fp", "more")
+    distinct = materialize(distinct.withColumn("node", node), "simhash-distinct")
+    found = components(links(distinct, bits, blocks, 128 if all_bits is None else all_bits))
+    rooted = distinct.join(found, "node", "left").select("fp", "more", "least", F.coalesce("root", "node").alias("root"))
     rooted = materialize(rooted, "simhash-roots")
     least = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
-    named = materialize(rooted.join(least, "root").select("fp", "component_id"), "simhash-named")
-    return own.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = materialize(rooted.join(least, "root").select("fp", "more", "component_id"), "simhash-named")
+    return own.join(named, ["fp", "more"]).select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, shingle: int = 5, bits: int = BITS, blocks: int = BLOCKS) -> DataFrame:
-    """The documents with the smallest id of their class, all columns; null ids stay with no other to keep."""
-    found = classes(docs, shingle, bits, blocks)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+def keep_first(docs: DataFrame, shingle: int = 5, bits: int = 7, blocks: int = 4, all_bits: int = 25) -> DataFrame:
+    """The documents with the smallest id of their class, all columns; null ids stay with no other to keep.
+
+    Linked are texts whose 128-bit fingerprints agree in 0.8 of their bits and more, with at most ``bits`` of
+    the differing ones in the first half, where the anchors are.  A row that repeats both id and text goes;
+    rows that share only the smallest id of a class are told apart by nothing and stay.
+    """
+    found = classes(docs, shingle, bits, blocks, all_bits)
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key.alias("__key")).distinct()
+    # One exchange by key serves the join and the removal of repeats.
+    return docs.withColumn("__key", key).join(kept, "__key", "left_semi").dropDuplicates(["__key", "text"]).drop("__key")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

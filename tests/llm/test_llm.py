@@ -264,7 +264,7 @@ def simple_fingerprint(t, k=4):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def linked(values, bits=4):
+def linked(values, bits=4, more=None, all_bits=128):
     root = list(range(len(values)))
 
     def find(a):
@@ -275,14 +275,15 @@ def linked(values, bits=4):
 
     for i in range(len(values)):
         for j in range(i):
-            if (values[i] ^ values[j]).bit_count() <= bits:
+            apart = (values[i] ^ values[j]).bit_count()
+            if apart <= bits and (more is None or apart + (more[i] ^ more[j]).bit_count() <= all_bits):
                 root[find(i)] = find(j)
     return [find(i) for i in range(len(values))]
 
 
-def class_ids(ids, values):
+def class_ids(ids, values, *how):
     least = {}
-    roots = linked(values)
+    roots = linked(values, *how)
     for i, r in zip(ids, roots):
         least[r] = i if least.get(r) is None else least[r] if i is None else min(i, least[r])
     return [(i, f"{v:016x}", least[r]) for i, v, r in zip(ids, values, roots)]
@@ -294,6 +295,8 @@ def test_classes(spark, rows, docs, empty):
     assert simhash.classes(empty).count() == 0
     kept = simhash.keep_first(docs)
     assert kept.columns == docs.columns and 0 < kept.count() <= docs.count()
+    left = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(left) == len(set(left)) and (3, rows[3][1]) in left and not any(i == 120 for i, _ in left)
 
 
 @pytest.mark.parametrize("slot,bits,blocks", [(4000, 4, 3), (3, 4, 3), (50, 7, 4)])
@@ -311,7 +314,7 @@ def test_links_lose_nothing(spark, monkeypatch, slot, bits, blocks):
             values.add(z)
     values = sorted(values)
     signed = lambda v: v - (1 << 64) if v >> 63 else v
-    df = spark.createDataFrame([(signed(v),) for v in values], "fp long")
+    df = spark.createDataFrame([(signed(v), signed(v), 0) for v in values], "node long, fp long, more long")
     root = {r.node: r.root for r in components.components(simhash.links(df, bits, blocks)).collect()}
     ours, theirs = defaultdict(set), defaultdict(set)
     for v, t in zip(values, linked(values, bits)):
@@ -344,7 +347,7 @@ def measures(t):
     inside = {j for i, x in enumerate(windows) if c[x] > 1 for j in range(i, i + 5)}
     n, chars, sym, dup, rep = len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(inside)
     failed = n < 10 or 100 * rep > 20 * n
-    kept = not (failed or 10 * sym > n or 10 * dup > 3 * len(lines) or chars < 3 * n or chars > 12 * n)
+    kept = not (failed or 10 * sym > n or 2 * dup > len(lines) or chars < 3 * n or chars > 12 * n)
     return n, chars, sym, dup, rep, failed, kept
 
 
@@ -578,7 +581,8 @@ def test_pipeline(spark):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     d = [(r.doc_id, r.text, r.source) for r in table.collect() if measures(r.text)[-1]]
     prints = [simple_fingerprint(t, 5) for _, t, _ in d]
-    first = {(i, c) for i, _, c in class_ids([i for i, _, _ in d], prints)}
+    more = [simhash.majority(simhash.remixed(simhash.hashes(t, 5))) for _, t, _ in d]
+    first = {(i, c) for i, _, c in class_ids([i for i, _, _ in d], prints, 7, more, 25)}
     d = [r for r in d if (r[0], r[0]) in first]
     field = pii.train(pii.labelled_table())
     d = [(i, pii.masked(t, pii.merge(found(t), pii.field_spans([t], field)[0])), s) for i, t, s in d]
