@@ -76,7 +76,7 @@ def name_sql(scale: Scale, name: str, z_compress: int = 0) -> str:
 
 def origin_sql(scale: Scale, number: str, axis: int) -> str:
     parts = [f"((({number} >> {place - scale.low}) & 1) << {level})" for place, (a, level) in enumerate(scale.plan) if a == axis and place >= scale.low]
-    return "(" + (" | ".join(parts) or "0") + ")"
+    return "(" + (" | ".join(parts) or "0") + ")::BIGINT"
 
 
 VOX = "vox AS (SELECT l_partkey % 128 AS x, l_orderkey % 128 AS y, l_linenumber::BIGINT AS z, min(l_suppkey) + 1 AS label FROM lineitem GROUP BY 1, 2, 3)"

@@ -24,6 +24,11 @@ def read_events(spark: SparkSession, path: str, schema: str = EVENT, files_per_t
     return lines.select(embedded_json(F.col("value"), schema).alias("e")).where("e is not null").select("e.*")
 
 
+def table_stream(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table, a folder or one file, as a stream.  The source takes one file only by a pattern."""
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[{path[-1]}]")
+
+
 def deduplicated(events: DataFrame, keys: list[str], delay: str = "10 minutes", ts: str = "ts") -> DataFrame:
     """Each event once, repeats within the delay dropped."""
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
