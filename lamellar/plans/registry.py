@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamellar.functions import bits, geometry, models, text
-from lamellar.operators import calibration, codecs, labels, planning, telemetry, verification, volume
+from lamellar.operators import calibration, chunked, codecs, labels, planning, telemetry, verification, volume
 from lamellar.session import shared_dir, table
 from lamellar.streaming import progress
 
@@ -691,6 +691,14 @@ def block_voxels(spark, sf):
     return volume.explode_voxels(d, geometry.Scale("toy8", (128, 128, 8), (8, 8, 8)))
 
 
+@query("chunk_downsample", ORACLES["mode_downsample"])
+def chunk_downsample(spark, sf):
+    """The same votes as mode_downsample, chunk by chunk."""
+    whole, half = geometry.Scale("toy8", (128, 128, 8), (8, 8, 8)), geometry.Scale("half8", (64, 64, 4), (8, 8, 8))
+    d = codecs.decode(_blocks(spark, sf), codecs.SUPERVOXELS, (8, 8, 8))
+    return volume.explode_voxels(chunked.downsample(d, whole, half), half)
+
+
 @query("block_info")
 def block_info(spark, sf):
     return codecs.info(_blocks(spark, sf))

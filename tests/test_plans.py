@@ -7,7 +7,7 @@ import pytest
 from conftest import SF
 from lamellar.plans import QUERIES
 
-NATIVE = sorted(set(QUERIES) - {"block_decode", "block_voxels", "block_info", "segmentation_encode", "lpt_tasks", "downres_plan", "stream_windows", "stream_progress"})
+NATIVE = sorted(set(QUERIES) - {"block_decode", "block_voxels", "chunk_downsample", "block_info", "segmentation_encode", "lpt_tasks", "downres_plan", "stream_windows", "stream_progress"})
 
 
 def plan(df) -> str:
