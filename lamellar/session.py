@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -41,11 +43,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
 
-    Where the cluster names none (a local session in tests) a temporary one is made and set.
+    Where the cluster names none (a local session in tests) a temporary one is made and set, and goes at exit.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='lamellar-shared-')}"
+        own = tempfile.mkdtemp(prefix="lamellar-shared-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        found = f"file://{own}"
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
