@@ -30,7 +30,11 @@ def word_chars(text: Column) -> Column:
 
 
 def n_words(text: Column) -> Column:
-    return F.size(words(text)).cast("long")
+    return _count(words(text))
+
+
+def _count(w: Column) -> Column:
+    return F.size(w).cast("long")
 
 
 def n_symbols(text: Column) -> Column:
@@ -52,10 +56,12 @@ def n_lines(text: Column) -> Column:
 
 
 def n_repeat_words(text: Column) -> Column:
-    """Words inside a 5-word window that the text has twice or more, the first one included.
+    """Words inside a 5-word window that the text has twice or more, the first one included."""
+    return _repeated(words(text))
 
-    Most texts repeat no window; that is told by one hash set.  Only the others sort their windows.
-    """
+
+def _repeated(own: Column) -> Column:
+    """The same from the words.  Most texts repeat no window; one hash set tells.  Only the others sort theirs."""
 
     def positions(w: Column) -> Column:
         def marked(s: Column) -> Column:
@@ -72,7 +78,7 @@ def n_repeat_words(text: Column) -> Column:
     def count(w: Column) -> Column:
         return F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0)).otherwise(let(positions(w), covered))
 
-    hashes = F.transform(words(text), lambda x: F.xxhash64(x))
+    hashes = F.transform(own, lambda x: F.xxhash64(x))
     return let(let(hashes, lambda h: window_hashes(h, WINDOW)), count).cast("long")
 
 
@@ -157,9 +163,15 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that no rule rejects, all columns; measures are computed only as the cascade needs them."""
+    """The documents that no rule rejects, all columns; measures are computed only as the cascade needs them.
+
+    The words, which several measures share, are split once.
+    """
     order = [r for r, _, _ in plan(docs)]
-    return docs.where(cascade(order, {m: f(F.col("text")) for m, f in MEASURES.items()}).isNull())
+    t = F.col("text")
+    lazy = {m: f(t) for m, f in MEASURES.items()}
+    first = let(words(t), lambda w: cascade(order, lazy | {"n_words": _count(w), "n_repeat_words": _repeated(w)}))
+    return docs.where(first.isNull())
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
