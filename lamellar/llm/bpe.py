@@ -34,7 +34,9 @@ from lamellar.session import ship, table
 #: Pre-splitting pattern of the byte-level tokenizer file format (fixed by the format).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries of either half of each per-process word table; bounds memory only.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 150_000
+#: Resolved transitions kept at once.
+TABLE_ENTRIES = 400_000
 _FAR = 1 << 60
 
 
@@ -114,6 +116,8 @@ class MergeAutomaton:
                     key = state << 32 | token
                     open_ = move.get(key)
                     if open_ is None:
+                        if len(move) >= TABLE_ENTRIES:
+                            move.clear()
                         open_ = move[key] = state < 0 or self._open(state, token)
                     if open_:
                         path.append(token)

@@ -34,7 +34,7 @@ from .components import components
 SHINGLE, BITS, BLOCKS, SEED = 4, 4, 3, 42
 #: Homes of one anchor that one slot compares; more are dealt over further slots.
 SLOT_HOMES = 4_000
-PAIRS_AT_ONCE = 2_000_000
+PAIRS_AT_ONCE = 500_000
 _CODE = 15
 
 
