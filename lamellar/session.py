@@ -25,6 +25,10 @@ DEFAULTS = {
 }
 
 
+#: Size, by the optimizer's estimate, up to which :func:`spread` deals a table out anew.
+SMALL_BYTES = 32 << 20
+
+
 def session(master: str | None = None, **conf: str) -> SparkSession:
     """A session with :data:`DEFAULTS`; ``conf`` (dots as ``__``) wins over them."""
     builder = SparkSession.builder.appName("lamellar")
@@ -68,6 +72,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small table of few files over all cores, for work that costs far more than an exchange of it.
+
+    A file of one row group is one task however many cores wait.  Tables over ``SMALL_BYTES`` stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    small = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= SMALL_BYTES
+    return df.repartition(cores) if small and len(df.inputFiles()) < cores else df
+
+
 def remove(df: DataFrame) -> None:
     """Delete the files of a table made by :func:`materialize` that nothing reads any more."""
     spark = df.sparkSession
