@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lamellar.session import ship, table
+from lamellar.session import ship, spread, table
 
 #: Pre-splitting pattern of the byte-level tokenizer file format (fixed by the format).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -278,7 +278,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
                 second.append(sha(tok.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())], names=["doc_id", *DIGESTS.names])
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return spread(docs.select("doc_id", "text")).mapInArrow(run, schema)
 
 
 def default_path() -> str:

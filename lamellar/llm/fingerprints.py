@@ -76,9 +76,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Null texts count as empty.  The texts are dealt once, with their sketches, to buckets of consecutive ids.
     """
-    from lamellar.session import table
+    from lamellar.session import spread, table
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("sketch", sketch(F.col("text")))
     both = with_next(docs, "doc_id", ["text", "sketch"])
     both = both.select("doc_id", F.length("text").cast("long").alias("n_chars"), "sketch", "next_sketch", edited(F.col("text"), F.col("next_text")).alias("edited"))

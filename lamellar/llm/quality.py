@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lamellar.session import spread, table
+
 from .expr import let, upto, window_hashes, words
 
 SYMBOLS = "#*$%&|<>"
@@ -155,7 +157,7 @@ def verdicts(docs: DataFrame) -> DataFrame:
     order = [r for r, _, _ in plan(docs)]
     t = F.col("text")
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    measured = docs.select("doc_id", *(MEASURES[m](t).alias(m) for m in names), n_lines(t).alias("n_lines"))
+    measured = spread(docs.select("doc_id", "text")).select("doc_id", *(MEASURES[m](t).alias(m) for m in names), n_lines(t).alias("n_lines"))
     by = {m: F.col(m) for m in MEASURES}
     base = BASE[0].rejects(by) | BASE[1].rejects(by)
     first = cascade(order, by)
@@ -171,13 +173,11 @@ def keep_good(docs: DataFrame) -> DataFrame:
     t = F.col("text")
     lazy = {m: f(t) for m, f in MEASURES.items()}
     first = let(words(t), lambda w: cascade(order, lazy | {"n_words": _count(w), "n_repeat_words": _repeated(w)}))
-    return docs.where(first.isNull())
+    return spread(docs).where(first.isNull())
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op6: verdicts on all documents."""
-    from lamellar.session import table
-
     return verdicts(table(spark, sf_dir, "documents"))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamellar.session import materialize, ship, table
+from lamellar.session import materialize, ship, spread, table
 
 from .components import components
 
@@ -92,7 +92,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, wide: bool = False) ->
             arrays = [pa.array(np.array(v, np.uint64).view(np.int64)) for v in (first, second)]
             yield pa.RecordBatch.from_arrays([b.column(0), *arrays], names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return spread(docs.select("doc_id", "text")).mapInArrow(run, schema)
 
 
 def _syndrome(e: int) -> int:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lamellar.session import ship, table
+from lamellar.session import ship, spread, table
 
 #: The piece format's visible space (fixed by the format).
 SPACE = "▁"
@@ -132,7 +132,7 @@ def count_tokens(docs: DataFrame, pieces: list[tuple[str, float]]) -> DataFrame:
                 scores.append(s)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(chars, pa.int64()), pa.array(counts, pa.int64()), pa.array(scores, pa.float64())], names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return spread(docs.select("doc_id", "text")).mapInArrow(run, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
