@@ -8,8 +8,10 @@ codeword) and all patterns on its other bits.  A fingerprint is at home at its n
 at most, and visits every anchor within 1 + bits // blocks, so a linked pair meets at the home of either.
 Homes are compared with visitors anchor by anchor, in numpy.
 
-A second fingerprint of remixed hashes can widen the first to 128 bits; it plays no part in finding anchors but
-must agree too, which keeps chance links out when more bits may differ.
+A second fingerprint of remixed hashes can widen the first to 128 bits, of which ``all_bits`` may differ: too many
+for few blocks.  These are cut into ``all_bits // 2 + 1`` blocks, so that one differs in one bit at most, and every
+pattern of a block is an anchor, home of the fingerprints that have it.  Of two patterns one bit apart exactly one
+has odd parity; only fingerprints with odd ones visit, at all patterns one bit away.
 
 Only distinct fingerprints are replicated, so copies never form a group.  An anchor that still draws very
 many is split: its homes are dealt over slots and its visitors sent to each slot, so every comparison is made
@@ -35,6 +37,8 @@ SHINGLE, BITS, BLOCKS, SEED = 4, 4, 3, 42
 #: Homes of one anchor that one slot compares; more are dealt over further slots.
 SLOT_HOMES = 4_000
 PAIRS_AT_ONCE = 500_000
+#: Pairs of one dense tile of wide fingerprints: its temporaries stay in a core's cache.
+TILE = 65_536
 _CODE = 15
 
 
@@ -140,6 +144,26 @@ def anchored(fps: DataFrame, bits: int, blocks: int) -> DataFrame:
     return fps.select("node", "fp", "more", F.explode(F.concat(*rows)).alias("at")).select("at.anchor", "at.home", "node", "fp", "more")
 
 
+def anchored_wide(fps: DataFrame, all_bits: int, visits: bool = True) -> DataFrame:
+    """Like :func:`anchored`, over all 128 bits of fp and more; without ``visits`` homes only."""
+    blocks = all_bits // 2 + 1
+    rows: list[Column] = []
+    low = 0
+    for k in range(blocks):
+        width = 128 // blocks + (k < 128 % blocks)
+        block = F.shiftrightunsigned("fp", low) if low < 64 else F.shiftrightunsigned("more", low - 64)
+        if low < 64 < low + width:
+            block = block.bitwiseOR(F.shiftleft("more", 64 - low))
+        block = block.bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+        own = F.array(F.lit(0).cast("long"))
+        if visits:
+            near = F.array(*(F.lit(e).cast("long") for e in (0, *(1 << p for p in range(width)))))
+            own = F.when(F.bit_count(block) % 2 == 1, near).otherwise(own)
+        rows.append(F.transform(own, _visit(block, F.lit(0).cast("long"), F.lit(k << 58))))
+        low += width
+    return fps.select("node", "fp", "more", F.explode(F.concat(*rows)).alias("at")).select("at.anchor", "at.home", "node", "fp", "more")
+
+
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links as stars: every linked value with its component's smallest, by min-label passes."""
     names, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -157,7 +181,7 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names[own], names[label[own]]
 
 
-def _links(slot: np.ndarray, home: np.ndarray, node: np.ndarray, fp: np.ndarray, more: np.ndarray, bits: int, all_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _links(slot: np.ndarray, home: np.ndarray, node: np.ndarray, fp: np.ndarray, more: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links between homes and visitors of each run of equal slots; rows are sorted by slot."""
     start = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
     size = np.diff(np.r_[start, len(slot)])
@@ -171,22 +195,58 @@ def _links(slot: np.ndarray, home: np.ndarray, node: np.ndarray, fp: np.ndarray,
         own, n = homes[at:to], work[at:to]
         left = np.repeat(own, n)
         right = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[run[own]], n)
-        apart = np.bitwise_count(fp[left] ^ fp[right])
-        near = np.flatnonzero(apart <= bits)
-        left, right = left[near], right[near]
-        near = (apart[near] + np.bitwise_count(more[left] ^ more[right]) <= all_bits) & (node[left] != node[right])
+        near = (np.bitwise_count(fp[left] ^ fp[right]) <= bits) & (node[left] != node[right])
         if near.any():
             yield _forest(node[left[near]], node[right[near]])
         at = to
 
 
-def links(fps: DataFrame, bits: int = BITS, blocks: int = BLOCKS, all_bits: int = 128) -> DataFrame:
+def _joined(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Labels (each the smallest row of its tree) after the trees of x and y are joined pair by pair."""
+    while True:
+        a, b = label[x], label[y]
+        apart = a != b
+        if not apart.any():
+            return label
+        x, y, a, b = x[apart], y[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def _wide_links(slot: np.ndarray, home: np.ndarray, node: np.ndarray, fp: np.ndarray, more: np.ndarray, all_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Like :func:`_links` for all 128 bits, a run's homes against all its rows in dense tiles."""
+    bounds = np.r_[np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]]), len(slot)].tolist()
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        homes = np.flatnonzero(home[a:b])
+        n = b - a
+        if n < 2 or not len(homes):
+            continue
+        first, second, label = fp[a:b], more[a:b], np.arange(n)
+        step = max(1, TILE // n)
+        for at in range(0, len(homes), step):
+            own = homes[at : at + step]
+            apart = np.bitwise_count(first[own, None] ^ first)
+            apart += np.bitwise_count(second[own, None] ^ second)
+            x, y = divmod(np.flatnonzero(apart <= all_bits), n)
+            x = own[x]
+            new = label[x] != label[y]
+            if new.any():
+                label = _joined(label, x[new], y[new])
+        own = np.flatnonzero(label != np.arange(n))
+        if len(own):
+            yield node[a:b][own], node[a:b][label[own]]
+
+
+def links(fps: DataFrame, bits: int = BITS, blocks: int = BLOCKS, all_bits: int | None = None) -> DataFrame:
     """(a, b): forests that connect exactly the linked rows of ``fps`` (node, fp, more: distinct fingerprints).
 
-    Linked are rows that differ in ``bits`` bits of fp at most, and in ``all_bits`` of fp and more together.
+    Linked are rows that differ in ``bits`` bits of fp at most or, with ``all_bits``, in so many of fp and more
+    together; then ``bits`` and ``blocks`` mean nothing.
     """
-    at = anchored(fps, bits, blocks)
-    crowded = at.groupBy("anchor").agg(F.count(F.when(F.col("home"), 1)).alias("homes")).where(F.col("homes") > SLOT_HOMES)
+    at = anchored(fps, bits, blocks) if all_bits is None else anchored_wide(fps, all_bits)
+    homes = at if all_bits is None else anchored_wide(fps, all_bits, visits=False)
+    crowded = homes.groupBy("anchor").agg(F.count(F.when(F.col("home"), 1)).alias("homes")).where(F.col("homes") > SLOT_HOMES)
     crowded = materialize(crowded.select("anchor", F.ceil(F.col("homes") / SLOT_HOMES).cast("int").alias("slots")), "simhash-crowded")
     rest = ["node", "fp", "more"]
     if not crowded.isEmpty():  # adaptive execution broadcasts it if its size allows
@@ -208,7 +268,8 @@ def links(fps: DataFrame, bits: int = BITS, blocks: int = BLOCKS, all_bits: int
             columns = [np.concatenate(x) for x in zip(*rows, strict=True)]
             n = len(columns[0])
             cut = n if last else int(np.searchsorted(columns[0], columns[0][-1]))
-            for a, b in _links(*(c[:cut] for c in columns), bits, all_bits) if cut else ():
+            own = [c[:cut] for c in columns]
+            for a, b in (_links(*own, bits) if all_bits is None else _wide_links(*own, all_bits)) if cut else ():
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
             held[:] = [] if cut == n else [tuple(c[cut:] for c in columns)]
 
@@ -227,7 +288,8 @@ def links(fps: DataFrame, bits: int = BITS, blocks: int = BLOCKS, all_bits: int
 def classes(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, blocks: int = BLOCKS, all_bits: int | None = None) -> DataFrame:
     """doc_id, fp and component_id, the smallest doc_id that links lead to, of every row.
 
-    ``all_bits`` widens fingerprints to 128 bits, of which linked ones may differ in so many.  Texts without
+    ``all_bits`` widens fingerprints to 128 bits, of which linked ones may differ in so many, wherever they are;
+    ``bits`` and ``blocks`` are those of 64-bit fingerprints.  Texts without
     words have fingerprint 0 and link like any other.  Rows that repeat an id each keep a row; null ids join
     their class and never name it unless it has no other.  Other columns are not read.
     """
@@ -236,7 +298,7 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, blocks: i
     distinct = own.groupBy("fp", "more").agg(F.min("doc_id").alias("least"))
     node = F.col("fp") if all_bits is None else F.xxhash64("fp", "more")
     distinct = materialize(distinct.withColumn("node", node), "simhash-distinct")
-    found = components(links(distinct, bits, blocks, 128 if all_bits is None else all_bits))
+    found = components(links(distinct, bits, blocks, all_bits))
     rooted = distinct.join(found, "node", "left").select("fp", "more", "least", F.coalesce("root", "node").alias("root"))
     rooted = materialize(rooted, "simhash-roots")
     least = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
@@ -244,14 +306,13 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, blocks: i
     return own.join(named, ["fp", "more"]).select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, shingle: int = 5, bits: int = 7, blocks: int = 4, all_bits: int = 25) -> DataFrame:
+def keep_first(docs: DataFrame, shingle: int = 5, all_bits: int = 25) -> DataFrame:
     """The documents with the smallest id of their class, all columns; null ids stay with no other to keep.
 
-    Linked are texts whose 128-bit fingerprints agree in 0.8 of their bits and more, with at most ``bits`` of
-    the differing ones in the first half, where the anchors are.  A row that repeats both id and text goes;
-    rows that share only the smallest id of a class are told apart by nothing and stay.
+    Linked are texts whose 128-bit fingerprints agree in 0.8 of their bits and more.  A row that repeats both id
+    and text goes; rows that share only the smallest id of a class are told apart by nothing and stay.
     """
-    found = classes(docs, shingle, bits, blocks, all_bits)
+    found = classes(docs, shingle, all_bits=all_bits)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key.alias("__key")).distinct()
     # One exchange by key serves the join and the removal of repeats.

@@ -323,6 +323,58 @@ def test_links_lose_nothing(spark, monkeypatch, slot, bits, blocks):
     assert sorted(map(sorted, ours.values())) == sorted(map(sorted, theirs.values()))
 
 
+@pytest.mark.parametrize("slot,tile,all_bits", [(4000, 65_536, 25), (3, 40, 25), (50, 65_536, 24), (50, 65_536, 9)])
+def test_wide_links_lose_nothing(spark, monkeypatch, slot, tile, all_bits):
+    monkeypatch.setattr(simhash, "SLOT_HOMES", slot)
+    monkeypatch.setattr(simhash, "TILE", tile)
+    r = random.Random(3)
+    values = set()
+    for k in range(40):
+        b = r.getrandbits(128)
+        values.add(b)
+        for _ in range(8):
+            places = range(64) if k % 4 == 0 else range(64, 128) if k % 4 == 1 else range(128)
+            z = b
+            for j in r.sample(places, r.randint(all_bits - 2, all_bits + 2) if k % 2 else r.randint(0, all_bits)):
+                z ^= 1 << j
+            values.add(z)
+    values = sorted(values)
+    halves = [(v & (1 << 64) - 1, v >> 64) for v in values]
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    df = spark.createDataFrame([(i, signed(a), signed(b)) for i, (a, b) in enumerate(halves)], "node long, fp long, more long")
+    root = {r.node: r.root for r in components.components(simhash.links(df, all_bits=all_bits)).collect()}
+    ours, theirs = defaultdict(set), defaultdict(set)
+    for i, t in enumerate(linked([a for a, _ in halves], 64, [b for _, b in halves], all_bits)):
+        ours[root.get(i, i)].add(i)
+        theirs[t].add(i)
+    assert sorted(map(sorted, ours.values())) == sorted(map(sorted, theirs.values()))
+
+
+def test_keep_first_drops_near_copies(spark):
+    """Of pairs whose five-word shingles are 0.8 alike and more, 0.9 and more lose their second text."""
+    r = random.Random(4)
+    own, near = [], []
+    while len(near) < 120:
+        w = [f"w{r.getrandbits(40)}" for _ in range(220)]
+        v = list(w)
+        for k in r.sample(range(220), r.randint(1, 4)):
+            v[k] = f"w{r.getrandbits(40)}"
+        a, b = ({tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (w, v))
+        if len(a & b) >= 0.8 * len(a | b):
+            own.append(" ".join(w))
+            near.append(" ".join(v))
+    docs = frame(spark, [*enumerate(own), *((1000 + i, t) for i, t in enumerate(near))])
+    kept = {x.doc_id for x in simhash.keep_first(docs).collect()}
+    assert set(range(120)) <= kept and len(kept) <= 120 + 12
+
+
+def test_keep_first_against_brute_force(spark):
+    d = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    more = [simhash.majority(simhash.remixed(simhash.hashes(t, 5))) for _, t in d]
+    want = {i for i, _, c in class_ids([i for i, _ in d], [simple_fingerprint(t, 5) for _, t in d], 64, more, 25) if i == c}
+    assert {r.doc_id for r in simhash.keep_first(frame(spark, d)).collect()} == want
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 80)] + [(5000, 5000), (7, 8)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
