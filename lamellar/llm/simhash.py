@@ -40,6 +40,8 @@ PAIRS_AT_ONCE = 500_000
 #: Pairs of one dense tile of wide fingerprints: its temporaries stay in a core's cache.
 TILE = 65_536
 _CODE = 15
+#: What tells rows apart where ids repeat.
+ROW = ("doc_id", "text")
 
 
 def hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
@@ -79,12 +81,13 @@ def remixed(h: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(32))) * np.uint64(0xA0761D6478BD642F)
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, wide: bool = False) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, wide: bool = False, keyed: bool = False) -> DataFrame:
     """doc_id and fp, the fingerprint as a signed 64-bit number, of every whole text; null counts as empty.
 
-    ``wide`` adds ``more``, a second fingerprint from remixed hashes (else it is 0).
+    ``wide`` adds ``more``, a second fingerprint from remixed hashes (else it is 0); ``keyed`` adds :data:`ROW` as key.
     """
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("fp", T.LongType()), T.StructField("more", T.LongType())])
+    keys = [T.StructField("key", T.LongType())] if keyed else []
+    schema = T.StructType([docs.schema["doc_id"], *keys, T.StructField("fp", T.LongType()), T.StructField("more", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -94,9 +97,9 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, wide: bool = False) ->
                 first.append(majority(h))
                 second.append(majority(remixed(h)) if wide else 0)
             arrays = [pa.array(np.array(v, np.uint64).view(np.int64)) for v in (first, second)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *arrays], names=schema.names)
+            yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], *arrays], names=schema.names)
 
-    return spread(docs.select("doc_id", "text")).mapInArrow(run, schema)
+    return spread(docs.select("doc_id", "text", *([F.xxhash64(*ROW).alias("key")] if keyed else []))).mapInArrow(run, schema)
 
 
 def _syndrome(e: int) -> int:
@@ -293,30 +296,37 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, blocks: i
     words have fingerprint 0 and link like any other.  Rows that repeat an id each keep a row; null ids join
     their class and never name it unless it has no other.  Other columns are not read.
     """
+    return _grouped(docs, shingle, bits, blocks, all_bits).select("doc_id", "fp", F.col("least").alias("component_id"))
+
+
+def _grouped(docs: DataFrame, shingle: int, bits: int, blocks: int, all_bits: int | None, keyed: bool = False) -> DataFrame:
+    """doc_id, fp and the class's least doc_id of every row; ``keyed``: also key, and least is (absent, doc_id, key), null ids last."""
     ship(docs.sparkSession)
-    own = materialize(fingerprints(docs, shingle, all_bits is not None), "simhash-fps")
-    distinct = own.groupBy("fp", "more").agg(F.min("doc_id").alias("least"))
+    own = materialize(fingerprints(docs, shingle, all_bits is not None, keyed), "simhash-fps")
+    first = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "key") if keyed else F.col("doc_id")
+    distinct = own.groupBy("fp", "more").agg(F.min(first).alias("least"))
     node = F.col("fp") if all_bits is None else F.xxhash64("fp", "more")
     distinct = materialize(distinct.withColumn("node", node), "simhash-distinct")
     found = components(links(distinct, bits, blocks, all_bits))
     rooted = distinct.join(found, "node", "left").select("fp", "more", "least", F.coalesce("root", "node").alias("root"))
     rooted = materialize(rooted, "simhash-roots")
-    least = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
-    named = materialize(rooted.join(least, "root").select("fp", "more", "component_id"), "simhash-named")
-    return own.join(named, ["fp", "more"]).select("doc_id", "fp", "component_id")
+    least = materialize(rooted.groupBy("root").agg(F.min("least").alias("least")), "simhash-least")
+    named = materialize(rooted.drop("least").join(least, "root").select("fp", "more", "least"), "simhash-named")
+    return own.join(named, ["fp", "more"]).drop("more")
 
 
 def keep_first(docs: DataFrame, shingle: int = 5, all_bits: int = 25) -> DataFrame:
-    """The documents with the smallest id of their class, all columns; null ids stay with no other to keep.
+    """One document of each class, that with the smallest id, all columns; a null id stays with no other to keep.
 
-    Linked are texts whose 128-bit fingerprints agree in 0.8 of their bits and more.  A row that repeats both id
-    and text goes; rows that share only the smallest id of a class are told apart by nothing and stay.
+    Linked are texts whose 128-bit fingerprints agree in 0.8 of their bits and more.  Of rows that share the
+    smallest id of their class the one with the smallest hash of id and text stays, and once if repeated.
     """
-    found = classes(docs, shingle, all_bits=all_bits)
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key.alias("__key")).distinct()
-    # One exchange by key serves the join and the removal of repeats.
-    return docs.withColumn("__key", key).join(kept, "__key", "left_semi").dropDuplicates(["__key", "text"]).drop("__key")
+    found = _grouped(docs, shingle, BITS, BLOCKS, all_bits, keyed=True)
+    id_, key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), F.xxhash64(*ROW)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("key") == F.col("least.key")))
+    kept = kept.select(id_.alias("__id"), F.col("key").alias("__key")).distinct()
+    # One exchange by id and key serves the join and the removal of repeats.
+    return docs.withColumns({"__id": id_, "__key": key}).join(kept, ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"]).drop("__id", "__key")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -375,6 +375,18 @@ def test_keep_first_against_brute_force(spark):
     assert {r.doc_id for r in simhash.keep_first(frame(spark, d)).collect()} == want
 
 
+def test_keep_first_keeps_rows_not_ids(spark):
+    r = random.Random(6)
+    text = lambda: " ".join(f"w{r.getrandbits(40)}" for _ in range(100))
+    a, b, c, d, e = (text() for _ in range(5))
+    # B under the id that names A's class is a copy of document 3; copies that share an id; nulls alone and with others.
+    rows = [(5, a), (7, a), (5, b), (3, b), (9, c), (9, c + " "), (None, d), (None, d + "  "), (None, e), (11, e)]
+    docs = frame(spark, rows)
+    for own in (docs, docs.union(docs)):
+        kept = [(x.doc_id, x.text.strip()) for x in simhash.keep_first(own).collect()]
+        assert sorted(kept, key=str) == sorted([(5, a), (3, b), (9, c), (None, d), (11, e)], key=str)
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 80)] + [(5000, 5000), (7, 8)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
