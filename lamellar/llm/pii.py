@@ -99,7 +99,7 @@ _RUN = re.compile(r"(x|X)\1+|d{5,}")
 
 def shape(token: str) -> str:
     """Word shape: letters x and X with runs cut to one, digits d with runs of five and more as "d" and their length."""
-    own = "".join(c if c.isascii() else "x" for c in token[:64]).translate(_CLASSES)
+    own = "".join(c if c.isascii() else "x" for c in token).translate(_CLASSES)
     return _RUN.sub(lambda m: m[1] or f"d{len(m[0])}", own)
 
 

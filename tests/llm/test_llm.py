@@ -561,6 +561,13 @@ def test_field_finds_what_patterns_cannot(spark, empty):
     assert pii.find(empty).count() == 0
 
 
+def test_shapes_are_of_whole_tokens():
+    field = pii.train(pii.labelled_table())
+    text = f"write to {'é' * 70}@mail.example.org now"
+    assert pii.shape("é" * 70 + "@mail.example.org") == "x@x.x.x" and pii.shape("a" * 64 + "1") == "xd" and pii.shape("9" * 100) == "d100"
+    assert not pii.base_spans(text) and pii.field_spans([text], field) == [[("email", 9, 9 + 70 + 17)]]
+
+
 def test_viterbi_is_the_best_path():
     import itertools
 
