@@ -1,7 +1,7 @@
 """End-to-end runs: export of source shards, the downsampled pyramid, and verification.
 
-Every scale is written by scale and shard before the next one reads it; that table cuts lineage, is the restart
-point, and lets a repeated run leave finished shards alone.
+Every scale is written by scale and shard before the next one reads it; that table cuts lineage and is the restart
+point.  A repeated run computes every shard anew and overwrites it.
 """
 
 from __future__ import annotations
