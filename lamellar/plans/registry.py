@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lamellar.functions import bits, geometry, models, text
 from lamellar.operators import calibration, chunked, codecs, labels, planning, telemetry, verification, volume
-from lamellar.session import shared_dir, table
+from lamellar.session import scratch, table
 from lamellar.streaming import progress
 
 from . import views as V
@@ -536,12 +536,10 @@ def memory_pressure(spark, sf):
 @query("stream_windows", "SELECT time_bucket(INTERVAL 6 HOURS, ts)::VARCHAR AS start, event_type AS event, count(*) AS events, max(value) AS peak_gib FROM events GROUP BY 1, 2")
 def stream_windows(spark, sf):
     """The events table as a stream, in six-hour windows; the finished stream's table."""
-    import uuid
-
     path = f"{sf}/events.parquet"
     stream = progress.table_stream(spark, path)
     stream = stream.select(F.col("event_type").alias("event"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("memory_gib"))
-    at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    at = scratch(spark, "stream")
     progress.to_table(progress.windowed(stream, "6 hours"), f"{at}/table", f"{at}/checkpoint").awaitTermination()
     out = spark.read.parquet(f"{at}/table")
     return out.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event", "events", "peak_gib")
@@ -550,12 +548,10 @@ def stream_windows(spark, sf):
 @query("stream_progress", "WITH r AS (SELECT user_id, event_id % 3 AS scale, ts, event_id, row_number() OVER (PARTITION BY user_id, event_id % 3 ORDER BY (event_id % 101 = 0) DESC, ts DESC, event_id DESC) AS k FROM events) SELECT (scale)::INT AS scale, user_id::VARCHAR AS shard, event_id % 101 = 0 AS done, event_id AS chunks_written FROM r WHERE k = 1")
 def stream_progress(spark, sf):
     """Latest state of every shard from a stream of events, completions first."""
-    import uuid
-
     path = f"{sf}/events.parquet"
     e = progress.table_stream(spark, path)
     e = e.select(F.when(F.col("event_id") % 101 == 0, "shard_complete").otherwise("progress").alias("event"), F.col("ts").cast("timestamp").alias("ts"), (F.col("event_id") % 3).cast("int").alias("scale"), F.col("user_id").cast("string").alias("shard"), F.col("event_id").alias("chunks_written"), F.lit(0).cast("long").alias("chunks_failed"), F.lit(1).cast("long").alias("total"))
-    at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    at = scratch(spark, "stream")
     progress.to_table(progress.progress(e), f"{at}/table", f"{at}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{at}/table").select("scale", "shard", "done", "chunks_written")
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import io
 import os
 import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,10 +27,6 @@ DEFAULTS = {
 }
 
 
-#: Size, by the optimizer's estimate, up to which :func:`spread` deals a table out anew.
-SMALL_BYTES = 32 << 20
-
-
 def session(master: str | None = None, **conf: str) -> SparkSession:
     """A session with :data:`DEFAULTS`; ``conf`` (dots as ``__``) wins over them."""
     builder = SparkSession.builder.appName("lamellar")
@@ -47,10 +45,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
 
-    Where the cluster names none (a local session in tests) a temporary one is made and set, and goes at exit.
+    A local session (tests) that names none gets a temporary one, which goes at exit; on a cluster that would be
+    a folder of each machine's own, so there it is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         own = tempfile.mkdtemp(prefix="lamellar-shared-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         found = f"file://{own}"
@@ -58,6 +59,49 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path for intermediate files; :func:`clear_scratch` and the session's end delete what is still there."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    if not hasattr(sc, "_lamellar_scratch"):
+        sc._lamellar_scratch = set()
+        atexit.register(_forget, spark)
+    sc._lamellar_scratch.add(path)
+    return path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete one scratch path that nothing reads any more."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
+    getattr(spark.sparkContext, "_lamellar_scratch", set()).discard(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate files of this application, once the results that read them are stored elsewhere.
+
+    Results are lazy, so a query can't do this itself; an application that runs many calls it between them.
+    """
+    for path in sorted(getattr(spark.sparkContext, "_lamellar_scratch", ())):
+        discard(spark, path)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at its end, the intermediate files made within; what is kept of the results must be stored by then."""
+    before = set(getattr(spark.sparkContext, "_lamellar_scratch", ()))
+    yield
+    for path in sorted(getattr(spark.sparkContext, "_lamellar_scratch", set()) - before):
+        discard(spark, path)
+
+
+def _forget(spark: SparkSession) -> None:
+    try:
+        clear_scratch(spark)
+    except Exception:  # noqa: BLE001  the JVM may be gone already; the folder is scratch
+        pass
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared folder and read it back.
 
@@ -65,28 +109,40 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     scan, so that adaptive execution can split skewed join partitions above it.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.materialized_at = path
     return out
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A small table of few files over all cores, for work that costs far more than an exchange of it.
+def remove(df: DataFrame) -> None:
+    """Delete the files of a table made by :func:`materialize` that nothing reads any more."""
+    discard(df.sparkSession, df.materialized_at)
 
-    A file of one row group is one task however many cores wait.  Tables over ``SMALL_BYTES`` stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    small = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= SMALL_BYTES
-    return df.repartition(cores) if small and len(df.inputFiles()) < cores else df
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores if it has fewer splits than there are cores, for work that costs far more.
 
-def remove(df: DataFrame) -> None:
-    """Delete the files of a table made by :func:`materialize` that nothing reads any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.materialized_at)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    A file of one row group is one task however many cores wait.  Tables of enough splits stay as they are, and so
+    do results of exchanges, whose partitions adaptive execution chooses.
+    """
+    cores, run = df.sparkSession.sparkContext.defaultParallelism, df._jdf.queryExecution()
+    if run.executedPlan().getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return df
+    return df.repartition(cores) if run.toRdd().getNumPartitions() < cores else df
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``df`` has, made from ``names``; columns are told apart without regard to case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def ship(spark: SparkSession) -> None:
