@@ -10,11 +10,14 @@ state that accepts every byte.  Each merge ``u v -> uv`` then adds one *gadget*,
 The copies share almost everything, so they are kept persistently: a state is the token that entered it,
 ``removed[u, v]`` is the step at which a gadget took arc ``v`` from ``u``'s state, and a token made at step
 ``r`` inherits the arcs of its right part as they stood at ``r`` and exists wherever its left part did.
-A transition is resolved through these tables once and stored in a flat transition table afterwards.
-
-The accepted token strings are exactly the merge results, and every byte string has one.  A word is encoded by
-following arcs from its start; a position reached by an accepted path is always reached by the same token, so
-the search enters each position once.  Decoding emits the byte labels of the arcs.
+A transition is resolved through these tables once and stored in a flat transition table afterwards.  (Copied
+out, the automaton of 50k merges has 50,256 states of 48,691 arcs on average, 2.4 * 10^9 in all; the average is
+over 200 random states.)
+
+The accepted token strings are exactly the merge results, and every byte string has one; what is accepted of a
+word ends, at each byte, in one token.  So reading a word is deterministic and never goes back: after each byte,
+of the labels that end there (an Aho-Corasick automaton lists them) one continues the token accepted where it
+starts, and that token is the state.  Decoding emits the byte labels of the arcs.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain
 
 import pyarrow as pa
 import regex
@@ -33,8 +36,8 @@ from lamellar.session import ship, spread, table
 
 #: Pre-splitting pattern of the byte-level tokenizer file format (fixed by the format).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Entries of either half of each per-process word table; bounds memory only.
-CACHE_ENTRIES = 150_000
+#: Entries of either half of each per-process word table, and the longest word kept in one; they bound memory only.
+CACHE_ENTRIES, CACHE_CHARS = 150_000, 64
 #: Resolved transitions kept at once.
 TABLE_ENTRIES = 400_000
 _FAR = 1 << 60
@@ -52,6 +55,8 @@ class MergeAutomaton:
 
     def __init__(self, labels: dict[int, bytes], merges: list[tuple[int, int, int]]):
         """``labels``: bytes of every token; ``merges``: (left, right, result) in order of rank."""
+        import ahocorasick
+
         self.labels = labels
         self.left: dict[int, int] = {}
         self.right: dict[int, int] = {}
@@ -64,7 +69,10 @@ class MergeAutomaton:
             raise ValueError("two merges make the same token; such merge lists are not supported")
         for step, (u, v, t) in enumerate(merges):
             self._gadget(step, u, v, t)
-        self.prefixes = {s[:k] for s in self.arcs for k in range(1, len(s) + 1)}
+        self.ends = ahocorasick.Automaton()
+        for s, t in self.arcs.items():
+            self.ends.add_word(s.decode("latin-1"), (len(s), t))
+        self.ends.make_automaton()
 
     def _gadget(self, step: int, u: int, v: int, t: int) -> None:
         live = self.arcs.get(self.labels[u]) == u and self.arcs.get(self.labels[v]) == v
@@ -90,59 +98,46 @@ class MergeAutomaton:
             until, state = self.step[state], self.right[state]
 
     def encode(self, word: bytes) -> tuple[int, ...]:
-        """Tokens of one pre-split word: the accepted path, long labels tried first.
-
-        All accepted paths to a position end in the same token, so a position that led nowhere is left for good.
-        """
-        arc, move, known = self.arcs.get, self.table, self.prefixes
-        token = arc(word)
+        """Tokens of one pre-split word: one table-driven step a byte, then the accepted labels from the end back."""
+        token = self.arcs.get(word)
         if token is not None:
             return (token,)
-        n = len(word)
-        if not n:
-            return ()
-        path, back, dead = [], [], set()
-        state, at, end = -1, 0, 0
-        while True:
-            if end == 0:  # a position just entered: how far labels may reach from here
-                end, step = at + 1, 4
-                while at + step <= n and word[at : at + step] in known:
-                    end, step = at + step, 2 * step
-                while end < n and word[at : end + 1] in known:
-                    end += 1
-            while end > at:
-                token = arc(word[at:end])
-                if token is not None and end not in dead:
-                    key = state << 32 | token
-                    open_ = move.get(key)
-                    if open_ is None:
-                        if len(move) >= TABLE_ENTRIES:
-                            move.clear()
-                        open_ = move[key] = state < 0 or self._open(state, token)
-                    if open_:
-                        path.append(token)
-                        if end == n:
-                            return tuple(path)
-                        break
-                end -= 1
-            if end > at:
-                back.append((state, at, end))
-                state, at, end = token, end, 0
-            else:
-                dead.add(at)
-                state, at, end = back.pop()
-                path.pop()
-                end -= 1
-                end = end if end > at else -1  # none left; 0 would look again
+        n, move = len(word), self.table
+        state = [-1] * n  # by byte: the token that the accepted path ends in there
+        size = [0] * n
+        done = -1
+        for at, (length, token) in self.ends.iter(word.decode("latin-1")):
+            if at == done:
+                continue
+            if length <= at:
+                key = state[at - length] << 32 | token
+                open_ = move.get(key)
+                if open_ is None:
+                    if len(move) >= TABLE_ENTRIES:
+                        move.clear()
+                    open_ = move[key] = self._open(state[at - length], token)
+                if not open_:
+                    continue
+            state[at], size[at], done = token, length, at
+        path, at = [], n - 1
+        while at >= 0:
+            path.append(state[at])
+            at -= size[at]
+        return tuple(reversed(path))
 
 
 class _Words(dict):
-    """Word -> tokens, filled on demand.  When full, what was used last becomes the old half; older words go."""
+    """Word -> tokens, filled on demand.  When full, what was used last becomes the old half; older words go.
+
+    Long words are not kept, so that a table's bytes are bounded too.
+    """
 
     def __init__(self, fill, size):
         self.fill, self.size, self.old = fill, size, {}
 
     def __missing__(self, key):
+        if len(key) > CACHE_CHARS:
+            return self.fill(key)
         got = self.old.get(key)
         if got is None:
             got = self.fill(key)
@@ -258,25 +253,32 @@ def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -
 DIGESTS = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """Encode, decode and digest in one pass over the texts, so that ids never leave the worker.
+def digests(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
+    """Encode, decode and digest in one pass over the texts.
 
-    Same rules as :func:`encode`.  Columns: doc_id, n_tokens, ids_sha256, decoded_sha256.
+    Same rules as :func:`encode`.  Columns: doc_id, n_tokens, ids_sha256, decoded_sha256, and ids if ``keep_ids``.
     """
-    schema = T.StructType([docs.schema["doc_id"], *DIGESTS.fields])
+    ids_field = [T.StructField("ids", T.ArrayType(T.IntegerType(), False))] if keep_ids else []
+    schema = T.StructType([docs.schema["doc_id"], *DIGESTS.fields, *ids_field])
     content = _shared(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = loaded(content.value)
         sha = hashlib.sha256
         for b in batches:
-            counts, first, second = [], [], []
+            counts, first, second, kept = [], [], [], []
             for x in b.column(1):
                 ids = tok.encode(x.as_py() or "")
                 counts.append(len(ids))
                 first.append(sha(",".join(map(tok.numbers.__getitem__, ids)).encode()).hexdigest())
                 second.append(sha(tok.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())], names=["doc_id", *DIGESTS.names])
+                if keep_ids:
+                    kept.append(pa.array(ids, pa.int32()))
+            lists = []
+            if keep_ids:
+                values = pa.concat_arrays(kept) if kept else pa.array([], pa.int32())
+                lists = [pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, kept))], pa.int32()), values)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string()), *lists], names=schema.names)
 
     return spread(docs.select("doc_id", "text")).mapInArrow(run, schema)
 

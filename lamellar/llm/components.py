@@ -30,10 +30,15 @@ def components(edges: DataFrame) -> DataFrame:
         after = materialize(right.where("a <> b").distinct(), "cc-edges")
         remove(now)
         now = after
+    remove(now)
     if not steps:
-        return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    found = steps[0].select("node", F.col("to").alias("root"))
+        return materialize(edges.where("false").select(F.col("a").alias("node"), F.col("b").alias("root")), "cc-found")
+    found = materialize(steps[0].select("node", F.col("to").alias("root")), "cc-found")
     for step in steps[1:]:
         moved = found.join(step.withColumnsRenamed({"node": "root", "to": "next"}), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
-        found = materialize(moved, "cc-found")
+        moved = materialize(moved, "cc-found")
+        remove(found)
+        found = moved
+    for step in steps:
+        remove(step)
     return found

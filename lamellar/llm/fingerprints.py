@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lamellar.session import fresh, spread, table
+
 from .expr import let, window_hashes, words
 from .ordering import with_next
 
@@ -36,10 +38,11 @@ def union(a: Column, b: Column, k: int = K) -> Column:
 
 def merge(sketches: DataFrame, keys: list[str], column: str = "sketch", k: int = K) -> DataFrame:
     """One sketch per group of ``keys``.  Each task passes on at most k hashes of a group, however large."""
-    hashes = sketches.select(*keys, F.explode(column).alias("__h")).distinct()
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("__h"))
-    kept = hashes.withColumn("__rank", rank).where(F.col("__rank") <= k)
-    return kept.groupBy(*keys).agg(F.sort_array(F.collect_list("__h")).alias(column))
+    h, place = fresh(sketches, "__h", "__rank")
+    hashes = sketches.select(*keys, F.explode(column).alias(h)).distinct()
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(h))
+    kept = hashes.withColumn(place, rank).where(F.col(place) <= k)
+    return kept.groupBy(*keys).agg(F.sort_array(F.collect_list(h)).alias(column))
 
 
 def resemblance(a: Column, b: Column, k: int = K) -> Column:
@@ -76,11 +79,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Null texts count as empty.  The texts are dealt once, with their sketches, to buckets of consecutive ids.
     """
-    from lamellar.session import spread, table
-
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("sketch", sketch(F.col("text")))
-    both = with_next(docs, "doc_id", ["text", "sketch"])
+    both = with_next(docs, "doc_id", ["text", "sketch"], tie_by=("text",))
     both = both.select("doc_id", F.length("text").cast("long").alias("n_chars"), "sketch", "next_sketch", edited(F.col("text"), F.col("next_text")).alias("edited"))
     both = both.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "sketch", "next_sketch", sketch(F.col("edited")).alias("edited_sketch"))
     own, next_, changed = F.col("sketch"), F.col("next_sketch"), F.col("edited_sketch")

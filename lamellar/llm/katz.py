@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamellar.session import materialize, remove, shared_dir, ship, table
+from lamellar.session import materialize, remove, scratch, ship, table
 
 from .warc import Store
 
@@ -346,7 +346,7 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     word_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    folder = f"{shared_dir(spark)}/katz-{uuid.uuid4().hex}"
+    folder = scratch(spark, "katz")
     asked = materialize(buckets(docs, folder, word_parts), "katz-words")
     words = materialize(count_words(asked, word_parts), "katz-counts")
     remove(asked)

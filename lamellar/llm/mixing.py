@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lamellar.session import fresh, materialize
+
 from .expr import upto
 
 PART = 32.0
@@ -50,7 +52,7 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, expon
     sums = n.agg(F.sum("w").alias("w_all"), F.sum("n").alias("n_all"))
     size = F.lit(float(total)) if total is not None else F.col("n_all").cast("double")
     rate = F.when(F.col("w_all") > 0, size * F.col("w") / F.col("w_all") / F.col("n")).otherwise(0.0)
-    out = n.join(F.broadcast(sums)).select("source", "n", rate.alias("rate"))  # sums: one row
+    out = n.join(F.broadcast(sums), F.col("n") > 0).select("source", "n", rate.alias("rate"))  # sums: one row
     out = out.withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("rate") / PART)).cast("int"))
     return out.withColumn("cdf", _cdf(F.col("rate") / F.col("parts")))
 
@@ -58,30 +60,31 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, expon
 def replicate(docs: DataFrame, weights: dict[str | None, float] | None = None, exponent: float = 0.5, total: float | None = None, seed: int = SEED, keep_draw: bool = False) -> DataFrame:
     """``docs``, each row as often as drawn, globally shuffled; all columns stay.
 
-    ``keep_draw`` adds n_copies, copy (from 0) and shuffle_key, in place of columns of these names.  Rows that repeat an id are drawn alike but
-    each for itself; a null id is drawn as an empty string; texts are not looked at.
+    ``keep_draw`` adds n_copies, copy (from 0) and shuffle_key, in place of columns of these names; no other name
+    clashes.  Rows that repeat an id are drawn alike but each for itself; a null id is drawn as an empty string;
+    texts, however long, are not looked at; an empty table gives an empty one.
     """
     spark = docs.sparkSession
-    from lamellar.session import materialize
-
-    table = materialize(rates(docs, weights, exponent, total), "mixing-rates")
-    own = table.select(F.col("source").alias("__source"), "parts", "cdf").withColumnsRenamed({"parts": "__parts", "cdf": "__cdf"})
-    if table.count() <= BROADCAST_SOURCES:
-        joined = docs.join(F.broadcast(own), F.col("source").eqNullSafe(F.col("__source")))
+    source, parts, cdf, salt, own, u, n, copy, key, deal = fresh(docs, "__source", "__parts", "__cdf", "__salt", "__own", "__u", "__n", "__copy", "__key", "__deal")
+    found = materialize(rates(docs, weights, exponent, total), "mixing-rates")
+    rated = found.select(F.col("source").alias(source), F.col("parts").alias(parts), F.col("cdf").alias(cdf))
+    if found.count() <= BROADCAST_SOURCES:
+        joined = docs.join(F.broadcast(rated), F.col("source").eqNullSafe(F.col(source)))
     else:
-        salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
-        spread = own.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = docs.withColumn("__own", salt).join(spread, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__own") == F.col("__salt"))).drop("__own", "__salt")
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    draw = lambda k: F.size(F.filter(F.col("__cdf"), lambda c: c <= uniform(F.lit(str(seed)), key, k.cast("string"))))
-    single = F.col("__u")
-    joined = joined.withColumn("__u", uniform(F.lit(str(seed)), key, F.lit("0")))
-    first = F.size(F.filter(F.col("__cdf"), lambda c: c <= single))
-    copies = first + F.when(F.col("__parts") > 1, F.aggregate(F.sequence(F.lit(1), F.col("__parts") - 1), F.lit(0), lambda a, k: a + draw(k))).otherwise(0)
-    drawn = joined.withColumn("__n", copies).where("__n > 0").withColumn("__copy", F.explode(upto(F.col("__n"))))
-    drawn = drawn.withColumn("__key", F.md5(F.concat_ws("|", F.lit(str(seed + 1)), key, F.col("__copy").cast("string"))))
-    drawn = drawn.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "__key").sortWithinPartitions("__key")
-    extra = [F.col("__n").cast("long").alias("n_copies"), F.col("__copy").cast("long").alias("copy"), F.col("__key").alias("shuffle_key")] if keep_draw else []
+        salted = rated.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        dealt = docs.withColumn(own, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+        joined = dealt.join(salted, F.col("source").eqNullSafe(F.col(source)) & (F.col(own) == F.col(salt))).drop(own, salt)
+    id_ = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    draw = lambda k: F.size(F.filter(F.col(cdf), lambda c: c <= uniform(F.lit(str(seed)), id_, k.cast("string"))))
+    single = F.col(u)
+    joined = joined.withColumn(u, uniform(F.lit(str(seed)), id_, F.lit("0")))
+    first = F.size(F.filter(F.col(cdf), lambda c: c <= single))
+    copies = first + F.when(F.col(parts) > 1, F.aggregate(F.sequence(F.lit(1), F.col(parts) - 1), F.lit(0), lambda a, k: a + draw(k))).otherwise(0)
+    # Rows that share an id (null ones, say) share a key; a row's place in its split deals them out all the same.
+    drawn = joined.withColumn(deal, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).withColumn(n, copies).where(F.col(n) > 0).withColumn(copy, F.explode(upto(F.col(n))))
+    drawn = drawn.withColumn(key, F.md5(F.concat_ws("|", F.lit(str(seed + 1)), id_, F.col(copy).cast("string"))))
+    drawn = drawn.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key, deal).sortWithinPartitions(key)
+    extra = [F.col(n).cast("long").alias("n_copies"), F.col(copy).cast("long").alias("copy"), F.col(key).alias("shuffle_key")] if keep_draw else []
     added = ("n_copies", "copy", "shuffle_key") if keep_draw else ()
     return drawn.select(*(c for c in docs.columns if c not in added), *extra)
 

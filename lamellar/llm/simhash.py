@@ -15,7 +15,8 @@ has odd parity; only fingerprints with odd ones visit, at all patterns one bit a
 
 Only distinct fingerprints are replicated, so copies never form a group.  An anchor that still draws very
 many is split: its homes are dealt over slots and its visitors sent to each slot, so every comparison is made
-once and no task holds the whole group.  A task reports what it links as a forest, not as pairs.
+once.  In a slot homes come first and are held, a few thousand; visitors stream past them in Arrow batches, so no
+task holds the whole group.  A task reports what it links as forests, one per slot and batch, not as pairs.
 """
 
 from __future__ import annotations
@@ -29,15 +30,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamellar.session import materialize, ship, spread, table
+from lamellar.session import fresh, materialize, remove, ship, spread, table
 
 from .components import components
 
 SHINGLE, BITS, BLOCKS, SEED = 4, 4, 3, 42
 #: Homes of one anchor that one slot compares; more are dealt over further slots.
 SLOT_HOMES = 4_000
-PAIRS_AT_ONCE = 500_000
-#: Pairs of one dense tile of wide fingerprints: its temporaries stay in a core's cache.
+#: Pairs of one dense tile: its temporaries stay in a core's cache.
 TILE = 65_536
 _CODE = 15
 #: What tells rows apart where ids repeat.
@@ -130,8 +130,11 @@ def _visit(block: Column, home: Column, tag: Column):
     return lambda e: F.struct(block.bitwiseXOR(e).bitwiseOR(tag).alias("anchor"), (e == home).alias("home"))
 
 
-def anchored(fps: DataFrame, bits: int, blocks: int) -> DataFrame:
-    """(anchor, home, node, fp, more): every fingerprint at all anchors that it visits; ``home`` marks its own one."""
+def anchored(fps: DataFrame, bits: int, blocks: int, visits: bool = True) -> DataFrame:
+    """(anchor, home, node, fp, more): every fingerprint at all anchors that it visits; ``home`` marks its own one.
+
+    Without ``visits`` homes only.
+    """
     radius = 1 + bits // blocks
     rows: list[Column] = []
     low = 0
@@ -142,7 +145,8 @@ def anchored(fps: DataFrame, bits: int, blocks: int) -> DataFrame:
         table_ = F.array(*(F.array(*(F.lit(e).cast("long") for e in own)) for own in _errors(width, radius)))
         nearest = F.array(F.lit(0).cast("long"), *(F.lit(1 << p).cast("long") for p in range(_CODE)))
         home = F.element_at(nearest, syndrome.cast("int") + 1)
-        rows.append(F.transform(F.element_at(table_, syndrome.cast("int") + 1), _visit(block, home, F.lit(k << 58))))
+        own = F.element_at(table_, syndrome.cast("int") + 1) if visits else F.array(home)
+        rows.append(F.transform(own, _visit(block, home, F.lit(k << 58))))
         low += width
     return fps.select("node", "fp", "more", F.explode(F.concat(*rows)).alias("at")).select("at.anchor", "at.home", "node", "fp", "more")
 
@@ -167,43 +171,6 @@ def anchored_wide(fps: DataFrame, all_bits: int, visits: bool = True) -> DataFra
     return fps.select("node", "fp", "more", F.explode(F.concat(*rows)).alias("at")).select("at.anchor", "at.home", "node", "fp", "more")
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links as stars: every linked value with its component's smallest, by min-label passes."""
-    names, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = ends[: len(a)], ends[len(a) :]
-    label = np.arange(len(names))
-    while True:
-        new = label.copy()
-        np.minimum.at(new, x, label[y])
-        np.minimum.at(new, y, label[x])
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    own = label != np.arange(len(names))
-    return names[own], names[label[own]]
-
-
-def _links(slot: np.ndarray, home: np.ndarray, node: np.ndarray, fp: np.ndarray, more: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links between homes and visitors of each run of equal slots; rows are sorted by slot."""
-    start = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
-    size = np.diff(np.r_[start, len(slot)])
-    run = np.repeat(np.arange(len(start)), size)
-    homes = np.flatnonzero(home)
-    work = size[run[homes]]
-    done = np.cumsum(work)
-    at = 0
-    while at < len(homes):
-        to = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + PAIRS_AT_ONCE, "right")))
-        own, n = homes[at:to], work[at:to]
-        left = np.repeat(own, n)
-        right = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[run[own]], n)
-        near = (np.bitwise_count(fp[left] ^ fp[right]) <= bits) & (node[left] != node[right])
-        if near.any():
-            yield _forest(node[left[near]], node[right[near]])
-        at = to
-
-
 def _joined(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Labels (each the smallest row of its tree) after the trees of x and y are joined pair by pair."""
     while True:
@@ -217,28 +184,39 @@ def _joined(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
             label = label[label]
 
 
-def _wide_links(slot: np.ndarray, home: np.ndarray, node: np.ndarray, fp: np.ndarray, more: np.ndarray, all_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Like :func:`_links` for all 128 bits, a run's homes against all its rows in dense tiles."""
-    bounds = np.r_[np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]]), len(slot)].tolist()
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        homes = np.flatnonzero(home[a:b])
-        n = b - a
-        if n < 2 or not len(homes):
-            continue
-        first, second, label = fp[a:b], more[a:b], np.arange(n)
-        step = max(1, TILE // n)
-        for at in range(0, len(homes), step):
-            own = homes[at : at + step]
-            apart = np.bitwise_count(first[own, None] ^ first)
-            apart += np.bitwise_count(second[own, None] ^ second)
-            x, y = divmod(np.flatnonzero(apart <= all_bits), n)
-            x = own[x]
-            new = label[x] != label[y]
-            if new.any():
-                label = _joined(label, x[new], y[new])
-        own = np.flatnonzero(label != np.arange(n))
-        if len(own):
-            yield node[a:b][own], node[a:b][label[own]]
+Rows = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _linked(homes: Rows, others: Rows, near) -> tuple[np.ndarray, np.ndarray]:
+    """Stars that connect the linked rows of ``homes`` x ``others`` (node, fp, more), in dense tiles."""
+    node, n, m = np.concatenate([homes[0], others[0]]), len(homes[0]), len(others[0])
+    label = np.arange(n + m)
+    step = max(1, TILE // m)
+    for at in range(0, n, step):
+        x, y = divmod(np.flatnonzero(near(homes[1][at : at + step, None], homes[2][at : at + step, None], others[1], others[2])), m)
+        x, y = x + at, y + n
+        new = label[x] != label[y]
+        if new.any():
+            label = _joined(label, x[new], y[new])
+    own = np.flatnonzero((label != np.arange(n + m)) & (node != node[label]))
+    return node[own], node[label[own]]
+
+
+def _compared(batches: Iterator[tuple[np.ndarray, ...]], near) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links of each slot's homes to all its rows.  Batches (slot, home, node, fp, more) come by slot, homes first."""
+    now, held = None, []
+    for slot, home, *rows in batches:
+        bounds = np.r_[np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]]), len(slot)].tolist()
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            if slot[a] != now:
+                now, held = slot[a], []
+            cut = a + int(home[a:b].sum())
+            if cut > a:
+                held = [np.concatenate(x) for x in zip(held, (r[a:cut] for r in rows), strict=True)] if held else [r[a:cut] for r in rows]
+            if held and not (len(held[0]) == b - a == 1 and cut == b):
+                found = _linked(tuple(held), tuple(r[a:b] for r in rows), near)
+                if len(found[0]):
+                    yield found
 
 
 def links(fps: DataFrame, bits: int = BITS, blocks: int = BLOCKS, all_bits: int | None = None) -> DataFrame:
@@ -247,43 +225,36 @@ def links(fps: DataFrame, bits: int = BITS, blocks: int = BLOCKS, all_bits: int
     Linked are rows that differ in ``bits`` bits of fp at most or, with ``all_bits``, in so many of fp and more
     together; then ``bits`` and ``blocks`` mean nothing.
     """
-    at = anchored(fps, bits, blocks) if all_bits is None else anchored_wide(fps, all_bits)
-    homes = at if all_bits is None else anchored_wide(fps, all_bits, visits=False)
-    crowded = homes.groupBy("anchor").agg(F.count(F.when(F.col("home"), 1)).alias("homes")).where(F.col("homes") > SLOT_HOMES)
+    at, homes = ((anchored(fps, bits, blocks, v) if all_bits is None else anchored_wide(fps, all_bits, v)) for v in (True, False))
+    crowded = homes.groupBy("anchor").agg(F.count(F.lit(1)).alias("homes")).where(F.col("homes") > SLOT_HOMES)
     crowded = materialize(crowded.select("anchor", F.ceil(F.col("homes") / SLOT_HOMES).cast("int").alias("slots")), "simhash-crowded")
     rest = ["node", "fp", "more"]
-    if not crowded.isEmpty():  # adaptive execution broadcasts it if its size allows
-        at = at.join(crowded, "anchor", "left")
-        mine = F.pmod(F.xxhash64("node"), F.col("slots")).cast("int")
-        # A home is compared in one slot; it visits the others.
-        all_slots = F.transform(F.sequence(F.lit(0), F.col("slots") - 1), lambda s: F.struct(s.alias("slot"), (F.col("home") & (s == mine)).alias("home")))
-        one = F.array(F.struct(F.lit(0).alias("slot"), F.col("home").alias("home")))
-        at = at.select("anchor", *rest, F.explode(F.when(F.col("slots").isNull(), one).otherwise(all_slots)).alias("to"))
-        at = at.select(F.xxhash64("anchor", "to.slot").alias("slot"), F.col("to.home").alias("home"), *rest)
-    else:
-        at = at.select(F.xxhash64("anchor", F.lit(0)).alias("slot"), "home", *rest)
-    dealt = at.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "slot").sortWithinPartitions("slot")
+    # Adaptive execution broadcasts the crowded anchors if their size allows.
+    at = at.join(crowded, "anchor", "left")
+    mine = F.pmod(F.xxhash64("node"), F.col("slots")).cast("int")
+    # A home is compared in one slot; it visits the others.
+    all_slots = F.transform(F.sequence(F.lit(0), F.col("slots") - 1), lambda s: F.struct(s.alias("slot"), (F.col("home") & (s == mine)).alias("home")))
+    one = F.array(F.struct(F.lit(0).alias("slot"), F.col("home").alias("home")))
+    at = at.select("anchor", *rest, F.explode(F.when(F.col("slots").isNull(), one).otherwise(all_slots)).alias("to"))
+    at = at.select(F.xxhash64("anchor", "to.slot").alias("slot"), F.col("to.home").alias("home"), *rest)
+    dealt = at.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "slot").sortWithinPartitions("slot", F.desc("home"))
+
+    def near(fp, more, other_fp, other_more):
+        apart = np.bitwise_count(fp ^ other_fp)
+        if all_bits is None:
+            return apart <= bits
+        apart += np.bitwise_count(more ^ other_more)
+        return apart <= all_bits
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+        for b in batches:
+            if b.num_rows:
+                slot, home, node, fp, more = (b.column(k).to_numpy(zero_copy_only=False) for k in range(5))
+                yield slot, home, node, fp.view(np.uint64), more.view(np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-
-        def out(rows: list[tuple[np.ndarray, ...]], last: bool) -> Iterator[pa.RecordBatch]:
-            columns = [np.concatenate(x) for x in zip(*rows, strict=True)]
-            n = len(columns[0])
-            cut = n if last else int(np.searchsorted(columns[0], columns[0][-1]))
-            own = [c[:cut] for c in columns]
-            for a, b in (_links(*own, bits) if all_bits is None else _wide_links(*own, all_bits)) if cut else ():
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-            held[:] = [] if cut == n else [tuple(c[cut:] for c in columns)]
-
-        for batch in batches:
-            if batch.num_rows:
-                slot, home, node, fp, more = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
-                held.append((slot, home, node, fp.view(np.uint64), more.view(np.uint64)))
-                if sum(len(x[0]) for x in held) >= 100_000:
-                    yield from out(held, False)
-        if held:
-            yield from out(held, True)
+        for a, b in _compared(rows(batches), near):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long")
 
@@ -312,6 +283,8 @@ def _grouped(docs: DataFrame, shingle: int, bits: int, blocks: int, all_bits: in
     rooted = materialize(rooted, "simhash-roots")
     least = materialize(rooted.groupBy("root").agg(F.min("least").alias("least")), "simhash-least")
     named = materialize(rooted.drop("least").join(least, "root").select("fp", "more", "least"), "simhash-named")
+    for done in (distinct, found, rooted, least):
+        remove(done)
     return own.join(named, ["fp", "more"]).drop("more")
 
 
@@ -319,14 +292,16 @@ def keep_first(docs: DataFrame, shingle: int = 5, all_bits: int = 25) -> DataFra
     """One document of each class, that with the smallest id, all columns; a null id stays with no other to keep.
 
     Linked are texts whose 128-bit fingerprints agree in 0.8 of their bits and more.  Of rows that share the
-    smallest id of their class the one with the smallest hash of id and text stays, and once if repeated.
+    smallest id of their class the one with the smallest hash of id and text stays, and once if repeated.  Texts are
+    read whole, null ones as empty; an empty table gives an empty one; columns may have any names.
     """
     found = _grouped(docs, shingle, BITS, BLOCKS, all_bits, keyed=True)
     id_, key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), F.xxhash64(*ROW)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("key") == F.col("least.key")))
-    kept = kept.select(id_.alias("__id"), F.col("key").alias("__key")).distinct()
+    own = fresh(docs, "__id", "__key")
+    kept = kept.select(id_.alias(own[0]), F.col("key").alias(own[1])).distinct()
     # One exchange by id and key serves the join and the removal of repeats.
-    return docs.withColumns({"__id": id_, "__key": key}).join(kept, ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"]).drop("__id", "__key")
+    return docs.withColumns(dict(zip(own, (id_, key), strict=True))).join(kept, own, "left_semi").dropDuplicates(own).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

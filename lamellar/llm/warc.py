@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamellar.session import materialize, shared_dir, ship, table
+from lamellar.session import materialize, scratch, ship, table
 
 #: Lines of one compressed index block.
 BLOCK_LINES = 500
@@ -278,6 +278,6 @@ def lookup(requests: DataFrame, shards: DataFrame, folder: str) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op3: archive all pages, index them, and read every one back through the index."""
     pages = table(spark, sf_dir, "pages")
-    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    folder = scratch(spark, "warc")
     shards = index(write(pages, folder), folder)
     return lookup(pages, shards, folder)
