@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lamellar.llm import bpe, mixing, pii, quality, simhash
-from lamellar.session import shared_dir, table
+from lamellar.session import discard, scratch, scratch_scope, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -34,8 +33,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the decoded text, per row."""
-    return bpe.digests(docs, bpe.default_path())
+    """Token ids, their count, and digests of the ids and of the decoded text, per row."""
+    return bpe.digests(docs, bpe.default_path(), keep_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [("quality", good), ("near_duplicates", distinct), ("personal_data", masked), ("mixing", mixed), ("tokens", tokenized)]
@@ -45,10 +44,16 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every result is a Parquet table in the shared folder."""
-    docs = table(spark, sf_dir, "documents")
-    root = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages over ``documents``; every result is a Parquet table in the shared folder, kept until the next one is.
+
+    The last table stays until the session ends or clears its scratch files.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
-        docs = spark.read.parquet(f"{root}/{name}")
+        path = scratch(spark, f"pipeline-{name}")
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            discard(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
