@@ -8,8 +8,9 @@ one must be strictly better, so among equal scores the longest last piece wins.
 single-character piece covers may also be unknown, at ten below the lowest score and after all pieces;
 unknown characters count as their UTF-8 bytes (byte fallback).
 
-White space handling is the piece format's: each space becomes U+2581 and one is put in front.  No piece has
-U+2581 behind another character, so every best path cuts there, and the words between are solved once each.
+White space handling is the piece format's: each space becomes U+2581 and one is put in front.  Where no piece has
+U+2581 behind another character, every best path cuts there, and the words between are solved once each; other
+vocabularies are solved over whole texts.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from lamellar.session import ship, spread, table
 #: The piece format's visible space (fixed by the format).
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_ENTRIES = 200_000
+#: Entries of the per-process word table and the longest word kept in it; they bound memory only.
+CACHE_ENTRIES, CACHE_CHARS = 200_000, 64
 
 
 class UnigramCounter:
@@ -36,8 +38,6 @@ class UnigramCounter:
     def __init__(self, pieces: list[tuple[str, float]]):
         import ahocorasick
 
-        if any(SPACE in p.lstrip(SPACE) for p, _ in pieces):
-            raise ValueError("a piece has a space behind another character; words can't be solved one by one")
         self.automaton = ahocorasick.Automaton()
         best: dict[str, float] = {}
         for p, s in pieces:
@@ -45,6 +45,7 @@ class UnigramCounter:
         for p, s in best.items():
             self.automaton.add_word(p, (len(p), s))
         self.automaton.make_automaton()
+        self.whole = any(SPACE in p.lstrip(SPACE) for p in best)
         self.single = {p for p in best if len(p) == 1}
         self.unknown = min(best.values(), default=0.0) - UNKNOWN_PENALTY
         self._words: dict[str, tuple[int, float]] = {}
@@ -85,12 +86,17 @@ class UnigramCounter:
         if not text:
             return 0, 0.0
         words, n, total = self._words, 0, 0.0
-        for w in self._split(SPACE + text.replace(" ", SPACE)):
+        spaced = SPACE + text.replace(" ", SPACE)
+        if self.whole:
+            return self.word(spaced)
+        for w in self._split(spaced):
             got = words.get(w)
             if got is None:
-                if len(words) >= CACHE_ENTRIES:
-                    words.clear()
-                got = words[w] = self.word(w)
+                got = self.word(w)
+                if len(w) <= CACHE_CHARS:
+                    if len(words) >= CACHE_ENTRIES:
+                        words.clear()
+                    words[w] = got
             n += got[0]
             total += got[1]
         return n, total
