@@ -433,34 +433,44 @@ def test_cascade_order(docs):
 # --- 7 Katz -----------------------------------------------------------------------------------------------
 
 
-def katz_brute(rows):
+def katz_brute(rows, order=katz.ORDER):
+    """Counts and probabilities straight from the definition, for any order."""
     held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2
     tokens = [(i, [*(t or "").encode().lower().split(), None]) for i, t in rows]
-    uni, bi = Counter(), Counter()
-    for i, t in tokens:
-        if not held(i):
-            uni.update(t)
-            bi.update(zip(["begin", *t], t))
+    uni = Counter(w for i, t in tokens if not held(i) for w in t)
     n, v = sum(uni.values()), len(uni)
-    sizes = Counter(bi.values())
-    d = katz.discounts([sizes[r] for r in range(1, katz.K + 2)])
-    off = lambda c: d[c - 1] if c <= katz.K else 1.0
     p1 = lambda w: (uni[w] + 1) / (n + v + 1)
-    after = defaultdict(dict)
-    for (a, b), c in bi.items():
-        after[a][b] = c
-    weight = {}
-    for a, f in after.items():
-        total, mass = sum(f.values()), sum(off(c) * c for c in f.values())
-        total += total - mass < 1e-9
-        weight[a] = (1 - mass / total) / (1 - sum(map(p1, f))), total
-        assert abs(mass / total + weight[a][0] * (1 - sum(map(p1, f))) - 1) < 1e-9
+    grams = lambda t, k: [(tuple(["begin", *t][max(0, j + 1 - (k - 1)) : j + 1]), w) for j, w in enumerate(t)]  # noqa: E731  contexts stop at the document's start
+    levels = {}
+    for k in range(2, order + 1):
+        seen = Counter(g for i, t in tokens if not held(i) for g in grams(t, k))
+        sizes = Counter(seen.values())
+        d = katz.discounts([sizes[r] for r in range(1, katz.K + 2)])
+        off = lambda c, d=d: d[c - 1] if c <= katz.K else 1.0
+        after = defaultdict(dict)
+        for (c, w), r in seen.items():
+            after[c][w] = r
+        levels[k] = (after, off, {})
+
+    def p(context, w, k):
+        if k == 1:
+            return p1(w)
+        after, off, weights = levels[k]
+        lower = context[1:] if len(context) == k - 1 and k > 2 else context  # shorter ones begin the document
+        if context not in after:
+            return p(lower, w, k - 1)
+        if context not in weights:
+            f = after[context]
+            total, mass = sum(f.values()), sum(off(c) * c for c in f.values())
+            total += total - mass < 1e-9
+            weights[context] = (1 - mass / total) / (1 - sum(p(lower, x, k - 1) for x in f)), total
+            assert abs(mass / total + weights[context][0] * (1 - sum(p(lower, x, k - 1) for x in f)) - 1) < 1e-9
+        r = after[context].get(w, 0)
+        return off(r) * r / weights[context][1] if r else weights[context][0] * p(lower, w, k - 1)
+
     out = []
     for i, t in tokens:
-        s = 0.0
-        for a, b in zip(["begin", *t], t):
-            c = after.get(a, {}).get(b, 0)
-            s += math.log10(off(c) * c / weight[a][1]) if c else (math.log10(weight[a][0]) if a in weight else 0) + math.log10(p1(b))
+        s = sum(math.log10(p(c, w, order)) for c, w in grams(t, order))
         out.append((i, held(i), len(t), sum(uni[w] > 0 for w in t), n, sum(math.log10(p1(w)) for w in t), s))
     return out
 
@@ -473,12 +483,13 @@ def same_scores(got, want):
         assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], abs=1e-5) and a[6] == pytest.approx(b[6], abs=1e-5)
 
 
-@pytest.mark.parametrize("bucket,hot", [(24 << 20, 512), (2000, 512), (2000, 1 << 40)])
-def test_katz(spark, monkeypatch, rows, docs, empty, bucket, hot):
+@pytest.mark.parametrize("bucket,part,hot,order", [(24 << 20, 1 << 20, 5, 2), (2000, 3000, 40, 2), (2000, 1 << 20, 1 << 40, 3), (3000, 3000, 20, 3), (24 << 20, 1 << 20, 5, 4)])
+def test_katz(spark, monkeypatch, rows, docs, empty, bucket, part, hot, order):
     monkeypatch.setattr(katz, "BUCKET_BYTES", bucket)
-    monkeypatch.setattr(katz, "HOT", hot)
+    monkeypatch.setattr(katz, "PART_BYTES", part)
+    monkeypatch.setattr(katz, "HOT_TOKENS", hot)
     own = [*rows, (11, "New york " * 9 + "x")]
-    same_scores(katz.score(frame(spark, own)).collect(), katz_brute(own))
+    same_scores(katz.score(frame(spark, own), order).collect(), katz_brute(own, order))
     assert katz.score(empty).count() == 0
 
 
