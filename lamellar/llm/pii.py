@@ -1,11 +1,12 @@
-"""Personal data: fixed patterns plus a linear-chain conditional random field over word shapes.
-
-The patterns find the base spans.  The random field adds spans of the same kinds that the patterns can't
-state (a telephone number without a country code, say); it is trained on the driver from a small labelled
-table and sent to the executors, its size fixed by the shapes seen there.  Its lattice gives tokens without a
-digit or "@" the label O only, so a text falls apart at them and each run of other tokens is decoded by itself;
-runs are decoded in numpy batches of equal length by Viterbi.  Decoded spans that touch a base span are
-dropped: base spans always stay as they are.
+"""Personal data: fixed patterns plus a linear-chain conditional random field over word-shape features.
+
+The patterns find the base spans.  The random field adds spans that the patterns can't state: telephone numbers
+without a country code, card numbers with other separators, secrets (keys and tokens named as such).  Its features are
+a token's shape, the shape's beginning and end, length, kind of characters, and the shapes and words around it; a
+feature not seen in training says nothing.  It is trained on the driver from a small labelled table and sent to the
+executors, its size fixed by that table.  Its lattice gives tokens without a digit or "@" the label O only, so a text
+falls apart at them and each run of other tokens is decoded by itself; runs are decoded in numpy batches of equal
+length by Viterbi.  Decoded spans that touch a base span are dropped: base spans always stay as they are.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from pyspark.sql import types as T
 from lamellar.session import ship, table
 
 KINDS = ("email", "ip", "card", "phone")
+#: Kinds of the random field's spans.
+FIELD_KINDS = (*KINDS, "secret")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 #: A match can only begin where a digit run does; without that, long digit runs cost their square.
@@ -33,7 +36,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: A white space separated token that has a digit or an "@"; starts only at token starts, so it is linear.
 _CANDIDATE = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
 _DIGIT = re.compile("[0-9]")
-TABLE_ROWS = 400
+_DIGITS = re.compile("d[0-9]*(?:d[0-9]*)*")
+TABLE_ROWS = 800
 SLICE = 500
 
 
@@ -70,6 +74,9 @@ def valid(kind: str, span: str) -> bool:
         return 16 <= len(digits) <= 19 and luhn("".join(digits))
     if kind == "phone":
         return 8 <= len(digits) <= 15
+    if kind == "secret":
+        own = span.rpartition("=")[2] if "=" in span[:-1] else span
+        return len(own) >= 8 and any(c.isdigit() for c in own) and any(c.isalpha() for c in own)
     if kind == "ip":
         parts = span.split(".")
         return len(parts) == 4 and all(p.isdecimal() and octet(p) for p in parts)
@@ -92,7 +99,7 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 
 # --- the random field -------------------------------------------------------------------------------------
 
-LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
+LABELS = ("O", *(f"{p}-{k}" for k in FIELD_KINDS for p in "BI"))
 _CLASSES = str.maketrans({chr(c): "d" if chr(c).isdigit() else "x" if chr(c).islower() else "X" for c in range(128) if chr(c).isalnum()})
 _RUN = re.compile(r"(x|X)\1+|d{5,}")
 
@@ -108,44 +115,89 @@ def core(token: str) -> tuple[int, int]:
     a, b = 0, len(token)
     while a < b and token[a] in "\"'<[{,;:!?.":
         a += 1
-    while b > a and token[b - 1] in "\"'>]},;:!?.":
+    while b > a and token[b - 1] in "\"'>]},;:!?.#*$%&|":
         b -= 1
     return a, b
 
 
-def labelled_table(rows: int = TABLE_ROWS, seed: int = 7) -> list[list[tuple[str, str]]]:
-    """The small training table: runs of (token, label), drawn from written-out forms with a fixed seed."""
+#: Characters before and after a run in which its neighbouring words are looked for.
+NEAR = 40
+_WORD = re.compile(r"[A-Za-z]+")
+_HEX = re.compile(r"[0-9a-fA-F]+")
+
+
+def features(text: str, run: list[tuple[int, int]]) -> list[list[str]]:
+    """Features of each token of a run: its own, its neighbours' shapes and the words before and after the run."""
+    tokens = [text[a:b] for a, b in run]
+    shapes = [shape(t) for t in tokens]
+    before = text[max(0, run[0][0] - NEAR) : run[0][0]].lower().rstrip("\"'<[{").split()[-2:]
+    after = text[run[-1][1] : run[-1][1] + NEAR].lower().split()[:1]
+    words = [f"before={w[0]}" for x in before if (w := _WORD.search(x))]
+    sign = [f"sign={c}" for c in "=:" if before and c in before[-1]]
+    out = []
+    for i, (t, s) in enumerate(zip(tokens, shapes, strict=True)):
+        n = len(t)
+        own = [
+            "bias", f"shape={s}", f"short={_DIGITS.sub('d', s)[:24]}", f"first={s[:3]}", f"last={s[-3:]}", f"long={n if n < 12 else 12 if n < 16 else n if n < 20 else 20 + n // 20}", f"dots={min(t.count('.'), 4)}",
+            f"at={min(t.count('@'), 2)}", f"hex={bool(_HEX.fullmatch(t)) and not t.isdigit()}", f"left={shapes[i - 1] if i else ''}", f"right={shapes[i + 1] if i + 1 < len(shapes) else ''}", f"place={min(i, 3)}",
+        ]
+        if "=" in t[:-1]:
+            own.append(f"name={t.partition('=')[0].lower()}")
+        if i == 0:
+            own += words + sign
+        if i == len(tokens) - 1 and after and (w := _WORD.search(after[0])):
+            own.append(f"after={w[0]}")
+        out.append(own)
+    return out
+
+
+def labelled_table(rows: int = TABLE_ROWS, seed: int = 7) -> list[tuple[str, list[tuple[int, int]], list[str]]]:
+    """The small training table: (text, tokens' ends of one run, labels), drawn from written-out forms with a fixed seed."""
     r = random.Random(seed)
     d = lambda n: "".join(r.choice("0123456789") for _ in range(n))
     w = lambda: "".join(r.choice("abcdefghijklmnoprstuvw") for _ in range(r.randint(2, 8)))
-
-    def forms() -> tuple[str, str]:
-        return r.choice([
-            ("phone", f"({d(3)}) {d(3)}-{d(4)}"), ("phone", f"{d(3)}-{d(3)}-{d(4)}"), ("phone", f"{d(3)}.{d(3)}.{d(4)}"), ("card", f"{d(4)}.{d(4)}.{d(4)}.{d(4)}"), ("phone", f"+{d(1)} ({d(3)}) {d(3)}-{d(4)}"), ("phone", f"+{d(2)} {d(3)} {d(4)}"), ("phone", f"+{d(5)}{d(6)}"),
-            ("email", f"{w()}.{d(2)}@{w()}.com"), ("email", f"{w()}@{w()}.{w()}.org"), ("email", f"{w()}@{w()}{d(1)}.{w()}.net"),
-            ("ip", ".".join(str(r.randint(10, 255)) for _ in range(4))), ("ip", ".".join(str(r.randint(1, 255)) for _ in range(4))),
-            ("card", f"4{d(15)}"), ("card", f"{d(4)} {d(4)} {d(4)} {d(4)}"), ("card", f"{d(4)}-{d(4)}-{d(4)}-{d(4)}"),
-            ("O", d(r.randint(1, 12))), ("O", f"{d(2)}.{d(1)}"), ("O", f"{d(1)}.{d(1)}.{d(1)}"), ("O", f"{w()}{d(2)}"), ("O", f"{d(4)}-{d(2)}-{d(2)}"),
-            ("O", hashlib.md5(d(9).encode()).hexdigest()), ("O", f"password={d(4)}{w()}"), ("O", f"({d(4)})"), ("O", f"{d(2)}:{d(2)}"), ("O", f"{d(3)}-{d(4)}"), ("O", f"@{w()}"), ("O", f"${d(3)}"), ("O", f"{d(17)}"), ("O", f"{d(14)}"),
+    h = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
+    octet_ = lambda: str(r.randint(1, 255))
+    cues = {"phone": ["call", "phone", "tel:", "at"], "email": ["mail", "to", "contact"], "ip": ["host", "address", "from"], "card": ["card", "visa", "paid"], "O": []}
+    names = ["token", "key", "secret", "password", "passwd", "apikey", "api_key", "auth", "bearer"]
+
+    def forms() -> tuple[str, str, str]:
+        """Kind, words before, text."""
+        name, joint = r.choice(names), r.choice([" = ", "=", ": ", " "])
+        value = r.choice([h(40), h(32), h(40).upper(), w() + d(4) + w().upper() + d(3), h(64)])
+        quoted = f'"{value}"' if r.random() < 0.5 else value
+        kind, own = r.choice([
+            ("phone", f"({d(3)}) {d(3)}-{d(4)}"), ("phone", f"{d(3)}-{d(3)}-{d(4)}"), ("phone", f"{d(3)}.{d(3)}.{d(4)}"), ("phone", f"{d(3)} {d(3)} {d(4)}"), ("phone", f"+{d(1)} ({d(3)}) {d(3)}-{d(4)}"), ("phone", f"+{d(2)} {d(3)} {d(4)}"), ("phone", f"+{d(5)}{d(6)}"),
+            ("email", f"{w()}.{d(2)}@{w()}.com"), ("email", f"{w()}@{w()}.{w()}.org"), ("email", f"{w()}@{w()}{d(1)}.{w()}.net"), ("email", f"{w()}.{w()}@{w()}.de"),
+            ("ip", ".".join(octet_() for _ in range(4))), ("ip", ".".join(octet_() for _ in range(4))), ("ip", ".".join(octet_() for _ in range(4))),
+            ("card", f"4{d(15)}"), ("card", f"{d(4)} {d(4)} {d(4)} {d(4)}"), ("card", f"{d(4)}-{d(4)}-{d(4)}-{d(4)}"), ("card", f"{d(4)}.{d(4)}.{d(4)}.{d(4)}"),
+            ("secret", quoted), ("secret", quoted), ("secret", quoted), ("secret", f"{name}={value}"),
+            ("O", d(r.randint(1, 12))), ("O", f"{d(1)}."), ("O", f"{d(1)}.{d(1)}"), ("O", f"{d(2)}.{d(1)}"), ("O", f"{d(1)}.{d(1)}.{d(1)}"), ("O", f"{w()}{d(2)}"), ("O", f"{d(4)}-{d(2)}-{d(2)}"), ("O", f"{d(2)}/{d(2)}/{d(4)}"),
+            ("O", h(32)), ("O", h(40)), ("O", h(40)), ("O", h(64)), ("O", h(12)), ("O", f"({d(4)})"), ("O", f"{d(2)}:{d(2)}"), ("O", f"{d(3)}-{d(4)}"), ("O", f"@{w()}"), ("O", f"${d(3)}"), ("O", f"{d(17)}"), ("O", f"{d(14)}"), ("O", f"{d(1)},{d(3)},{d(3)}"), ("O", f"{d(4)} {d(4)}"),
         ])
+        if kind == "secret":
+            return kind, "" if "=" in own else name + joint, own
+        return kind, r.choice(cues[kind]) + " " if cues[kind] and r.random() < 0.3 else "", own
 
     out = []
     for _ in range(rows):
-        run = []
+        text, labels = f"{w()} {w()}, ", []
         for _ in range(r.choice([1, 1, 1, 2])):
-            kind, text = forms()
-            parts = text.split(" ")
-            run += [(p, "O" if kind == "O" else f"{'I' if i else 'B'}-{kind}") for i, p in enumerate(parts)]
-        out.append(run)
+            kind, cue, own = forms()
+            text += cue + own + r.choice([" ", ". ", "; ", "! "])
+            labels += ["O" if kind == "O" else f"{'I' if i else 'B'}-{kind}" for i in range(len(own.split(" ")))]
+        text += w()
+        for run in runs_of(text):
+            out.append((text, run, labels[: len(run)]))
+            labels = labels[len(run) :]
     return out
 
 
 class Field:
-    """Weights: ``emit`` by shape and label, ``move`` between labels, both learned by penalised likelihood."""
+    """Weights: ``emit`` by feature and label, ``move`` between labels, both learned by penalised likelihood."""
 
-    def __init__(self, emit: dict[str, np.ndarray], move: np.ndarray, start: np.ndarray):
-        self.emit, self.move, self.start = emit, move, start
-        self.unseen = np.where(np.arange(len(LABELS)) == 0, 0.0, -20.0)  # a shape never trained on is O
+    def __init__(self, index: dict[str, int], emit: np.ndarray, move: np.ndarray, start: np.ndarray):
+        self.index, self.emit, self.move, self.start = index, emit, move, start
 
     def viterbi(self, scores: np.ndarray) -> np.ndarray:
         """Best labels for runs of one length: [runs, length, labels] -> [runs, length]."""
@@ -162,39 +214,47 @@ class Field:
             out[:, t - 1] = np.take_along_axis(back[:, t], out[:, t, None].astype(np.int64), 1)[:, 0]
         return out
 
-    def decode(self, runs: list[list[str]]) -> list[np.ndarray]:
-        """Labels of every run; runs of one length go through numpy together."""
+    def decode(self, runs: list[list[list[str]]]) -> list[np.ndarray]:
+        """Labels of every run, given its tokens' features; runs of one length go through numpy together."""
         by: dict[int, list[int]] = defaultdict(list)
         for i, run in enumerate(runs):
             by[len(run)].append(i)
         out: list[np.ndarray] = [np.empty(0)] * len(runs)
         for length, own in by.items():
-            block = max(1, 200_000 // length)
+            block = max(1, 50_000 // length)
             for k in range(0, len(own), block):
                 part = own[k : k + block]
-                scores = np.array([[self.emit.get(s, self.unseen) for s in runs[i]] for i in part])
+                scores = self.emit[_numbers([runs[i] for i in part], self.index)].sum(2)
                 for i, labels in zip(part, self.viterbi(scores), strict=True):
                     out[i] = labels
         return out
 
 
-def train(table: list[list[tuple[str, str]]], steps: int = 150, rate: float = 1.0, penalty: float = 1e-3) -> Field:
+def _numbers(runs: list[list[list[str]]], index: dict[str, int]) -> np.ndarray:
+    """[runs, length, features]: the features' rows in ``emit``; unknown ones and gaps lead to its last row, of zeros."""
+    none = len(index)
+    most = max((len(t) for run in runs for t in run), default=1)
+    return np.array([[[index.get(f, none) for f in t] + [none] * (most - len(t)) for t in run] for run in runs])
+
+
+def train(table: list[tuple[str, list[tuple[int, int]], list[str]]], steps: int = 150, rate: float = 0.5, penalty: float = 1e-3) -> Field:
     """Gradient ascent on the penalised conditional likelihood, by forward-backward over runs of equal length."""
     lab = {x: i for i, x in enumerate(LABELS)}
-    shapes = {s: i for i, s in enumerate(sorted({shape(_cut(t)) for run in table for t, _ in run}))}
+    own = [(features(text, run), [lab[y] for y in labels]) for text, run, labels in table]
+    index = {f: i for i, f in enumerate(sorted({f for run, _ in own for t in run for f in t}))}
     k, groups = len(LABELS), defaultdict(list)
-    for run in table:
-        groups[len(run)].append(([shapes[shape(_cut(t))] for t, _ in run], [lab[y] for _, y in run]))
-    data = [(np.array([x for x, _ in g]), np.array([y for _, y in g])) for _, g in sorted(groups.items())]
-    emit, move, start = np.zeros((len(shapes), k)), np.zeros((k, k)), np.zeros(k)
+    for run, labels in own:
+        groups[len(run)].append((run, labels))
+    data = [(_numbers([x for x, _ in g], index), np.array([y for _, y in g])) for _, g in sorted(groups.items())]
+    emit, move, start = np.zeros((len(index) + 1, k)), np.zeros((k, k)), np.zeros(k)
     total = len(table)
     lse = lambda a, axis: (m := a.max(axis, keepdims=True)).squeeze(axis) + np.log(np.exp(a - m).sum(axis))
     sums = [np.zeros_like(emit), np.zeros_like(move), np.zeros_like(start)]
     for _ in range(steps):
         ge, gm, gs = -penalty * emit * total, -penalty * move * total, -penalty * start * total
         for x, y in data:
-            n, length = x.shape
-            e = emit[x]
+            n, length, _ = x.shape
+            e = emit[x].sum(2)
             a, b = [start + e[:, 0]], [np.zeros((n, k))]
             for t in range(1, length):
                 a.append(lse(a[-1][:, :, None] + move[None], 1) + e[:, t])
@@ -202,23 +262,19 @@ def train(table: list[list[tuple[str, str]]], steps: int = 150, rate: float = 1.
             z = lse(a[-1], 1)
             for t in range(length):
                 p = np.exp(a[t] + b[t] - z[:, None])
-                np.add.at(ge, (x[:, t], y[:, t]), 1.0)
-                np.add.at(ge, x[:, t], -p)
+                off = -p
+                off[np.arange(n), y[:, t]] += 1.0
+                np.add.at(ge, x[:, t], off[:, None, :])
                 if t == 0:
-                    np.add.at(gs, y[:, 0], 1.0)
-                    gs -= p.sum(0)
+                    gs += off.sum(0)
                 else:
                     np.add.at(gm, (y[:, t - 1], y[:, t]), 1.0)
                     gm -= np.exp(a[t - 1][:, :, None] + move[None] + (e[:, t] + b[t])[:, None, :] - z[:, None, None]).sum(0)
+        ge[-1] = 0
         for w, g, s in zip((emit, move, start), (ge, gm, gs), sums, strict=True):
             s += g * g
             w += rate * g / np.sqrt(s + 1e-8)
-    return Field({s: emit[i] for s, i in shapes.items()}, move, start)
-
-
-def _cut(token: str) -> str:
-    a, b = core(token)
-    return token[a:b]
+    return Field(index, emit, move, start)
 
 
 def runs_of(text: str) -> list[list[tuple[int, int]]]:
@@ -242,14 +298,13 @@ def runs_of(text: str) -> list[list[tuple[int, int]]]:
 def field_spans(texts: list[str], field: Field) -> list[list[tuple[str, int, int]]]:
     """Spans that the random field decodes in each text."""
     where = [(i, run) for i, x in enumerate(texts) if _DIGIT.search(x) or "@" in x for run in runs_of(x)]
-    cache: dict[str, str] = {}
     found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    labels = field.decode([[cache.setdefault(w := texts[i][a:b], shape(w)) for a, b in run] for i, run in where])
+    labels = field.decode([features(texts[i], run) for i, run in where])
     for (i, run), own in zip(where, labels, strict=True):
         open_at = -1
         for t, y in enumerate([*own.tolist(), 0]):
             if open_at >= 0 and (y == 0 or y % 2 or (y - 1) // 2 != (own[open_at] - 1) // 2):
-                kind, a, b = KINDS[(own[open_at] - 1) // 2], run[open_at][0], run[t - 1][1]
+                kind, a, b = FIELD_KINDS[(own[open_at] - 1) // 2], run[open_at][0], run[t - 1][1]
                 if valid(kind, texts[i][a:b]):
                     found[i].append((kind, a, b))
                 open_at = -1
@@ -261,7 +316,7 @@ def field_spans(texts: list[str], field: Field) -> list[list[tuple[str, int, int
 def merge(base: list[tuple[str, int, int]], more: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Base spans and those of ``more`` that overlap none of them, by kind as listed, then start."""
     free = [s for s in more if all(s[2] <= a or b <= s[1] for _, a, b in base)] if base else more
-    return sorted([*base, *free], key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
+    return sorted([*base, *free], key=lambda s: (FIELD_KINDS.index(s[0]), s[1], s[2]))
 
 
 def written(spans: list[tuple[str, int, int]]) -> str:
@@ -276,14 +331,14 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def find(docs: DataFrame, field: Field | None = None) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone and base_sha256 of base spans, and all spans.
+    """doc_id, n_email, n_ip, n_card, n_phone and base_sha256 of base spans, all spans, and their number.
 
     Null and empty texts have no spans.  Texts are read whole; repeated rows give repeated results; an empty
     table gives an empty one; other columns are not read.
     """
     ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(field or train(labelled_table()))
-    schema = T.StructType([docs.schema["doc_id"], *(T.StructField(f"n_{k}", T.LongType()) for k in KINDS), T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())])
+    schema = T.StructType([docs.schema["doc_id"], *(T.StructField(f"n_{k}", T.LongType()) for k in KINDS), T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType()), T.StructField("n_spans", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
@@ -292,13 +347,17 @@ def find(docs: DataFrame, field: Field | None = None) -> DataFrame:
             spans = [merge(x, y) for x, y in zip(base, field_spans(texts, model.value), strict=True)]
             counts = [pa.array([sum(s[0] == k for s in x) for x in base], pa.int64()) for k in KINDS]
             digest = pa.array([hashlib.sha256(written(x).encode()).hexdigest() for x in base], pa.string())
-            yield pa.RecordBatch.from_arrays([b.column(0), *counts, digest, pa.array([written(x) for x in spans], pa.string())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([b.column(0), *counts, digest, pa.array([written(x) for x in spans], pa.string()), pa.array(list(map(len, spans)), pa.int64())], names=schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def mask(docs: DataFrame, field: Field | None = None) -> DataFrame:
-    """``docs`` with every span in ``text`` replaced by its kind in angle brackets; n_chars, if there, follows."""
+    """``docs`` with every span in ``text`` replaced by its kind in angle brackets; n_chars, if there, follows.
+
+    Null texts stay null; texts are read whole; repeated rows are masked alike; an empty table gives an empty one; all
+    columns stay, whatever their names.
+    """
     ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(field or train(labelled_table()))
     names, at = docs.columns, docs.columns.index("text")

@@ -2,8 +2,9 @@
 
 Each rule is a measure and a condition on it.  :func:`plan` estimates every rule's cost and rejection rate on
 a sample and orders the rules by rejections per cost; :func:`cascade` then tests them in that order in one
-nested CASE, so a row's later rules, and their measures, are not computed once one rejects it.  The order
-changes only the work done, never the verdict: a document is kept if no rule rejects it.
+nested CASE, so a row's later rules, and their measures, are not computed once one rejects it.  Measures that a
+result shows anyway are computed once, before, and cost their rules nothing more.  The order changes only the work
+done, never the verdict: a document is kept if no rule rejects it.
 """
 
 from __future__ import annotations
@@ -21,9 +22,10 @@ from .expr import let, upto, window_hashes, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-#: Rows of the cost and selectivity sample.  The sample only orders the rules.
+#: A rule that costs nothing measurable.
+LEAST_SECONDS = 1e-4
+#: Expected rows of the cost and selectivity sample, spread over all rows.  The sample only orders the rules.
 SAMPLE_ROWS = 1000
-SAMPLE_FILES = 4
 
 
 def word_chars(text: Column) -> Column:
@@ -113,31 +115,41 @@ RULES = (
 )
 
 
-def _sample(docs: DataFrame, rows: int) -> DataFrame:
-    """Texts of at most ``SAMPLE_FILES`` of the input's files, so that a large table is not opened as a whole."""
-    files = sorted(docs.inputFiles())
-    if files and all(f.endswith(".parquet") for f in files):
-        some = files[:: max(1, len(files) // SAMPLE_FILES)][:SAMPLE_FILES]
-        docs = docs.sparkSession.read.schema(docs.select("text").schema).parquet(*some)
-    return docs.select("text").limit(rows)
+def plan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, given: tuple[str, ...] = (), sample_rows: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
+    """Rules with (rejected share, marginal seconds) from a sample of the texts, best rejections per cost first.
 
-
-def plan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
-    """Rules with (rejected share, seconds) from a sample of the texts, best rejections per cost first.
-
-    A rule's cost is its second run over the sample; the first one compiles it.
+    The sample holds what rules share, the words and the ``given`` measures; a rule's cost is the time of testing it,
+    less that of reading the sample.  The first run of each test compiles it; the best of two more counts.
     """
-    sample = _sample(docs, sample_rows).cache()
+    n_rows = docs.count()
+    sample = docs.select("text").sample(min(1.0, sample_rows / max(n_rows, 1)), seed=11) if n_rows else docs.select("text")
+    t, w = F.col("text"), F.col("words")
+    sample = sample.withColumn("words", words(t)).select("text", "words", *(MEASURES[m](t).alias(m) for m in given)).cache()
     n = max(sample.count(), 1)
-    found = []
+    measure = _shared(t, w) | {m: F.col(m) for m in given}
+
+    def timed(condition: Column) -> tuple[int, float]:
+        # Touching every cached column makes the empty test read what the others read.
+        probe = sample.agg(F.count(F.when(condition, 1)), F.sum(F.hash("text", "words")))
+        found, times = probe.head()[0], []
+        for _ in range(2):
+            began = time.perf_counter()
+            probe.head()
+            times.append(time.perf_counter() - began)
+        return found, min(times)
+
+    _, floor = timed(F.lit(False))
+    out = []
     for r in rules:
-        probe = sample.agg(F.count(F.when(r.rejects({m: MEASURES[m](F.col("text")) for m in r.needs}), 1)))
-        share = probe.head()[0] / n
-        began = time.perf_counter()
-        probe.head()
-        found.append((r, share, time.perf_counter() - began))
+        hits, seconds = timed(r.rejects(measure))
+        out.append((r, hits / n, max(seconds - floor, LEAST_SECONDS)))
     sample.unpersist()
-    return sorted(found, key=lambda x: (-x[1] / x[2], x[0].name))
+    return sorted(out, key=lambda x: (-x[1] / x[2], x[0].name))
+
+
+def _shared(text: Column, own: Column) -> Measured:
+    """All measures of a text whose words are known."""
+    return {m: f(text) for m, f in MEASURES.items()} | {"n_words": _count(own), "n_repeat_words": _repeated(own)}
 
 
 def cascade(ordered: list[Rule], measure: Measured) -> Column:
@@ -148,31 +160,35 @@ def cascade(ordered: list[Rule], measure: Measured) -> Column:
     return out
 
 
+#: Measures that :func:`verdicts` shows.
+SHOWN = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
 def verdicts(docs: DataFrame) -> DataFrame:
-    """doc_id, the measures, base_failed and kept of every document.
+    """doc_id, the shown measures, base_failed and kept of every document.
 
-    A null text has no words and is rejected.  Repeated rows are judged each for itself, texts are read
+    The shown measures are computed once; other rules' measures only for rows that no rule before has rejected.  A
+    null text has no words and is rejected.  Repeated rows are judged each for itself, texts are read
     whole, an empty table gives an empty result, and other columns are not read.
     """
-    order = [r for r, _, _ in plan(docs)]
+    order = [r for r, _, _ in plan(docs, given=SHOWN)]
     t = F.col("text")
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    measured = spread(docs.select("doc_id", "text")).select("doc_id", *(MEASURES[m](t).alias(m) for m in names), n_lines(t).alias("n_lines"))
-    by = {m: F.col(m) for m in MEASURES}
+    measured = spread(docs.select("doc_id", "text")).select("doc_id", "text", *(MEASURES[m](t).alias(m) for m in SHOWN))
+    by = {m: F.col(m) if m in SHOWN else f(t) for m, f in MEASURES.items()}
     base = BASE[0].rejects(by) | BASE[1].rejects(by)
-    first = cascade(order, by)
-    return measured.select("doc_id", *names, base.alias("base_failed"), (~base & first.isNull()).alias("kept"), "n_lines")
+    kept = F.when(base, False).otherwise(cascade([r for r in order if r not in BASE], by).isNull())
+    return measured.select("doc_id", *SHOWN, base.alias("base_failed"), kept.alias("kept"))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that no rule rejects, all columns; measures are computed only as the cascade needs them.
 
-    The words, which several measures share, are split once.
+    The words, which several measures share, are split once.  Null texts have no words and go; texts are read whole;
+    repeated rows are judged each for itself; an empty table gives an empty one.
     """
     order = [r for r, _, _ in plan(docs)]
     t = F.col("text")
-    lazy = {m: f(t) for m, f in MEASURES.items()}
-    first = let(words(t), lambda w: cascade(order, lazy | {"n_words": _count(w), "n_repeat_words": _repeated(w)}))
+    first = let(words(t), lambda w: cascade(order, _shared(t, w)))
     return spread(docs).where(first.isNull())
 
 
@@ -193,7 +209,7 @@ m AS (
   SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
          (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
          coalesce(cov.n, 0)::BIGINT AS n_repeat_words, len(ls)::BIGINT AS n_lines FROM w LEFT JOIN cov USING (doc_id))
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines,
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines
             OR word_chars < 3 * n_words OR word_chars > 12 * n_words) AS kept FROM m

@@ -133,8 +133,8 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
     ship(pages.sparkSession)
     p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     p = p.withColumn("digest", F.sha1(F.col("html").cast("binary"))).withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
-    groups = p.where(F.octet_length("html") >= min_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    groups = groups.where((F.col("n") > 1) & F.col("first").isNotNull()).select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    groups = p.where(F.octet_length("html") >= min_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"), F.collect_set("salt").alias("salts"))
+    groups = groups.where((F.col("n") > 1) & F.col("first").isNotNull()).select("digest", "first", F.explode("salts").alias("salt"))
     joined = p.join(groups, ["digest", "salt"], "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     rows = joined.select(capture_key(F.col("url"), F.col("page_id")).alias("key"), "page_id", "url", "html", "first", revisit.alias("revisit"))

@@ -67,6 +67,8 @@ def test_bpe_equals_the_library(spark, rows, docs, empty):
     for t in [t or "" for _, t in rows] + odd:
         ids = ref.encode(t, add_special_tokens=False).ids
         assert own.encode(t) == ids and own.decode(ids) == ref.decode(ids, skip_special_tokens=False) == t
+    ids_of = {i: r.ids for r in bpe.digests(docs, path, keep_ids=True).collect() if (i := r.doc_id) in (0, 3)}
+    assert ids_of == {i: ref.encode(rows[i][1], add_special_tokens=False).ids for i in (0, 3)}
     want = [(i, len(ids := ref.encode(t or "", add_special_tokens=False).ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()) for i, t in rows]
     assert text_of(map(tuple, bpe.digests(docs, path).collect())) == text_of(want)
     back = bpe.decode(bpe.encode(docs, path), path)
@@ -120,6 +122,20 @@ def test_next_rows(spark, rows):
     assert ordering.with_next(one, "doc_id", ["text"]).head().next_text == one.head().text
 
 
+@pytest.mark.parametrize("parts", [1, 4, 16])
+def test_next_rows_of_hot_ids(spark, monkeypatch, parts):
+    """Null and repeated ids that fill several buckets, and columns with the names used inside."""
+    r = random.Random(1)
+    rows = [(None, f"n{r.random()}") for _ in range(300)] + [(5, f"f{r.random()}") for _ in range(200)] + [(i, f"t{i}") for i in range(10, 60)] + [(5, "same")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"__b": F.lit(1), "__key": F.lit("k"), "__ghost": F.lit(0)})
+    monkeypatch.setattr(ordering, "bucket_count", lambda df: parts)
+    hashes = dict(df.select("text", F.xxhash64("text")).distinct().collect())
+    own = sorted(rows, key=lambda x: (-(1 << 63) if x[0] is None else x[0], hashes[x[1]]))
+    got = ordering.with_next(df, "doc_id", ["text"])
+    assert got.columns == [*df.columns, "next_text"]
+    assert text_of((x.doc_id, x.text, x.next_text) for x in got.collect()) == text_of((*a, b[1]) for a, b in zip(own, own[1:] + own[:1]))
+
+
 def test_sketches(spark, rows, docs, empty):
     s = docs.where("doc_id is not null").select("doc_id", "text", fingerprints.sketch(F.col("text")).alias("a"))
     other = fingerprints.sketch(F.reverse(F.split(F.coalesce("text", F.lit("")), " ")).cast("string"))
@@ -173,7 +189,7 @@ def warc_expected(pages, min_bytes=0):
 
 @pytest.mark.parametrize("min_bytes", [0, 3])
 def test_archives(spark, min_bytes):
-    pages = [(1, "http://a.b/x", "hi"), (2, "http://a.b/x", "hi"), (2, "http://a.b/x", "hi"), (5, None, None), (6, "bad url \n\t", ""), (None, "http://é.com:80/ü?x=%20y", "hi"), (7, "http://a.b/x", "y" * 100000), (0, "//h", "y" * 100000)]
+    pages = [(1, "http://a.b/x", "hi"), (2, "http://a.b/x", "hi"), (2, "http://a.b/x", "hi"), (5, None, None), (6, "bad url \n\t", ""), (None, "http://é.com:80/ü?x=%20y", "hi"), (7, "http://a.b/x", "y" * 3_000_000), (0, "//h", "y" * 3_000_000)]
     pages += [(10 + i, f"https://h{i % 7}.example.org/p/{i}", f"body {i % 9} é") for i in range(300)]
     df = spark.createDataFrame([(*p, 1) for p in pages], "page_id long, url string, html string, key int")
     folder = f"{shared_dir(spark)}/warc-test-{min_bytes}"
@@ -509,6 +525,22 @@ def test_mixing(spark, rows, docs, empty):
     assert mixing.replicate(empty).count() == 0 and mixing.replicate(docs).columns == docs.columns
 
 
+def test_names_inside_clash_with_none(spark, docs):
+    """User columns with the names that operators use inside come through whole."""
+    names = ["__n", "__u", "__KEY", "__copy", "__own", "__salt", "__deal", "__source", "__parts", "__cdf", "__id", "__key", "__b", "__tie", "__to"]
+    names = [n for k, n in enumerate(names) if n.lower() not in [m.lower() for m in names[:k]]]
+    own = docs.where("doc_id < 20").withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for out in (mixing.replicate(own), simhash.keep_first(own), pii.mask(own), quality.keep_good(own)):
+        assert out.columns == own.columns
+        assert all(x[n] == f"{n}{x.doc_id}" for x in out.collect() for n in names)
+
+
+def test_mixing_deals_rows_of_one_id(spark):
+    docs = spark.range(8000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("s").alias("source"))
+    sizes = [r.n for r in mixing.replicate(docs, total=40_000).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) < 3 * sum(sizes) / 4
+
+
 def test_mixing_hits_its_targets(spark):
     docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 < 7, "hot").when(F.col("id") % 10 < 9, "warm").otherwise(None).alias("source"))
     weights = {"hot": 1.0, "warm": 1.0, None: 2.0}
@@ -564,14 +596,28 @@ def test_field_finds_what_patterns_cannot(spark, empty):
     field = pii.train(pii.labelled_table())
     texts = ["reach us at (865) 555-5454 today", "or 865-555-5454", "version 1.2.3 of 2024-01-05, id 4804071098067950", "card 4111.1111.1111.1111 here"]
     assert [[k for k, _, _ in s] for s in pii.field_spans(texts, field)] == [["phone"], ["phone"], [], ["card"]]
+    secrets = ['my token = "9c8b45435718dcc700c184a7e303cdc64c6a8f7f" ok', "commit 9c8b45435718dcc700c184a7e303cdc64c6a8f7f ok", "api_key: Zk3Lq81TtWvB42pXa9 and on"]
+    assert [[k for k, _, _ in s] for s in pii.field_spans(secrets, field)] == [["secret"], [], ["secret"]]
     held = pii.labelled_table(300, seed=99)
-    shapes = [[pii.shape(pii._cut(t)) for t, _ in run] for run in held]
-    labels = [pii.LABELS[y] for run in field.decode(shapes) for y in run]
-    truth = [y for run in held for _, y in run]
-    assert sum(a == b for a, b in zip(labels, truth)) / len(truth) > 0.9
+    got = field.decode([pii.features(text, run) for text, run, _ in held])
+    pairs = [(pii.LABELS[y], z) for own, (_, _, labels) in zip(got, held) for y, z in zip(own, labels, strict=True)]
+    assert sum(a == b for a, b in pairs) / len(pairs) > 0.95
     assert pii.find(empty).count() == 0
 
 
+def test_field_on_documents(spark):
+    """Held-out recall on whole documents: without the patterns the field finds nearly all of their spans, and named secrets."""
+    field = pii.train(pii.labelled_table())
+    texts = [r.text or "" for r in spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").select("text").collect()]
+    own = pii.field_spans(texts, field)
+    hit = [any(k == k2 and a < z2 and a2 < z for k2, a2, z2 in f) for t, f in zip(texts, own) for k, a, z in pii.base_spans(t)]
+    assert len(hit) > 50 and sum(hit) / len(hit) > 0.95
+    named = [f for t, f in zip(texts, own) if re.search('token = "[0-9a-f]{40}"', t)]
+    assert named and sum(any(k == "secret" for k, _, _ in f) for f in named) / len(named) > 0.9
+    plain = [f for t, f in zip(texts, own) if not re.search("[0-9@]", t)]
+    assert plain and not any(plain)
+
+
 def test_shapes_are_of_whole_tokens():
     field = pii.train(pii.labelled_table())
     text = f"write to {'é' * 70}@mail.example.org now"
@@ -632,6 +678,8 @@ def test_token_counts(spark, rows, docs, empty):
 def test_ties_go_to_the_longest_last_piece():
     c = token_counts.UnigramCounter([("a", -1.0), ("b", -1.0), ("ab", -2.0), ("▁", 0.0)])
     assert c.count("ab") == (2, -2.0)
+    inner = token_counts.UnigramCounter([("a", -1.0), ("b", -1.0), ("▁", -1.0), ("a▁b", -1.5)])
+    assert inner.count("a b a b") == (4, -5.0) and inner.count("ab" * 50) == (101, -101.0)  # a piece with a space inside
     c = token_counts.UnigramCounter([("a", -1.0), ("bc", -2.0), ("ab", -1.0), ("c", -2.0), ("▁", 0.0)])
     assert c.count("abc") == (3, -3.0)
 
@@ -684,7 +732,9 @@ def test_pipeline(spark):
         ids = ref.encode(t, add_special_tokens=False).ids
         want += [(i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest())] * k
     got = corpus_pipeline.run(spark, SF)
-    assert text_of(map(tuple, got.collect())) == text_of(want)
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+    assert text_of(tuple(r)[:4] for r in got.collect()) == text_of(want)
+    assert all(hashlib.sha256(",".join(map(str, r.ids)).encode()).hexdigest() == r.ids_sha256 for r in got.collect())
 
 
 def test_stages_keep_the_columns(spark, docs, empty):
