@@ -8,6 +8,7 @@ the per-scale bit plan is worked out on the driver.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
@@ -68,6 +69,11 @@ class Scale:
         return 1 << max(0, len(self.plan) - self.low)
 
 
+def div(value: Column, by: int) -> Column:
+    """Whole-number division of coordinates, exact for every long (floors for those of at least 0)."""
+    return value.cast("long") if by == 1 else F.call_function("div", value.cast("long"), F.lit(by).cast("long"))
+
+
 def grid_bits(size: Column, chunk: Column) -> Column:
     """Bits of a grid coordinate from the volume's and the chunk's extent."""
     top = F.greatest(F.lit(0), F.ceil(size / chunk) - 1).cast("long")
@@ -105,6 +111,15 @@ def shard_filename(number: Column, bits: int) -> Column:
     return F.concat(F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits), F.lit(".shard"))
 
 
+def rough_shard(scale: Column, preshift: Column, minishard: Column) -> dict[str, Column]:
+    """Size of a full shard from its bits alone: side in voxels, chunks at most, and megabytes at a scale's usual block size."""
+    side = F.call_function("shiftleft", F.lit(1).cast("long"), div(18 + preshift + minishard, 3).cast("int"))
+    across = div(side, CHUNK)
+    chunks = across * across * across
+    block_kb = F.when(scale == 0, F.lit(5.0)).otherwise(F.least(F.lit(50.0), 5 * F.pow(F.lit(2.0), scale)))
+    return {"side": side, "max_chunks": chunks, "max_mb": chunks * block_kb / 1024}
+
+
 def filename_number(name: Column) -> Column:
     """Shard number of a file name."""
     return F.conv(F.regexp_extract(name, r"([0-9a-f]+)\.shard$", 1), 16, 10).cast("long")
@@ -145,14 +160,19 @@ def name_origin(name: Column) -> list[Column]:
 
 
 def shard_of_voxel(scale: Scale, x: Column, y: Column, z: Column) -> Column:
-    chunk = [F.floor(v / F.lit(c)).cast("long") for v, c in zip((x, y, z), scale.chunk, strict=True)]
+    chunk = [div(v, c) for v, c in zip((x, y, z), scale.chunk, strict=True)]
     return shard_number(scale, morton(scale, *chunk))
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once a row, however often ``body`` names it: a lambda variable isn't copied."""
+    return F.transform(F.array(value), body)[0]
+
+
 def shard_of_name(scale: Scale, name: Column, z_compress: int = 0) -> Column:
     """Output shard of a source shard's name; z is divided by the decimation first."""
-    x, y, z = name_origin(name)
-    return shard_of_voxel(scale, x, y, F.floor(z / F.lit(z_compress + 1)).cast("long"))
+    parts = F.when(name.rlike(r"^\d+_\d+_\d+$"), F.transform(F.split(name, "_"), lambda s: s.cast("long")))
+    return once(parts, lambda p: shard_of_voxel(scale, p[0], p[1], div(p[2], z_compress + 1)))
 
 
 def source_z(z: Column, z_compress: int) -> Column:
@@ -170,7 +190,7 @@ def check_stride(z_compress: int, chunk: int = CHUNK) -> int:
 def decimate_z(voxels: DataFrame, z_compress: int, z: str = "z") -> DataFrame:
     """Every (z_compress + 1)-th plane, renumbered."""
     stride = check_stride(z_compress)
-    return voxels if stride == 1 else voxels.where(F.col(z) % stride == 0).withColumn(z, (F.col(z) / stride).cast("long"))
+    return voxels if stride == 1 else voxels.where(F.col(z) % stride == 0).withColumn(z, div(F.col(z), stride))
 
 
 def clip(voxels: DataFrame, scale: Scale) -> DataFrame:
@@ -226,8 +246,8 @@ def child_shards(parent: Scale, child: Scale, shards: DataFrame) -> DataFrame:
     out = settled(shards.select("shard"), **boxes).where("ex > 0 and ey > 0 and ez > 0")
     for k, a in enumerate(AXES):
         n, f = child.shard_shape[k], factor[k]
-        low = F.floor(F.col(f"o{a}") / f)
-        high = F.least(F.floor((F.col(f"o{a}") + F.col(f"e{a}") - 1) / f), F.lit(child.grid[k] - 1))
-        first = F.floor(low / n) * n
+        low = div(F.col(f"o{a}"), f)
+        high = F.least(div(F.col(f"o{a}") + F.col(f"e{a}") - 1, f), F.lit(child.grid[k] - 1).cast("long"))
+        first = div(low, n) * n
         out = out.withColumn(f"c{a}", F.explode(F.when(first <= high, F.sequence(first, high, F.lit(n).cast("long"))).otherwise(F.array().cast("array<bigint>"))))
     return out.select(shard_number(child, morton(child, F.col("cx"), F.col("cy"), F.col("cz"))).alias("shard")).distinct()

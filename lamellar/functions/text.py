@@ -78,6 +78,11 @@ def labels_url(base: Column, uuid: Column, instance: Column, scale: Column, supe
     return F.concat(root, F.lit("/api/node/"), uuid, F.lit("/"), instance, F.lit("/labels?scale="), scale.cast("string"), F.lit("&hash="), F.md5(body), F.lit(tail))
 
 
+def point_body(points: Column) -> Column:
+    """The JSON body of a batch of points (array of arrays), as the label service wants it."""
+    return F.to_json(points)
+
+
 def short_digest(text: Column, n: int = 12) -> Column:
     return F.substring(F.sha2(text, 256), 1, n)
 

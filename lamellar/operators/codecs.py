@@ -124,15 +124,21 @@ def encode_block(volume: np.ndarray) -> bytes:
 
 
 def block_info(data: bytes | None) -> dict:
-    """Kind (empty, zstd_error, invalid, solid, compressed) and header fields of a stored block."""
+    """Kind (empty, zstd_error, invalid, solid, compressed, error) and header fields of a stored block."""
     if not data:
         return {"type": "empty"}
     try:
-        plain = inflate(data)
+        return _block_info(data)
     except CodecError as e:
-        return {"type": "zstd_error", "error": str(e)}
+        return {"type": "zstd_error", "error": str(e), "compressed_bytes": len(data)}
+    except Exception as e:  # noqa: BLE001  a probe tells what is wrong with a row and goes on
+        return {"type": "error", "error": str(e)}
+
+
+def _block_info(data: bytes) -> dict:
+    plain = inflate(data)
     if len(plain) < 16:
-        return {"type": "invalid", "uncompressed_bytes": len(plain)}
+        return {"type": "invalid", "compressed_bytes": len(data), "uncompressed_bytes": len(plain)}
     gx, gy, gz, n = struct.unpack_from("<4I", plain)
     return {"type": "solid" if n <= 1 else "compressed", "sub_blocks": gx * gy * gz, "label_count": n, "compressed_bytes": len(data), "uncompressed_bytes": len(plain)}
 
@@ -169,6 +175,8 @@ def encode_segmentation(volume: np.ndarray, block: tuple[int, int, int] = (8, 8,
             tables[key] = at
             body.append(key)
             at += 2 * len(table)
+        if tables[key] >> 24:
+            raise CodecError("a label table begins beyond the format's 24 bits")
         head[k] = tables[key] | bits << 24, start
     return struct.pack("<I", 1) + head.tobytes() + b"".join(body)
 
@@ -285,4 +293,5 @@ def to_segmentation(chunks: DataFrame, label_type: str = LABELS, gzipped: bool =
 def info(chunks: DataFrame, keep: tuple[str, ...] = KEYS) -> DataFrame:
     """Kind and header fields of stored blocks."""
     fields = [T.StructField("type", T.StringType()), *(T.StructField(k, T.LongType()) for k in ("sub_blocks", "label_count", "compressed_bytes", "uncompressed_bytes"))]
-    return _mapped(chunks, keep, fields, SUPERVOXELS, lambda b, l, s: tuple(block_info(b).get(f.name) for f in fields))
+    names = [f.name for f in fields]
+    return _mapped(chunks, keep, fields, SUPERVOXELS, lambda b, l, s: tuple(map(block_info(b).get, names)))

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamellar.functions import models
-from lamellar.functions.geometry import AXES, Scale, child_shards, chunks_per_shard, settled, shard_box, shard_filename, shard_of_name
+from lamellar.functions.geometry import AXES, Scale, child_shards, chunks_per_shard, div, settled, shard_box, shard_filename, shard_of_name
+from lamellar.session import fresh
 
 
 def without(rows: DataFrame, excluded: DataFrame, keys: list[str]) -> DataFrame:
@@ -39,24 +40,24 @@ def with_tier(shards: DataFrame, least: int = 4) -> DataFrame:
     return out.withColumn("tier_gib", models.pick_tier(F.col("memory_gib"), least))
 
 
-def balanced(rows: DataFrame, weight: str, max_tasks: int, keys: tuple[str, ...] = ("tier_gib",)) -> DataFrame:
-    """``rows`` with task_id: heaviest first, each to the least loaded task (lowest number among equals).
+def balanced(rows: DataFrame, weight: str, max_tasks: int, keys: tuple[str, ...] = ("tier_gib",), tie: str = "shard") -> DataFrame:
+    """``rows`` with task_id: heaviest first (ties by ``tie``, if there is such a column), each to the least loaded task (lowest number among equals).
 
-    Exact greedy balancing is sequential, so each group of ``keys`` is one task here: a tier's list of shards is
-    metadata, thousands of rows.  For more, see :func:`snake`.
+    Exact greedy balancing is sequential, so each group of ``keys`` is one task here.  A tier's list of shards is metadata, thousands of rows.  For more, see :func:`snake`.
     """
-    schema = rows.withColumn("task_id", F.lit(0)).schema
+    name, ties = fresh(rows, "task_id")[0], [tie] if tie in rows.columns else []
+    schema = rows.withColumn(name, F.lit(0)).schema
 
     def assign(group: pd.DataFrame) -> pd.DataFrame:
         n = min(max_tasks, len(group))
-        ordered = group.sort_values(weight, ascending=False, kind="stable")
+        ordered = group.sort_values([weight, *ties], ascending=[False, *(True for _ in ties)], kind="stable")
         loads = [(0, k) for k in range(n)]
         out = []
-        for w in ordered[weight]:
+        for w in ordered[weight].tolist():
             load, k = heapq.heappop(loads)
             out.append(k)
             heapq.heappush(loads, (load + w, k))
-        return ordered.assign(task_id=pd.Series(out, index=ordered.index, dtype="int32"))
+        return ordered.assign(**{name: pd.Series(out, index=ordered.index, dtype="int32")})
 
     return rows.groupBy(*keys).applyInPandas(assign, schema)
 
@@ -64,7 +65,7 @@ def balanced(rows: DataFrame, weight: str, max_tasks: int, keys: tuple[str, ...]
 def snake(rows: DataFrame, weight: str, tasks: int, tie: str, keys: tuple[str, ...] = ("tier_gib",)) -> DataFrame:
     """Balanced tasks without a sequential step: by descending weight, back and forth over the tasks."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(weight), tie)) - 1
-    lap, place = F.floor(rank / tasks), rank % tasks
+    lap, place = div(rank, tasks), rank % tasks
     return rows.withColumn("task_id", F.when(lap % 2 == 0, place).otherwise(tasks - 1 - place).cast("int"))
 
 
@@ -77,7 +78,7 @@ def round_robin(rows: DataFrame, tasks: int, order: list[str], keys: list[Column
 def buckets(rows: DataFrame, size: int, order: list[str], keys: list[Column] | None = None) -> DataFrame:
     """Row i in order goes to bucket i div ``size``."""
     w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
-    return rows.withColumn("bucket", F.floor((F.row_number().over(w) - 1) / size).cast("int"))
+    return rows.withColumn("bucket", div(F.row_number().over(w) - 1, size).cast("int"))
 
 
 def tier_summary(tasks: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamellar.functions.text import error_class, percent
+from lamellar.session import fresh
 
 
 def normalized(events: DataFrame) -> DataFrame:
@@ -18,8 +19,8 @@ def normalized(events: DataFrame) -> DataFrame:
 
 
 def error_counts(errors: DataFrame, keys: list[str]) -> DataFrame:
-    """Errors per group, most first."""
-    return errors.groupBy(*keys).agg(F.count(F.lit(1)).alias("errors"))
+    """Errors per group, most first; ties by key.  Groups are few, so their order costs nothing."""
+    return errors.groupBy(*keys).agg(F.count(F.lit(1)).alias("errors")).orderBy(F.desc("errors"), *keys)
 
 
 def classified(errors: DataFrame, message: str = "error") -> DataFrame:
@@ -28,7 +29,7 @@ def classified(errors: DataFrame, message: str = "error") -> DataFrame:
 
 def top_errors(errors: DataFrame, key: str, n: int = 10) -> DataFrame:
     """The n groups with most errors; ties by key."""
-    return error_counts(errors, [key]).orderBy(F.desc("errors"), key).limit(n)
+    return error_counts(errors, [key]).limit(n)
 
 
 def best_and_worst(rows: DataFrame, score: str, key: str, n: int = 5) -> DataFrame:
@@ -42,9 +43,10 @@ def best_and_worst(rows: DataFrame, score: str, key: str, n: int = 5) -> DataFra
 
 
 def latest(events: DataFrame, keys: list[str], ts: str, tie: str) -> DataFrame:
-    """The latest row of each key."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(ts), F.desc(tie))
-    return events.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
+    """The latest row of each key: an aggregation with map-side partial results, no sort of a key's rows."""
+    own, place = fresh(events, "__row", "__at")
+    rows = events.select(*keys, F.struct(*events.columns).alias(own), F.struct(F.col(ts), F.col(tie)).alias(place))
+    return rows.groupBy(*keys).agg(F.max_by(own, place).alias(own)).select(f"{own}.*")
 
 
 def latest_execution(entries: DataFrame, job: str, execution: str, ts: str) -> DataFrame:
@@ -94,6 +96,13 @@ def progress_totals(completed: DataFrame, running: DataFrame) -> DataFrame:
     return out.withColumn("percent", percent(F.col("written"), F.col("total")))
 
 
+def outcome_totals(outcomes: DataFrame) -> DataFrame:
+    """Shards that ended well and not, and their chunks, in one row; see :func:`verification.shard_outcomes`."""
+    ok = F.col("ok")
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return outcomes.agg(F.count(F.when(ok, 1)).alias("shards_ok"), F.count(F.when(~ok, 1)).alias("shards_failed"), zero("written").alias("written"), zero("failed").alias("failed"), zero("outside").alias("outside"))
+
+
 def pressure(events: DataFrame) -> DataFrame:
     """Memory pressure of each row: critical over 0.9 of the limit, high over 0.75."""
     share = F.try_divide("memory_gib", "memory_limit_gib")

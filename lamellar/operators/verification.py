@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamellar.functions.geometry import AXES, Scale, morton, shard_number, shard_of_name, shard_of_voxel
+from lamellar.functions.geometry import AXES, Scale, div, morton, shard_number, shard_of_name, shard_of_voxel
 
 
 def compare_outputs(expected: DataFrame, actual: DataFrame) -> DataFrame:
@@ -20,25 +20,56 @@ def compare_outputs(expected: DataFrame, actual: DataFrame) -> DataFrame:
 
 
 def report(compared: DataFrame, scale: int, key: str) -> DataFrame:
-    """The one-row report of a scale."""
+    """The one-row report of a scale: counts.  The files themselves stay rows; see :func:`missing_sources` and :func:`orphans`."""
     miss, orphan = F.col("state") == "missing", F.col("state") == "orphaned"
     return compared.agg(
-        F.sum(F.when(~orphan, F.size("shards")).otherwise(0)).alias("source_shards"), F.count(F.when(~orphan, 1)).alias("expected_shards"), F.count(F.when(~miss, 1)).alias("actual_shards"),
+        F.coalesce(F.sum(F.when(~orphan, F.size("shards")).otherwise(0)), F.lit(0)).alias("source_shards"), F.count(F.when(~orphan, 1)).alias("expected_shards"), F.count(F.when(~miss, 1)).alias("actual_shards"),
         F.count(F.when(miss, 1)).alias("missing_count"), F.count(F.when(orphan, 1)).alias("orphaned_count"),
-        F.sort_array(F.collect_list(F.when(miss, F.struct("file", "shards")))).alias("missing"), F.sort_array(F.collect_list(F.when(orphan, F.col("file")))).alias("orphaned"),
     ).select(F.lit(scale).alias("scale"), F.lit(key).alias("scale_key"), "*")
 
 
-def missing_sources(reports: DataFrame) -> DataFrame:
-    """(scale, file, shard) of everything missing in reports."""
-    return reports.select("scale", F.explode("missing").alias("m")).select("scale", F.col("m.file").alias("file"), F.explode("m.shards").alias("shard"))
+def missing_sources(compared: DataFrame, scale: int) -> DataFrame:
+    """(scale, file, shard) of all sources whose file is missing."""
+    return compared.where("state = 'missing'").select(F.lit(scale).alias("scale"), "file", F.explode("shards").alias("shard"))
+
+
+def orphans(compared: DataFrame, scale: int) -> DataFrame:
+    """(scale, file) of outputs that no source leads to."""
+    return compared.where("state = 'orphaned'").select(F.lit(scale).alias("scale"), "file")
+
+
+def with_metadata(missing: DataFrame, sources: DataFrame, keys: tuple[str, ...] = ("scale", "shard")) -> DataFrame:
+    """Missing source shards with their bytes and chunks, to be planned anew; ``known`` is false where there is no source."""
+    own = sources.select(*keys, "bytes", "chunks", F.lit(True).alias("known"))
+    return missing.select(*keys).distinct().join(own, list(keys), "left").withColumn("known", F.coalesce("known", F.lit(False)))
+
+
+def outside(scale: Scale, x: Column, y: Column, z: Column) -> Column:
+    """Whether chunk coordinates lie beyond the volume's grid."""
+    return (x >= scale.grid[0]) | (y >= scale.grid[1]) | (z >= scale.grid[2])
+
+
+def shard_outcomes(decoded: DataFrame, scale: Scale, z_compress: int = 0) -> DataFrame:
+    """Per source shard of decoded chunks (shard, chunk_x.., error): chunks, failed, outside, written, and ``ok``.
+
+    A shard that writes no chunk, all failed or outside the volume, has failed as a whole.
+    """
+    x, y, z = (F.col(f"chunk_{a}") for a in AXES)
+    beyond = outside(scale, x, y, div(z, z_compress + 1))
+    bad = F.col("error").isNotNull()
+    out = decoded.groupBy("shard").agg(F.count(F.lit(1)).alias("chunks"), F.count(F.when(bad, 1)).alias("failed"), F.count(F.when(~bad & beyond, 1)).alias("outside"))
+    return out.withColumn("written", F.col("chunks") - F.col("failed") - F.col("outside")).withColumn("ok", F.col("written") > 0)
+
+
+def sample_shards(shards: DataFrame, n: int, seed: int = 0, key: str = "shard") -> DataFrame:
+    """n shards without replacement, the same for one seed however they are partitioned: the n least hashes of seed and key."""
+    return shards.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)
 
 
 def consistency(chunks: DataFrame, scale: Scale) -> DataFrame:
     """Per source shard: output shards its chunks fall in, the one its name says, chunks outside and five of them."""
     at = [F.col(f"chunk_{a}") for a in AXES]
-    outside = (at[0] >= scale.grid[0]) | (at[1] >= scale.grid[1]) | (at[2] >= scale.grid[2])
-    own = chunks.select("shard", *at, outside.alias("outside"), shard_number(scale, morton(scale, *at)).alias("number"))
+    own = chunks.select("shard", *at, outside(scale, *at).alias("outside"), shard_number(scale, morton(scale, *at)).alias("number"))
     first = F.row_number().over(Window.partitionBy("shard", "outside").orderBy(*(f"chunk_{a}" for a in AXES)))
     own = own.withColumn("rank", F.when(F.col("outside"), first))
     out = own.groupBy("shard").agg(F.sort_array(F.collect_set(F.when(~F.col("outside"), F.col("number")))).alias("numbers"), F.count(F.when(F.col("outside"), 1)).alias("outside"), F.sort_array(F.collect_list(F.when(F.col("rank") <= 5, F.struct(*(f"chunk_{a}" for a in AXES))))).alias("samples"))
@@ -65,8 +96,14 @@ def exposed_faces(scale: Scale, records: DataFrame, existing: DataFrame) -> Data
 
 
 def _draw(seed: int, i: Column, k: int) -> Column:
-    """A number in [0, 1) from (seed, i, k)."""
-    return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), i, F.lit(k)), 11) / F.lit(float(1 << 53))).cast("double")
+    """A number in [0, 1) from (seed, i, k): the first 52 bits of an md5."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), i.cast("string"), F.lit(str(k)))), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
+
+
+def cumulative(rows: DataFrame, weight: str, order: list[str]) -> DataFrame:
+    """``rows`` with high, the running sum of a weight, and low, the sum before; a list of shards or faces, in one task."""
+    w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("high", F.sum(weight).over(w)).withColumn("low", F.col("high") - F.col(weight))
 
 
 def _picked(rows: DataFrame, weight: str, n: int, seed: int, spark) -> DataFrame:
@@ -74,13 +111,12 @@ def _picked(rows: DataFrame, weight: str, n: int, seed: int, spark) -> DataFrame
 
     ``rows`` is a list of shards or faces, not of voxels.  Ends are bucketed so that the join is an equi-join.
     """
-    w = Window.orderBy(F.col("shard"), *(c for c in ("axis", "direction") if c in rows.columns)).rowsBetween(Window.unboundedPreceding, 0)
-    own = rows.withColumn("high", F.sum(weight).over(w)).withColumn("low", F.col("high") - F.col(weight))
+    own = cumulative(rows, weight, ["shard", *(c for c in ("axis", "direction") if c in rows.columns)])
     total = own.agg(F.max("high")).head()[0] or 0
     step = max(1, total // 1024)
-    parts = own.withColumn("part", F.explode(F.sequence(F.floor(F.col("low") / step), F.floor((F.col("high") - 1) / step))))
+    parts = own.withColumn("part", F.explode(F.sequence(div(F.col("low"), step), div(F.col("high") - 1, step))))
     points = spark.range(n).select(F.col("id").alias("point_id"), F.floor(_draw(seed, F.col("id"), 0) * F.lit(float(total))).cast("long").alias("pick"))
-    points = points.withColumn("part", F.floor(F.col("pick") / step))
+    points = points.withColumn("part", div(F.col("pick"), step))
     return points.join(parts, "part").where("pick >= low and pick < high").drop("part", "low", "high", "pick") if total else points.where("false").join(parts, "part").drop("part", "low", "high", "pick")
 
 

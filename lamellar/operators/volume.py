@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamellar.functions.bits import unsigned_order
-from lamellar.functions.geometry import AXES, Scale, check_stride, clip
+from lamellar.functions.geometry import AXES, Scale, check_stride, clip, div
 
 
 def explode_voxels(decoded: DataFrame, scale: Scale, z_compress: int = 0, keep_background: bool = False) -> DataFrame:
@@ -45,7 +45,7 @@ def explode_voxels(decoded: DataFrame, scale: Scale, z_compress: int = 0, keep_b
 
 
 def chunk_key(scale: Scale) -> list[Column]:
-    return [F.floor(F.col(a) / c).cast("long").alias(f"c{a}") for a, c in zip(AXES, scale.chunk, strict=True)]
+    return [div(F.col(a), c).alias(f"c{a}") for a, c in zip(AXES, scale.chunk, strict=True)]
 
 
 def downsample(voxels: DataFrame, size: tuple[int, int, int], factors: tuple[int, int, int] = (2, 2, 2), keys: tuple[str, ...] = ()) -> DataFrame:
@@ -55,7 +55,7 @@ def downsample(voxels: DataFrame, size: tuple[int, int, int], factors: tuple[int
     border are as large as what lies inside.  Among equal counts the smallest unsigned label wins.  Two
     aggregations, both with map-side partial sums; the second reuses the first's partitioning.
     """
-    cell = [F.floor(F.col(a) / f).cast("long").alias(a) for a, f in zip(AXES, factors, strict=True)]
+    cell = [div(F.col(a), f).alias(a) for a, f in zip(AXES, factors, strict=True)]
     votes = voxels.groupBy(*keys, *cell, "label").agg(F.count(F.lit(1)).alias("n"))
     room = F.lit(1)
     for a, f, s in zip(AXES, factors, size, strict=True):

@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamellar.functions.geometry import Scale, morton, shard_filename, shard_number
+from lamellar.functions.geometry import Scale, morton, shard_filename, shard_number, shard_of_name
 from lamellar.operators import chunked, codecs, labels, planning, verification
+from lamellar.session import materialize
 from lamellar.sources.shards import list_shards, read_shards
 
 
-def _with_shard(chunks: DataFrame, scale: Scale, level: int) -> DataFrame:
+def with_shard(chunks: DataFrame, scale: Scale, level: int) -> DataFrame:
+    """Chunks with their scale and output shard."""
     number = shard_number(scale, morton(scale, F.col("chunk_x"), F.col("chunk_y"), F.col("chunk_z")))
     return chunks.withColumn("scale", F.lit(level)).withColumn("shard", number)
 
@@ -23,18 +25,36 @@ def _store(chunks: DataFrame, path: str) -> None:
     chunks.repartition("scale", "shard").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("scale", "shard").parquet(path)
 
 
-def export(spark: SparkSession, source: str, out: str, scale: Scale, level: int = 0, label_type: str = codecs.LABELS, z_compress: int = 0, empty: DataFrame | None = None) -> DataFrame:
-    """Convert the source shards under a path; the failed chunks (shard, chunk_x.., error) are returned.
+def decode_source(spark: SparkSession, source: str, scale: Scale, label_type: str = codecs.LABELS, empty: DataFrame | None = None, only: DataFrame | None = None) -> DataFrame:
+    """Decoded chunks of the source shards under a path, written to scratch once: shard, chunk_x.., voxels, error.
 
-    ``empty`` (shard): shards to leave out.  Failures don't stop a run: their rows are the result, the others
-    are written to ``out`` (voxels, by scale and output shard).
+    ``empty`` (shard): shards to leave out; ``only`` (shard): the shards to take, all by default.
     """
     rows = read_shards(spark, source)
     if empty is not None:
         rows = planning.without(rows, empty, ["shard"])
-    decoded = codecs.decode(rows, label_type, keep=("shard", *codecs.KEYS))
+    if only is not None:
+        rows = rows.join(only.select("shard").distinct(), "shard", "left_semi")
+    return materialize(codecs.decode(rows, label_type, scale.chunk[::-1], ("shard", *codecs.KEYS)), "decoded")
+
+
+def export(spark: SparkSession, source: str, out: str, scale: Scale, level: int = 0, label_type: str = codecs.LABELS, z_compress: int = 0, empty: DataFrame | None = None, only: DataFrame | None = None) -> DataFrame:
+    """Convert the source shards under a path; the failed chunks (shard, chunk_x.., error) are returned.
+
+    Failures don't stop a run: their rows are the result, the others are written to ``out`` (voxels, by scale and
+    output shard).  Every block is decoded once; ``empty`` and ``only`` are those of :func:`decode_source`.
+    """
+    decoded = decode_source(spark, source, scale, label_type, empty, only)
+    write_decoded(decoded, out, scale, level, z_compress)
+    return failures(decoded)
+
+
+def write_decoded(decoded: DataFrame, out: str, scale: Scale, level: int, z_compress: int = 0) -> None:
     good = chunked.clip(chunked.decimate(decoded.where("error is null"), scale, z_compress), scale)
-    _store(_with_shard(good, scale, level), out)
+    _store(with_shard(good, scale, level), out)
+
+
+def failures(decoded: DataFrame) -> DataFrame:
     return decoded.where("error is not null").select("shard", *codecs.KEYS, "error")
 
 
@@ -42,7 +62,7 @@ def pyramid(spark: SparkSession, out: str, scales: list[Scale], first: int = 0)
     """Write scales first + 1, ... from the one before, each read back from its table."""
     for level in range(first + 1, len(scales)):
         parent = read_level(spark, out, level - 1)
-        _store(_with_shard(chunked.downsample(parent, scales[level - 1], scales[level]), scales[level], level), out)
+        _store(with_shard(chunked.downsample(parent, scales[level - 1], scales[level]), scales[level], level), out)
 
 
 def read_level(spark: SparkSession, out: str, level: int) -> DataFrame:
@@ -50,9 +70,22 @@ def read_level(spark: SparkSession, out: str, level: int) -> DataFrame:
     return spark.read.parquet(out).where(F.col("scale") == level)
 
 
-def profile(spark: SparkSession, out: str, level: int, scale: Scale) -> DataFrame:
-    """Chunks and label totals of every shard of a written scale."""
-    return labels.totals_by_shard(chunked.label_profile(read_level(spark, out, level)), scale)
+def profile(spark: SparkSession, out: str, level: int, scale: Scale, done: DataFrame | None = None) -> DataFrame:
+    """Chunks and label totals of every shard of a written scale; shards in ``done`` (shard) are left out unread."""
+    chunks = read_level(spark, out, level)
+    if done is not None:
+        chunks = chunks.join(done.select(F.col("shard").cast(chunks.schema["shard"].dataType)).distinct(), "shard", "left_anti")
+    return labels.totals_by_shard(chunked.label_profile(chunks), scale)
+
+
+def profile_to(spark: SparkSession, out: str, level: int, scale: Scale, path: str) -> dict[str, int]:
+    """Append the profiles of a scale's shards that ``path`` lacks; how many were made and how many were there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    done = materialize(spark.read.parquet(path).select("shard").distinct(), "profiled") if there else None
+    made = materialize(profile(spark, out, level, scale, done), "profiles")
+    made.write.mode("append").parquet(path)
+    return {"ok": made.count(), "skipped": done.count() if done is not None else 0}
 
 
 def empty_shards(spark: SparkSession, source: str) -> DataFrame:
@@ -60,11 +93,22 @@ def empty_shards(spark: SparkSession, source: str) -> DataFrame:
     return labels.nonempty(read_shards(spark, source), ["shard"]).where("not nonempty").select("shard")
 
 
+def compare(spark: SparkSession, source: str, out: str, scale: Scale, level: int = 0, z_compress: int = 0) -> DataFrame:
+    """Every output file of a scale with its state and the source shards that lead to it."""
+    expected = list_shards(spark, source).select("shard", shard_filename(shard_of_name(scale, F.col("shard"), z_compress), scale.shard).alias("file"))
+    return verification.compare_outputs(expected, written_files(spark, out, scale, level))
+
+
+def written_files(spark: SparkSession, out: str, scale: Scale, level: int) -> DataFrame:
+    return read_level(spark, out, level).select(shard_filename(F.col("shard").cast("long"), scale.shard).alias("file")).distinct()
+
+
 def verify(spark: SparkSession, source: str, out: str, scale: Scale, level: int = 0, z_compress: int = 0) -> DataFrame:
     """The one-row completeness report of a scale against its source shards."""
-    from lamellar.functions.geometry import shard_of_name
+    return verification.report(compare(spark, source, out, scale, level, z_compress), level, scale.key)
+
 
-    name = lambda c: shard_filename(c, scale.shard)
-    expected = list_shards(spark, source).select("shard", name(shard_of_name(scale, F.col("shard"), z_compress)).alias("file"))
-    actual = read_level(spark, out, level).select(name(F.col("shard").cast("long")).alias("file")).distinct()
-    return verification.report(verification.compare_outputs(expected, actual), level, scale.key)
+def empty_of_report(spark: SparkSession, compared: DataFrame, source: str) -> DataFrame:
+    """Of the source shards that a comparison misses, those that hold background only: no output is right for them."""
+    missing = verification.missing_sources(compared, 0)
+    return empty_shards(spark, source).join(missing.select("shard").distinct(), "shard", "left_semi")

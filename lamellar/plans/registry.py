@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from lamellar.functions import bits, geometry, models, text
 from lamellar.operators import calibration, chunked, codecs, labels, planning, telemetry, verification, volume
 from lamellar.session import scratch, table
+from lamellar.sources import shards
 from lamellar.streaming import progress
 
 from . import views as V
@@ -112,9 +114,9 @@ def clip_volume(spark, sf):
     return geometry.clip(V.vox(spark, sf), geometry.Scale("cut", (100, 90, 6)))
 
 
-@query("parent_child_shards", f"WITH p AS (SELECT DISTINCT l_partkey % {TOY.shard_numbers} AS n FROM lineitem WHERE l_partkey % 3 = 0), c AS (SELECT x.range AS cx, y.range AS cy, z.range AS cz FROM range(16) x, range(16) y, range(2) z), pc AS (SELECT * FROM c WHERE {V.shard_sql(TOY, 'cx', 'cy', 'cz')} IN (SELECT n FROM p)) SELECT DISTINCT {V.shard_sql(HALF, 'cx // 2', 'cy // 2', 'cz // 2')} AS shard FROM pc")
+@query("parent_child_shards", f"WITH p AS (SELECT DISTINCT l_partkey % {TOY.shard_numbers} AS n FROM lineitem), c AS (SELECT x.range AS cx, y.range AS cy, z.range AS cz FROM range(16) x, range(16) y, range(2) z), pc AS (SELECT * FROM c WHERE {V.shard_sql(TOY, 'cx', 'cy', 'cz')} IN (SELECT n FROM p)) SELECT DISTINCT {V.shard_sql(HALF, 'cx // 2', 'cy // 2', 'cz // 2')} AS shard FROM pc")
 def parent_child_shards(spark, sf):
-    p = table(spark, sf, "lineitem").where("l_partkey % 3 = 0").select((F.col("l_partkey") % TOY.shard_numbers).alias("shard")).distinct()
+    p = table(spark, sf, "lineitem").select((F.col("l_partkey") % TOY.shard_numbers).alias("shard")).distinct()
     return geometry.child_shards(TOY, HALF, p)
 
 
@@ -123,7 +125,7 @@ def parent_child_shards(spark, sf):
 
 def _toy_chunks(spark, sf) -> DataFrame:
     v = V.vox(spark, sf)
-    return v.groupBy(*(F.floor(F.col(a) / c).cast("long").alias(f"chunk_{a}") for a, c in zip("xyz", TOY.chunk, strict=True))).agg(F.sort_array(F.collect_list("label")).alias("labels"), F.sort_array(F.collect_list(F.col("label") * 10)).alias("supervoxels"))
+    return v.groupBy(*(geometry.div(F.col(a), c).alias(f"chunk_{a}") for a, c in zip("xyz", TOY.chunk, strict=True))).agg(F.sort_array(F.collect_list("label")).alias("labels"), F.sort_array(F.collect_list(F.col("label") * 10)).alias("supervoxels"))
 
 
 CHUNKS = f"{V.VOX}, keyed AS (SELECT x // 8 AS chunk_x, y // 8 AS chunk_y, z // 4 AS chunk_z, label FROM vox)"
@@ -158,7 +160,7 @@ def max_merge_predictions(spark, sf):
 
 @query("labels_by_shard", f"WITH {CHUNKS}, c AS (SELECT chunk_x, chunk_y, chunk_z, count(DISTINCT label) AS u FROM keyed GROUP BY 1, 2, 3) SELECT {_SHARD} AS shard, count(*) AS chunks, sum(u)::BIGINT AS total_labels FROM c GROUP BY 1")
 def labels_by_shard(spark, sf):
-    c = labels.distinct_per_cell(V.vox(spark, sf), [F.floor(F.col(a) / n).cast("long").alias(a) for a, n in zip("xyz", TOY.chunk, strict=True)])
+    c = labels.distinct_per_cell(V.vox(spark, sf), [geometry.div(F.col(a), n).alias(a) for a, n in zip("xyz", TOY.chunk, strict=True)])
     return labels.totals_by_shard(c, TOY)
 
 
@@ -257,27 +259,39 @@ def only_missing(spark, sf):
 
 @query("out_of_bounds", f"WITH {COORDS} SELECT l_orderkey, l_linenumber, cx, cy, cz FROM coords WHERE cx >= 1000 OR cy >= 1000 OR cz >= 2000")
 def out_of_bounds(spark, sf):
-    return _coords(table(spark, sf, "lineitem")).where("cx >= 1000 or cy >= 1000 or cz >= 2000")
+    cut = geometry.Scale("cut", (64_000, 64_000, 128_000))
+    return _coords(table(spark, sf, "lineitem")).where(verification.outside(cut, F.col("cx"), F.col("cy"), F.col("cz")))
+
+
+def _index_rows(spark, sf) -> DataFrame:
+    """An index's rows: chunks of one shard."""
+    return table(spark, sf, "lineitem").select(F.lit("a").alias("shard"), (F.col("l_orderkey") % 100).alias("x"), F.col("l_linenumber").cast("long").alias("y"), F.lit(0).cast("long").alias("z")).distinct()
+
+
+def _file_rows(spark, sf) -> DataFrame:
+    """A file's rows: other chunks of the same shard."""
+    a = table(spark, sf, "orders").where("o_orderkey % 3 <> 0").groupBy((F.col("o_orderkey") % 100).cast("int").alias("chunk_x"), (F.col("o_orderkey") % 9).cast("int").alias("chunk_y")).agg(F.max("o_custkey").alias("payload"))
+    return a.select(F.lit("a").alias("shard"), "chunk_x", "chunk_y", F.lit(0).alias("chunk_z"), "payload")
 
 
 @query("csv_arrow_join", "WITH i AS (SELECT DISTINCT l_orderkey % 100 AS x, l_linenumber AS y FROM lineitem), a AS (SELECT o_orderkey % 100 AS x, (o_orderkey % 9)::INT AS y, max(o_custkey) AS payload FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1, 2) SELECT x, y, payload FROM i JOIN a USING (x, y)")
 def csv_arrow_join(spark, sf):
-    i = table(spark, sf, "lineitem").select((F.col("l_orderkey") % 100).alias("x"), F.col("l_linenumber").alias("y")).distinct()
-    a = table(spark, sf, "orders").where("o_orderkey % 3 <> 0").groupBy((F.col("o_orderkey") % 100).alias("x"), (F.col("o_orderkey") % 9).cast("int").alias("y")).agg(F.max("o_custkey").alias("payload"))
-    return i.join(a, ["x", "y"])
+    i, a = _index_rows(spark, sf), _file_rows(spark, sf)
+    return shards.indexed_chunks(i, a).select("x", F.col("y").cast("int").alias("y"), "payload")
 
 
 @query("csv_arrow_missing", "WITH i AS (SELECT DISTINCT l_orderkey % 100 AS x, l_linenumber AS y FROM lineitem), a AS (SELECT DISTINCT o_orderkey % 100 AS x, (o_orderkey % 9)::INT AS y FROM orders WHERE o_orderkey % 3 <> 0) SELECT x, y FROM i ANTI JOIN a USING (x, y)")
 def csv_arrow_missing(spark, sf):
-    i = table(spark, sf, "lineitem").select((F.col("l_orderkey") % 100).alias("x"), F.col("l_linenumber").alias("y")).distinct()
-    a = table(spark, sf, "orders").where("o_orderkey % 3 <> 0").select((F.col("o_orderkey") % 100).alias("x"), (F.col("o_orderkey") % 9).cast("int").alias("y"))
-    return i.join(a, ["x", "y"], "left_anti")
+    return shards.missing_chunks(_index_rows(spark, sf), _file_rows(spark, sf)).select("x", F.col("y").cast("int").alias("y"))
 
 
-@query("positional_join", "WITH b AS (SELECT row_number() OVER (ORDER BY s_suppkey) - 1 AS rec, s_suppkey FROM supplier) SELECT o_orderkey, rec, s_suppkey FROM (SELECT o_orderkey, o_orderkey % 150 AS rec FROM orders) JOIN b USING (rec)")
+@query("positional_join", "WITH b AS (SELECT (s_suppkey % 10)::VARCHAR AS shard, s_suppkey // 10 AS rec, s_suppkey * 100 AS o FROM supplier) SELECT o_orderkey AS x, b.o AS \"offset\", b.rec AS batch_idx FROM orders JOIN b ON (o_orderkey % 10)::VARCHAR = b.shard AND o_orderkey % 15 = b.rec")
 def positional_join(spark, sf):
-    s = planning.buckets(table(spark, sf, "supplier").select("s_suppkey"), 1, ["s_suppkey"]).select(F.col("bucket").cast("long").alias("rec"), "s_suppkey")
-    return table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 150).alias("rec")).join(s, "rec").select("o_orderkey", "rec", "s_suppkey")
+    k = F.col("s_suppkey")
+    offsets = table(spark, sf, "supplier").select((k % 10).cast("string").alias("shard"), geometry.div(k, 10).alias("batch_idx"), (k * 100).alias("offset"), F.lit(50).cast("long").alias("size"), F.lit(688).cast("long").alias("schema_size"))
+    o = F.col("o_orderkey")
+    index = table(spark, sf, "orders").select((o % 10).cast("string").alias("shard"), o.alias("x"), F.lit(0).alias("y"), F.lit(0).alias("z"), (o % 15).alias("batch_idx"))
+    return shards.with_offsets(index, offsets).select("x", "offset", "batch_idx")
 
 
 @query("chunk_estimate", "SELECT o_orderkey, greatest(0, (o_custkey * 97) // 15 - 1) AS chunks FROM orders")
@@ -355,17 +369,36 @@ def snake_tasks(spark, sf):
     return planning.snake(V.shards(spark, sf), "bytes", 16, "o_orderkey", ("scale",)).select("o_orderkey", "task_id")
 
 
-@query("lpt_tasks")
+_LPT = """, o AS (SELECT *, row_number() OVER (PARTITION BY tier_gib ORDER BY w DESC, k) AS i, least({tasks}, count(*) OVER (PARTITION BY tier_gib)) AS n FROM r),
+a AS (SELECT tier_gib, 0::BIGINT AS i, list_transform(range(any_value(n)), lambda j: 0::HUGEINT) AS loads, 0 AS task FROM o GROUP BY 1
+  UNION ALL SELECT a.tier_gib, o.i, list_concat(a.loads[:p.at - 1], [a.loads[p.at] + o.w], a.loads[p.at + 1:]), (p.at - 1)::INT
+  FROM a JOIN o ON o.tier_gib = a.tier_gib AND o.i = a.i + 1, LATERAL (SELECT list_position(a.loads, list_min(a.loads)) AS at) p)"""
+
+
+@query("lpt_tasks", f"WITH RECURSIVE {V.SHARDS}, t AS (SELECT *, {_EXPORT} AS memory_gib FROM shards), r AS (SELECT o_orderkey AS k, bytes AS w, {_TIER('memory_gib')} AS tier_gib FROM t){_LPT.format(tasks=50)} SELECT o.k AS o_orderkey, o.tier_gib, a.task AS task_id, o.w AS bytes FROM o JOIN a ON o.tier_gib = a.tier_gib AND o.i = a.i")
 def lpt_tasks(spark, sf):
-    return planning.balanced(planning.with_tier(V.shards(spark, sf)), "bytes", 50).select("o_orderkey", "tier_gib", "task_id", "bytes")
+    return planning.balanced(planning.with_tier(V.shards(spark, sf)), "bytes", 50, tie="o_orderkey").select("o_orderkey", "tier_gib", "task_id", "bytes")
+
 
+_PARENT = ", ".join(f"{V.origin_sql(LARGE, 'n', k)} AS p{a}" for k, a in enumerate("xyz"))
+_CHILD = ", ".join(f"{V.origin_sql(LARGE_HALF, 'n', k)} AS c{a}" for k, a in enumerate("xyz"))
+_ROOM = " * ".join(f"greatest(0, least({s}, {g} - c{a}))" for a, s, g in zip("xyz", LARGE_HALF.shard_shape, LARGE_HALF.grid, strict=True))
+_DOWN1 = f"((greatest(1.0, floor(pow(chunks::DOUBLE, 2 / 3.0::DOUBLE))) * 2 * 1048576.0 / {G} + 2 * chunks * {float(models.BYTES_PER_CHUNK[1])}::DOUBLE / {G} + 2.0) * 1.2)"
 
-@query("downres_plan")
+
+@query("downres_plan", f"WITH RECURSIVE {V.NUMBERED}, p AS (SELECT DISTINCT number AS n FROM numbered), po AS (SELECT {_PARENT} FROM p), c AS (SELECT DISTINCT {V.shard_sql(LARGE_HALF, 'px // 2', 'py // 2', 'pz // 2')} AS n FROM po WHERE px < {LARGE.grid[0]} AND py < {LARGE.grid[1]} AND pz < {LARGE.grid[2]}), co AS (SELECT n, {_CHILD} FROM c), k AS (SELECT n, {_ROOM} AS chunks FROM co), r AS (SELECT n AS k, chunks AS w, {_TIER(_DOWN1)} AS tier_gib FROM k WHERE chunks > 0){_LPT.format(tasks=100)} SELECT o.k AS shard, {V.file_sql('o.k', LARGE_HALF.shard)} AS file, o.w AS chunks, o.tier_gib, a.task AS task_id FROM o JOIN a ON o.tier_gib = a.tier_gib AND o.i = a.i")
 def downres_plan(spark, sf):
     p = V.numbered(spark, sf).select(F.col("number").alias("shard")).distinct()
     return planning.downres_plan(LARGE, LARGE_HALF, 1, p, max_tasks=100).select("shard", "file", "chunks", "tier_gib", "task_id")
 
 
+@query("rough_shards", "SELECT p_partkey, side, (side // 64) ** 3 AS max_chunks, round((side // 64) ** 3 * CASE WHEN s = 0 THEN 5.0 ELSE least(50.0, 5.0 * pow(2.0, s)) END / 1024, 6) AS max_mb FROM (SELECT p_partkey, p_partkey % 9 AS s, 1 << ((18 + p_size % 10 + p_partkey % 7) // 3)::INT AS side FROM part)".replace("(side // 64) ** 3", "(side // 64) * (side // 64) * (side // 64)"))
+def rough_shards(spark, sf):
+    k, n = F.col("p_partkey"), F.col("p_size")
+    out = geometry.rough_shard(k % 9, n % 10, k % 7)
+    return table(spark, sf, "part").select("p_partkey", out["side"].alias("side"), out["max_chunks"].alias("max_chunks"), F.round(out["max_mb"], 6).alias("max_mb"))
+
+
 # --- verification -----------------------------------------------------------------------------------------
 
 _CMP = f"WITH {V.OUTPUTS}, w AS (SELECT file, list_sort(list(shard)) AS shards FROM numbered GROUP BY 1), c AS (SELECT coalesce(w.file, o.file) AS file, CASE WHEN w.file IS NULL THEN 'orphaned' WHEN o.file IS NULL THEN 'missing' ELSE 'present' END AS state, coalesce(len(w.shards), 0)::INT AS n FROM w FULL JOIN (SELECT DISTINCT file FROM outputs) o ON w.file = o.file)"
@@ -380,13 +413,30 @@ def verify_full_outer(spark, sf):
 @query("verify_report", f"{_CMP} SELECT 0 AS scale, 's0' AS scale_key, sum(n)::BIGINT AS source_shards, count(*) FILTER (state <> 'orphaned') AS expected_shards, count(*) FILTER (state <> 'missing') AS actual_shards, count(*) FILTER (state = 'missing') AS missing_count, count(*) FILTER (state = 'orphaned') AS orphaned_count FROM c")
 def verify_report(spark, sf):
     c = verification.compare_outputs(V.numbered(spark, sf), V.outputs(spark, sf))
-    return verification.report(c, 0, "s0").drop("missing", "orphaned")
+    return verification.report(c, 0, "s0")
 
 
 @query("missing_sources", f"WITH {V.OUTPUTS} SELECT 0 AS scale, file, shard FROM numbered WHERE file NOT IN (SELECT file FROM outputs)")
 def missing_sources(spark, sf):
     c = verification.compare_outputs(V.numbered(spark, sf), V.outputs(spark, sf))
-    return verification.missing_sources(verification.report(c, 0, "s0"))
+    return verification.missing_sources(c, 0)
+
+
+@query("orphaned_outputs", f"WITH {V.OUTPUTS} SELECT DISTINCT 0 AS scale, file FROM outputs WHERE file NOT IN (SELECT file FROM numbered)")
+def orphaned_outputs(spark, sf):
+    return verification.orphans(verification.compare_outputs(V.numbered(spark, sf), V.outputs(spark, sf)), 0)
+
+
+@query("missing_metadata", f"WITH {V.SHARDS}, m AS (SELECT DISTINCT scale, shard FROM shards WHERE o_orderkey % 5 = 0), s AS (SELECT DISTINCT ON (scale, shard) scale, shard, bytes, chunks FROM shards WHERE o_orderkey % 3 <> 0 ORDER BY scale, shard, o_orderkey) SELECT m.scale, m.shard, s.bytes, s.chunks, s.shard IS NOT NULL AS known FROM m LEFT JOIN s ON m.scale = s.scale AND m.shard = s.shard")
+def missing_metadata(spark, sf):
+    s = V.shards(spark, sf)
+    own = telemetry.latest(s.where("o_orderkey % 3 <> 0").withColumn("first", -F.col("o_orderkey")), ["scale", "shard"], "first", "first")
+    return verification.with_metadata(s.where("o_orderkey % 5 = 0"), own)
+
+
+@query("sampled_shards", f"WITH {V.SHARDS} SELECT DISTINCT shard FROM shards ORDER BY md5('3|' || shard), shard LIMIT 100")
+def sampled_shards(spark, sf):
+    return verification.sample_shards(V.shards(spark, sf).select("shard").distinct(), 100, 3)
 
 
 @query("failed_anti", f"WITH {V.SHARDS} SELECT o_orderkey, scale, shard FROM shards s WHERE NOT EXISTS (SELECT 1 FROM shards c WHERE c.scale = s.scale AND c.shard = s.shard AND (c.o_orderkey % 5 = 1 OR c.o_orderkey % 11 = 0))")
@@ -409,13 +459,21 @@ def exposed_faces(spark, sf):
     return verification.exposed_faces(TOY, geometry.shard_table(TOY, e), e).select("shard", "axis", "direction", "area")
 
 
-@query("sample_points")
+_DRAW = lambda k: f"(('0x' || substr(md5('7|' || i || '|{k}'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
+_SOME = f"e AS (SELECT range AS n FROM range({TOY.shard_numbers}) WHERE range % 3 <> 0), r AS (SELECT n AS shard, {_TOYBOX} FROM e)"
+_PICKS = f"p AS (SELECT range AS i, floor({_DRAW(0)} * (SELECT max(high) FROM c)::DOUBLE)::BIGINT AS pick FROM range(2000)), j AS (SELECT * FROM p JOIN c ON pick >= high - w AND pick < high)".replace("'|' || i", "'|' || range").replace("'7|' || i", "'7|' || range")
+
+
+@query("sample_points", f"WITH {_SOME}, c AS (SELECT *, {math.prod(_EXT.values())} AS w, sum({math.prod(_EXT.values())}) OVER (ORDER BY shard)::BIGINT AS high FROM r), {_PICKS} SELECT i AS point_id, {', '.join(f'(o{a} + floor({_DRAW(k + 1)} * {_EXT[a]}))::BIGINT AS {a}' for k, a in enumerate('xyz'))} FROM j")
 def sample_points(spark, sf):
     records = geometry.shard_table(TOY, geometry.all_shards(TOY, spark).where("shard % 3 <> 0"))
     return verification.sample_inside(records, 2000, 7)
 
 
-@query("sample_outside_points")
+_INNER = lambda k, a: f"o{a} + floor({_DRAW(k + 1)} * {_EXT[a]})"
+
+
+@query("sample_outside_points", f"WITH {_SOME}, f AS ({_FACE}), x AS (SELECT f.*, {', '.join(f'r.o{a}' for a in 'xyz')} FROM f JOIN r USING (shard) WHERE px >= 0 AND px < 128 AND py >= 0 AND py < 128 AND pz >= 0 AND pz < 8 AND {V.shard_sql(TOY, 'px // 8', 'py // 8', 'pz // 4')} NOT IN (SELECT n FROM e)), c AS (SELECT *, area AS w, sum(area) OVER (ORDER BY shard, axis, direction)::BIGINT AS high FROM x), {_PICKS} SELECT i AS point_id, " + ", ".join(f"(CASE WHEN axis = '{a}' THEN p{a} ELSE {_INNER(k, a)} END)::BIGINT AS {a}" for k, a in enumerate("xyz")) + " FROM j")
 def sample_outside_points(spark, sf):
     some = geometry.all_shards(TOY, spark).where("shard % 3 <> 0")
     return verification.sample_outside(verification.exposed_faces(TOY, geometry.shard_table(TOY, some), some), 2000, 7)
@@ -541,7 +599,7 @@ def stream_windows(spark, sf):
     stream = stream.select(F.col("event_type").alias("event"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("memory_gib"))
     at = scratch(spark, "stream")
     progress.to_table(progress.windowed(stream, "6 hours"), f"{at}/table", f"{at}/checkpoint").awaitTermination()
-    out = spark.read.parquet(f"{at}/table")
+    out = progress.read_table(spark, f"{at}/table")
     return out.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event", "events", "peak_gib")
 
 
@@ -553,7 +611,7 @@ def stream_progress(spark, sf):
     e = e.select(F.when(F.col("event_id") % 101 == 0, "shard_complete").otherwise("progress").alias("event"), F.col("ts").cast("timestamp").alias("ts"), (F.col("event_id") % 3).cast("int").alias("scale"), F.col("user_id").cast("string").alias("shard"), F.col("event_id").alias("chunks_written"), F.lit(0).cast("long").alias("chunks_failed"), F.lit(1).cast("long").alias("total"))
     at = scratch(spark, "stream")
     progress.to_table(progress.progress(e), f"{at}/table", f"{at}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{at}/table").select("scale", "shard", "done", "chunks_written")
+    return progress.read_table(spark, f"{at}/table").select("scale", "shard", "done", "chunks_written")
 
 
 # --- calibration ------------------------------------------------------------------------------------------
@@ -620,16 +678,15 @@ def bag_union(spark, sf):
 
 @query("dedupe_first", f"WITH {V.SHARDS}, r AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY o_orderkey) AS k FROM shards) SELECT shard, o_orderkey FROM r WHERE k = 1")
 def dedupe_first(spark, sf):
-    return V.shards(spark, sf).groupBy("shard").agg(F.min("o_orderkey").alias("o_orderkey"))
+    first = V.shards(spark, sf).withColumn("first", -F.col("o_orderkey"))
+    return telemetry.latest(first, ["shard"], "first", "first").select("shard", "o_orderkey")
 
 
 @query("cumulative_weights", "WITH n AS (SELECT n_nationkey, count(*) AS w FROM nation JOIN customer ON n_nationkey = c_nationkey GROUP BY 1) SELECT n_nationkey, w, sum(w) OVER (ORDER BY n_nationkey)::BIGINT AS cumulative FROM n")
 def cumulative_weights(spark, sf):
-    from pyspark.sql import Window
-
     c = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("w"))
     c = c.join(table(spark, sf, "nation").select("n_nationkey"), "n_nationkey")
-    return c.withColumn("cumulative", F.sum("w").over(Window.orderBy("n_nationkey").rowsBetween(Window.unboundedPreceding, 0)))
+    return verification.cumulative(c, "w", ["n_nationkey"]).select("n_nationkey", "w", F.col("high").alias("cumulative"))
 
 
 @query("bits_and_bounds", "SELECT p_partkey, CASE WHEN p_partkey < 2 THEN 0 ELSE length(bin(p_partkey - 1)) END::INT AS nbits, CASE WHEN p_partkey <= 1 THEN 0 WHEN p_partkey <= 2 THEN 1 WHEN p_partkey <= 4 THEN 2 WHEN p_partkey <= 16 THEN 4 WHEN p_partkey <= 256 THEN 8 WHEN p_partkey <= 65536 THEN 16 ELSE 32 END::INT AS encoding_bits, (4 + c * 8 + c * (256 + 1024) * 4)::BIGINT AS bound FROM (SELECT p_partkey, ceil(p_size / 8.0) * ceil(p_partkey / 8.0) * 8 AS c FROM part)")
@@ -653,7 +710,7 @@ def text_scalars(spark, sf):
 # --- codecs, rows only ------------------------------------------------------------------------------------
 
 
-def _blocks(spark, sf) -> DataFrame:
+def blocks(spark, sf) -> DataFrame:
     """Toy chunks as stored blocks of 8 x 8 x 8 voxels, made by the engine's own encoder."""
     import numpy as np
     import pandas as pd
@@ -668,22 +725,23 @@ def _blocks(spark, sf) -> DataFrame:
         cube = np.zeros((8, 8, 8), np.uint64)
         cube[rows.z, rows.y, rows.x] = rows.label
         own = [int(i) for i in np.unique(cube)]
-        block = zstandard.ZstdCompressor().compress(codecs.encode_block(cube))
+        plain = codecs.encode_block(cube)
+        block = zstandard.ZstdCompressor().compress(plain)
         first = rows.iloc[0]
-        return pd.DataFrame({"chunk_x": [first.chunk_x], "chunk_y": [first.chunk_y], "chunk_z": [first.chunk_z], "labels": [[i + 1000 if i else 0 for i in own]], "supervoxels": [own], "block": [block]})
+        return pd.DataFrame({"chunk_x": [first.chunk_x], "chunk_y": [first.chunk_y], "chunk_z": [first.chunk_z], "labels": [[i + 1000 if i else 0 for i in own]], "supervoxels": [own], "block": [block], "uncompressed_size": [len(plain)]})
 
-    return v.groupBy("chunk_x", "chunk_y", "chunk_z").applyInPandas(build, "chunk_x int, chunk_y int, chunk_z int, labels array<long>, supervoxels array<long>, block binary")
+    return v.groupBy("chunk_x", "chunk_y", "chunk_z").applyInPandas(build, "chunk_x int, chunk_y int, chunk_z int, labels array<long>, supervoxels array<long>, block binary, uncompressed_size long")
 
 
 @query("block_decode", f"WITH {V.VOX} SELECT (x // 8)::INT AS chunk_x, (y // 8)::INT AS chunk_y, (z // 8)::INT AS chunk_z, label + 1000 AS label, count(*) AS voxels FROM vox GROUP BY ALL")
 def block_decode(spark, sf):
-    d = codecs.decoded_labels(_blocks(spark, sf), shape=(8, 8, 8))
+    d = codecs.decoded_labels(blocks(spark, sf), shape=(8, 8, 8))
     return d.select("chunk_x", "chunk_y", "chunk_z", F.explode(F.arrays_zip("values", "counts")).alias("p")).select("chunk_x", "chunk_y", "chunk_z", F.col("p.values").alias("label"), F.col("p.counts").alias("voxels")).where("label <> 0")
 
 
 @query("block_voxels", f"WITH {V.VOX} SELECT * FROM vox")
 def block_voxels(spark, sf):
-    d = codecs.decode(_blocks(spark, sf), codecs.SUPERVOXELS, (8, 8, 8))
+    d = codecs.decode(blocks(spark, sf), codecs.SUPERVOXELS, (8, 8, 8))
     return volume.explode_voxels(d, geometry.Scale("toy8", (128, 128, 8), (8, 8, 8)))
 
 
@@ -691,18 +749,21 @@ def block_voxels(spark, sf):
 def chunk_downsample(spark, sf):
     """The same votes as mode_downsample, chunk by chunk."""
     whole, half = geometry.Scale("toy8", (128, 128, 8), (8, 8, 8)), geometry.Scale("half8", (64, 64, 4), (8, 8, 8))
-    d = codecs.decode(_blocks(spark, sf), codecs.SUPERVOXELS, (8, 8, 8))
+    d = codecs.decode(blocks(spark, sf), codecs.SUPERVOXELS, (8, 8, 8))
     return volume.explode_voxels(chunked.downsample(d, whole, half), half)
 
 
-@query("block_info")
-def block_info(spark, sf):
-    return codecs.info(_blocks(spark, sf))
+#: Distinct labels of each block of 8 x 8 x 8 voxels, background included where it is not full.
+PALETTES = f"{V.VOX}, b AS (SELECT (x // 8)::INT AS chunk_x, (y // 8)::INT AS chunk_y, (z // 8)::INT AS chunk_z, count(DISTINCT label) + CASE WHEN count(*) < 512 THEN 1 ELSE 0 END AS n FROM vox GROUP BY 1, 2, 3)"
+BLOCK_BYTES_SQL = "(16 + 8 * n + CASE WHEN n = 1 THEN 0 ELSE 2 + 4 * n + 64 * length(bin(n - 1)) END)::BIGINT"
 
 
-@query("segmentation_encode")
-def segmentation_encode(spark, sf):
-    e = codecs.to_segmentation(_blocks(spark, sf), gzipped=False, shape=(8, 8, 8))
-    return e.select("chunk_x", "chunk_y", "chunk_z", F.octet_length("encoded").alias("n_bytes"), F.md5("encoded").alias("digest"), "error")
+@query("block_info", f"WITH {PALETTES} SELECT chunk_x, chunk_y, chunk_z, CASE WHEN n = 1 THEN 'solid' ELSE 'compressed' END AS type, 1::BIGINT AS sub_blocks, n::BIGINT AS label_count, {BLOCK_BYTES_SQL} AS uncompressed_bytes FROM b")
+def block_info(spark, sf):
+    return codecs.info(blocks(spark, sf)).select("chunk_x", "chunk_y", "chunk_z", "type", "sub_blocks", "label_count", "uncompressed_bytes")
 
 
+@query("segmentation_encode", f"WITH {PALETTES} SELECT chunk_x, chunk_y, chunk_z, (4 + 8 + 8 * n + 64 * CASE WHEN n = 1 THEN 0 WHEN n <= 2 THEN 1 WHEN n <= 4 THEN 2 WHEN n <= 16 THEN 4 WHEN n <= 256 THEN 8 ELSE 16 END)::INT AS n_bytes, NULL::VARCHAR AS error FROM b")
+def segmentation_encode(spark, sf):
+    e = codecs.to_segmentation(blocks(spark, sf), gzipped=False, shape=(8, 8, 8))
+    return e.select("chunk_x", "chunk_y", "chunk_z", F.octet_length("encoded").alias("n_bytes"), "error")

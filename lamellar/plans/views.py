@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamellar.functions.geometry import Scale, shard_filename, shard_of_name
+from lamellar.functions.geometry import Scale, settled, shard_filename, shard_of_name
 from lamellar.session import table
 
 #: The toy volume of ``vox``.
@@ -34,8 +34,8 @@ def shards(spark: SparkSession, sf: str) -> DataFrame:
 
 def numbered(spark: SparkSession, sf: str) -> DataFrame:
     """Shards with output number and file."""
-    n = shard_of_name(LARGE, F.col("shard"))
-    return shards(spark, sf).withColumn("number", n).withColumn("file", shard_filename(F.col("number"), LARGE.shard))
+    n = settled(shards(spark, sf), number=shard_of_name(LARGE, F.col("shard")))
+    return n.withColumn("file", shard_filename(F.col("number"), LARGE.shard))
 
 
 def outputs(spark: SparkSession, sf: str) -> DataFrame:

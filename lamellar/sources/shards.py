@@ -2,15 +2,16 @@
 
 ``spark.read.format("label_shards")`` reads files with one row per chunk.  A file is an IPC *file* or *stream*.
 Unsigned columns come as int64 bit patterns, since Spark has no unsigned types.  With an index (a CSV of byte
-ranges) a file is split by batch ranges: each range is its own input partition, read without the rest of the file,
-and chunk coordinates that a filter fixes leave only the ranges that hold them.
+ranges) files are read by batch ranges: a job over the indexes plans them, neighbouring ranges travel together up to
+``SPLIT_BYTES``, and an index filtered by chunk coordinates leaves only the ranges that hold them.
 """
 
 from __future__ import annotations
 
 import io
 import re
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -19,12 +20,14 @@ import pyarrow.ipc as ipc
 from pyarrow.fs import FileSelector, FileSystem, FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "shard string, chunk_x int, chunk_y int, chunk_z int, labels array<long>, supervoxels array<long>, block binary, uncompressed_size long"
 #: Fixed value: the block column's name in the files.
 BLOCK_COLUMN = "dvid_compressed_block"
 REQUIRED = ("chunk_x", "chunk_y", "chunk_z", "labels", "supervoxels", BLOCK_COLUMN, "uncompressed_size")
+#: Bytes of a file that one planned split covers; a whole multiple of batches is read at once.
+SPLIT_BYTES = 64 << 20
 INDEX_COLUMNS = {"new": ("x", "y", "z", "offset", "size", "batch_idx"), "old": ("x", "y", "z", "rec")}
 
 
@@ -36,6 +39,20 @@ class ChunkNotFound(ShardError):
     """No chunk at the coordinates asked for."""
 
 
+def patiently(work: Callable, attempts: int = 5, first: float = 1.0, sleep: Callable[[float], None] = time.sleep):
+    """``work()``, tried again after 1, 2, 4, ... seconds when storage fails; what is wrong with the data fails at once."""
+    for attempt in range(attempts):
+        try:
+            return work()
+        except ShardError:
+            raise
+        except OSError:
+            if attempt == attempts - 1:
+                raise
+            sleep(first * 2**attempt)
+    return None
+
+
 def open_table(data: bytes) -> pa.Table:
     """All batches of an IPC file or, failing that, stream."""
     try:
@@ -103,16 +120,23 @@ def parse_index(data: bytes) -> tuple[dict[tuple[int, int, int], tuple[int, int,
     return {(value(r, "x"), value(r, "y"), value(r, "z")): where(r) for r in rows[1:]}, stated[0] if stated else 0
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """Index CSVs under a path as rows: shard, x, y, z, offset, size, batch_idx (offset and size -1 in old ones)."""
-    lines = spark.read.text(path, wholetext=False).select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.csv$", 1).alias("shard"), F.col("value"))
-    header = lines.where(F.col("value").rlike("^x,y,z,")).select("shard", F.col("value").alias("header"))
+def _index_rows(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    facts = lines.groupBy("path").agg(F.max(F.when(F.col("value").rlike("^x,y,z,"), F.col("value"))).alias("header"), F.max(F.regexp_extract("value", r"^# schema_size=(\d+)", 1).try_cast("long")).alias("schema_size"))
     rows = lines.where(F.col("value").rlike(r"^\d")).withColumn("v", F.split("value", ","))
-    rows = rows.join(header, "shard").withColumn("h", F.split("header", ","))
+    rows = rows.join(facts, "path").withColumn("h", F.split("header", ","))
     get = lambda c, default: F.coalesce(F.get("v", F.array_position("h", c).cast("int") - 1).cast("long"), F.lit(default))
     new = F.array_contains("h", "batch_idx") & F.array_contains("h", "offset") & F.array_contains("h", "size")
     first = [F.get("v", F.lit(k)).cast("long").alias(a) for k, a in enumerate("xyz")]
-    return rows.select("shard", *first, F.when(new, get("offset", -1)).otherwise(-1).alias("offset"), F.when(new, get("size", -1)).otherwise(-1).alias("size"), F.when(new, get("batch_idx", -1)).otherwise(get("rec", -1)).alias("batch_idx"))
+    return rows.select(
+        "path", F.regexp_extract("path", r"([^/]+)\.csv$", 1).alias("shard"), *first, F.when(new, get("offset", -1)).otherwise(-1).alias("offset"), F.when(new, get("size", -1)).otherwise(-1).alias("size"),
+        F.when(new, get("batch_idx", -1)).otherwise(get("rec", -1)).alias("batch_idx"), F.coalesce("schema_size", F.lit(0)).alias("schema_size"),
+    )
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """Index CSVs under a path as rows: shard, x, y, z, offset, size, batch_idx (offset and size -1 in old ones)."""
+    return _index_rows(spark, path).drop("path", "schema_size")
 
 
 def list_shards(spark: SparkSession, path: str) -> DataFrame:
@@ -121,11 +145,25 @@ def list_shards(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.regexp_extract("path", r"/s(\d+)/[^/]+$", 1).try_cast("int").alias("scale"), F.regexp_extract("path", r"([^/]+)\.arrow$", 1).alias("shard"), F.col("length").alias("bytes"), F.col("path"))
 
 
+def list_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """file, bytes and path of everything under ``path`` that a pattern names, from file metadata alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"), "path")
+
+
 def list_outputs(spark: SparkSession, path: str) -> DataFrame:
     """Output shard files: file, number, bytes."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.shard").option("recursiveFileLookup", "true").load(path)
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.select(name.alias("file"), F.conv(F.regexp_extract(name, r"^([0-9a-f]+)\.", 1), 16, 10).cast("long").alias("number"), F.col("length").alias("bytes"))
+    return list_files(spark, path, "*.shard").select("file", F.conv(F.regexp_extract("file", r"^([0-9a-f]+)\.", 1), 16, 10).cast("long").alias("number"), "bytes")
+
+
+def list_profiles(spark: SparkSession, path: str) -> DataFrame:
+    """Label profiles "{shard}-labels.csv": shard and bytes."""
+    return list_files(spark, path, "*-labels.csv").select(F.regexp_extract("file", r"^(.*)-labels\.csv$", 1).alias("shard"), "bytes")
+
+
+def list_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """Partial predictions "{shard}-*predicted*.csv" of parents: file and bytes."""
+    return list_files(spark, path, "*predicted*.csv").select("file", "bytes")
 
 
 def estimated_chunks(index_bytes) -> object:
@@ -136,13 +174,10 @@ def estimated_chunks(index_bytes) -> object:
 @dataclass
 class _Split(InputPartition):
     path: str
-    offset: int = -1
-    size: int = -1
-    schema_size: int = 0
 
 
 class LabelShards(DataSource):
-    """Options: path (file or directory), indexed ("true" to split by the CSV beside each file)."""
+    """Option: path (file or directory).  A file is a partition; :func:`read_ranges` splits indexed ones."""
 
     @classmethod
     def name(cls) -> str:
@@ -152,19 +187,12 @@ class LabelShards(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options["path"], self.options.get("indexed", "false") == "true")
+        return _Reader(self.options["path"])
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, path: str, indexed: bool):
-        self.path, self.indexed = path, indexed
-        self.fixed: dict[str, int] = {}
-
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
-        for f in filters:
-            if isinstance(f, EqualTo) and len(f.attribute) == 1 and f.attribute[0] in ("chunk_x", "chunk_y", "chunk_z"):
-                self.fixed[f.attribute[0][-1]] = f.value
-            yield f  # batches may hold other chunks too: Spark filters again
+    def __init__(self, path: str):
+        self.path = path
 
     def _fs(self) -> tuple[FileSystem, str]:
         return FileSystem.from_uri(self.path if "://" in self.path else f"file://{self.path}")
@@ -177,30 +205,19 @@ class _Reader(DataSourceReader):
         if found[0].type == FileType.Directory:
             found = fs.get_file_info(FileSelector(root, recursive=True))
         files = sorted(f.path for f in found if f.type == FileType.File and f.path.endswith(".arrow"))
-        if not self.indexed:
-            return [_Split(f) for f in files]
-        out: list[InputPartition] = []
-        for f in files:
-            with fs.open_input_stream(f.removesuffix(".arrow") + ".csv") as s:
-                index, schema_size = parse_index(s.read())
-            hit = {where for at, where in index.items() if all(at["xyz".index(a)] == v for a, v in self.fixed.items())}
-            if any(o < 0 for o, _, _ in index.values()) or not schema_size:
-                out += [_Split(f)] if hit else []
-            else:
-                out += [_Split(f, o, n, schema_size) for o, n in sorted({(o, n) for o, n, _ in hit})]
-        return out or [_Split("")]
+        return [_Split(f) for f in files] or [_Split("")]
 
     def read(self, partition: _Split) -> Iterator[pa.RecordBatch]:
         if not partition.path:
             return
         fs, _ = self._fs()
         shard = partition.path.rsplit("/", 1)[-1].removesuffix(".arrow")
-        with fs.open_input_file(partition.path) as f:
-            if partition.offset < 0:
-                data = f.read()
-            else:
-                data = f.read_at(partition.schema_size, 0) + f.read_at(partition.size, partition.offset)
-        yield from to_batches(open_table(data), shard)
+
+        def whole() -> bytes:
+            with fs.open_input_file(partition.path) as f:
+                return f.read()
+
+        yield from to_batches(open_table(patiently(whole)), shard)
 
 
 def register(spark: SparkSession) -> None:
@@ -212,9 +229,63 @@ def register(spark: SparkSession) -> None:
 
 
 def read_shards(spark: SparkSession, path: str, indexed: bool = False) -> DataFrame:
-    """Chunks of the shards under a path."""
+    """Chunks of the shards under a path; ``indexed``: by the byte ranges of the CSV beside each file."""
+    if indexed:
+        return read_ranges(spark, index_entries(spark, path))
     register(spark)
-    return spark.read.format("label_shards").option("indexed", str(indexed).lower()).load(path)
+    return spark.read.format("label_shards").load(path)
+
+
+def index_entries(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of the indexes under a path with the file they are of: path, x, y, z, offset, size, schema_size.
+
+    Entries of old indexes, which know no ranges, have offset and size -1.
+    """
+    rows = _index_rows(spark, path)
+    known = (F.col("offset") >= 0) & (F.col("schema_size") > 0)
+    of = F.regexp_replace("path", r"\.csv$", ".arrow").alias("path")
+    return rows.select(of, "shard", "x", "y", "z", F.when(known, F.col("offset")).otherwise(-1).alias("offset"), F.when(known, F.col("size")).otherwise(-1).alias("size"), "schema_size")
+
+
+def read_ranges(spark: SparkSession, entries: DataFrame) -> DataFrame:
+    """Chunks of the batches that index entries (see :func:`index_entries`, perhaps filtered) name.
+
+    Ranges are gathered by stretches of a file, so a task reads neighbouring batches at once, and none the whole file
+    unless its index knows no ranges.  A batch comes whole, with chunks that no entry names.
+    """
+    from lamellar.session import ship
+
+    ship(spark)
+    ranges = entries.select("path", "offset", "size", "schema_size").distinct()
+    stretch = F.expr(f"offset div {SPLIT_BYTES}")
+    splits = ranges.groupBy("path", "schema_size", stretch.alias("stretch")).agg(F.sort_array(F.collect_set(F.struct("offset", "size"))).alias("ranges"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, schema_size, ranges_ in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                shard = path.rsplit("/", 1)[-1].removesuffix(".arrow")
+                yield from to_batches(open_table(patiently(lambda p=path, n=schema_size, r=ranges_: _bytes_of(p, n, r))), shard)
+
+    return splits.select("path", "schema_size", "ranges").mapInArrow(run, SCHEMA)
+
+
+def _bytes_of(path: str, schema_size: int, ranges: list[dict]) -> bytes:
+    """The schema and the ranges of a stream, neighbouring ones in one read; the whole file for an unknown range."""
+    uri = path if "://" in path else f"file://{path.removeprefix('file:')}"
+    fs, name = FileSystem.from_uri(uri)
+    with fs.open_input_file(name) as f:
+        if ranges[0]["offset"] < 0:
+            return f.read()
+        parts, at = [f.read_at(schema_size, 0)], None
+        for r in ranges:
+            if at and at[1] == r["offset"]:
+                at[1] += r["size"]
+            else:
+                if at:
+                    parts.append(f.read_at(at[1] - at[0], at[0]))
+                at = [r["offset"], r["offset"] + r["size"]]
+        parts.append(f.read_at(at[1] - at[0], at[0]))
+        return b"".join(parts)
 
 
 def read_chunk(chunks: DataFrame, x: int, y: int, z: int) -> DataFrame:
@@ -224,6 +295,12 @@ def read_chunk(chunks: DataFrame, x: int, y: int, z: int) -> DataFrame:
     return chunks.where((F.col("chunk_x") == x) & (F.col("chunk_y") == y) & (F.col("chunk_z") == z))
 
 
+def find_chunk(spark: SparkSession, path: str, x: int, y: int, z: int) -> DataFrame:
+    """The chunk at these coordinates of the indexed shards under a path; only the batches that hold it are read."""
+    entries = index_entries(spark, path).where((F.col("x") == x) & (F.col("y") == y) & (F.col("z") == z))
+    return read_chunk(read_ranges(spark, entries), x, y, z)
+
+
 def chunk_info(chunks: DataFrame) -> DataFrame:
     """List and byte sizes of chunks; blocks are only measured."""
     return chunks.select("chunk_x", "chunk_y", "chunk_z", F.size("labels").alias("num_labels"), F.size("supervoxels").alias("num_supervoxels"), F.octet_length("block").alias("compressed_size"), "uncompressed_size")
@@ -271,6 +348,58 @@ def with_offsets(index: DataFrame, offsets: DataFrame) -> DataFrame:
     return index.select("shard", "x", "y", "z", "batch_idx").join(offsets, ["shard", "batch_idx"]).select("shard", "x", "y", "z", "offset", "size", "batch_idx", "schema_size")
 
 
+def write_shards(chunks: DataFrame, folder: str, batch_size: int = 1, ranges: bool = True) -> DataFrame:
+    """Write chunk rows (shard, chunk_x.., labels, supervoxels, block, uncompressed_size) as source shards.
+
+    A file per shard, an IPC stream of ``batch_size`` chunks a batch in z, y, x order, and its index beside it, with byte
+    ranges or, without ``ranges``, in the old form.  A shard is one task's, as a source shard is one file.  Returns shard,
+    chunks and bytes; the files are there once that is computed, and a repeated task writes the same.
+    """
+    from lamellar.session import ship
+
+    ship(chunks.sparkSession)
+
+    def put(key: tuple, rows: pa.Table) -> pa.Table:
+        name = key[0].as_py()
+        own = sorted(rows.to_pylist(), key=lambda r: (r["chunk_z"], r["chunk_y"], r["chunk_x"]))
+        unsigned = lambda v: [x + (1 << 64) if x < 0 else x for x in v]
+        data = write_shard([{**{k: r[k] for k in ("chunk_x", "chunk_y", "chunk_z", "uncompressed_size")}, "labels": unsigned(r["labels"]), "supervoxels": unsigned(r["supervoxels"]), BLOCK_COLUMN: r["block"]} for r in own], batch_size)
+        schema_size, at = scan_offsets(data)
+        lines = [f"# schema_size={schema_size}"] if ranges else []
+        lines.append("x,y,z,offset,size,batch_idx" if ranges else "x,y,z,rec")
+        for i, r in enumerate(own):
+            k, offset, size = at[i // batch_size]
+            lines.append(",".join(map(str, (r["chunk_x"], r["chunk_y"], r["chunk_z"], *((offset, size, k) if ranges else (k,))))))
+        fs, root = FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        fs.create_dir(root, recursive=True)
+        for suffix, content in (("arrow", data), ("csv", ("\n".join(lines) + "\n").encode())):
+            with fs.open_output_stream(f"{root}/{name}.{suffix}", compression=None) as f:
+                f.write(content)
+        return pa.table({"shard": pa.array([name]), "chunks": pa.array([len(own)], pa.int64()), "bytes": pa.array([len(data)], pa.int64())})
+
+    return chunks.groupBy("shard").applyInArrow(put, "shard string, chunks long, bytes long")
+
+
+def write_offsets(spark: SparkSession, source: str, out: str) -> DataFrame:
+    """Byte ranges of every chunk of the old-style indexed streams under ``source``, by shard, under ``out``.
+
+    Shards that ``out`` has already are left alone, so a repeated run does what is missing.  Returns the work done:
+    shard, status ("ok" or "exists").
+    """
+    from lamellar.session import materialize
+
+    shards = list_shards(spark, source).select("shard")
+    # The folder lists what is done; a first run finds none.
+    path = spark._jvm.org.apache.hadoop.fs.Path(out)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = list_files(spark, out, "*.csv").select(F.regexp_extract("path", r"/shard=([^/]+)/", 1).alias("shard")).distinct() if fs.exists(path) else shards.limit(0)
+    state = done.select("shard", F.lit(True).alias("there"))
+    status = materialize(shards.join(state, "shard", "left").select("shard", F.when(F.col("there"), "exists").otherwise("ok").alias("status")), "offsets-status")
+    found = with_offsets(read_index(spark, source), batch_offsets(spark, source)).join(status.where("status = 'ok'"), "shard", "left_semi")
+    found.repartition("shard").sortWithinPartitions("shard", "batch_idx").write.mode("append").partitionBy("shard").option("header", True).csv(out)
+    return status
+
+
 def write_shard(rows: list[dict], batch_size: int = 1) -> bytes:
     """An IPC stream of chunk rows (for tests and small exports)."""
     schema = pa.schema([*(pa.field(f"chunk_{a}", pa.int32(), False) for a in "xyz"), pa.field("labels", pa.list_(pa.uint64()), False), pa.field("supervoxels", pa.list_(pa.uint64()), False), pa.field(BLOCK_COLUMN, pa.binary(), False), pa.field("uncompressed_size", pa.uint32(), False)])

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from lamellar.functions.geometry import Scale
 from lamellar.functions.text import embedded_json, tier_of
+from lamellar.session import fresh
+
+from .shards import list_files
 
 #: Fixed value: the spec format's type tag.
 SPEC_TYPE = "neuroglancer_multiscale_volume"
@@ -78,7 +81,7 @@ def read_manifests(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_task_files(spark: SparkSession, path: str, entry: str = "struct<scale:int,shard:string>") -> DataFrame:
     """Manifests of the form tier-{N}gi/task-{i}.json, each one JSON array: tier_gib, task_id and the entry's fields."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "task-*.json").text(path)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "task-*.json").text(path, wholetext=True)
     rows = files.select(F.input_file_name().alias("f"), F.explode(F.from_json("value", f"array<{entry}>")).alias("e"))
     return rows.select(tier_of(F.col("f")).alias("tier_gib"), F.regexp_extract("f", r"task-(\d+)\.json$", 1).cast("int").alias("task_id"), "e.*")
 
@@ -88,6 +91,38 @@ def manifest_summary(tasks: DataFrame) -> DataFrame:
     return tasks.rollup("tier_gib").agg(F.count(F.lit(1)).alias("shards"), F.countDistinct("task_id").alias("tasks"))
 
 
+#: A tier's or, with no tier, the whole plan's line of a written summary.
+SUMMARY = "tier_gib int, shards long, tasks long"
+
+
+def write_summary(tasks: DataFrame, path: str) -> None:
+    """The summary of manifests beside them: a line of JSON per tier and one for all."""
+    manifest_summary(tasks).coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    """A summary written by :func:`write_summary`."""
+    return spark.read.schema(SUMMARY).json(path)
+
+
+def with_tier_totals(rows: DataFrame, label: str, summary: DataFrame) -> DataFrame:
+    """Rows (jobs, say) with the planned shards and tasks of the tier that their label names; nulls without one."""
+    tier, shards, tasks = fresh(rows, "__tier", "tier_shards", "tier_tasks")
+    totals = summary.where("tier_gib is not null").select(F.col("tier_gib").alias(tier), F.col("shards").alias(shards), F.col("tasks").alias(tasks))
+    return rows.withColumn(tier, tier_of(F.col(label))).join(totals, tier, "left").select(*rows.columns, shards, tasks)
+
+
+def debug_manifest(entries: list[tuple[int, str]], tier: int = 4) -> dict[str, str]:
+    """File name and JSON of a manifest of chosen shards, in the order given, to replay them as one task."""
+    return {f"tier-{tier}gi/task-0.json": json.dumps([{"scale": s, "shard": n} for s, n in entries], separators=(",", ":"))}
+
+
+def write_report(rows: DataFrame, path: str, order: list[str], form: str = "csv") -> None:
+    """A report as one sorted CSV (with a header) or JSON file; reports have a line per shard, scale or class."""
+    w = rows.repartitionByRange(1, *order).sortWithinPartitions(*order).write.mode("overwrite")
+    (w.option("header", True).csv if form == "csv" else w.json)(path)
+
+
 # --- label profiles ---------------------------------------------------------------------------------------
 
 PROFILE = "x long, y long, z long, num_labels long, num_supervoxels long, unique_labels long"
@@ -99,6 +134,29 @@ def read_profiles(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:-labels)?\.csv$", 1).alias("shard"), "x", "y", "z", "num_labels", "num_supervoxels", F.coalesce("unique_labels", "num_labels").alias("unique_labels"))
 
 
+def shard_labels(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, total_labels) of a scale: its labels-summary.json, one JSON object, if there is one, else its profiles."""
+    found = list_files(spark, path, "labels-summary.json").limit(1).select("path").head()
+    if found is None:
+        return read_profiles(spark, path).groupBy("shard").agg(F.sum("unique_labels").alias("total_labels"))
+    text = spark.read.text(found["path"], wholetext=True)
+    return text.select(F.explode(F.from_json("value", "map<string, long>")).alias("shard", "total_labels"))
+
+
+def write_label_summary(totals: DataFrame, path: str) -> None:
+    """(shard, total_labels) of a scale, a row per shard, as labels-summary.json in ``path``, which :func:`shard_labels` reads first."""
+    found = totals.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("shard", "total_labels"))))).alias("value")).head()
+    put_text(totals.sparkSession, f"{path}/labels-summary.json", found["value"] or "{}")
+
+
+def put_text(spark: SparkSession, path: str, content: str) -> None:
+    """One small file (a spec, a summary, a manifest) at exactly this path."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    out.write(bytearray(content.encode()))
+    out.close()
+
+
 def write_profiles(profile: DataFrame, path: str) -> None:
     profile.write.mode("overwrite").partitionBy("scale", "shard").option("header", True).csv(path)
 
@@ -106,14 +164,19 @@ def write_profiles(profile: DataFrame, path: str) -> None:
 # --- logs and settings ------------------------------------------------------------------------------------
 
 
-def read_events(spark: SparkSession, path: str, schema: str, event: str | None = None, limit: int | None = None) -> DataFrame:
-    """Events in log lines, from each line's first brace on; broken lines go, ``limit`` + 1 rows tell of more."""
-    out = parse_events(spark.read.text(path).select(F.col("value").alias("line")), schema, event)
+def read_events(spark: SparkSession, path: str, schema: str, event: str | None = None, limit: int | None = None, job: str | None = None, execution: str | None = None) -> DataFrame:
+    """Events in log lines, from each line's first brace on; broken lines go, ``limit`` + 1 rows tell of more.
+
+    ``event`` is a pattern; ``job`` and ``execution`` are values of the schema's columns of these names.
+    """
+    out = parse_events(spark.read.text(path).select(F.col("value").alias("line")), schema, event, job, execution)
     return out if limit is None else out.limit(limit + 1)
 
 
-def parse_events(lines: DataFrame, schema: str, event: str | None = None) -> DataFrame:
+def parse_events(lines: DataFrame, schema: str, event: str | None = None, job: str | None = None, execution: str | None = None) -> DataFrame:
     out = lines.select("line", embedded_json(F.col("line"), schema).alias("e")).where("e is not null").select("line", "e.*")
+    for column, value in (("job", job), ("execution", execution)):
+        out = out if value is None else out.where(F.col(column) == value)
     return out if event is None else out.where(F.col("event").rlike(event))
 
 
@@ -143,14 +206,23 @@ class ExportConfig:
     label_type: str = "labels"
     z_compress: int = 0
     scales: tuple[int, ...] = (0,)
+    downres_scales: tuple[int, ...] = ()
     only_missing: bool = False
     max_tasks: int = 5000
+    staging: str = ""
+    memory_gib: float = 4.0
+    manifests: str = ""
+    limit_minutes: int = 1440
 
 
 def config_from_env(env: dict[str, str]) -> ExportConfig:
-    scales = tuple(int(x) for x in env.get("SCALES", "0").split(","))
-    label_type = "supervoxels" if env.get("SUPERVOXELS", "").lower() in ("1", "true", "yes") else "labels"
-    return ExportConfig(env["SOURCE_PATH"], env["DEST_PATH"], base64.b64decode(env["NG_SPEC"]).decode(), label_type, int(env.get("Z_COMPRESS", "0")), scales, env.get("ONLY_MISSING", "") == "1", int(env.get("MAX_TASKS", "5000")))
+    """The settings' names and defaults are fixed by the format; without a staging path intermediate files go to scratch."""
+    numbers = lambda text: tuple(int(x) for x in text.split(",") if x.strip())
+    spec = base64.b64decode(env.get("NG_SPEC", "")).decode() or "{}"
+    return ExportConfig(
+        env["SOURCE_PATH"], env["DEST_PATH"], spec, env.get("LABEL_TYPE", "labels"), int(env.get("Z_COMPRESS", "0")), numbers(env.get("SCALES", "0")), numbers(env.get("DOWNRES_SCALES", "")),
+        env.get("ONLY_MISSING", "") == "1", int(env.get("MAX_TASKS", "5000")), env.get("STAGING_PATH", ""), float(env.get("WORKER_MEMORY_GIB", "4")), env.get("MANIFEST_URI", ""), int(env.get("MAX_PROCESSING_TIME", "1440")),
+    )
 
 
 def resolve_label_type(given: Column, env: Column) -> Column:
@@ -161,8 +233,12 @@ def resolve_label_type(given: Column, env: Column) -> Column:
 
 
 def write_volume(chunks: DataFrame, path: str) -> None:
-    """Encoded chunks by scale and shard.  The committer makes each task's output appear whole or not at all."""
-    chunks.repartition("scale", "shard").write.mode("overwrite").partitionBy("scale", "shard").parquet(path)
+    """Encoded chunks by scale and shard; other scales and shards under the path stay.
+
+    The committer makes each task's output appear whole or not at all.
+    """
+    w = chunks.repartition("scale", "shard").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    w.partitionBy("scale", "shard").parquet(path)
 
 
 def read_volume(spark: SparkSession, path: str, scale: int | None = None) -> DataFrame:

@@ -1,7 +1,8 @@
 """Live telemetry with Structured Streaming: parsed events, progress per shard, completions and windows.
 
-The stream functions are the batch operators on unbounded input: the same events give the same rows.  State is
-bounded by watermarks; sinks that need a table rewrite it per micro-batch with ``foreachBatch``.
+The stream functions are the batch operators on unbounded input: the same events give the same rows.  Windows and
+repeats are forgotten behind the watermark; the latest state of shards is a row per shard and stays, as shards are
+metadata of a fixed number.  Sinks that need a table write a new version of it per micro-batch with ``foreachBatch``.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lamellar.functions.text import embedded_json
+from lamellar.session import discard
 
 #: Fields of worker events.
 EVENT = "event string, ts timestamp, scale int, shard string, chunks_written long, chunks_failed long, total long, elapsed_s double, memory_gib double"
@@ -35,7 +37,10 @@ def deduplicated(events: DataFrame, keys: list[str], delay: str = "10 minutes",
 
 
 def progress(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Latest state of every shard; a completion counts over any progress, however late that comes."""
+    """Latest state of every shard; a completion counts over any progress, however late that comes.
+
+    The state is one row per shard that has reported.
+    """
     done = F.col("event") == "shard_complete"
     own = F.struct(done.alias("done"), F.col("ts"), F.col("chunks_written"), F.col("chunks_failed"), F.col("total"))
     out = events.withWatermark("ts", delay).groupBy("scale", "shard").agg(F.max(own).alias("s"))
@@ -52,18 +57,31 @@ def windowed(events: DataFrame, width: str = "5 minutes", slide: str | None = No
 def to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "complete", finish: bool = True) -> StreamingQuery:
     """Keep a Parquet table equal to a stream's result; ``finish`` stops when the present input is read.
 
-    Complete results replace the table; appended rows go to a folder per micro-batch, so a repeated one replaces
-    only its own.
+    Complete results are a new version per micro-batch, which :func:`read_table` finds once it is whole, so readers
+    always have one; the version before last goes.  Appended rows go to a folder per micro-batch, so a repeated one
+    replaces only its own.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        at = f"{path}/batch={number}" if mode == "append" else path
-        batch.write.mode("overwrite").parquet(at)
+        batch.write.mode("overwrite").parquet(f"{path}/{'batch' if mode == 'append' else 'version'}={number}")
+        if mode != "append" and number > 1:
+            discard(batch.sparkSession, f"{path}/version={number - 2}")
 
     w = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
     return (w.trigger(availableNow=True) if finish else w.trigger(processingTime="30 seconds")).start()
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole version of a table that :func:`to_table` keeps, or all rows of an appended one."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    whole = lambda f: fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))
+    versions = [f.getPath() for f in fs.listStatus(at) if f.getPath().getName().startswith("version=") and whole(f.getPath())]
+    if not versions:
+        return spark.read.parquet(path).drop("batch")
+    return spark.read.parquet(max(versions, key=lambda f: int(f.getName().partition("=")[2])).toString())
+
+
 def wait(query: StreamingQuery, finished: Callable[[], bool], every: float = 30.0, limit: float | None = None) -> bool:
     """Poll until ``finished`` says so, the query ends, or ``limit`` seconds pass; whether it finished."""
     import time

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lamellar.functions.geometry import Scale
 from lamellar.operators import chunked, codecs, volume
-from lamellar.plans import pipelines
+from lamellar.plans import pipelines, runs
 from lamellar.sources import shards
 from test_volume import brute_mode
 
@@ -83,3 +83,65 @@ def test_anisotropic_vote():
     v[0, 0, :2] = 7
     assert chunked.vote(v, (2, 4, 4), (1, 2, 2))[0, 0, 0] == 0  # two against two: the smaller label
     assert chunked.vote(v, (1, 1, 4), (1, 2, 2))[0, 0, 0] == 7 and not chunked.vote(v, (0, 4, 4), (1, 2, 2)).any()
+
+
+def test_modes(spark, source, tmp_path):
+    path, whole = source
+    scales = [Scale("s0", (128, 128, 256), shard=2, preshift=4), Scale("s1", (64, 64, 128), shard=2, preshift=4)]
+    out = str(tmp_path / "run")
+    with pytest.raises(ValueError, match="mode"):
+        runs.run(spark, path, out, scales, "other")
+    dry = runs.run(spark, path, out, scales, dry_run=True)
+    assert [r.level for r in dry] == [0] and sum(dry[0].planned.values()) == 1 and not (tmp_path / "run").exists()
+    first = runs.run(spark, path, out, scales, runs.EXPORT)
+    assert [(r.level, r.missing, r.orphaned, r.shards_failed, r.chunks_failed) for r in first] == [(0, 0, 0, 0, 0)]
+    then = runs.run(spark, path, out, scales, runs.PYRAMID)
+    assert [r.level for r in then] == [1] and then[0].missing == 0 and sum(then[0].planned.values()) >= 1
+    again = runs.run(spark, path, out, scales, runs.RETRY)  # nothing of the first scale is missing
+    assert [r.level for r in again] == [0, 1] and again[0].planned == {}
+    with pytest.raises(runs.RunStopped, match="no time"):
+        runs.run(spark, path, out, scales, limit_minutes=-1)
+
+
+def test_a_run_stops_where_outputs_are_missing(spark, source, tmp_path):
+    """A source shard whose chunks all lie outside the volume writes nothing: the scale is not complete."""
+    path, _ = source
+    scales = [Scale("s0", (128, 128, 256), shard=2, preshift=4), Scale("s1", (64, 64, 128), shard=2, preshift=4)]
+    far = tmp_path / "far" / "s0"
+    far.mkdir(parents=True)
+    (far / "0_0_0.arrow").write_bytes(open(f"{path}/0_0_0.arrow", "rb").read())
+    cube = np.full((64, 64, 64), 3, np.uint64)
+    plain = codecs.encode_block(cube)
+    row = {"chunk_x": 9, "chunk_y": 0, "chunk_z": 0, "labels": [3], "supervoxels": [3], shards.BLOCK_COLUMN: zstandard.ZstdCompressor().compress(plain), "uncompressed_size": len(plain)}
+    (far / "64_64_0.arrow").write_bytes(shards.write_shard([row]))
+    for name in ("0_0_0", "64_64_0"):
+        (far / f"{name}.csv").write_text("x,y,z,rec\n0,0,0,0\n")
+    scales[0] = Scale("s0", (128, 128, 256), shard=4, preshift=0)
+    with pytest.raises(runs.RunStopped) as e:
+        runs.run(spark, str(far), str(tmp_path / "out"), scales)
+    assert e.value.results[-1].shards_failed == 1 and len(e.value.results) == 1
+
+
+def test_patience():
+    waits, calls = [], []
+
+    def work():
+        calls.append(1)
+        if len(calls) < 4:
+            raise OSError("busy")
+        return "done"
+
+    assert shards.patiently(work, sleep=waits.append) == "done" and waits == [1.0, 2.0, 4.0]
+    with pytest.raises(OSError):
+        shards.patiently(lambda: (_ for _ in ()).throw(OSError("gone")), attempts=2, sleep=waits.append)
+    with pytest.raises(shards.ShardError):
+        shards.patiently(lambda: (_ for _ in ()).throw(shards.ShardError("broken")), sleep=lambda s: pytest.fail("waited"))
+
+
+def test_label_service_checks_lengths(spark):
+    from lamellar.sources.labels import service_labels
+
+    p = spark.createDataFrame([(i, i, 2 * i, 3) for i in range(7)], "point_id long, x long, y long, z long")
+    got = service_labels(p, "http://h/api", "u", "seg", 1, True, lambda url, body: b"[1,2]", batch=2)
+    with pytest.raises(Exception, match="2 labels for 1 points"):
+        got.collect()

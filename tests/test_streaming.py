@@ -24,14 +24,15 @@ def test_stream_equals_batch(spark, tmp_path):
     events = p.read_events(spark, str(tmp_path / "in"), files_per_trigger=1)
     q = p.to_table(p.progress(events), str(tmp_path / "out"), str(tmp_path / "cp"))
     q.awaitTermination(120)
-    got = {r.shard: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    got = {r.shard: r for r in p.read_table(spark, str(tmp_path / "out")).collect()}
     assert set(got) == {f"s{k}" for k in range(7)}
     assert got["s5"].done and got["s5"].chunks_written == 40 and got["s6"].done and got["s6"].chunks_written == 41
     assert not got["s0"].done and got["s0"].chunks_written == 56
     w = p.to_table(p.windowed(events), str(tmp_path / "w"), str(tmp_path / "cpw"))
     w.awaitTermination(120)
-    assert spark.read.parquet(str(tmp_path / "w")).agg(F.sum("events")).head()[0] == 60
+    assert p.read_table(spark, str(tmp_path / "w")).agg(F.sum("events")).head()[0] == 60
     assert p.wait(q, lambda: True)
+    assert sorted(x.name for x in (tmp_path / "out").iterdir()) == ["version=1", "version=2"]  # older versions go
 
 
 def test_repeats_go(spark, tmp_path):
@@ -40,4 +41,4 @@ def test_repeats_go(spark, tmp_path):
     d = p.deduplicated(p.read_events(spark, str(tmp_path / "in")), ["shard", "chunks_written"])
     q = p.to_table(d, str(tmp_path / "out"), str(tmp_path / "cp"), mode="append")
     q.awaitTermination(120)
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 60
+    assert p.read_table(spark, str(tmp_path / "out")).count() == 60

@@ -66,10 +66,10 @@ def test_index_ranges_and_pushdown(spark, folder):
     whole = shards.read_shards(spark, folder)
     ranged = shards.read_shards(spark, folder, indexed=True)
     assert ranged.count() == whole.count() == 8
-    assert ranged.rdd.getNumPartitions() == 8
-    hit = shards.read_chunk(ranged, 1, 0, 1)
-    assert hit.rdd.getNumPartitions() == 1 and [r.supervoxels for r in hit.collect()] == [[700]]
-    assert shards.read_chunk(ranged, 9, 9, 9).count() == 0
+    one = shards.index_entries(spark, folder).where("x = 1 and y = 0 and z = 1")
+    assert shards.read_ranges(spark, one).count() == 1  # of eight batches only the one asked for is read
+    assert [r.supervoxels for r in shards.find_chunk(spark, folder, 1, 0, 1).collect()] == [[700]]
+    assert shards.find_chunk(spark, folder, 9, 9, 9).count() == 0
     with pytest.raises(ValueError):
         shards.read_chunk(whole, -1, 0, 0)
     assert {r.num_labels for r in shards.chunk_info(whole).collect()} == {1, 2}
@@ -203,9 +203,12 @@ def test_specs_and_manifests(spark, tmp_path):
 def test_reports(spark):
     want = spark.createDataFrame([("a", "s1"), ("a", "s2"), ("b", "s3")], "file string, shard string")
     have = spark.createDataFrame([("a",), ("c",)], "file string")
-    r = verification.report(verification.compare_outputs(want, have), 0, "k").head()
-    assert (r.source_shards, r.expected_shards, r.actual_shards, r.missing_count, r.orphaned_count, r.orphaned) == (3, 2, 2, 1, 1, ["c"])
-    assert [(m.file, m.shards) for m in r.missing] == [("b", ["s3"])]
+    c = verification.compare_outputs(want, have)
+    r = verification.report(c, 0, "k").head()
+    assert (r.source_shards, r.expected_shards, r.actual_shards, r.missing_count, r.orphaned_count) == (3, 2, 2, 1, 1)
+    assert [tuple(m) for m in verification.missing_sources(c, 0).collect()] == [(0, "b", "s3")] and [tuple(o) for o in verification.orphans(c, 0).collect()] == [(0, "c")]
+    empty = verification.report(verification.compare_outputs(want.limit(0), have.limit(0)), 0, "k").head()
+    assert (empty.source_shards, empty.expected_shards, empty.actual_shards) == (0, 0, 0)
 
 
 def test_failed_leaves_empty_out(spark):
