@@ -279,7 +279,7 @@ def report_csv(spark, sf):
     """A report as one sorted CSV; the line numbers are the file's."""
     at = scratch(spark, "report")
     specs.write_report(telemetry.error_counts(V.log(spark, sf), ["event_type", "scale"]), at, ["scale", "event_type"])
-    whole = spark.read.text(at, wholetext=True).select(F.posexplode(F.split(F.trim("value"), "\n")).alias("line", "row")).where("line > 0")
+    whole = spark.read.text(at, wholetext=True).select(F.posexplode(F.split(F.trim("value"), "\n")).alias("line", "row")).where("line > 0 and row <> ''")
     part = lambda k: F.split("row", ",")[k]
     return whole.select(part(0).alias("event_type"), part(1).cast("int").alias("scale"), part(2).cast("long").alias("errors"), "line")
 
