@@ -290,6 +290,22 @@ def to_segmentation(chunks: DataFrame, label_type: str = LABELS, gzipped: bool =
     return _mapped(chunks, keep, [T.StructField("encoded", T.BinaryType())], label_type, lambda b, l, s: (transcode(b, l, s, gzipped=gzipped, shape=shape),))
 
 
+def from_segmentation(encoded: DataFrame, shape: tuple[int, int, int] = (64, 64, 64), gzipped: bool = True, keep: tuple[str, ...] = KEYS) -> DataFrame:
+    """Chunks with ``voxels`` from their ``encoded`` segmentation; null stays null."""
+    from lamellar.session import ship
+
+    ship(encoded.sparkSession)
+    schema = T.StructType([*(encoded.schema[k] for k in keep), T.StructField("voxels", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            plain = [None if x is None else gzip.decompress(x) if gzipped else x for x in b.column(len(keep)).to_pylist()]
+            voxels = [None if x is None else decode_segmentation(x, shape).astype("<u8").tobytes() for x in plain]
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(voxels, pa.binary())], names=schema.names)
+
+    return encoded.select(*keep, "encoded").mapInArrow(run, schema)
+
+
 def info(chunks: DataFrame, keep: tuple[str, ...] = KEYS) -> DataFrame:
     """Kind and header fields of stored blocks."""
     fields = [T.StructField("type", T.StringType()), *(T.StructField(k, T.LongType()) for k in ("sub_blocks", "label_count", "compressed_bytes", "uncompressed_bytes"))]

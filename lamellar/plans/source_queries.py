@@ -16,7 +16,7 @@ from lamellar.sources import shards, specs
 
 from . import pipelines, runs
 from . import views as V
-from .registry import _LPT, _EXPORT, _TIER, BLOCK_BYTES_SQL, ORACLES, PALETTES, blocks, query
+from .registry import _CHILD, _EXPORT, _LPT, _PARENT, _ROOM, _TIER, BLOCK_BYTES_SQL, ORACLES, PALETTES, blocks, query
 
 #: Two scales of the toy volume with blocks of 8 x 8 x 8 voxels.
 WHOLE = geometry.Scale("whole8", (128, 128, 8), (8, 8, 8), 1, 3, 4)
@@ -170,6 +170,45 @@ def empty_source_shards(spark, sf):
     return pipelines.empty_shards(spark, at)
 
 
+@query("segmentation_voxels", f"WITH {V.VOX} SELECT x, y, z, label + 1000 AS label FROM vox")
+def segmentation_voxels(spark, sf):
+    """Stored blocks transcoded to gzipped segmentations and decoded again."""
+    encoded = codecs.to_segmentation(blocks(spark, sf), shape=(8, 8, 8))
+    return volume.explode_voxels(codecs.from_segmentation(encoded.where("error is null"), (8, 8, 8)), WHOLE)
+
+
+@query("file_listings", "SELECT * FROM (VALUES ('output', '0a.shard', 10::BIGINT, 3::BIGINT), ('output', '1f.shard', 31, 3), ('profile', 'a_b', NULL, 5), ('profile', 'c', NULL, 5), ('prediction', 'p-predicted-1.csv', NULL, 4)) t(kind, name, number, bytes)")
+def file_listings(spark, sf):
+    """Outputs, label profiles and predictions found by name in one folder."""
+    at, none = scratch(spark, "listing"), F.lit(None).cast("long").alias("number")
+    for name, content in {"0a.shard": "xyz", "1f.shard": "xyz", "a_b-labels.csv": "x,y,z", "c-labels.csv": "x,y,z", "p-predicted-1.csv": "x,y,", "other.txt": ""}.items():
+        specs.put_text(spark, f"{at}/{name}", content)
+    out = shards.list_outputs(spark, at).select(F.lit("output").alias("kind"), F.col("file").alias("name"), "number", "bytes")
+    profiles = shards.list_profiles(spark, at).select(F.lit("profile").alias("kind"), F.col("shard").alias("name"), none, "bytes")
+    return out.unionByName(profiles).unionByName(shards.list_predictions(spark, at).select(F.lit("prediction").alias("kind"), F.col("file").alias("name"), none, "bytes"))
+
+
+# --- planning -----------------------------------------------------------------------------------------------
+
+
+@query("deletion_plan", f"WITH {V.SHARDS}, c AS (SELECT DISTINCT scale, shard FROM shards WHERE o_orderkey % 3 = 0) SELECT o_orderkey, s.scale, s.shard, bytes / chunks AS bytes_per_chunk FROM shards s JOIN c ON s.scale = c.scale AND s.shard = c.shard WHERE chunks <> 0 AND bytes / chunks < 5000")
+def deletion_plan(spark, sf):
+    """Shards confirmed empty that still look so; nothing is deleted."""
+    s = V.shards(spark, sf)
+    return planning.deletion_plan(s, s.where("o_orderkey % 3 = 0"), ["scale", "shard"], 5000).select("o_orderkey", "scale", "shard", "bytes_per_chunk")
+
+
+_KNOWN = f"WITH {V.NUMBERED}, p AS (SELECT DISTINCT number AS n FROM numbered), po AS (SELECT {_PARENT} FROM p), c AS (SELECT DISTINCT {V.shard_sql(V.LARGE_HALF, 'px // 2', 'py // 2', 'pz // 2')} AS n FROM po WHERE px < {V.LARGE.grid[0]} AND py < {V.LARGE.grid[1]} AND pz < {V.LARGE.grid[2]}), co AS (SELECT n, {_CHILD} FROM c), k AS (SELECT n, {_ROOM} AS chunks FROM co)"
+
+
+@query("label_aware_plan", f"{_KNOWN} SELECT n AS shard, CASE WHEN n % 2 = 0 THEN 'label_aware' ELSE 'chunk_count' END AS estimate_model, CASE WHEN n % 2 = 0 THEN n * 1000 END AS total_labels FROM k WHERE chunks > 0")
+def label_aware_plan(spark, sf):
+    """Child shards with the label-aware estimate where label totals are known and the chunk count's elsewhere."""
+    p = V.numbered(spark, sf).select(F.col("number").alias("shard")).distinct()
+    totals = geometry.child_shards(V.LARGE, V.LARGE_HALF, p).where("shard % 2 = 0").select("shard", (F.col("shard") * 1000).alias("total_labels"))
+    return planning.downres_plan(V.LARGE, V.LARGE_HALF, 1, p, label_totals=totals, max_tasks=100).select("shard", "estimate_model", "total_labels")
+
+
 # --- specs, manifests, profiles, logs -----------------------------------------------------------------------
 
 _SPEC = {
@@ -274,6 +313,25 @@ def settings(spark, sf):
     return spark.createDataFrame([row], "source string, destination string, label_type string, z_compress int, scales string, downres_scales string, memory_gib double, staging string, manifests string, limit_minutes int")
 
 
+@query("truncated_events", f"WITH {V.LOG} SELECT least(count(*), 21) AS n, count(*) > 20 AS more FROM log")
+def truncated_events(spark, sf):
+    """The first 20 events and one more, which tells that there are more."""
+    at = scratch(spark, "log")
+    V.log(spark, sf).select(F.to_json(F.struct(F.col("event_type").alias("event"))).alias("value")).write.text(at)
+    return specs.read_events(spark, at, "event string", limit=20).agg(F.count(F.lit(1)).alias("n")).withColumn("more", F.col("n") > 20)
+
+
+@query("label_types", "SELECT s_suppkey, coalesce(CASE WHEN s_suppkey % 3 = 0 THEN 'supervoxels' END, CASE WHEN s_suppkey % 2 = 0 THEN 'env' END, 'labels') AS label_type, 'bucket' AS bucket, 'dir/' || s_name AS key, s_suppkey + 0.5::DOUBLE AS seconds FROM supplier")
+def label_types(spark, sf):
+    """Resolved label types, the parts of object addresses, and seconds between ISO times."""
+    k = F.col("s_suppkey")
+    bucket, key = text.bucket_and_key(F.concat(F.lit("gs://bucket/dir/"), F.col("s_name")))
+    start = F.timestamp_seconds(F.lit(1_700_000_000))
+    iso = lambda t: F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    end = F.timestamp_micros(F.lit(1_700_000_000_000_000) + k * 1_000_000 + 500_000)
+    return table(spark, sf, "supplier").select("s_suppkey", specs.resolve_label_type(F.when(k % 3 == 0, "supervoxels"), F.when(k % 2 == 0, "env")).alias("label_type"), bucket.alias("bucket"), key.alias("key"), text.seconds_between(iso(start), iso(end)).alias("seconds"))
+
+
 @query("report_csv", f"WITH {V.LOG}, r AS (SELECT event_type, scale, count(*) AS errors FROM log GROUP BY 1, 2) SELECT event_type, scale, errors, row_number() OVER (ORDER BY scale, event_type)::INT AS line FROM r")
 def report_csv(spark, sf):
     """A report as one sorted CSV; the line numbers are the file's."""
