@@ -62,7 +62,10 @@ class MergeAutomaton:
         self.right: dict[int, int] = {}
         self.step: dict[int, int] = {}
         self.removed: dict[tuple[int, int], int] = {}
-        self.table: dict[int, bool] = {}
+        self.table: dict[int, dict[int, bool]] = {}  # by state, by arc
+        self.free: dict[int, bool] = {}
+        self.resolved = 0
+        self.sizes = {t: len(s) for t, s in labels.items()}
         made = {t for _, _, t in merges}
         self.arcs: dict[bytes, int] = {s: t for t, s in labels.items() if t not in made and len(s) == 1}
         if len(made) != len(merges):
@@ -102,28 +105,42 @@ class MergeAutomaton:
         token = self.arcs.get(word)
         if token is not None:
             return (token,)
-        n, move = len(word), self.table
+        n, rows, ends = len(word), self.table, self.ends.iter(word.decode("latin-1"))
         state = [-1] * n  # by byte: the token that the accepted path ends in there
-        size = [0] * n
+        moves: list[dict[int, bool]] = [self.free] * n  # and its row of the transition table
         done = -1
-        for at, (length, token) in self.ends.iter(word.decode("latin-1")):
+        for at, (length, token) in ends:
             if at == done:
                 continue
             if length <= at:
-                key = state[at - length] << 32 | token
-                open_ = move.get(key)
+                own = moves[at - length]
+                open_ = own.get(token)
                 if open_ is None:
-                    if len(move) >= TABLE_ENTRIES:
-                        move.clear()
-                    open_ = move[key] = self._open(state[at - length], token)
+                    open_ = self._resolve(state[at - length], token)
                 if not open_:
                     continue
-            state[at], size[at], done = token, length, at
-        path, at = [], n - 1
+            state[at], done = token, at
+            row = rows.get(token)
+            if row is None:
+                row = rows[token] = {}
+            moves[at] = row
+        path, at, size = [], n - 1, self.sizes
         while at >= 0:
-            path.append(state[at])
-            at -= size[at]
-        return tuple(reversed(path))
+            token = state[at]
+            path.append(token)
+            at -= size[token]
+        path.reverse()
+        return tuple(path)
+
+    def _resolve(self, state: int, token: int) -> bool:
+        """A transition looked up for the first time, kept in the table; a full table starts anew."""
+        self.resolved += 1
+        if self.resolved > TABLE_ENTRIES:
+            for row in self.table.values():
+                row.clear()
+            self.resolved = 1
+        open_ = self.table[state][token] = self._open(state, token)
+        return open_
 
 
 class _Words(dict):
@@ -170,6 +187,12 @@ class Tokenizer:
         self._chunks = _Words(lambda c: self._plain(" " + c), CACHE_ENTRIES)
 
     def _plain(self, text: str) -> tuple[int, ...]:
+        body = text[1:]
+        if text[:1] == " ":  # the two commonest forms of a chunk, as the pattern would split them
+            if body.isalpha():
+                return self.automaton.encode(text.encode())
+            if body[:-1].isalpha() and body[-1] in ".,;:!?":
+                return (*self._words[text[:-1]], *self._words[body[-1]])
         parts = self._split(text)
         if len(parts) == 1 and len(text) < 64:
             return self.automaton.encode(text.encode())  # the chunk table keeps it
