@@ -225,6 +225,8 @@ def links(fps: DataFrame, bits: int = BITS, blocks: int = BLOCKS, all_bits: int
     Linked are rows that differ in ``bits`` bits of fp at most or, with ``all_bits``, in so many of fp and more
     together; then ``bits`` and ``blocks`` mean nothing.
     """
+    # A few MB that each row's 45 (or 10) anchors make many times larger: all cores share that work.
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node")
     at, homes = ((anchored(fps, bits, blocks, v) if all_bits is None else anchored_wide(fps, all_bits, v)) for v in (True, False))
     crowded = homes.groupBy("anchor").agg(F.count(F.lit(1)).alias("homes")).where(F.col("homes") > SLOT_HOMES)
     crowded = materialize(crowded.select("anchor", F.ceil(F.col("homes") / SLOT_HOMES).cast("int").alias("slots")), "simhash-crowded")
