@@ -178,8 +178,8 @@ def count_words(requests: DataFrame, parts: int) -> DataFrame:
 class Bucket:
     """A bucket's n-grams, level by level, in the order that requests and answers share.
 
-    By distinct n-gram of the level: ``name``, ``count`` over the training fold and ``p``, its probability; by
-    token: ``at``, the n-gram that ends there.
+    By distinct n-gram of the level: ``count`` over the training fold and ``p``, its probability; by token: ``at``,
+    the n-gram that ends there.
     """
 
     def __init__(self, data: dict[str, np.ndarray], counts: np.ndarray, facts: tuple[int, int, int], parts: int):
@@ -187,7 +187,8 @@ class Bucket:
         self.data, self.parts = data, parts
         self.vocab, self.at, sizes = data["vocab"], data["index"], data["sizes"]
         self.words, self.word_counts = self.at, counts
-        self.name, self.count = self.vocab, counts.astype(np.int64)
+        self.c = self.w = None
+        self.count = counts.astype(np.int64)
         self.p = (counts + 1) / (n + v + 1)
         self.base = np.log10(self.p)
         self.starts = np.r_[0, np.cumsum(sizes)[:-1]].astype(np.int64)
@@ -195,8 +196,10 @@ class Bucket:
 
     def deepen(self) -> None:
         """On to n-grams one word longer: contexts are the present ones, and one for the start of a document."""
-        begin, width = len(self.name), len(self.vocab)
-        self.context_name, self.context_count = np.r_[self.name, BEGIN], np.r_[self.count, self.n_docs]
+        name = self.vocab if self.c is None else self._names(slice(None))
+        begin, width = len(name), len(self.vocab)
+        self.context_name, self.context_count = np.r_[name, BEGIN], np.r_[self.count, self.n_docs]
+        del name
         keys = np.empty(len(self.at), np.int64)
         keys[1:] = self.at[:-1]
         keys[self.starts] = begin
@@ -207,11 +210,14 @@ class Bucket:
         del keys
         self.lower = self.at[first]  # the n-gram without its first word
         self.at = at.astype(np.int32)
+        del first, at
         self.local = np.bincount(self.at[self.train], minlength=len(self.c)).astype(np.uint32)
-        context = mixed(self.context_name[self.c])
-        self.name = mixed(context + self.vocab[self.w])
-        owner = np.where(self.context_count[self.c] > HOT_TOKENS, mixed(self.name), context)
-        self.order, slices = _dealt((owner % np.uint64(self.parts)).astype(np.int32))
+        owner = mixed(self.context_name[self.c])
+        hot = np.flatnonzero((self.context_count > HOT_TOKENS)[self.c])
+        owner[hot] = mixed(self._names(hot))
+        owner %= np.uint64(self.parts)
+        self.order, slices = _dealt(owner.astype(np.int32))
+        del owner
         self.slices = list(slices)
         # Contexts whose backoff weight may be asked for: those of held-out tokens, and those that may have no mass.
         asked = self.context_count > K
@@ -220,6 +226,10 @@ class Bucket:
         self.asked_order, slices = _dealt((mixed(self.context_name[self.asked]) % np.uint64(self.parts)).astype(np.int32))
         self.asked_slices = list(slices)
 
+    def _names(self, which) -> np.ndarray:
+        """Names of the level's n-grams: hashes of their context's name and their last word's."""
+        return mixed(mixed(self.context_name[self.c[which]]) + self.vocab[self.w[which]])
+
     def requests(self, name: str, level: int) -> Iterator[tuple]:
         for p, s in self.slices:
             own = self.order[s]
