@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, katz, mixing, pii, quality, simhash, suffix_dedup, token_counts, warc
+from . import alignment, bpe, fingerprints, katz, merkle, mixing, pii, quality, simhash, suffix_dedup, token_counts, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.query,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": mixing.query,
     "op9_pii": pii.query,
     "op10_token_counts": token_counts.query,
+    "op11_merkle": merkle.query,
+    "op12_urls": urls.query,
+    "op13_alignment": alignment.query,
 }
 
-ORACLES: dict[str, str] = {"op6_quality": quality.ORACLE, "op8_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op6_quality": quality.ORACLE, "op8_mixing": mixing.ORACLE, "op12_urls": urls.ORACLE}

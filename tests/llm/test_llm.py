@@ -712,7 +712,7 @@ def test_pipeline(spark):
     d = [(r.doc_id, r.text, r.source) for r in table.collect() if measures(r.text)[-1]]
     prints = [simple_fingerprint(t, 5) for _, t, _ in d]
     more = [simhash.majority(simhash.remixed(simhash.hashes(t, 5))) for _, t, _ in d]
-    first = {(i, c) for i, _, c in class_ids([i for i, _, _ in d], prints, 7, more, 25)}
+    first = {(i, c) for i, _, c in class_ids([i for i, _, _ in d], prints, 64, more, 25)}
     d = [r for r in d if (r[0], r[0]) in first]
     field = pii.train(pii.labelled_table())
     d = [(i, pii.masked(t, pii.merge(found(t), pii.field_spans([t], field)[0])), s) for i, t, s in d]
