@@ -188,7 +188,7 @@ after AS (SELECT page_id, translate(name, '{UPPER}', '{LOWER}') AS host, substr(
 parts AS (SELECT page_id, host, regexp_extract(rest, '^[^?#]*') AS path, rest FROM after),
 asked AS (
   SELECT *, array_to_string(list_sort(list_filter(string_split(regexp_extract(substr(rest, length(path) + 1), '^\?([^#]*)', 1), '&'),
-                                                  p -> p <> '' AND NOT starts_with(p, 'utm_'))), '&') AS query FROM parts),
+                                                  lambda p: p <> '' AND NOT starts_with(p, 'utm_'))), '&') AS query FROM parts),
 forms AS (
   SELECT page_id, host, path, CASE WHEN host = '' THEN '' ELSE regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '')
          || regexp_replace(path, '/+$', '') || CASE WHEN query = '' THEN '' ELSE '?' || query END END AS form FROM asked),
