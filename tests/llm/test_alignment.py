@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from lamellar.llm import alignment
@@ -106,19 +107,57 @@ def frame(spark, texts):
     return spark.createDataFrame([(None if i == 4 else i // 2, t, 1, 2, "r", 3) for i, t in enumerate(texts)], SCHEMA)
 
 
-@pytest.mark.parametrize("broadcast,flush,kept", [(4_000_000, 8 << 20, 100_000), (0, 500, 100_000), (4_000_000, 10, 20)])
-def test_against_offsets(spark, monkeypatch, plain, texts, broadcast, flush, kept):
+@pytest.mark.parametrize("broadcast", [4_000_000, 0])
+def test_against_offsets(spark, monkeypatch, plain, texts, broadcast):
     monkeypatch.setattr(alignment, "BROADCAST_PAIRS", broadcast)
-    monkeypatch.setattr(alignment, "FLUSH_CHARS", flush)  # forked workers see these
-    monkeypatch.setattr(alignment, "CHUNKS", kept)
     got = [tuple(r) for r in alignment.alignments(frame(spark, texts), default_path(), pieces_path()).collect()]
     want = [(None if i == 4 else i // 2, *w) for i, w in enumerate(plain.expected(texts))]
     assert sorted(map(repr, got)) == sorted(map(repr, want))
 
 
+@pytest.mark.parametrize("chars,encoded,transitions", [(64, 20_000, 400_000), (5, 7, 50), (200, 30, 0), (0, 1, 10)])
+def test_stretches_together_and_alone(monkeypatch, texts, chars, encoded, transitions):
+    monkeypatch.setattr(alignment, "CHUNK_CHARS", chars)
+    monkeypatch.setattr(alignment, "ENCODED", encoded)
+    monkeypatch.setattr(alignment, "TRANSITIONS", transitions)
+    al = alignment.Aligner(open(default_path(), "rb").read(), open(pieces_path(), "rb").read())
+    parts = sorted({p for t in texts for p in al.split(t) if len(p) < 10_000})
+    found = al.aligned(parts)
+    for k, p in enumerate(parts):
+        a, b = (x[0] for x in al.tokens([p]))
+        want = None if "▁" in p else al.transducer.align(a, b)
+        assert found.failed[k] == (want is None)
+        groups, links = want or ([], [])
+        assert found.shown[k] == "".join(f"{alignment.shown([g])};" for g in groups)
+        assert sorted(found.codes[k].as_py()) == sorted(x * al.width + y for x, y in links)
+        assert found.numbers[k].tolist() == ([len(a), len(b), len(groups), len(links)] if want else [0] * 4)
+
+
+@pytest.mark.parametrize("ranked", [True, False])
+def test_short_stretches_by_either_encoder(monkeypatch, ranked):
+    al = alignment.Aligner(open(default_path(), "rb").read(), open(pieces_path(), "rb").read())
+    assert al.ranked
+    if not ranked:
+        al.ranked = None
+    r = random.Random(8)
+    parts = list({"".join(r.choice("aab\n\t'sreTHE'he0129é…中🎉\x1c\x85ing.,ß") for _ in range(r.randint(1, 60))) for _ in range(1500)} | {"<|endoftext|>"})
+    parts = [p for p in parts if not al.run(" " + p)]
+    for side, found in zip(al.tokens(parts), al.flat(parts), strict=True):
+        assert [x.tolist() for x in np.split(found[0], np.cumsum(found[1])[:-1])] == side
+
+
+def test_blocks_hold_every_row(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(alignment, "BLOCK_CHARS", 5)
+    own = ["ab", None, "cdef", "", "x" * 20, "y"]
+    found = list(alignment._blocks(pa.array(own, pa.string())))
+    assert [t for _, b in found for t in b] == own and [s for s, _ in found] == [0, 3, 5]
+
+
 @pytest.mark.parametrize("broadcast", [4_000_000, 0])
 def test_no_rows(spark, monkeypatch, broadcast):
-    monkeypatch.setattr(alignment, "BROADCAST_PAIRS", broadcast - (broadcast == 0))
+    monkeypatch.setattr(alignment, "BROADCAST_PAIRS", broadcast or -1)
     assert alignment.alignments(frame(spark, []), default_path(), pieces_path()).count() == 0
 
 
@@ -143,6 +182,9 @@ def test_transducer_forgets_and_refuses(monkeypatch):
         assert (found is not None) == (x == y)
         if found:
             groups, links = found
+            arrays = [np.array(x, np.int64) for x in (a, b)]
+            failed, flat, closed = t.align_many(arrays[0], np.array([len(a)]), arrays[1], np.array([len(b)]))
+            assert not failed[0] and sorted(map(tuple, flat[1:].T.tolist())) == sorted(links) and len(closed[0]) == len(groups)
             assert [i for g, _ in groups for i in g] == a and [i for _, g in groups for i in g] == b
             assert len(links) == len(a) + len(b) - len(groups)
 
