@@ -36,7 +36,7 @@ TRANSITIONS, CHUNK_CHARS, ENCODED = 400_000, 64, 20_000
 #: Stretches that are encoded as one text.
 JOINED = 200
 #: Characters of text whose distinct stretches a task aligns together.
-BLOCK_CHARS = 8 << 20
+BLOCK_CHARS = 2 << 20
 #: Id pairs (17 bytes each) up to which their counts are broadcast; more are joined.
 BROADCAST_PAIRS = 4_000_000
 #: The piece format's visible space (fixed by the format).
