@@ -217,7 +217,12 @@ def shard_table(scale: Scale, numbers: DataFrame) -> DataFrame:
 
 def all_shards(scale: Scale, spark) -> DataFrame:
     """Numbers of the shards that hold a chunk, from the number range alone."""
-    return spark.range(scale.shard_numbers).select(F.col("id").alias("shard")).where(chunks_per_shard(scale, F.col("shard")) > 0)
+    return nonempty_shards(scale, spark.range(scale.shard_numbers).select(F.col("id").alias("shard")))
+
+
+def nonempty_shards(scale: Scale, numbers: DataFrame) -> DataFrame:
+    """Those of the numbers (shard) whose shards hold a chunk of the grid."""
+    return numbers.where(chunks_per_shard(scale, F.col("shard")) > 0)
 
 
 def chunk_coordinates(scale: Scale, shards: DataFrame) -> DataFrame:

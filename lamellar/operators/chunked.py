@@ -7,6 +7,7 @@ together from at most eight pieces.  Absent chunks are background, and chunks th
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from lamellar.functions.geometry import Scale, axis_factors, check_stride
 from lamellar.session import ship
 
+from . import codecs
+
 ROWS = "chunk_x int, chunk_y int, chunk_z int, voxels binary"
 _NONE = np.uint64((1 << 64) - 1)
 
@@ -130,21 +133,130 @@ def clip(chunks: DataFrame, scale: Scale) -> DataFrame:
 
 def encode(chunks: DataFrame, scale: Scale, gzipped: bool = True) -> DataFrame:
     """chunk_x.., encoded: chunks in the segmentation format."""
-    import gzip
-
-    from .codecs import encode_segmentation
-
     ship(chunks.sparkSession)
     cx, cy, cz = scale.chunk
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data = [encode_segmentation(np.frombuffer(v.as_buffer(), "<u8").reshape(cz, cy, cx)) for v in b.column(3)]
+            data = [codecs.encode_segmentation(np.frombuffer(v.as_buffer(), "<u8").reshape(cz, cy, cx)) for v in b.column(3)]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([gzip.compress(d, mtime=0) if gzipped else d for d in data], pa.binary())], names=["chunk_x", "chunk_y", "chunk_z", "encoded"])
 
     return chunks.select("chunk_x", "chunk_y", "chunk_z", "voxels").mapInArrow(run, "chunk_x int, chunk_y int, chunk_z int, encoded binary")
 
 
+# --- encoded chunks: what is exchanged and stored ------------------------------------------------------------
+
+AT = ("chunk_x", "chunk_y", "chunk_z")
+_BOX = ("ox", "oy", "oz", "nx", "ny", "nz")
+_PIECE = ", ".join(f"{c} int" for c in (*AT, *_BOX)) + ", encoded binary"
+
+
+def inside(scale: Scale, x: int, y: int, z: int) -> tuple[int, int, int]:
+    """Planes, rows and columns of a chunk that lie in the volume; none beyond the grid."""
+    return tuple(max(0, min(c, s - k * c)) for c, s, k in zip(scale.chunk[::-1], scale.size[::-1], (z, y, x), strict=True))
+
+
+def packed(volume: np.ndarray) -> bytes | None:
+    """A gzipped segmentation; null for background only, which is not stored."""
+    return gzip.compress(codecs.encode_segmentation(volume), mtime=0) if volume.any() else None
+
+
+def unpacked(data: bytes, shape: tuple[int, int, int]) -> np.ndarray:
+    return codecs.decode_segmentation(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data, shape)
+
+
+def encode_source(rows: DataFrame, scale: Scale, label_type: str = codecs.LABELS, z_compress: int = 0) -> DataFrame:
+    """Source chunks as encoded pieces of output chunks, all steps in one stage and no voxels beyond it.
+
+    shard, chunk_x, chunk_y, chunk_z (of the source), encoded, error.  With decimation a piece is the planes that stay of one
+    source chunk; without, it is a whole output chunk, cut at the volume's end.  Background and chunks outside the grid have
+    no piece and no error.
+    """
+    stride = check_stride(z_compress, scale.chunk[2])
+
+    def work(block, labels, supervoxels, x: int, y: int, z: int):
+        nz, ny, nx = inside(scale, x, y, z // stride)
+        cube = codecs._stored(block, labels, supervoxels, scale.chunk[::-1])[::stride]
+        left = max(0, nz - z % stride * len(cube))
+        return (packed(cube[:left, :ny, :nx]),)
+
+    return codecs._mapped(rows, ("shard", *AT), [codecs.T.StructField("encoded", codecs.T.BinaryType())], label_type, work, at=True)
+
+
+def pieces_of(encoded: DataFrame, scale: Scale, z_compress: int) -> DataFrame:
+    """Decimated source chunks as pieces at their places in output chunks."""
+    stride = check_stride(z_compress, scale.chunk[2])
+    (cx, cy, cz), (sx, sy, sz) = scale.chunk, scale.size
+    deep = cz // stride
+    z = F.expr(f"chunk_z div {stride}").cast("int")
+    oz = (F.col("chunk_z") % stride * deep).cast("int")
+    left = lambda size, chunk, at: F.least(F.lit(chunk), F.lit(size) - at * chunk).cast("int")
+    nz = F.least(F.lit(deep), left(sz, cz, z) - oz).cast("int")
+    zero = F.lit(0)
+    return encoded.where("encoded is not null").select("chunk_x", "chunk_y", z.alias("chunk_z"), zero.alias("ox"), zero.alias("oy"), oz.alias("oz"), left(sx, cx, F.col("chunk_x")).alias("nx"), left(sy, cy, F.col("chunk_y")).alias("ny"), nz.alias("nz"), "encoded")
+
+
+def halved(encoded: DataFrame, parent: Scale, child: Scale) -> DataFrame:
+    """Each stored chunk voted down where it lies: an encoded piece of a chunk of the next scale, none for background."""
+    if parent.chunk != child.chunk:
+        raise ValueError("parent and child chunks differ in size")
+    ship(encoded.sparkSession)
+    fx, fy, fz = axis_factors(parent, child)
+    names = [*AT, *_BOX, "encoded"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for x, y, z, data in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
+                shape = inside(parent, x, y, z)
+                cube = np.zeros([-(-n // f) * f for n, f in zip(shape, (fz, fy, fx), strict=True)], np.uint64)
+                cube[: shape[0], : shape[1], : shape[2]] = unpacked(data, shape)
+                out = vote(cube, shape, (fz, fy, fx))
+                piece = packed(out)
+                if piece:
+                    side = [c // f for c, f in zip(parent.chunk, (fx, fy, fz), strict=True)]
+                    found.append((x // fx, y // fy, z // fz, x % fx * side[0], y % fy * side[1], z % fz * side[2], *out.shape[::-1], piece))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k == 9 else pa.int32()) for k, c in enumerate(zip(*found, strict=True))], names=names)
+
+    return encoded.select(*AT, "encoded").mapInArrow(run, _PIECE)
+
+
+def put_together(pieces: DataFrame, scale: Scale) -> DataFrame:
+    """Stored chunks (chunk_x.., encoded) from encoded pieces; eight, or a stride's, meet in a group, and only encoded bytes are exchanged."""
+    ship(pieces.sparkSession)
+
+    def build(key: tuple, rows: pa.Table) -> pa.Table:
+        x, y, z = (k.as_py() for k in key)
+        out = np.zeros(inside(scale, x, y, z), np.uint64)
+        for r in rows.to_pylist():
+            part = out[r["oz"] : r["oz"] + r["nz"], r["oy"] : r["oy"] + r["ny"], r["ox"] : r["ox"] + r["nx"]]
+            part[:] = unpacked(r["encoded"], (r["nz"], r["ny"], r["nx"]))[: part.shape[0], : part.shape[1], : part.shape[2]]
+        return pa.table({**{n: pa.array([k.as_py()], pa.int32()) for n, k in zip(AT, key, strict=True)}, "encoded": pa.array([packed(out)], pa.binary())})
+
+    return pieces.groupBy(*AT).applyInArrow(build, "chunk_x int, chunk_y int, chunk_z int, encoded binary").where("encoded is not null")
+
+
+def decoded(encoded: DataFrame, scale: Scale, keep: tuple[str, ...] = AT) -> DataFrame:
+    """Stored chunks with ``voxels``, filled up with background beyond the volume."""
+    ship(encoded.sparkSession)
+    names = list(dict.fromkeys([*keep, *AT]))
+    fields = ", ".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = [names.index(a) for a in AT]
+        for b in batches:
+            voxels = []
+            for x, y, z, data in zip(*(b.column(k).to_pylist() for k in at), b.column(len(names)), strict=True):
+                shape = inside(scale, x, y, z)
+                out = np.zeros(scale.chunk[::-1], "<u8")
+                out[: shape[0], : shape[1], : shape[2]] = unpacked(data.as_py(), shape)
+                voxels.append(out.tobytes())
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(voxels, pa.binary())], names=[*names, "voxels"])
+
+    return encoded.select(*names, "encoded").mapInArrow(run, f"{fields}, voxels binary")
+
+
 def label_profile(chunks: DataFrame) -> DataFrame:
     """x, y, z and distinct labels, background left out, of every chunk."""
     ship(chunks.sparkSession)

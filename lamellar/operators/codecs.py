@@ -191,21 +191,30 @@ def _packed(index: np.ndarray, bits: int) -> bytes:
 
 
 def decode_segmentation(data: bytes, shape: tuple[int, int, int], block: tuple[int, int, int] = (8, 8, 8)) -> np.ndarray:
-    """Inverse of :func:`encode_segmentation`."""
+    """Inverse of :func:`encode_segmentation`; all blocks of one bit width at once."""
     words = np.frombuffer(data, "<u4")[1:]
     grid = [-(-n // b) for n, b in zip(shape, block, strict=True)]
-    out = np.zeros([g * b for g, b in zip(grid, block, strict=True)], np.uint64)
-    n = int(np.prod(block))
-    for k, (z, y, x) in enumerate(np.ndindex(*grid)):
-        table_at, bits, values_at = int(words[2 * k]) & 0xFFFFFF, int(words[2 * k]) >> 24, int(words[2 * k + 1])
-        index = np.zeros(n, np.int64)
+    blocks, n = int(np.prod(grid)), int(np.prod(block))
+    if len(words) < 2 * blocks:
+        raise CodecError("block headers are cut off")
+    heads = words[: 2 * blocks].reshape(blocks, 2).astype(np.int64)
+    tables, widths, values = heads[:, 0] & 0xFFFFFF, heads[:, 0] >> 24, heads[:, 1]
+    out = np.zeros((blocks, n), np.uint64)
+    for bits in np.unique(widths).tolist():
+        which = np.flatnonzero(widths == bits)
+        index = np.zeros((len(which), 1), np.int64)
         if bits:
             per = 32 // bits
-            own = words[values_at : values_at + -(-n // per)].astype(np.uint64)
-            index = (own[:, None] >> (bits * np.arange(per, dtype=np.uint64)) & np.uint64((1 << bits) - 1)).ravel()[:n].astype(np.int64)
-        table = words[table_at : table_at + 2 * (int(index.max()) + 1)].view("<u8")
-        out[z * block[0] : (z + 1) * block[0], y * block[1] : (y + 1) * block[1], x * block[2] : (x + 1) * block[2]] = table[index].reshape(block)
-    return out[: shape[0], : shape[1], : shape[2]]
+            at = values[which][:, None] + np.arange(-(-n // per))
+            if at.size and at.max() >= len(words):
+                raise CodecError("voxels are cut off")
+            index = (words[at][:, :, None] >> (bits * np.arange(per, dtype=np.uint32)) & np.uint32((1 << bits) - 1)).reshape(len(which), -1)[:, :n].astype(np.int64)
+        at = tables[which][:, None] + 2 * index
+        if at.size and at.max() + 1 >= len(words):
+            raise CodecError("a label table is cut off")
+        out[which] = words[at].astype(np.uint64) | words[at + 1].astype(np.uint64) << np.uint64(32)
+    whole = out.reshape(*grid, *block).transpose(0, 3, 1, 4, 2, 5).reshape([g * b for g, b in zip(grid, block, strict=True)])
+    return whole[: shape[0], : shape[1], : shape[2]]
 
 
 def encoded_bound(shape: tuple[int, int, int], block: tuple[int, int, int] = (8, 8, 8)) -> int:
@@ -235,8 +244,11 @@ def _lists(column: pa.Array) -> list[np.ndarray]:
     return [np.asarray(x.values.to_numpy(zero_copy_only=False), np.int64).view(np.uint64) if x.is_valid else np.empty(0, np.uint64) for x in column]
 
 
-def _mapped(chunks: DataFrame, keep: tuple[str, ...], fields: list[T.StructField], label_type: str, work) -> DataFrame:
-    """Run ``work(block, labels or None, supervoxels or None)`` over chunk rows; failures become ``error``."""
+def _mapped(chunks: DataFrame, keep: tuple[str, ...], fields: list[T.StructField], label_type: str, work, at: bool = False) -> DataFrame:
+    """Run ``work(block, labels or None, supervoxels or None)`` over chunk rows; failures become ``error``.
+
+    ``at``: the last three kept columns, the chunk's coordinates, are more arguments.
+    """
     if label_type not in (LABELS, SUPERVOXELS):
         raise ValueError(f"label_type is {LABELS} or {SUPERVOXELS}")
     schema = T.StructType([*(chunks.schema[k] for k in keep), *fields, T.StructField("error", T.StringType())])
@@ -247,9 +259,10 @@ def _mapped(chunks: DataFrame, keep: tuple[str, ...], fields: list[T.StructField
         for b in batches:
             out: list[list] = [[] for _ in fields]
             errors: list[str | None] = []
-            for block, own, sv in zip(b.column(n), _lists(b.column(n + 1)), _lists(b.column(n + 2)), strict=True):
+            where = zip(*(b.column(k).to_pylist() for k in range(n - 3, n)), strict=True) if at else [()] * len(b)
+            for block, own, sv, more in zip(b.column(n), _lists(b.column(n + 1)), _lists(b.column(n + 2)), where, strict=True):
                 try:
-                    got = work(block.as_py(), own if use_map else None, sv if use_map else None)
+                    got = work(block.as_py(), own if use_map else None, sv if use_map else None, *more)
                     errors.append(None)
                 except CodecError as e:
                     got = (None,) * len(fields)

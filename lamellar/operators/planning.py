@@ -12,6 +12,8 @@ from lamellar.functions import models
 from lamellar.functions.geometry import AXES, Scale, child_shards, chunks_per_shard, div, settled, shard_box, shard_filename, shard_of_name
 from lamellar.session import fresh
 
+from .ranks import running
+
 
 def without(rows: DataFrame, excluded: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose keys are not excluded."""
@@ -71,14 +73,16 @@ def snake(rows: DataFrame, weight: str, tasks: int, tie: str, keys: tuple[str, .
 
 def round_robin(rows: DataFrame, tasks: int, order: list[str], keys: list[Column] | None = None) -> DataFrame:
     """Row i in order goes to task i modulo ``tasks``."""
-    w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
-    return rows.withColumn("task_id", ((F.row_number().over(w) - 1) % tasks).cast("int"))
+    (at, after) = fresh(rows, "__at", "__after")
+    found = running(rows, order, keys, low=at, high=after)
+    return found.withColumn("task_id", (F.col(at) % tasks).cast("int")).drop(at, after)
 
 
 def buckets(rows: DataFrame, size: int, order: list[str], keys: list[Column] | None = None) -> DataFrame:
     """Row i in order goes to bucket i div ``size``."""
-    w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
-    return rows.withColumn("bucket", div(F.row_number().over(w) - 1, size).cast("int"))
+    (at, after) = fresh(rows, "__at", "__after")
+    found = running(rows, order, keys, low=at, high=after)
+    return found.withColumn("bucket", div(F.col(at), size).cast("int")).drop(at, after)
 
 
 def tier_summary(tasks: DataFrame) -> DataFrame:

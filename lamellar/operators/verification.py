@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from lamellar.functions.geometry import AXES, Scale, div, morton, shard_number, shard_of_name, shard_of_voxel
 
+from .ranks import running
+
 
 def compare_outputs(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Every output file with its state: present, missing or orphaned, and the source shards that lead to it.
@@ -101,15 +103,14 @@ def _draw(seed: int, i: Column, k: int) -> Column:
 
 
 def cumulative(rows: DataFrame, weight: str, order: list[str]) -> DataFrame:
-    """``rows`` with high, the running sum of a weight, and low, the sum before; a list of shards or faces, in one task."""
-    w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("high", F.sum(weight).over(w)).withColumn("low", F.col("high") - F.col(weight))
+    """``rows`` with high, the running sum of a weight, and low, the sum before."""
+    return running(rows, order, weight=weight)
 
 
 def _picked(rows: DataFrame, weight: str, n: int, seed: int, spark) -> DataFrame:
     """n draws of rows with probability in proportion to weight: running sums and a range join.
 
-    ``rows`` is a list of shards or faces, not of voxels.  Ends are bucketed so that the join is an equi-join.
+    Ends are bucketed so that the join is an equi-join.
     """
     own = cumulative(rows, weight, ["shard", *(c for c in ("axis", "direction") if c in rows.columns)])
     total = own.agg(F.max("high")).head()[0] or 0

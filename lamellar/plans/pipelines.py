@@ -1,7 +1,7 @@
 """End-to-end runs: export of source shards, the downsampled pyramid, and verification.
 
-Every scale is written by scale and shard before the next one reads it; that table cuts lineage and is the restart
-point.  A repeated run computes every shard anew and overwrites it.
+A scale is shard files of encoded chunks (:mod:`lamellar.sources.volumes`), committed together before the next scale reads them;
+they are the restart point.  Voxels exist only within a stage: what is exchanged or stored is encoded.
 """
 
 from __future__ import annotations
@@ -11,71 +11,86 @@ from pyspark.sql import functions as F
 
 from lamellar.functions.geometry import Scale, morton, shard_filename, shard_number, shard_of_name
 from lamellar.operators import chunked, codecs, labels, planning, verification
-from lamellar.session import materialize
-from lamellar.sources.shards import list_shards, read_shards
+from lamellar.session import materialize, remove
+from lamellar.sources import volumes
+from lamellar.sources.shards import list_shards, read_ranges, source_entries
 
 
-def with_shard(chunks: DataFrame, scale: Scale, level: int) -> DataFrame:
-    """Chunks with their scale and output shard."""
-    number = shard_number(scale, morton(scale, F.col("chunk_x"), F.col("chunk_y"), F.col("chunk_z")))
-    return chunks.withColumn("scale", F.lit(level)).withColumn("shard", number)
+def shard_column(scale: Scale) -> F.Column:
+    """Output shard of chunk coordinates."""
+    return shard_number(scale, morton(scale, F.col("chunk_x"), F.col("chunk_y"), F.col("chunk_z")))
 
 
-def _store(chunks: DataFrame, path: str) -> None:
-    chunks.repartition("scale", "shard").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("scale", "shard").parquet(path)
+def source_rows(spark: SparkSession, source: str, empty: DataFrame | None = None, only: DataFrame | None = None) -> DataFrame:
+    """Chunks of the source shards under a path, by the byte ranges of their indexes where these know them.
 
-
-def decode_source(spark: SparkSession, source: str, scale: Scale, label_type: str = codecs.LABELS, empty: DataFrame | None = None, only: DataFrame | None = None) -> DataFrame:
-    """Decoded chunks of the source shards under a path, written to scratch once: shard, chunk_x.., voxels, error.
-
-    ``empty`` (shard): shards to leave out; ``only`` (shard): the shards to take, all by default.
+    ``empty`` (shard): shards to leave out; ``only`` (shard): the shards to take, all by default.  The ranges are chosen
+    before anything is read, so that files of other shards are not opened.
     """
-    rows = read_shards(spark, source)
+    entries = source_entries(spark, source)
     if empty is not None:
-        rows = planning.without(rows, empty, ["shard"])
+        entries = planning.without(entries, empty, ["shard"])
     if only is not None:
-        rows = rows.join(only.select("shard").distinct(), "shard", "left_semi")
-    return materialize(codecs.decode(rows, label_type, scale.chunk[::-1], ("shard", *codecs.KEYS)), "decoded")
+        entries = entries.join(only.select("shard").distinct(), "shard", "left_semi")
+    return read_ranges(spark, entries)
+
+
+def encode_source(spark: SparkSession, source: str, scale: Scale, label_type: str = codecs.LABELS, z_compress: int = 0, empty: DataFrame | None = None, only: DataFrame | None = None) -> DataFrame:
+    """Encoded pieces of the source shards (see :func:`chunked.encode_source`), stored in scratch: they are read more than once."""
+    return materialize(chunked.encode_source(source_rows(spark, source, empty, only), scale, label_type, z_compress), "encoded")
 
 
 def export(spark: SparkSession, source: str, out: str, scale: Scale, level: int = 0, label_type: str = codecs.LABELS, z_compress: int = 0, empty: DataFrame | None = None, only: DataFrame | None = None) -> DataFrame:
     """Convert the source shards under a path; the failed chunks (shard, chunk_x.., error) are returned.
 
-    Failures don't stop a run: their rows are the result, the others are written to ``out`` (voxels, by scale and
-    output shard).  Every block is decoded once; ``empty`` and ``only`` are those of :func:`decode_source`.
+    Failures don't stop a run: their rows are the result, the others are written to ``out``.  Every block is decoded once;
+    ``empty`` and ``only`` are those of :func:`source_rows`.
     """
-    decoded = decode_source(spark, source, scale, label_type, empty, only)
-    write_decoded(decoded, out, scale, level, z_compress)
-    return failures(decoded)
+    encoded = encode_source(spark, source, scale, label_type, z_compress, empty, only)
+    write_encoded(encoded, out, scale, level, z_compress)
+    failed = materialize(failures(encoded), "failed")
+    remove(encoded)
+    return failed
 
 
-def write_decoded(decoded: DataFrame, out: str, scale: Scale, level: int, z_compress: int = 0) -> None:
-    good = chunked.clip(chunked.decimate(decoded.where("error is null"), scale, z_compress), scale)
-    _store(with_shard(good, scale, level), out)
+def write_encoded(encoded: DataFrame, out: str, scale: Scale, level: int, z_compress: int = 0) -> None:
+    """Write the pieces of :func:`encode_source` as a scale's shard files."""
+    if not z_compress:
+        volumes.write_volume(encoded.where("encoded is not null").select(*codecs.KEYS, "encoded"), out, scale, level)
+        return
+    whole = materialize(chunked.put_together(chunked.pieces_of(encoded, scale, z_compress), scale), "chunks")
+    volumes.write_volume(whole, out, scale, level)
+    remove(whole)
 
 
-def failures(decoded: DataFrame) -> DataFrame:
-    return decoded.where("error is not null").select("shard", *codecs.KEYS, "error")
+def failures(encoded: DataFrame) -> DataFrame:
+    return encoded.where("error is not null").select("shard", *codecs.KEYS, "error")
 
 
-def pyramid(spark: SparkSession, out: str, scales: list[Scale], first: int = 0) -> None:
-    """Write scales first + 1, ... from the one before, each read back from its table."""
+def pyramid(spark: SparkSession, out: str, scales: list[Scale], first: int = 0) -> dict[int, DataFrame]:
+    """Write scales first + 1, ... from the one before; by level, the shards (shard) that its chunks lie in."""
+    made = {}
     for level in range(first + 1, len(scales)):
-        parent = read_level(spark, out, level - 1)
-        _store(with_shard(chunked.downsample(parent, scales[level - 1], scales[level]), scales[level], level), out)
+        pieces = chunked.halved(volumes.read_volume(spark, out, level - 1), scales[level - 1], scales[level])
+        whole = materialize(chunked.put_together(pieces, scales[level]), "chunks")
+        volumes.write_volume(whole, out, scales[level], level)
+        made[level] = materialize(whole.select(shard_column(scales[level]).alias("shard")).distinct(), "made")
+        remove(whole)
+    return made
 
 
-def read_level(spark: SparkSession, out: str, level: int) -> DataFrame:
-    """Chunks of one scale; only its folder is read."""
-    return spark.read.parquet(out).where(F.col("scale") == level)
+def read_level(spark: SparkSession, out: str, level: int, where: str | None = None) -> DataFrame:
+    """Decoded chunks of one scale: shard, chunk_x.., voxels.  ``where``, on all but the voxels, prunes what is read."""
+    rows = volumes.read_volume(spark, out, level)
+    return chunked.decoded(rows.where(where) if where else rows, volumes.scale_at(out, level), ("shard", *codecs.KEYS))
 
 
 def profile(spark: SparkSession, out: str, level: int, scale: Scale, done: DataFrame | None = None) -> DataFrame:
-    """Chunks and label totals of every shard of a written scale; shards in ``done`` (shard) are left out unread."""
-    chunks = read_level(spark, out, level)
+    """Chunks and label totals of every shard of a written scale; files of shards in ``done`` (shard) are not opened."""
+    files = volumes.volume_files(spark, out, level)
     if done is not None:
-        chunks = chunks.join(done.select(F.col("shard").cast(chunks.schema["shard"].dataType)).distinct(), "shard", "left_anti")
-    return labels.totals_by_shard(chunked.label_profile(chunks), scale)
+        files = files.join(done.select(F.col("shard").cast("long")).distinct(), "shard", "left_anti")
+    return labels.totals_by_shard(chunked.label_profile(chunked.decoded(volumes.read_files(files, scale), scale)), scale)
 
 
 def profile_to(spark: SparkSession, out: str, level: int, scale: Scale, path: str) -> dict[str, int]:
@@ -88,19 +103,20 @@ def profile_to(spark: SparkSession, out: str, level: int, scale: Scale, path: st
     return {"ok": made.count(), "skipped": done.count() if done is not None else 0}
 
 
-def empty_shards(spark: SparkSession, source: str) -> DataFrame:
-    """Shards whose label lists hold background only."""
-    return labels.nonempty(read_shards(spark, source), ["shard"]).where("not nonempty").select("shard")
+def empty_shards(spark: SparkSession, source: str, only: DataFrame | None = None) -> DataFrame:
+    """Shards, of all or of those in ``only``, whose label lists hold background only."""
+    return labels.nonempty(source_rows(spark, source, only=only), ["shard"]).where("not nonempty").select("shard")
 
 
 def compare(spark: SparkSession, source: str, out: str, scale: Scale, level: int = 0, z_compress: int = 0) -> DataFrame:
     """Every output file of a scale with its state and the source shards that lead to it."""
     expected = list_shards(spark, source).select("shard", shard_filename(shard_of_name(scale, F.col("shard"), z_compress), scale.shard).alias("file"))
-    return verification.compare_outputs(expected, written_files(spark, out, scale, level))
+    return verification.compare_outputs(expected, written_files(spark, out, level))
 
 
-def written_files(spark: SparkSession, out: str, scale: Scale, level: int) -> DataFrame:
-    return read_level(spark, out, level).select(shard_filename(F.col("shard").cast("long"), scale.shard).alias("file")).distinct()
+def written_files(spark: SparkSession, out: str, level: int) -> DataFrame:
+    """Names of a scale's files; none before it is written."""
+    return volumes.volume_files(spark, out, level).select("file")
 
 
 def verify(spark: SparkSession, source: str, out: str, scale: Scale, level: int = 0, z_compress: int = 0) -> DataFrame:
@@ -109,6 +125,8 @@ def verify(spark: SparkSession, source: str, out: str, scale: Scale, level: int
 
 
 def empty_of_report(spark: SparkSession, compared: DataFrame, source: str) -> DataFrame:
-    """Of the source shards that a comparison misses, those that hold background only: no output is right for them."""
-    missing = verification.missing_sources(compared, 0)
-    return empty_shards(spark, source).join(missing.select("shard").distinct(), "shard", "left_semi")
+    """Of the source shards that a comparison misses, those that hold background only: no output is right for them.
+
+    Only the missing ones are read.
+    """
+    return empty_shards(spark, source, verification.missing_sources(compared, 0).select("shard").distinct())

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamellar.functions import bits, geometry, models, text
-from lamellar.operators import calibration, chunked, codecs, labels, planning, telemetry, verification, volume
+from lamellar.operators import calibration, chunked, codecs, labels, planning, ranks, telemetry, verification, volume
 from lamellar.session import materialize, scratch, table
 from lamellar.sources import shards
 from lamellar.streaming import progress
@@ -84,14 +84,24 @@ def shard_bbox(spark, sf):
     return geometry.shard_table(LARGE, n)
 
 
-@query("nonempty_shards", f"WITH n AS (SELECT range AS n FROM range({TOY.shard_numbers})) SELECT n AS shard FROM n WHERE " + " AND ".join(f"{V.origin_sql(TOY, 'n', k)} < {g}" for k, g in enumerate(TOY.grid)))
+@query("nonempty_shards", f"WITH n AS (SELECT DISTINCT o_orderkey * 7919 % {2 * LARGE.shard_numbers} AS n FROM orders) SELECT n AS shard FROM n WHERE n < {LARGE.shard_numbers} AND " + " AND ".join(f"{V.origin_sql(LARGE, 'n', k)} < {g}" for k, g in enumerate(LARGE.grid)))
 def nonempty_shards(spark, sf):
-    return geometry.all_shards(TOY, spark)
+    """Of the numbers that orders name, those of shards inside the grid."""
+    numbers = table(spark, sf, "orders").select((F.col("o_orderkey") * 7919 % (2 * LARGE.shard_numbers)).alias("shard")).distinct()
+    return geometry.nonempty_shards(LARGE, numbers)
 
 
-@query("shard_chunks", f"WITH c AS (SELECT x.range AS cx, y.range AS cy, z.range AS cz FROM range({TOY.grid[0]}) x, range({TOY.grid[1]}) y, range({TOY.grid[2]}) z) SELECT {V.shard_sql(TOY, 'cx', 'cy', 'cz')} AS shard, cx, cy, cz FROM c")
+#: Toy shards with a voxel of one label in eleven.
+_HELD = f"{V.VOX}, e AS (SELECT DISTINCT {V.shard_sql(TOY, 'x // 8', 'y // 8', 'z // 4')} AS n FROM vox WHERE label % 11 = 0)"
+
+
+def _held(spark, sf):
+    return V.vox(spark, sf).where("label % 11 = 0").select(geometry.shard_of_voxel(TOY, F.col("x"), F.col("y"), F.col("z")).alias("shard")).distinct()
+
+
+@query("shard_chunks", f"WITH {_HELD}, c AS (SELECT x.range AS cx, y.range AS cy, z.range AS cz FROM range({TOY.grid[0]}) x, range({TOY.grid[1]}) y, range({TOY.grid[2]}) z), s AS (SELECT {V.shard_sql(TOY, 'cx', 'cy', 'cz')} AS shard, cx, cy, cz FROM c) SELECT s.* FROM s JOIN e ON shard = n")
 def shard_chunks(spark, sf):
-    return geometry.chunk_coordinates(TOY, geometry.all_shards(TOY, spark))
+    return geometry.chunk_coordinates(TOY, _held(spark, sf))
 
 
 @query("voxel_to_shard", f"WITH {V.VOX} SELECT x, y, z, {V.shard_sql(TOY, 'x // 8', 'y // 8', 'z // 4')} AS shard FROM vox")
@@ -233,9 +243,9 @@ def slice_2d(spark, sf):
     return volume.region_slice(V.vox(spark, sf), "z", 3, (10, 20, 0), (90, 70, 8))
 
 
-@query("plane_boxes", f"WITH n AS (SELECT range AS n FROM range({TOY.shard_numbers})), o AS (SELECT n AS shard, {', '.join(f'{V.origin_sql(TOY, chr(110), k)} * {c} AS o{a}' for k, (a, c) in enumerate(zip('xyz', TOY.chunk)))} FROM n) SELECT shard, ox, oy, oz FROM o WHERE ox <= 37 AND ox + {TOY.shard_shape[0] * 8} > 37")
+@query("plane_boxes", f"WITH {_HELD}, o AS (SELECT n AS shard, {', '.join(f'{V.origin_sql(TOY, chr(110), k)} * {c} AS o{a}' for k, (a, c) in enumerate(zip('xyz', TOY.chunk)))} FROM e) SELECT shard, ox, oy, oz FROM o WHERE ox <= 37 AND ox + {TOY.shard_shape[0] * 8} > 37")
 def plane_boxes(spark, sf):
-    return volume.boxes_on_plane(geometry.shard_table(TOY, geometry.all_shards(TOY, spark)), "x", 37).select("shard", "ox", "oy", "oz")
+    return volume.boxes_on_plane(geometry.shard_table(TOY, _held(spark, sf)), "x", 37).select("shard", "ox", "oy", "oz")
 
 
 # --- sources and filters ----------------------------------------------------------------------------------
@@ -460,14 +470,18 @@ def exposed_faces(spark, sf):
 
 
 _DRAW = lambda k: f"(('0x' || substr(md5('7|' || i || '|{k}'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
-_SOME = f"e AS (SELECT range AS n FROM range({TOY.shard_numbers}) WHERE range % 3 <> 0), r AS (SELECT n AS shard, {_TOYBOX} FROM e)"
-_PICKS = f"p AS (SELECT range AS i, floor({_DRAW(0)} * (SELECT max(high) FROM c)::DOUBLE)::BIGINT AS pick FROM range(2000)), j AS (SELECT * FROM p JOIN c ON pick >= high - w AND pick < high)".replace("'|' || i", "'|' || range").replace("'7|' || i", "'7|' || range")
+_SOME = f"e AS (SELECT DISTINCT l_partkey % 64 AS n FROM lineitem WHERE l_partkey % 64 % 3 <> 0), g AS (SELECT row_number() OVER () - 1 AS range FROM orders), r AS (SELECT n AS shard, {_TOYBOX} FROM e)"
+_PICKS = f"p AS (SELECT range AS i, floor({_DRAW(0)} * (SELECT max(high) FROM c)::DOUBLE)::BIGINT AS pick FROM g), j AS (SELECT * FROM p JOIN c ON pick >= high - w AND pick < high)".replace("'|' || i", "'|' || range").replace("'7|' || i", "'7|' || range")
+
+
+def _some(spark, sf):
+    return table(spark, sf, "lineitem").where("l_partkey % 64 % 3 <> 0").select((F.col("l_partkey") % 64).alias("shard")).distinct()
 
 
 @query("sample_points", f"WITH {_SOME}, c AS (SELECT *, {math.prod(_EXT.values())} AS w, sum({math.prod(_EXT.values())}) OVER (ORDER BY shard)::BIGINT AS high FROM r), {_PICKS} SELECT i AS point_id, {', '.join(f'(o{a} + floor({_DRAW(k + 1)} * {_EXT[a]}))::BIGINT AS {a}' for k, a in enumerate('xyz'))} FROM j")
 def sample_points(spark, sf):
-    records = geometry.shard_table(TOY, geometry.all_shards(TOY, spark).where("shard % 3 <> 0"))
-    return verification.sample_inside(records, 2000, 7)
+    """As many points as orders, in the shards that line items name."""
+    return verification.sample_inside(geometry.shard_table(TOY, _some(spark, sf)), table(spark, sf, "orders").count(), 7)
 
 
 _INNER = lambda k, a: f"o{a} + floor({_DRAW(k + 1)} * {_EXT[a]})"
@@ -475,8 +489,8 @@ _INNER = lambda k, a: f"o{a} + floor({_DRAW(k + 1)} * {_EXT[a]})"
 
 @query("sample_outside_points", f"WITH {_SOME}, f AS ({_FACE}), x AS (SELECT f.*, {', '.join(f'r.o{a}' for a in 'xyz')} FROM f JOIN r USING (shard) WHERE px >= 0 AND px < 128 AND py >= 0 AND py < 128 AND pz >= 0 AND pz < 8 AND {V.shard_sql(TOY, 'px // 8', 'py // 8', 'pz // 4')} NOT IN (SELECT n FROM e)), c AS (SELECT *, area AS w, sum(area) OVER (ORDER BY shard, axis, direction)::BIGINT AS high FROM x), {_PICKS} SELECT i AS point_id, " + ", ".join(f"(CASE WHEN axis = '{a}' THEN p{a} ELSE {_INNER(k, a)} END)::BIGINT AS {a}" for k, a in enumerate("xyz")) + " FROM j")
 def sample_outside_points(spark, sf):
-    some = geometry.all_shards(TOY, spark).where("shard % 3 <> 0")
-    return verification.sample_outside(verification.exposed_faces(TOY, geometry.shard_table(TOY, some), some), 2000, 7)
+    some = _some(spark, sf)
+    return verification.sample_outside(verification.exposed_faces(TOY, geometry.shard_table(TOY, some), some), table(spark, sf, "orders").count(), 7)
 
 
 @query("point_compare", f"WITH {V.VOX}, p AS (SELECT o_orderkey AS point_id, o_custkey % 128 AS x, o_orderkey % 128 AS y, o_orderkey % 8 AS z FROM orders), b AS (SELECT p.*, coalesce(CASE WHEN label % 13 = 0 THEN label + 1 ELSE label END, 0) AS export_value, coalesce(label, 0) AS truth_value FROM p LEFT JOIN vox USING (x, y, z)) SELECT * FROM b WHERE export_value <> truth_value")
@@ -682,6 +696,14 @@ def dedupe_first(spark, sf):
     return telemetry.latest(first, ["shard"], "first", "first").select("shard", "o_orderkey")
 
 
+@query("cumulative_orders", "SELECT o_orderkey, o_custkey % 7 AS part, sum(o_custkey) OVER (PARTITION BY o_custkey % 7 ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING)::BIGINT AS high, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS place FROM orders")
+def cumulative_orders(spark, sf):
+    """Running sums within groups, and places over a whole table, from the sums of sorted ranges."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    own = ranks.running(o, ["o_orderdate", "o_orderkey"], [F.col("o_custkey") % 7], "o_custkey", low="before")
+    return ranks.running(own, ["o_orderdate", "o_orderkey"], low="place", high="after").select("o_orderkey", (F.col("o_custkey") % 7).alias("part"), "high", "place")
+
+
 @query("cumulative_weights", "WITH n AS (SELECT n_nationkey, count(*) AS w FROM nation JOIN customer ON n_nationkey = c_nationkey GROUP BY 1) SELECT n_nationkey, w, sum(w) OVER (ORDER BY n_nationkey)::BIGINT AS cumulative FROM n")
 def cumulative_weights(spark, sf):
     c = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("w"))

@@ -1,7 +1,7 @@
 """Whole runs: which scales are exported or downsampled, in which order, and when a run stops.
 
 A run goes scale by scale: plan, write, verify.  The first scale comes from source shards, each further one from the
-scale before, read back from its table.  A scale that is not complete stops the run.  Tasks and tiers of a plan are
+scale before, read back from its files.  A scale that is not complete stops the run.  Tasks and tiers of a plan are
 its report; Spark's scheduler does the work.
 """
 
@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamellar.functions.geometry import Scale, child_shards, shard_filename
-from lamellar.operators import chunked, codecs, planning, telemetry, verification
+from lamellar.operators import codecs, planning, telemetry, verification
+from lamellar.session import remove
+from lamellar.sources import volumes
 from lamellar.sources.shards import index_entries, list_shards
 
 from . import pipelines
@@ -87,35 +89,34 @@ def run(
 
 def _first(spark, source: str, out: str, scale: Scale, mode: str, dry_run: bool, label_type: str, z_compress: int, max_tasks: int, result: ScaleResult) -> None:
     sources = source_table(spark, source, 0)
-    there = pipelines.written_files(spark, out, scale, 0) if mode == RETRY else None
+    there = pipelines.written_files(spark, out, 0) if mode == RETRY and volumes.scales_at(out) else None
     plan = planning.export_plan(sources, scale, outputs=there, max_tasks=max_tasks, z_compress=z_compress)
     result.planned = _tiers(plan)
     if dry_run:
         return
     if result.planned:
-        decoded = pipelines.decode_source(spark, source, scale, label_type, only=plan if mode == RETRY else None)
-        pipelines.write_decoded(decoded, out, scale, 0, z_compress)
-        totals = telemetry.outcome_totals(verification.shard_outcomes(decoded, scale, z_compress)).head()
+        encoded = pipelines.encode_source(spark, source, scale, label_type, z_compress, only=plan if mode == RETRY else None)
+        pipelines.write_encoded(encoded, out, scale, 0, z_compress)
+        totals = telemetry.outcome_totals(verification.shard_outcomes(encoded, scale, z_compress)).head()
         result.shards_failed, result.chunks_failed = totals["shards_failed"], totals["failed"]
+        remove(encoded)
     compared = pipelines.compare(spark, source, out, scale, 0, z_compress)
     report = verification.report(compared, 0, scale.key).head()
-    empty = pipelines.empty_of_report(spark, compared, source).select("shard")
-    needed = verification.missing_sources(compared, 0).join(empty, "shard", "left_anti").select("file").distinct().count()
-    result.missing, result.orphaned = needed, report["orphaned_count"]
+    result.missing, result.orphaned = report["missing_count"], report["orphaned_count"]
+    if result.missing:
+        empty = pipelines.empty_of_report(spark, compared, source).select("shard")
+        result.missing = verification.missing_sources(compared, 0).join(empty, "shard", "left_anti").select("file").distinct().count()
 
 
 def _next(spark, out: str, scales: list[Scale], level: int, dry_run: bool, max_tasks: int, result: ScaleResult) -> None:
     parent, child = scales[level - 1], scales[level]
-    chunks = pipelines.read_level(spark, out, level - 1)
-    parents = chunks.select(F.col("shard").cast("long").alias("shard")).distinct()
+    parents = volumes.volume_files(spark, out, level - 1).select("shard")
     result.planned = _tiers(planning.downres_plan(parent, child, level, parents, max_tasks=max_tasks))
     if dry_run:
         return
-    pipelines.pyramid(spark, out, scales[: level + 1], level - 1)
-    # Only children that keep a label need output: those, by vote, of the parents' chunks.
-    made = pipelines.with_shard(chunked.downsample(chunks, parent, child), child, level).select(F.col("shard").cast("long").alias("shard")).distinct()
+    # Only children that keep a label need output: those that the votes, computed once, left a chunk in.
+    made = pipelines.pyramid(spark, out, scales[: level + 1], level - 1)[level]
     expected = made.select(F.col("shard").cast("string").alias("shard"), shard_filename(F.col("shard"), child.shard).alias("file"))
-    report = verification.report(verification.compare_outputs(expected, pipelines.written_files(spark, out, child, level)), level, child.key).head()
-    planned = child_shards(parent, child, parents)
-    stray = made.join(planned, "shard", "left_anti").count()
+    report = verification.report(verification.compare_outputs(expected, pipelines.written_files(spark, out, level)), level, child.key).head()
+    stray = made.join(child_shards(parent, child, parents), "shard", "left_anti").count()
     result.missing, result.orphaned = report["missing_count"], report["orphaned_count"] + stray

@@ -5,14 +5,15 @@ from __future__ import annotations
 import base64
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamellar.functions import geometry, text
 from lamellar.operators import codecs, planning, telemetry, verification, volume
-from lamellar.session import scratch, table
+from lamellar.session import scratch, ship, table
 from lamellar.sources import labels as label_service
-from lamellar.sources import shards, specs
+from lamellar.sources import shards, specs, volumes
+from lamellar.sources.files import write_files
 
 from . import pipelines, runs
 from . import views as V
@@ -27,11 +28,17 @@ CUT = geometry.Scale("cut8", (64, 128, 8), (8, 8, 8), 1, 3, 3)
 ACROSS = 4
 
 
-def source(spark: SparkSession, sf: str, ranges: bool = True) -> str:
-    """Write the toy volume as source shards of 4 x 4 x 1 chunks, three chunks a batch; the folder of its scale."""
+def source(spark: SparkSession, sf: str, ranges: bool = True, broken: Column | None = None) -> str:
+    """Write the toy volume as source shards of 4 x 4 x 1 chunks, three chunks a batch; the folder of its scale.
+
+    ``broken``: chunks whose blocks can't be decoded.
+    """
     at = f"{scratch(spark, 'source')}/s0"
     name = F.concat_ws("_", *(geometry.div(F.col(f"chunk_{a}"), ACROSS) * (ACROSS * 8) for a in "xyz"))
-    shards.write_shards(blocks(spark, sf).withColumn("shard", name), at, 3, ranges).write.format("noop").mode("overwrite").save()
+    own = blocks(spark, sf).withColumn("shard", name)
+    if broken is not None:
+        own = own.withColumn("block", F.when(broken, F.lit(b"no block")).otherwise(F.col("block")))
+    shards.write_shards(own, at, 3, ranges).write.format("noop").mode("overwrite").save()
     return at
 
 
@@ -61,25 +68,36 @@ def shard_ranges_pruned(spark, sf):
     return shards.read_ranges(spark, entries).select("shard", "chunk_x", "chunk_y", "chunk_z")
 
 
-@query("index_scan", f"WITH {_NAMED} SELECT shard, chunk_x::BIGINT AS x, chunk_y::BIGINT AS y, chunk_z::BIGINT AS z, k // 3 AS batch_idx FROM i")
+def _at_ranges(index: DataFrame, entries: DataFrame) -> DataFrame:
+    """Index rows with the uncompressed size of their chunk, each batch read by itself at the range that its entry states."""
+    chunks = shards.read_ranges(spark=entries.sparkSession, entries=entries, apart=True)
+    found = chunks.select("shard", *(F.col(f"chunk_{a}").cast("long").alias(a) for a in "xyz"), F.col("offset").alias("at"), "uncompressed_size")
+    return index.join(found, ["shard", "x", "y", "z"]).where("at = offset").select("shard", "x", "y", "z", "batch_idx", "uncompressed_size")
+
+
+@query("index_scan", f"WITH {_NAMED} SELECT shard, chunk_x::BIGINT AS x, chunk_y::BIGINT AS y, chunk_z::BIGINT AS z, k // 3 AS batch_idx, {BLOCK_BYTES_SQL} AS uncompressed_size FROM i")
 def index_scan(spark, sf):
-    return shards.read_index(spark, source(spark, sf)).select("shard", "x", "y", "z", "batch_idx")
+    """Index entries, each with its chunk as found by reading the entry's own byte range and no other."""
+    at = source(spark, sf)
+    return _at_ranges(shards.read_index(spark, at), shards.index_entries(spark, at))
 
 
-@query("batch_offsets", f"WITH {_NAMED} SELECT shard, k // 3 AS batch_idx FROM i GROUP BY 1, 2")
+@query("batch_offsets", f"WITH {_NAMED} SELECT shard, chunk_x::BIGINT AS x, chunk_y::BIGINT AS y, chunk_z::BIGINT AS z, k // 3 AS batch_idx, {BLOCK_BYTES_SQL} AS uncompressed_size FROM i")
 def batch_offsets(spark, sf):
-    found = shards.batch_offsets(spark, source(spark, sf, ranges=False))
-    return found.where("offset >= schema_size and size > 0").select("shard", "batch_idx")
+    """Ranges found by skipping from message to message, checked by reading each chunk at its range."""
+    at = source(spark, sf, ranges=False)
+    found = shards.with_offsets(shards.read_index(spark, at), shards.batch_offsets(spark, at))
+    return _at_ranges(found, found.join(shards.list_shards(spark, at).select("shard", "path"), "shard"))
 
 
-@query("offsets_csv", f"WITH {_NAMED} SELECT shard, chunk_x::BIGINT AS x, chunk_y::BIGINT AS y, chunk_z::BIGINT AS z, k // 3 AS batch_idx, 'exists' AS status FROM i")
+@query("offsets_csv", f"WITH {_NAMED} SELECT shard, chunk_x::BIGINT AS x, chunk_y::BIGINT AS y, chunk_z::BIGINT AS z, k // 3 AS batch_idx, {BLOCK_BYTES_SQL} AS uncompressed_size, 'exists' AS status FROM i")
 def offsets_csv(spark, sf):
-    """Offsets written beside old indexes, read back; a second run finds every shard done."""
+    """Offsets written beside old indexes, read back and used; a second run finds every shard done."""
     at, out = source(spark, sf, ranges=False), scratch(spark, "offsets")
     shards.write_offsets(spark, at, out)
     again = shards.write_offsets(spark, at, out)
     rows = spark.read.option("header", True).schema("x long, y long, z long, offset long, size long, batch_idx long, schema_size long, shard string").csv(out)
-    return rows.where("offset >= schema_size").join(again, "shard").select("shard", "x", "y", "z", "batch_idx", "status")
+    return _at_ranges(rows, rows.join(shards.list_shards(spark, at).select("shard", "path"), "shard")).join(again, "shard")
 
 
 @query("index_presence", f"WITH {_NAMED} SELECT shard, count(*) FILTER (chunk_x % 3 <> 0) AS found, count(*) FILTER (chunk_x % 3 = 0) AS missing FROM s GROUP BY 1")
@@ -126,20 +144,46 @@ def export_decimated(spark, sf):
     return _voxels(spark, out, 0, WHOLE)
 
 
-_OUTCOMES = f"{_NAMED}, o AS (SELECT shard, count(*) AS chunks, 0::BIGINT AS failed, count(*) FILTER (chunk_x >= 8) AS outside FROM s GROUP BY 1)"
+_OUTCOMES = f"{_NAMED}, o AS (SELECT shard, count(*) AS chunks, count(*) FILTER (chunk_x % 4 = 1 AND chunk_y % 3 = 0) AS failed, count(*) FILTER (chunk_x >= 8 AND NOT (chunk_x % 4 = 1 AND chunk_y % 3 = 0)) AS outside FROM s GROUP BY 1)"
 
 
-@query("export_outcomes", f"WITH {_OUTCOMES} SELECT shard, chunks, failed, outside, chunks - outside AS written, chunks > outside AS ok FROM o")
+@query("export_outcomes", f"WITH {_OUTCOMES} SELECT shard, chunks, failed, outside, chunks - outside - failed AS written, chunks > outside + failed AS ok FROM o")
 def export_outcomes(spark, sf):
-    """What each source shard wrote of a volume that ends at half of it; shards that wrote nothing have failed."""
-    return verification.shard_outcomes(pipelines.decode_source(spark, source(spark, sf), CUT), CUT)
+    """What each source shard wrote of a volume that ends at half of it, some blocks being broken; shards that wrote nothing have failed."""
+    at = source(spark, sf, broken=(F.col("chunk_x") % 4 == 1) & (F.col("chunk_y") % 3 == 0))
+    return verification.shard_outcomes(pipelines.encode_source(spark, at, CUT), CUT)
 
 
-@query("outcome_totals", f"WITH {_OUTCOMES} SELECT count(*) FILTER (chunks > outside) AS shards_ok, count(*) FILTER (chunks = outside) AS shards_failed, sum(chunks - outside)::BIGINT AS written, 0::BIGINT AS failed, sum(outside)::BIGINT AS outside FROM o")
+@query("outcome_totals", f"WITH {_OUTCOMES} SELECT count(*) FILTER (chunks > outside + failed) AS shards_ok, count(*) FILTER (chunks = outside + failed) AS shards_failed, sum(chunks - outside - failed)::BIGINT AS written, sum(failed)::BIGINT AS failed, sum(outside)::BIGINT AS outside FROM o")
 def outcome_totals(spark, sf):
     return telemetry.outcome_totals(export_outcomes(spark, sf))
 
 
+@query("volume_files", f"WITH {V.VOX}, c AS (SELECT DISTINCT x // 8 AS cx, y // 8 AS cy, z // 8 AS cz FROM vox) SELECT {V.shard_sql(WHOLE, 'cx', 'cy', 'cz')} AS shard, {V.file_sql(V.shard_sql(WHOLE, 'cx', 'cy', 'cz'), WHOLE.shard)} AS file, count(*) AS chunks, list_sort(list({V.morton_sql(WHOLE, 'cx', 'cy', 'cz')}))[1] AS first_code FROM c GROUP BY 1, 2")
+def volume_files(spark, sf):
+    """Shard files of an exported scale with the chunks that each one's own indexes list."""
+    out = scratch(spark, "volume")
+    pipelines.export(spark, source(spark, sf), out, WHOLE)
+    code = geometry.morton(WHOLE, *(F.col(f"chunk_{a}") for a in "xyz"))
+    own = volumes.read_volume(spark, out).groupBy("shard").agg(F.count("*").alias("chunks"), F.min(code).alias("first_code"))
+    return volumes.volume_files(spark, out).select("shard", "file").join(own, "shard")
+
+
+@query("volume_box", f"WITH {V.VOX} SELECT x, y, z, label + 1000 AS label FROM vox WHERE x // 8 = 5 AND y // 8 BETWEEN 3 AND 9")
+def volume_box(spark, sf):
+    """The chunks of a box, read by the ranges of an exported scale's shard files that hold them."""
+    out = scratch(spark, "volume")
+    pipelines.export(spark, source(spark, sf), out, WHOLE)
+    return volume.explode_voxels(pipelines.read_level(spark, out, 0, "chunk_x = 5 and chunk_y >= 3 and chunk_y < 10"), WHOLE)
+
+
+@query("shard_pushdown", f"WITH {_NAMED} SELECT shard, chunk_x, chunk_y, chunk_z, {BLOCK_BYTES_SQL} AS uncompressed_size FROM s WHERE chunk_x = 5 AND chunk_y >= 3")
+def shard_pushdown(spark, sf):
+    """Filters on the source itself: they choose the batches that are read."""
+    rows = shards.read_shards(spark, source(spark, sf)).where("chunk_x = 5 and chunk_y >= 3")
+    return rows.select("shard", "chunk_x", "chunk_y", "chunk_z", "uncompressed_size")
+
+
 @query("pyramid_run", ORACLES["mode_downsample"].replace("SELECT x, y, z, label FROM r", "SELECT x, y, z, label + 1000 AS label FROM r"))
 def pyramid_run(spark, sf):
     """A whole run: export, verify, the next scale, verify; its second scale."""
@@ -177,12 +221,14 @@ def segmentation_voxels(spark, sf):
     return volume.explode_voxels(codecs.from_segmentation(encoded.where("error is null"), (8, 8, 8)), WHOLE)
 
 
-@query("file_listings", "SELECT * FROM (VALUES ('output', '0a.shard', 10::BIGINT, 3::BIGINT), ('output', '1f.shard', 31, 3), ('profile', 'a_b', NULL, 5), ('profile', 'c', NULL, 5), ('prediction', 'p-predicted-1.csv', NULL, 4)) t(kind, name, number, bytes)")
+@query("file_listings", "SELECT 'output' AS kind, printf('%02x.shard', s_suppkey) AS name, s_suppkey AS number, s_suppkey % 7 + 1 AS bytes FROM supplier UNION ALL SELECT 'profile', s_suppkey || '_0_0', NULL, s_suppkey % 5 + 2 FROM supplier UNION ALL SELECT 'prediction', s_suppkey || '-predicted-1.csv', NULL, s_suppkey % 3 + 3 FROM supplier")
 def file_listings(spark, sf):
-    """Outputs, label profiles and predictions found by name in one folder."""
-    at, none = scratch(spark, "listing"), F.lit(None).cast("long").alias("number")
-    for name, content in {"0a.shard": "xyz", "1f.shard": "xyz", "a_b-labels.csv": "x,y,z", "c-labels.csv": "x,y,z", "p-predicted-1.csv": "x,y,", "other.txt": ""}.items():
-        specs.put_text(spark, f"{at}/{name}", content)
+    """Outputs, label profiles and predictions found by name in one folder, among files of other names."""
+    at, none, k = scratch(spark, "listing"), F.lit(None).cast("long").alias("number"), F.col("s_suppkey")
+    named = lambda name, n: F.struct(name.alias("name"), F.repeat(F.lit("x"), n.cast("int")).alias("content"))
+    tail = lambda end: F.concat(k.cast("string"), F.lit(end))
+    every = F.array(named(F.format_string("%02x.shard", k), k % 7 + 1), named(tail("_0_0-labels.csv"), k % 5 + 2), named(tail("-predicted-1.csv"), k % 3 + 3), named(tail(".txt"), k % 2 + 1))
+    write_files(table(spark, sf, "supplier").select(F.inline(every)), at).write.format("noop").mode("overwrite").save()
     out = shards.list_outputs(spark, at).select(F.lit("output").alias("kind"), F.col("file").alias("name"), "number", "bytes")
     profiles = shards.list_profiles(spark, at).select(F.lit("profile").alias("kind"), F.col("shard").alias("name"), none, "bytes")
     return out.unionByName(profiles).unionByName(shards.list_predictions(spark, at).select(F.lit("prediction").alias("kind"), F.col("file").alias("name"), none, "bytes"))
@@ -211,23 +257,26 @@ def label_aware_plan(spark, sf):
 
 # --- specs, manifests, profiles, logs -----------------------------------------------------------------------
 
-_SPEC = {
-    "@type": specs.SPEC_TYPE, "type": "segmentation", "data_type": "uint64", "num_channels": 1,
-    "scales": [
-        {"key": s.key, "size": list(s.size), "chunk_sizes": [list(s.chunk), [32, 32, 32]], "resolution": [8.0, 8.0, 8.0], "voxel_offset": [0, 0, 0], "encoding": "raw", "sharding": {"preshift_bits": s.preshift, "minishard_bits": s.minishard, "shard_bits": s.shard, "hash": "identity"}}
-        for s in (V.LARGE, V.LARGE_HALF, V.TOY)
-    ],
-}
+def _spec_text(k: int) -> str:
+    """A volume's spec with two scales, as it is written beside an output volume."""
+    sharding = {"preshift_bits": k % 10, "minishard_bits": k % 7, "shard_bits": k % 12, "hash": "identity"}
+    one = lambda n: {"key": f"v{k}s{n}", "size": [(1000 + k) >> n, 500, 300], "chunk_sizes": [[64, 64, 64], [32, 32, 32]], "resolution": [8.0, 8.0, 8.0], "voxel_offset": [0, 0, 0], "encoding": "raw", "sharding": sharding}
+    return specs.destination_info(json.dumps({"@type": specs.SPEC_TYPE, "type": "segmentation", "data_type": "uint64", "num_channels": 1, "scales": [one(0), one(1)]}), "raw" if k % 2 else "compressed_segmentation")
 
 
-@query("spec_scan", "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{s.key}', {s.size[0]}::BIGINT, {s.chunk[0]}::BIGINT, {s.preshift}, {s.minishard}, {s.shard}, {float(1 << ((18 + s.preshift + s.minishard) // 3))}::DOUBLE, 'compressed_segmentation')" for i, s in enumerate((V.LARGE, V.LARGE_HALF, V.TOY))) + ") t(scale, key, size_x, chunk_x, preshift, minishard, shard_bits, side, encoding)")
+@query("spec_scan", "SELECT scale, 'v' || s_suppkey || 's' || scale AS key, (1000 + s_suppkey) >> scale AS size_x, 64::BIGINT AS chunk_x, (s_suppkey % 10)::INT AS preshift, (s_suppkey % 7)::INT AS minishard, (s_suppkey % 12)::INT AS shard_bits, (1 << ((18 + s_suppkey % 10 + s_suppkey % 7) // 3)::INT)::DOUBLE AS side, CASE WHEN s_suppkey % 2 = 0 THEN 'compressed_segmentation' ELSE 'raw' END AS encoding, CASE WHEN s_suppkey % 2 = 0 THEN 8 END AS block FROM supplier, (SELECT range::INT AS scale FROM range(2)) r")
 def spec_scan(spark, sf):
-    """A spec's scales, from the info file that an export writes."""
+    """The scales of one volume's info file per supplier, either variant as written beside an output volume."""
     at = scratch(spark, "spec")
-    specs.put_text(spark, f"{at}/info", specs.destination_info(json.dumps(_SPEC)))
-    s = specs.read_spec(spark, at)
+    ship(spark)
+    text = F.udf(_spec_text)
+    write_files(table(spark, sf, "supplier").select(F.concat(F.lit("v"), F.col("s_suppkey").cast("string"), F.lit("/info")).alias("name"), text("s_suppkey").alias("content")), at).write.format("noop").mode("overwrite").save()
+    s = specs.read_spec(spark, f"{at}/v*")
     side = geometry.rough_shard(F.col("scale"), F.col("sharding.preshift_bits"), F.col("sharding.minishard_bits"))["side"]
-    return s.select("scale", "key", F.col("size")[0].alias("size_x"), F.col("chunk")[0].alias("chunk_x"), F.col("sharding.preshift_bits").alias("preshift"), F.col("sharding.minishard_bits").alias("minishard"), F.col("sharding.shard_bits").alias("shard_bits"), side.cast("double").alias("side"), "encoding")
+    return s.select(
+        "scale", "key", F.col("size")[0].alias("size_x"), F.col("chunk")[0].alias("chunk_x"), F.col("sharding.preshift_bits").alias("preshift"), F.col("sharding.minishard_bits").alias("minishard"), F.col("sharding.shard_bits").alias("shard_bits"), side.cast("double").alias("side"),
+        "encoding", F.col("compressed_segmentation_block_size")[0].alias("block"),
+    )
 
 
 def _tasks(spark, sf) -> DataFrame:
@@ -258,12 +307,12 @@ def tier_totals(spark, sf):
     return specs.with_tier_totals(jobs, "job", specs.manifest_summary(_tasks(spark, sf))).select("s_suppkey", "job", "tier_shards")
 
 
-@query("debug_manifest", "SELECT 4 AS tier_gib, 0 AS task_id, * FROM (VALUES (0, '64_0_0'), (1, '0_0_128'), (0, '64_0_0')) t(scale, shard)")
+@query("debug_manifest", f"WITH {V.SHARDS} SELECT (4 * (1 + o_orderkey % 3))::INT AS tier_gib, (o_orderkey % 20)::INT AS task_id, scale, shard FROM shards WHERE o_orderkey % 5 = 0")
 def debug_manifest(spark, sf):
-    """A replay manifest, written in the array form and read back."""
-    at = scratch(spark, "debug")
-    for name, content in specs.debug_manifest([(0, "64_0_0"), (1, "0_0_128"), (0, "64_0_0")]).items():
-        specs.put_text(spark, f"{at}/{name}", content)
+    """Chosen shards as replay manifests in the array form, a file per tier and task, read back."""
+    at, k = scratch(spark, "debug"), F.col("o_orderkey")
+    chosen = V.shards(spark, sf).where(k % 5 == 0).withColumns({"tier_gib": (4 * (1 + k % 3)).cast("int"), "task_id": (k % 20).cast("int")})
+    specs.write_task_files(chosen, at, order=("o_orderkey",)).write.format("noop").mode("overwrite").save()
     return specs.read_task_files(spark, at)
 
 
@@ -304,13 +353,26 @@ def log_events(spark, sf):
     return out.select("event_id", "shard_number", "scale")
 
 
-@query("settings", "SELECT 'a' AS source, 'b' AS destination, 'supervoxels' AS label_type, 1 AS z_compress, '0,2' AS scales, '3,4' AS downres_scales, 8.0::DOUBLE AS memory_gib, '/tmp/s' AS staging, 'm' AS manifests, 60 AS limit_minutes")
-def settings(spark, sf):
-    env = specs.read_env("# settings\nexport SOURCE_PATH=a\nDEST_PATH='b'\nLABEL_TYPE=supervoxels\nZ_COMPRESS=1\nSCALES=0,2\nDOWNRES_SCALES=3, 4\nWORKER_MEMORY_GIB=8\nSTAGING_PATH=/tmp/s\nMANIFEST_URI=m\nMAX_PROCESSING_TIME=60\nNG_SPEC=" + base64.b64encode(b"{}").decode())
-    c = specs.config_from_env(env)
+SETTINGS = "source string, destination string, label_type string, z_compress int, scales string, downres_scales string, memory_gib double, staging string, manifests string, limit_minutes int, polling_seconds int"
+
+
+def _settings(text: str) -> tuple:
+    c = specs.config_from_env(specs.read_env(text))
     joined = lambda v: ",".join(map(str, v))
-    row = (c.source, c.destination, c.label_type, c.z_compress, joined(c.scales), joined(c.downres_scales), c.memory_gib, c.staging, c.manifests, c.limit_minutes)
-    return spark.createDataFrame([row], "source string, destination string, label_type string, z_compress int, scales string, downres_scales string, memory_gib double, staging string, manifests string, limit_minutes int")
+    return (c.source, c.destination, c.label_type, c.z_compress, joined(c.scales), joined(c.downres_scales), c.memory_gib, c.staging, c.manifests, c.limit_minutes, c.polling_seconds)
+
+
+@query("settings", "SELECT s_suppkey, s_name AS source, 'out/' || s_suppkey AS destination, CASE WHEN s_suppkey % 2 = 0 THEN 'supervoxels' ELSE 'labels' END AS label_type, (s_suppkey % 4)::INT AS z_compress, '0,' || s_suppkey % 9 AS scales, '3,4' AS downres_scales, (s_suppkey % 16)::DOUBLE AS memory_gib, '/tmp/s' AS staging, 'm' AS manifests, CASE WHEN s_suppkey % 3 = 0 THEN 60 ELSE 1440 END AS limit_minutes, CASE WHEN s_suppkey % 5 = 0 THEN 30 ELSE 10 END AS polling_seconds FROM supplier")
+def settings(spark, sf):
+    """Settings of a run per supplier, from env files with comments, quotes and settings left to their defaults."""
+    ship(spark)
+    k = F.col("s_suppkey")
+    line = lambda name, value: F.concat(F.lit(f"{name}="), value.cast("string"), F.lit("\n"))
+    rest = F.lit("NG_SPEC=" + base64.b64encode(b"{}").decode() + "\nDOWNRES_SCALES=3, 4\nSTAGING_PATH=/tmp/s\nMANIFEST_URI=m\n")
+    env = F.concat(F.lit("# settings\nexport SOURCE_PATH="), F.col("s_name"), F.lit("\n"), line("DEST_PATH", F.concat(F.lit("'out/"), k.cast("string"), F.lit("'"))), line("Z_COMPRESS", k % 4), line("SCALES", F.concat(F.lit("0,"), (k % 9).cast("string"))), line("WORKER_MEMORY_GIB", k % 16), rest)
+    given = [F.when(k % 2 == 0, "LABEL_TYPE=supervoxels\n"), F.when(k % 3 == 0, "MAX_PROCESSING_TIME=60\n"), F.when(k % 5 == 0, "POLLING_INTERVAL=30\n")]
+    own = table(spark, sf, "supplier").select("s_suppkey", F.concat(env, *(F.coalesce(g, F.lit("")) for g in given)).alias("env"))
+    return own.select("s_suppkey", F.udf(_settings, SETTINGS)("env").alias("c")).select("s_suppkey", "c.*")
 
 
 @query("truncated_events", f"WITH {V.LOG} SELECT least(count(*), 21) AS n, count(*) > 20 AS more FROM log")

@@ -10,17 +10,20 @@ from __future__ import annotations
 
 import io
 import re
-import time
-from collections.abc import Callable, Iterator
+import struct
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.ipc as ipc
 from pyarrow.fs import FileSelector, FileSystem, FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, Filter, InputPartition
+
+from .files import AXES, Bounds, ShardError, open_input, patiently, store
 
 SCHEMA = "shard string, chunk_x int, chunk_y int, chunk_z int, labels array<long>, supervoxels array<long>, block binary, uncompressed_size long"
 #: Fixed value: the block column's name in the files.
@@ -28,31 +31,15 @@ BLOCK_COLUMN = "dvid_compressed_block"
 REQUIRED = ("chunk_x", "chunk_y", "chunk_z", "labels", "supervoxels", BLOCK_COLUMN, "uncompressed_size")
 #: Bytes of a file that one planned split covers; a whole multiple of batches is read at once.
 SPLIT_BYTES = 64 << 20
+#: Message kinds of the Arrow format.
+_SCHEMA, _RECORD_BATCH = 1, 3
 INDEX_COLUMNS = {"new": ("x", "y", "z", "offset", "size", "batch_idx"), "old": ("x", "y", "z", "rec")}
 
 
-class ShardError(ValueError):
-    """A shard or index that doesn't have the format's parts."""
-
-
 class ChunkNotFound(ShardError):
     """No chunk at the coordinates asked for."""
 
 
-def patiently(work: Callable, attempts: int = 5, first: float = 1.0, sleep: Callable[[float], None] = time.sleep):
-    """``work()``, tried again after 1, 2, 4, ... seconds when storage fails; what is wrong with the data fails at once."""
-    for attempt in range(attempts):
-        try:
-            return work()
-        except ShardError:
-            raise
-        except OSError:
-            if attempt == attempts - 1:
-                raise
-            sleep(first * 2**attempt)
-    return None
-
-
 def open_table(data: bytes) -> pa.Table:
     """All batches of an IPC file or, failing that, stream."""
     try:
@@ -87,24 +74,59 @@ def to_batches(table: pa.Table, shard: str) -> Iterator[pa.RecordBatch]:
     yield from whole.to_batches(max_chunksize=64)
 
 
-def scan_offsets(data: bytes) -> tuple[int, list[tuple[int, int, int]]]:
-    """Schema size, and (batch, offset, size) of each record batch of an IPC stream."""
-    reader, at, schema, out = pa.BufferReader(data), 0, 0, []
-    while True:
-        try:
-            message = ipc.read_message(reader)
-        except (EOFError, StopIteration, pa.ArrowInvalid):
+def _message(metadata: bytes) -> tuple[int, int]:
+    """(kind of header, body's length) of a message's metadata: two fields of its flatbuffer table."""
+    (root,) = struct.unpack_from("<I", metadata)
+    fields = root - struct.unpack_from("<i", metadata, root)[0]
+    length = struct.unpack_from("<H", metadata, fields)[0]
+    at = lambda slot: struct.unpack_from("<H", metadata, fields + 4 + 2 * slot)[0] if 4 + 2 * slot < length else 0
+    kind, body = at(1), at(3)
+    return metadata[root + kind] if kind else 0, struct.unpack_from("<q", metadata, root + body)[0] if body else 0
+
+
+def scan_offsets(source: bytes | pa.NativeFile) -> tuple[int, list[tuple[int, int, int]]]:
+    """Schema size, and (batch, offset, size) of each record batch of an IPC stream or file.
+
+    Of every message only the length and the metadata are read; bodies are skipped by their length.
+    """
+    f = pa.BufferReader(source) if isinstance(source, bytes) else source
+    size, schema, out = f.size(), 0, []
+    at = 8 if f.read_at(6, 0) == b"ARROW1" else 0
+    while at + 8 <= size:
+        mark, n = struct.unpack("<Ii", f.read_at(8, at))
+        prefix = 8
+        if mark != 0xFFFFFFFF:  # written before the format had a continuation mark
+            prefix, n = 4, mark
+        if n <= 0 or at + prefix + n > size:
+            break
+        kind, body = _message(f.read_at(n, at + prefix))
+        whole = prefix + n + body
+        if at + whole > size:
             break
-        sizes = [x.size if x else 0 for x in (message.metadata, message.body)]
-        size = 8 + sum(-(-s // 8) * 8 for s in sizes)
-        if message.type == "schema":
-            schema = size
-        elif message.type == "record batch":
-            out.append((len(out), at, size))
-        at += size
+        if kind == _SCHEMA:
+            schema = at + whole
+        elif kind == _RECORD_BATCH:
+            out.append((len(out), at, whole))
+        at += whole
     return schema, out
 
 
+def stream_batches(f: pa.NativeFile) -> Iterator[pa.RecordBatch]:
+    """Batches of an IPC file or, failing that, stream, one at a time."""
+    try:
+        reader = ipc.open_file(f)
+    except pa.ArrowInvalid:
+        f.seek(0)
+        try:
+            reader = ipc.open_stream(f)
+        except pa.ArrowInvalid as e:
+            raise ShardError(f"neither an Arrow file nor a stream: {e}") from e
+        yield from reader
+        return
+    for k in range(reader.num_record_batches):
+        yield reader.get_batch(k)
+
+
 def parse_index(data: bytes) -> tuple[dict[tuple[int, int, int], tuple[int, int, int]], int]:
     """Chunk -> (offset, size, batch) and the schema's size; old indexes have offset and size -1 and a schema size only if stated."""
     lines = data.decode().splitlines()
@@ -177,7 +199,11 @@ class _Split(InputPartition):
 
 
 class LabelShards(DataSource):
-    """Option: path (file or directory).  A file is a partition; :func:`read_ranges` splits indexed ones."""
+    """Option: path (file or directory).  A file is a partition, read batch by batch.
+
+    Filters on ``shard`` choose the files.  Those on ``chunk_x``, ``chunk_y``, ``chunk_z`` choose, by the index beside a file, the
+    batches whose ranges are read; without one, batches are still looked through one at a time, and rows outside go at once.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -187,37 +213,73 @@ class LabelShards(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options["path"])
+        return ShardReader(self.options["path"])
 
 
-class _Reader(DataSourceReader):
+class ShardReader(DataSourceReader):
     def __init__(self, path: str):
-        self.path = path
+        self.path, self.bounds = path, Bounds()
 
-    def _fs(self) -> tuple[FileSystem, str]:
-        return FileSystem.from_uri(self.path if "://" in self.path else f"file://{self.path}")
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for f in filters:
+            self.bounds.take(f)
+            yield f  # bounds are a box and batches come whole: Spark still applies every filter
 
     def partitions(self) -> list[InputPartition]:
-        fs, root = self._fs()
+        fs, root = store(self.path)
         found = [fs.get_file_info(root)]
         if found[0].type == FileType.NotFound:
             raise FileNotFoundError(self.path)
         if found[0].type == FileType.Directory:
             found = fs.get_file_info(FileSelector(root, recursive=True))
+        prefix = self.path.split("://")[0] + "://" if "://" in self.path else ""
         files = sorted(f.path for f in found if f.type == FileType.File and f.path.endswith(".arrow"))
-        return [_Split(f) for f in files] or [_Split("")]
+        if self.bounds.shards is not None:
+            files = [f for f in files if _shard_of(f) in self.bounds.shards]
+        return [_Split(f"{prefix}{f}") for f in files] or [_Split("")]
 
     def read(self, partition: _Split) -> Iterator[pa.RecordBatch]:
-        if not partition.path:
+        path = partition.path
+        if not path:
             return
-        fs, _ = self._fs()
-        shard = partition.path.rsplit("/", 1)[-1].removesuffix(".arrow")
-
-        def whole() -> bytes:
-            with fs.open_input_file(partition.path) as f:
-                return f.read()
-
-        yield from to_batches(open_table(patiently(whole)), shard)
+        for batch in self._batches(path):
+            for rows in to_batches(pa.Table.from_batches([batch]), _shard_of(path)):
+                at = np.stack([rows.column(c).to_numpy() for c in AXES])
+                keep = self.bounds.inside(at)
+                if keep.any():
+                    yield rows if keep.all() else rows.filter(pa.array(keep))
+
+    def _batches(self, path: str) -> Iterator[pa.RecordBatch]:
+        ranges = None if self.bounds.everywhere else self._ranges(path)
+        if ranges is None:
+            with open_input(path) as f:
+                yield from stream_batches(f)
+            return
+        schema_size, own = ranges
+        if not own:
+            return
+        with open_input(path) as f:
+            head = patiently(lambda: f.read_at(schema_size, 0))
+            for offset, size in own:
+                data = patiently(lambda a=offset, n=size: f.read_at(n, a))
+                yield from stream_batches(pa.BufferReader(head + data))
+
+    def _ranges(self, path: str) -> tuple[int, list[tuple[int, int]]] | None:
+        """The ranges of batches that hold chunks inside the bounds; None without an index that knows them."""
+        fs, name = store(path.removesuffix(".arrow") + ".csv")
+        if fs.get_file_info(name).type != FileType.File:
+            return None
+        with fs.open_input_file(name) as f:
+            entries, schema_size = parse_index(f.read())
+        if not schema_size or any(offset < 0 for offset, _, _ in entries.values()):
+            return None
+        at = np.array(list(entries), np.int64).reshape(-1, 3).T
+        where = list(entries.values())
+        return schema_size, sorted({where[k][:2] for k in np.flatnonzero(self.bounds.inside(at))})
+
+
+def _shard_of(path: str) -> str:
+    return path.rsplit("/", 1)[-1].removesuffix(".arrow")
 
 
 def register(spark: SparkSession) -> None:
@@ -247,11 +309,20 @@ def index_entries(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(of, "shard", "x", "y", "z", F.when(known, F.col("offset")).otherwise(-1).alias("offset"), F.when(known, F.col("size")).otherwise(-1).alias("size"), "schema_size")
 
 
-def read_ranges(spark: SparkSession, entries: DataFrame) -> DataFrame:
+def source_entries(spark: SparkSession, path: str) -> DataFrame:
+    """:func:`index_entries` of every shard file under a path; files without an index have one entry of unknown range."""
+    files = list_shards(spark, path).select("path", "shard")
+    known = index_entries(spark, path).drop("path")
+    unknown = [F.coalesce(c, F.lit(-1)).alias(c) for c in ("offset", "size")]
+    return files.join(known, "shard", "left").select("path", "shard", "x", "y", "z", *unknown, F.coalesce("schema_size", F.lit(0)).alias("schema_size"))
+
+
+def read_ranges(spark: SparkSession, entries: DataFrame, apart: bool = False) -> DataFrame:
     """Chunks of the batches that index entries (see :func:`index_entries`, perhaps filtered) name.
 
     Ranges are gathered by stretches of a file, so a task reads neighbouring batches at once, and none the whole file
-    unless its index knows no ranges.  A batch comes whole, with chunks that no entry names.
+    unless its index knows no ranges.  A batch comes whole, with chunks that no entry names.  ``apart``: every range is read
+    by itself, and its ``offset`` is one more column.
     """
     from lamellar.session import ship
 
@@ -263,29 +334,30 @@ def read_ranges(spark: SparkSession, entries: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, schema_size, ranges_ in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                shard = path.rsplit("/", 1)[-1].removesuffix(".arrow")
-                yield from to_batches(open_table(patiently(lambda p=path, n=schema_size, r=ranges_: _bytes_of(p, n, r))), shard)
+                for own in [[r] for r in ranges_] if apart else [ranges_]:
+                    for table in _tables(path, schema_size, own):
+                        for rows in to_batches(table, _shard_of(path)):
+                            yield rows.append_column("offset", pa.array([own[0]["offset"]] * len(rows), pa.int64())) if apart else rows
 
-    return splits.select("path", "schema_size", "ranges").mapInArrow(run, SCHEMA)
+    return splits.select("path", "schema_size", "ranges").mapInArrow(run, f"{SCHEMA}, offset long" if apart else SCHEMA)
 
 
-def _bytes_of(path: str, schema_size: int, ranges: list[dict]) -> bytes:
-    """The schema and the ranges of a stream, neighbouring ones in one read; the whole file for an unknown range."""
-    uri = path if "://" in path else f"file://{path.removeprefix('file:')}"
-    fs, name = FileSystem.from_uri(uri)
-    with fs.open_input_file(name) as f:
+def _tables(path: str, schema_size: int, ranges: list[dict]) -> Iterator[pa.Table]:
+    """The schema and the ranges of a stream, neighbouring ones in one read; for an unknown range the file, batch by batch."""
+    with open_input(path) as f:
         if ranges[0]["offset"] < 0:
-            return f.read()
-        parts, at = [f.read_at(schema_size, 0)], None
+            yield from (pa.Table.from_batches([b]) for b in stream_batches(f))
+            return
+        parts, at = [patiently(lambda: f.read_at(schema_size, 0))], None
         for r in ranges:
             if at and at[1] == r["offset"]:
                 at[1] += r["size"]
             else:
                 if at:
-                    parts.append(f.read_at(at[1] - at[0], at[0]))
+                    parts.append(patiently(lambda a=at: f.read_at(a[1] - a[0], a[0])))
                 at = [r["offset"], r["offset"] + r["size"]]
-        parts.append(f.read_at(at[1] - at[0], at[0]))
-        return b"".join(parts)
+        parts.append(patiently(lambda a=at: f.read_at(a[1] - a[0], a[0])))
+    yield open_table(b"".join(parts))
 
 
 def read_chunk(chunks: DataFrame, x: int, y: int, z: int) -> DataFrame:
@@ -325,22 +397,22 @@ def missing_chunks(index: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def batch_offsets(spark: SparkSession, path: str) -> DataFrame:
-    """(shard, schema_size, batch_idx, offset, size) of every batch of the stream files under a path."""
+    """(shard, schema_size, batch_idx, offset, size) of every batch of the shard files under a path; bodies are never read."""
     from lamellar.session import ship
 
     ship(spark)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.arrow").load(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for name, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                schema, rows = scan_offsets(data.as_py())
+            for path in b.column(0).to_pylist():
+                with open_input(path) as f:
+                    schema, rows = scan_offsets(f)
                 if rows:
                     k, o, s = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), pa.array([schema] * len(rows), pa.int64()), pa.array(k, pa.int64()), pa.array(o, pa.int64()), pa.array(s, pa.int64())], names=["shard", "schema_size", "batch_idx", "offset", "size"])
+                    yield pa.RecordBatch.from_arrays([pa.array([_shard_of(path)] * len(rows)), pa.array([schema] * len(rows), pa.int64()), pa.array(k, pa.int64()), pa.array(o, pa.int64()), pa.array(s, pa.int64())], names=["shard", "schema_size", "batch_idx", "offset", "size"])
 
-    named = files.select(F.regexp_extract("path", r"([^/]+)\.arrow$", 1).alias("shard"), "content")
-    return named.mapInArrow(run, "shard string, schema_size long, batch_idx long, offset long, size long")
+    files = list_shards(spark, path).select("path").repartition("path")
+    return files.mapInArrow(run, "shard string, schema_size long, batch_idx long, offset long, size long")
 
 
 def with_offsets(index: DataFrame, offsets: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from lamellar.functions.geometry import Scale
 from lamellar.functions.text import embedded_json, tier_of
 from lamellar.session import fresh
 
+from .files import write_files
 from .shards import list_files
 
 #: Fixed value: the spec format's type tag.
@@ -112,9 +113,16 @@ def with_tier_totals(rows: DataFrame, label: str, summary: DataFrame) -> DataFra
     return rows.withColumn(tier, tier_of(F.col(label))).join(totals, tier, "left").select(*rows.columns, shards, tasks)
 
 
-def debug_manifest(entries: list[tuple[int, str]], tier: int = 4) -> dict[str, str]:
-    """File name and JSON of a manifest of chosen shards, in the order given, to replay them as one task."""
-    return {f"tier-{tier}gi/task-0.json": json.dumps([{"scale": s, "shard": n} for s, n in entries], separators=(",", ":"))}
+def write_task_files(tasks: DataFrame, path: str, fields: tuple[str, ...] = ("scale", "shard"), order: tuple[str, ...] = ()) -> DataFrame:
+    """Assigned shards (tier_gib, task_id and ``fields``) as tier-{N}gi/task-{i}.json, each one JSON array, to be replayed by :func:`read_task_files`.
+
+    The entries of a task stand in the order of ``order`` and the fields.  A task's list is one file, as a worker reads it whole.
+    Returns name and bytes; the files are there once that is computed.
+    """
+    entry = F.sort_array(F.collect_list(F.struct(F.struct(*(order or fields)).alias("o"), F.struct(*fields).alias("e"))))
+    own = tasks.groupBy("tier_gib", "task_id").agg(F.to_json(F.transform(entry, lambda x: x["e"])).alias("content"))
+    name = F.concat(F.lit("tier-"), F.col("tier_gib").cast("string"), F.lit("gi/task-"), F.col("task_id").cast("string"), F.lit(".json"))
+    return write_files(own.select(name.alias("name"), "content"), path)
 
 
 def write_report(rows: DataFrame, path: str, order: list[str], form: str = "csv") -> None:
@@ -213,6 +221,7 @@ class ExportConfig:
     memory_gib: float = 4.0
     manifests: str = ""
     limit_minutes: int = 1440
+    polling_seconds: int = 10
 
 
 def config_from_env(env: dict[str, str]) -> ExportConfig:
@@ -221,27 +230,9 @@ def config_from_env(env: dict[str, str]) -> ExportConfig:
     spec = base64.b64decode(env.get("NG_SPEC", "")).decode() or "{}"
     return ExportConfig(
         env["SOURCE_PATH"], env["DEST_PATH"], spec, env.get("LABEL_TYPE", "labels"), int(env.get("Z_COMPRESS", "0")), numbers(env.get("SCALES", "0")), numbers(env.get("DOWNRES_SCALES", "")),
-        env.get("ONLY_MISSING", "") == "1", int(env.get("MAX_TASKS", "5000")), env.get("STAGING_PATH", ""), float(env.get("WORKER_MEMORY_GIB", "4")), env.get("MANIFEST_URI", ""), int(env.get("MAX_PROCESSING_TIME", "1440")),
+        env.get("ONLY_MISSING", "") == "1", int(env.get("MAX_TASKS", "5000")), env.get("STAGING_PATH", ""), float(env.get("WORKER_MEMORY_GIB", "4")), env.get("MANIFEST_URI", ""), int(env.get("MAX_PROCESSING_TIME", "1440")), int(env.get("POLLING_INTERVAL", "10")),
     )
 
 
 def resolve_label_type(given: Column, env: Column) -> Column:
     return F.coalesce(given, env, F.lit("labels"))
-
-
-# --- output volume ----------------------------------------------------------------------------------------
-
-
-def write_volume(chunks: DataFrame, path: str) -> None:
-    """Encoded chunks by scale and shard; other scales and shards under the path stay.
-
-    The committer makes each task's output appear whole or not at all.
-    """
-    w = chunks.repartition("scale", "shard").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    w.partitionBy("scale", "shard").parquet(path)
-
-
-def read_volume(spark: SparkSession, path: str, scale: int | None = None) -> DataFrame:
-    """A written volume; a scale prunes its folder."""
-    out = spark.read.parquet(path)
-    return out if scale is None else out.where(F.col("scale") == scale)

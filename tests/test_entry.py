@@ -38,11 +38,6 @@ def test_against_sql(spark, duck, name):
     compare(spark, duck, name, QUERIES[name], ORACLES[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_without_sql(spark, name):
-    assert QUERIES[name](spark, SF).count() > 0
-
-
 def test_contract(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
