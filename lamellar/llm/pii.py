@@ -14,11 +14,15 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from array import array
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -38,7 +42,10 @@ _CANDIDATE = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
 _DIGIT = re.compile("[0-9]")
 _DIGITS = re.compile("d[0-9]*(?:d[0-9]*)*")
 TABLE_ROWS = 800
-SLICE = 500
+#: Rows and bytes of text that a task works on at once; one longer text is a slice by itself.
+SLICE, SLICE_BYTES = 500, 4 << 20
+#: Tokens whose features are held at once; longer runs are decoded in blocks of so many.
+HELD_TOKENS = 8192
 
 
 def luhn(digits: str) -> bool:
@@ -126,24 +133,28 @@ _WORD = re.compile(r"[A-Za-z]+")
 _HEX = re.compile(r"[0-9a-fA-F]+")
 
 
-def features(text: str, run: list[tuple[int, int]]) -> list[list[str]]:
-    """Features of each token of a run: its own, its neighbours' shapes and the words before and after the run."""
+def features(text: str, run: list[tuple[int, int]], at: int = 0, left: str = "", right: str | None = None) -> list[list[str]]:
+    """Features of each token of a run: its own, its neighbours' shapes and the words before and after the run.
+
+    A part of a run is told how many tokens precede it (``at``) and the shapes beside it (``right`` is None at the run's end).  Words
+    beside a run are looked for within NEAR characters, where a longer one is cut.
+    """
     tokens = [text[a:b] for a, b in run]
-    shapes = [shape(t) for t in tokens]
-    before = text[max(0, run[0][0] - NEAR) : run[0][0]].lower().rstrip("\"'<[{").split()[-2:]
-    after = text[run[-1][1] : run[-1][1] + NEAR].lower().split()[:1]
+    shapes = [left, *map(shape, tokens), right or ""]
+    before = text[max(0, run[0][0] - NEAR) : run[0][0]].lower().rstrip("\"'<[{").split()[-2:] if not at else []
+    after = text[run[-1][1] : run[-1][1] + NEAR].lower().split()[:1] if right is None else []
     words = [f"before={w[0]}" for x in before if (w := _WORD.search(x))]
     sign = [f"sign={c}" for c in "=:" if before and c in before[-1]]
     out = []
-    for i, (t, s) in enumerate(zip(tokens, shapes, strict=True)):
-        n = len(t)
+    for i, t in enumerate(tokens):
+        n, s = len(t), shapes[i + 1]
         own = [
             "bias", f"shape={s}", f"short={_DIGITS.sub('d', s)[:24]}", f"first={s[:3]}", f"last={s[-3:]}", f"long={n if n < 12 else 12 if n < 16 else n if n < 20 else 20 + n // 20}", f"dots={min(t.count('.'), 4)}",
-            f"at={min(t.count('@'), 2)}", f"hex={bool(_HEX.fullmatch(t)) and not t.isdigit()}", f"left={shapes[i - 1] if i else ''}", f"right={shapes[i + 1] if i + 1 < len(shapes) else ''}", f"place={min(i, 3)}",
+            f"at={min(t.count('@'), 2)}", f"hex={bool(_HEX.fullmatch(t)) and not t.isdigit()}", f"left={shapes[i]}", f"right={shapes[i + 2]}", f"place={min(at + i, 3)}",
         ]
         if "=" in t[:-1]:
             own.append(f"name={t.partition('=')[0].lower()}")
-        if i == 0:
+        if at + i == 0:
             own += words + sign
         if i == len(tokens) - 1 and after and (w := _WORD.search(after[0])):
             own.append(f"after={w[0]}")
@@ -214,6 +225,27 @@ class Field:
             out[:, t - 1] = np.take_along_axis(back[:, t], out[:, t, None].astype(np.int64), 1)[:, 0]
         return out
 
+    def decode_long(self, text: str, run: array) -> np.ndarray:
+        """Labels of one run of any length: features and scores of a block at a time, and one byte a token and label to go back by."""
+        n = len(run) // 2
+        back, best = np.zeros((n, len(LABELS)), np.int8), None
+        token = lambda k: shape(text[run[2 * k] : run[2 * k + 1]])
+        for at in range(0, n, HELD_TOKENS):
+            end = min(n, at + HELD_TOKENS)
+            part = features(text, list(zip(run[2 * at : 2 * end : 2], run[2 * at + 1 : 2 * end : 2], strict=True)), at, token(at - 1) if at else "", token(end) if end < n else None)
+            for k, scores in enumerate(self.emit[_numbers([part], self.index)[0]].sum(1), at):
+                if best is None:
+                    best = self.start + scores
+                else:
+                    paths = best[:, None] + self.move
+                    back[k] = paths.argmax(0)
+                    best = paths.max(0) + scores
+        out = np.zeros(n, np.int8)
+        out[-1] = best.argmax()
+        for k in range(n - 1, 0, -1):
+            out[k - 1] = back[k, out[k]]
+        return out
+
     def decode(self, runs: list[list[list[str]]]) -> list[np.ndarray]:
         """Labels of every run, given its tokens' features; runs of one length go through numpy together."""
         by: dict[int, list[int]] = defaultdict(list)
@@ -277,63 +309,110 @@ def train(table: list[tuple[str, list[tuple[int, int]], list[str]]], steps: int
     return Field(index, emit, move, start)
 
 
-def runs_of(text: str) -> list[list[tuple[int, int]]]:
-    """Runs of neighbouring tokens with a digit or "@": (start, end) of each token without punctuation."""
-    out: list[list[tuple[int, int]]] = []
-    last = -1
+def _runs(text: str) -> Iterator[array]:
+    """Runs of neighbouring tokens with a digit or "@", each as start, end, start, end, ... without punctuation."""
+    run, last = array("q"), -1
     for m in _CANDIDATE.finditer(text):
         a, b = core(m[0])
         if b > a:
-            span = (m.start() + a, m.start() + b)
-            if last >= 0 and not text[last : m.start()].strip():
-                out[-1].append(span)
-            else:
-                out.append([span])
+            if run and not (last >= 0 and not text[last : m.start()].strip()):
+                yield run
+                run = array("q")
+            run.extend((m.start() + a, m.start() + b))
             last = m.end()
         else:
             last = -1
-    return out
+    if run:
+        yield run
+
+
+def runs_of(text: str) -> list[list[tuple[int, int]]]:
+    """Runs of neighbouring tokens with a digit or "@": (start, end) of each token without punctuation."""
+    return [list(zip(r[::2], r[1::2], strict=True)) for r in _runs(text)]
+
+
+def _labelled(text: str, run: array, labels: np.ndarray) -> Iterator[tuple[str, int, int]]:
+    """Valid spans that a run's labels state."""
+    changes = np.flatnonzero(labels)
+    open_at = last = -1
+    for t in changes.tolist():
+        y = labels[t]
+        if open_at >= 0 and (t != last + 1 or y % 2 or (y - 1) // 2 != (labels[open_at] - 1) // 2):
+            yield from _span(text, run, labels, open_at, last)
+            open_at = -1
+        if open_at < 0:
+            open_at = t
+        last = t
+    if open_at >= 0:
+        yield from _span(text, run, labels, open_at, last)
+
+
+def _span(text: str, run: array, labels: np.ndarray, first: int, last: int) -> Iterator[tuple[str, int, int]]:
+    kind, a, b = FIELD_KINDS[(labels[first] - 1) // 2], run[2 * first], run[2 * last + 1]
+    if valid(kind, text[a:b]):
+        yield kind, a, b
 
 
 def field_spans(texts: list[str], field: Field) -> list[list[tuple[str, int, int]]]:
-    """Spans that the random field decodes in each text."""
-    where = [(i, run) for i, x in enumerate(texts) if _DIGIT.search(x) or "@" in x for run in runs_of(x)]
+    """Spans that the random field decodes in each text; no more than HELD_TOKENS tokens' features, or a run's, are held at once."""
     found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    labels = field.decode([features(texts[i], run) for i, run in where])
-    for (i, run), own in zip(where, labels, strict=True):
-        open_at = -1
-        for t, y in enumerate([*own.tolist(), 0]):
-            if open_at >= 0 and (y == 0 or y % 2 or (y - 1) // 2 != (own[open_at] - 1) // 2):
-                kind, a, b = FIELD_KINDS[(own[open_at] - 1) // 2], run[open_at][0], run[t - 1][1]
-                if valid(kind, texts[i][a:b]):
-                    found[i].append((kind, a, b))
-                open_at = -1
-            if y and open_at < 0:
-                open_at = t
+    held: list[tuple[int, array]] = []
+
+    def flush() -> None:
+        pairs = [(i, list(zip(r[::2], r[1::2], strict=True))) for i, r in held]
+        for (i, run), labels in zip(held, field.decode([features(texts[i], r) for i, r in pairs]), strict=True):
+            found[i].extend(_labelled(texts[i], run, labels))
+        held.clear()
+
+    tokens = 0
+    for i, x in enumerate(texts):
+        for run in _runs(x) if _DIGIT.search(x) or "@" in x else ():
+            if len(run) > 2 * HELD_TOKENS:
+                found[i].extend(_labelled(x, run, field.decode_long(x, run)))
+                continue
+            held.append((i, run))
+            tokens += len(run) // 2
+            if tokens >= HELD_TOKENS:
+                flush()
+                tokens = 0
+    flush()
     return found
 
 
 def merge(base: list[tuple[str, int, int]], more: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Base spans and those of ``more`` that overlap none of them, by kind as listed, then start."""
-    free = [s for s in more if all(s[2] <= a or b <= s[1] for _, a, b in base)] if base else more
-    return sorted([*base, *free], key=lambda s: (FIELD_KINDS.index(s[0]), s[1], s[2]))
+    own = sorted((a, b) for _, a, b in base)
+    starts, ends = [a for a, _ in own], list(accumulate((b for _, b in own), max))  # ends: the furthest of all up to here
+
+    def free(a: int, b: int) -> bool:
+        before = bisect_left(starts, b)
+        return not before or ends[before - 1] <= a
+
+    return sorted([*base, *(s for s in more if free(s[1], s[2]))], key=lambda s: (FIELD_KINDS.index(s[0]), s[1], s[2]))
 
 
 def written(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches in pieces of ``SLICE`` rows: enough for numpy, and few texts at a time in memory."""
+def _slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """Batches in pieces of at most SLICE rows and, unless one row is more, SLICE_BYTES of text."""
     for b in batches:
-        for at in range(0, b.num_rows, SLICE):
-            yield b.slice(at, SLICE)
+        sizes = pc.fill_null(pc.binary_length(b.column(text)), 0).to_pylist()
+        at = held = 0
+        for k, size in enumerate(sizes):
+            if k > at and (k - at >= SLICE or held + size > SLICE_BYTES):
+                yield b.slice(at, k - at)
+                at, held = k, 0
+            held += size
+        if b.num_rows > at:
+            yield b.slice(at)
 
 
 def find(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone and base_sha256 of base spans, all spans, and their number.
 
-    Null and empty texts have no spans.  Texts are read whole; repeated rows give repeated results; an empty
+    Null and empty texts have no spans.  Texts are read whole, and of a very long one some 40 bytes a token are held beside it; repeated rows give repeated results; an empty
     table gives an empty one; other columns are not read.
     """
     ship(docs.sparkSession)
@@ -341,7 +420,7 @@ def find(docs: DataFrame, field: Field | None = None) -> DataFrame:
     schema = T.StructType([docs.schema["doc_id"], *(T.StructField(f"n_{k}", T.LongType()) for k in KINDS), T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType()), T.StructField("n_spans", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _slices(batches):
+        for b in _slices(batches, 1):
             texts = [x or "" for x in b.column(1).to_pylist()]
             base = [base_spans(x) for x in texts]
             spans = [merge(x, y) for x, y in zip(base, field_spans(texts, model.value), strict=True)]
@@ -364,7 +443,7 @@ def mask(docs: DataFrame, field: Field | None = None) -> DataFrame:
     size = names.index("n_chars") if "n_chars" in names and docs.schema["n_chars"].dataType.typeName() in ("integer", "long") else -1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _slices(batches):
+        for b in _slices(batches, at):
             texts = b.column(at).to_pylist()
             found = field_spans([x or "" for x in texts], model.value)
             clean = [x if x is None else masked(x, merge(base_spans(x), f)) for x, f in zip(texts, found, strict=True)]

@@ -638,6 +638,46 @@ def test_viterbi_is_the_best_path():
         assert value(got) == pytest.approx(max(map(value, itertools.product(range(len(pii.LABELS)), repeat=4))))
 
 
+def test_long_runs_in_blocks(monkeypatch):
+    """Blocks change no label, and memory follows the block, not the run."""
+    import tracemalloc
+
+    field = pii.train(pii.labelled_table(200))
+    r = random.Random(6)
+    forms = ["(202) 555-0143", "4111 1111 1111 1111", "7", "12", "a@b", "10.0.0.1", "x1=9f86d081884c7d65", "3.5", "2024-01-02"]
+    texts = [" ".join(r.choice(forms) for _ in range(n)) for n in (1, 40, 300)] + ["word " + " ".join(r.choice(forms) for _ in range(70)) + " end", "", "none"]
+    want = [sorted(x) for x in pii.field_spans(texts, field)]
+    for held in (1, 2, 7, 64):
+        monkeypatch.setattr(pii, "HELD_TOKENS", held)
+        assert [sorted(x) for x in pii.field_spans(texts, field)] == want
+    monkeypatch.undo()
+    text = "1 2 3 " * 50_000
+    tracemalloc.start()
+    pii.field_spans([text], field)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6  # 150,000 tokens held about 300 MB of features before they were made in blocks
+
+
+def test_slices_are_bounded_by_bytes(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(pii, "SLICE", 3)
+    monkeypatch.setattr(pii, "SLICE_BYTES", 10)
+    texts = ["ab", None, "x" * 30, "y" * 9, "zz", "", "", "", "q"]
+    found = [b.column(0).to_pylist() for b in pii._slices(iter([pa.record_batch([pa.array(texts)], names=["text"])]), 0)]
+    assert [t for b in found for t in b] == texts and all(len(b) <= 3 and (len(b) == 1 or sum(map(len, filter(None, b))) <= 10) for b in found)
+
+
+def test_merge_keeps_what_overlaps_nothing():
+    r = random.Random(2)
+    for _ in range(200):
+        spans = [[(r.choice(pii.FIELD_KINDS), a := r.randrange(60), a + r.randint(1, 9)) for _ in range(r.randint(0, 9))] for _ in range(2)]
+        base, more = spans
+        free = [s for s in more if all(s[2] <= a or b <= s[1] for _, a, b in base)]
+        assert pii.merge(base, more) == sorted(base + free, key=lambda s: (pii.FIELD_KINDS.index(s[0]), s[1], s[2]))
+
+
 def test_spans_and_masks(spark):
     texts = personal()
     df = frame(spark, [*enumerate(texts), (1, texts[1]), (None, "a@b.cd")])
