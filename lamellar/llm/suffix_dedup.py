@@ -9,6 +9,10 @@ hash.  Equal windows have it at the same offset, so this is one fixed order of d
 digit common to all windows around one minimizer: the first pass sorts one row per minimizer (about one in 170
 bytes) instead of one per byte.
 
+A run of a short period (padding, a line over and over) would have a minimizer per period.  Its windows are copies of each
+other, so the whole run goes, and only two periods of its windows at either end take part in the passes, to be found by
+others.
+
 1. First digit: the gram.  Minimizers whose gram occurs once are done.  Those whose whole surroundings
    (``depth`` bytes either way) occur twice are done too: all their windows are repeated.
 2. Second digit, for one minimizer per distinct surroundings: offsets in blocks of ``BLOCK``.  The bytes common to
@@ -38,6 +42,8 @@ from lamellar.session import materialize, remove, ship, table
 DEPTH, GRAM, BLOCK = 400, 64, 32
 #: Bytes of a text that are looked at together; longer texts go through in overlapping pieces.
 PIECE = 1 << 20
+#: Periods below this make a run that is taken as one unit.
+PERIOD = 128
 
 _ODD = 0x9E3779B97F4A7C15 | 1
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -80,17 +86,69 @@ def _slide_min(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(h[: len(h) - (w - step)], h[w - step :]) if step < w else h
 
 
-def minimizers(data: np.ndarray, depth: int = DEPTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+def _agree(data: np.ndarray, x: int, p: int, step: int) -> int:
+    """How far from ``x`` on, in the direction of ``step``, bytes equal those ``p`` after them."""
+    done, size = 0, 1024
+    while True:
+        if step > 0:
+            m = min(size, len(data) - p - x - done)
+            own = data[x + done : x + done + m] != data[x + done + p : x + done + p + m]
+        else:
+            m = min(size, x - done)
+            own = (data[x - done - m : x - done] != data[x - done - m + p : x - done + p])[::-1]
+        if own.any():
+            return done + int(own.argmax())
+        done, size = done + m, min(2 * size, 1 << 20)
+        if not m:
+            return done
+
+
+def periodic(data: np.ndarray, depth: int = DEPTH) -> list[tuple[int, int, int]]:
+    """(start, end, period) of the text's runs of a short period that have more than ``depth`` windows to spare.
+
+    Every PERIOD-th place is compared with the PERIOD - 1 after it, eight bytes at a time; what agrees there is checked and
+    followed both ways byte by byte.
+    """
+    n, runs = len(data), []
+    if n < 3 * depth:
+        return runs
+    words = np.ndarray((n - 7,), "<u8", data, strides=(1,))
+    places = np.arange(0, n - 7 - PERIOD, PERIOD)
+    for k in range(0, len(places), 8192):
+        own = places[k : k + 8192]
+        same = words[own[:, None] + np.arange(1, PERIOD)] == words[own][:, None]
+        for i in np.flatnonzero(same.any(1)).tolist():
+            x = int(own[i])
+            if runs and x < runs[-1][1]:
+                continue
+            for p in (np.flatnonzero(same[i]) + 1).tolist():
+                right = _agree(data, x, p, 1)
+                if right < GRAM:
+                    continue
+                a, z = x - _agree(data, x, p, -1), x + right + p
+                if z - a > 2 * depth + 4 * p:
+                    runs.append((a, z, p))
+                    break
+    return runs
+
+
+def minimizers(data: np.ndarray, depth: int = DEPTH, gram: int = GRAM, runs: list[tuple[int, int, int]] | None = None) -> tuple[np.ndarray, ...]:
     """Arrays (pos, low, high, key) for each minimizer of a text's windows.
 
-    Window starts are pos - high to pos - low; ``key`` hashes the gram.
+    Window starts are pos - high to pos - low; ``key`` hashes the gram.  Of each periodic run (see :func:`periodic`) two
+    periods of windows at either end take part: the others, which are their copies, are left out.
     """
     n, w = len(data), depth - gram + 1
     found: list[tuple[int, int, int, int]] = []
-    for begin in range(0, n - depth + 1, PIECE):
-        a, z = max(0, begin - depth), min(n, begin + PIECE + 2 * depth)
+    last, spans = 0, []
+    for a, z, p in runs or ():
+        spans.append((last, a + 2 * p))
+        last = z - depth - 2 * p
+    spans.append((last, n - depth + 1))
+    for begin, stop in ((b, stop) for start, stop in spans for b in range(start, stop, PIECE)):
+        a, z = max(0, begin - depth), min(n, begin + PIECE + 2 * depth, stop + 2 * depth)
         roll = Rolling(data[a:z])
-        starts = min(PIECE, n - depth + 1 - begin)
+        starts = min(PIECE, stop - begin)
         grams = np.arange(begin - a, begin - a + starts + w - 1)
         h = roll.of(grams, grams + gram)
         least = _slide_min(h, w)
@@ -120,20 +178,32 @@ def digest(data: bytes | memoryview, left: int = 0) -> bytes:
 
 
 def _anchors(docs: DataFrame, depth: int, gram: int) -> DataFrame:
+    """Minimizers, with a digest of their surroundings; and periodic runs, from ``pos`` to ``high``, with no ``low``."""
+    names = ["doc", "uid", "pos", "low", "high", "key", "around"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             parts: list[list[np.ndarray]] = [[] for _ in range(6)]
             around: list[bytes] = []
+            inside: list[tuple[int, int, int, int]] = []
             for doc, uid, text in zip(*b.columns, strict=True):
                 data = text.as_buffer() or b""
                 if len(data) >= depth:
-                    own, view = minimizers(np.frombuffer(data, np.uint8), depth, gram), memoryview(data)
+                    bytes_, view = np.frombuffer(data, np.uint8), memoryview(data)
+                    runs = periodic(bytes_, depth)
+                    own = minimizers(bytes_, depth, gram, runs)
+                    for a, z, _ in runs:
+                        inside.append((doc.as_py(), uid.as_py(), a, z))
                     around += [digest(view[max(0, p - depth) : p + depth], min(p, depth)) for p in own[0].tolist()]
                     for k, x in enumerate((np.full(len(own[0]), doc.as_py()), np.full(len(own[0]), uid.as_py()), *own)):
                         parts[k].append(x)
             if parts[0]:
                 c = [np.concatenate(x) for x in parts]
-                yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in c), pa.array(around, pa.binary())], names=["doc", "uid", "pos", "low", "high", "key", "around"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in c), pa.array(around, pa.binary())], names=names)
+            if inside:
+                doc, uid, start, end = (list(c) for c in zip(*inside, strict=True))
+                none = pa.nulls(len(inside))
+                yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(uid, pa.int64()), pa.array(start, pa.int32()), none.cast(pa.int32()), pa.array(end, pa.int32()), none.cast(pa.int64()), none.cast(pa.binary())], names=names)
 
     return docs.select("doc", "uid", "text").mapInArrow(run, "doc long, uid long, pos int, low int, high int, key long, around binary")
 
@@ -204,17 +274,20 @@ def _again(rows: DataFrame, column: str) -> DataFrame:
 def repeated_spans(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM) -> DataFrame:
     """(doc, uid, start, end): byte ranges, overlapping ones included, that repeated windows cover."""
     ship(docs.sparkSession)
-    at = materialize(_anchors(docs, depth, gram), "minimizers")
-    groups = materialize(at.groupBy("key", "around").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "uid", "pos", "low", "high")).alias("rep")), "surroundings")
+    found = materialize(_anchors(docs, depth, gram), "minimizers")
+    at = found.where("low is not null")
+    rep = F.struct(F.min(F.struct("doc", "uid", "pos")).alias("at"), F.min("low").alias("low"), F.max("high").alias("high"))
+    groups = materialize(at.groupBy("key", "around").agg(F.count(F.lit(1)).alias("n"), rep.alias("rep")), "surroundings")
     # First digit done: all windows of minimizers with repeated surroundings are repeated.
     same = materialize(groups.where("n > 1").select("key", "around"), "same")
     size = F.lit(depth)
     sure = at.join(same, ["key", "around"], "left_semi").select("doc", "uid", (F.col("pos") - size).alias("start"), (F.col("pos") + size).alias("end"))
-    sure = materialize(sure, "sure")
-    remove(at)
+    inside = found.where("low is null").select("doc", "uid", F.col("pos").alias("start"), F.col("high").alias("end"))
+    sure = materialize(sure.union(inside), "sure")
+    remove(found)
     remove(same)
     shared = materialize(groups.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key"), "shared")
-    reps = groups.join(shared, "key").select("rep.*", (F.col("n") > 1).alias("done"))
+    reps = groups.join(shared, "key").select("rep.at.*", "rep.low", "rep.high", (F.col("n") > 1).alias("done"))
     around = materialize(_surroundings(reps, docs, depth), "bytes")
     remove(groups)
     remove(shared)

@@ -257,6 +257,24 @@ def test_repeats(spark, monkeypatch, piece):
     assert text_of((x.doc_id, x.n_bytes, x.n_removed, x.n_spans, hashlib.sha256(bytes(x.kept)).hexdigest()) for x in got) == text_of(want)
 
 
+def test_periodic_runs(spark):
+    """Padding and repeated lines: few rows, and the result of all windows."""
+    r = random.Random(11)
+    noise = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
+    line = noise(90) + "\n"
+    unit = noise(7)
+    texts = ["a" * 6000, "b" * 400, "b" * 2500, noise(300) + "=" * 1700 + noise(500), noise(20) + line * 40 + noise(450), line * 5 + line[:37], noise(100) + unit * 300 + "!" + unit * 200, (unit * 80)[3:460], noise(900)]
+    texts += [texts[3][:900], "=" * 399, "=" * 401, noise(30) + texts[4][200:700], (line * 9)[50:500], "z" * 1200 + "y" * 1300 + "z" * 900]
+    docs = frame(spark, list(enumerate(texts)))
+    got = {row.doc_id: (row.n_bytes, row.n_removed, row.n_spans, hashlib.sha256(bytes(row.kept)).hexdigest()) for row in suffix_dedup.remove_repeats(docs).collect()}
+    assert got == dict(enumerate(cut(texts)))
+    runs = suffix_dedup.periodic(suffix_dedup.np.frombuffer(texts[0].encode(), suffix_dedup.np.uint8))
+    assert runs == [(0, 6000, 1)]
+    for t in ("a" * 1_000_000, line * 10_000):
+        data = suffix_dedup.np.frombuffer(t.encode(), suffix_dedup.np.uint8)
+        assert len(suffix_dedup.minimizers(data, runs=suffix_dedup.periodic(data))[0]) < 800
+
+
 def test_repeats_of_nothing(empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
