@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lamellar.session import fresh, materialize
+
 
 def fit_one(rows: DataFrame, y: str, x: str, keys: list[str]) -> DataFrame:
     """y = a x: slope, R2 about the mean, and n, from sums alone."""
@@ -29,17 +31,47 @@ def fit_two(rows: DataFrame, y: str, x1: str, x2: str, keys: list[str]) -> DataF
     return s.select(*keys, "n", F.when(ok, (F.col("s1y") * F.col("s22") - F.col("s2y") * F.col("s12")) / det).alias("a"), F.when(ok, (F.col("s2y") * F.col("s11") - F.col("s1y") * F.col("s12")) / det).alias("b"))
 
 
+#: Bins of one pass of :func:`percentiles`.
+BINS = 4096
+
+
+def _bin(value: Column, low: Column, high: Column, exact: bool) -> Column:
+    """Which of BINS equal parts of [low, high] a value lies in: 0 for low, the last for high, never falling in between."""
+    part = (lambda c: c.cast("decimal(38,9)")) if exact else (lambda c: c.cast("double") / 2)
+    share = (part(value) - part(low)).cast("double") / (part(high) - part(low)).cast("double")
+    return F.when(value == high, BINS - 1).otherwise(F.least(F.floor(share * (BINS - 1)), F.lit(BINS - 2))).cast("int")
+
+
 def percentiles(rows: DataFrame, value: str, keys: list[str], points: tuple[int, ...] = (50, 95, 100)) -> DataFrame:
-    """Nearest-index percentiles: the sorted value at min(int(p / 100 * n), n - 1).  Nulls are left out.
+    """Nearest-index percentiles: the sorted value at min(int(p / 100 * n), n - 1), exactly.  Nulls and NaN are left out.
 
-    Rank and count windows sort each group once and spill; no group becomes an array.
+    Selection by refined histograms: each pass counts the values of every group in equal bins between the bounds that are
+    left for a point, and keeps the bin that holds the wanted rank, until it holds one value.  Nothing is sorted but at most
+    BINS counts a group and point; some three passes over (keys, value) do for evenly spread values.
     """
-    own = rows.where(F.col(value).isNotNull()).select(*keys, value)
-    group = Window.partitionBy(*keys)
-    own = own.withColumns({"__i": F.row_number().over(group.orderBy(value)) - 1, "__n": F.count(F.lit(1)).over(group)})
-    at = {p: F.least(F.floor(F.lit(p / 100) * F.col("__n")), F.col("__n") - 1) for p in points}
-    hit = reduce(Column.__or__, (F.col("__i") == c for c in at.values()))
-    return own.where(hit).groupBy(*keys).agg(*(F.max(F.when(F.col("__i") == c, F.col(value))).alias(f"p{p}") for p, c in at.items()))
+    kind = rows.schema[value].dataType.typeName()
+    exact = kind in ("byte", "short", "integer", "long", "decimal")
+    wanted = F.col(value).isNotNull() if exact else F.col(value).isNotNull() & ~F.isnan(value)
+    v, p, lo, hi, rank, n, b, *own_keys = fresh(rows.select(*keys), "__v", "__p", "__lo", "__hi", "__rank", "__n", "__bin", *(f"__{k}" for k in keys))
+    own = materialize(rows.where(wanted).select(*keys, F.col(value).alias(v)), "values")
+    ends = own.groupBy(*keys).agg(F.count(F.lit(1)).alias(n), F.min(v).alias(lo), F.max(v).alias(hi))
+    point = F.explode(F.array(*(F.struct(F.lit(k).alias(p), F.least(F.floor(F.lit(k / 100) * F.col(n)), F.col(n) - 1).cast("long").alias(rank)) for k in points)))
+    found = None
+    state = ends.withColumn("x", point).select(*keys, f"x.{p}", lo, hi, f"x.{rank}")
+    while True:
+        state = materialize(state, "bounds")
+        done = state.where(F.col(lo) == F.col(hi)).select(*keys, p, lo)
+        found = done if found is None else found.unionByName(done)
+        left = state.where(F.col(lo) < F.col(hi))
+        if left.isEmpty():
+            break
+        named = left.select(*(F.col(k).alias(o) for k, o in zip(keys, own_keys, strict=True)), p, lo, hi, rank)
+        same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, own_keys, strict=True)), F.col(v).between(F.col(lo), F.col(hi)))
+        bins = own.join(named, same).groupBy(*keys, p, rank, _bin(F.col(v), F.col(lo), F.col(hi), exact).alias(b)).agg(F.count(F.lit(1)).alias(n), F.min(v).alias(lo), F.max(v).alias(hi))
+        upto = F.sum(n).over(Window.partitionBy(*keys, p).orderBy(b))
+        bins = bins.withColumn("upto", upto).where((F.col("upto") > F.col(rank)) & (F.col("upto") - F.col(n) <= F.col(rank)))
+        state = bins.select(*keys, p, lo, hi, (F.col(rank) - F.col("upto") + F.col(n)).alias(rank))
+    return found.groupBy(*keys).agg(*(F.max(F.when(F.col(p) == k, F.col(lo))).alias(f"p{k}") for k in points))
 
 
 def correlate(sources: DataFrame, outputs: DataFrame, label_stats: DataFrame) -> DataFrame:

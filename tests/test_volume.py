@@ -214,3 +214,21 @@ def test_reports(spark):
 def test_failed_leaves_empty_out(spark):
     s = spark.createDataFrame([(0, x) for x in "abc"], "scale int, shard string")
     assert [r.shard for r in telemetry.failed_shards(s, s.where("shard = 'a'"), s.where("shard = 'b'")).collect()] == ["c"]
+
+
+@pytest.mark.parametrize("bins", [4096, 200])
+def test_percentiles_by_refinement(spark, monkeypatch, bins):
+    """Skewed, tied, huge and tiny values, and null keys, against sorted lists."""
+    monkeypatch.setattr(calibration, "BINS", bins)
+    rng = np.random.default_rng(5)
+    groups = {"a": 10.0 ** rng.uniform(-250, 250, 200), "b": np.repeat([1.5, 2.5], [90, 11]), None: rng.normal(0, 1, 77), "one": np.array([-3.25]), "ends": np.array([-1.7e308, 1.7e308, 0.0])}
+    rows = [(k, float(v)) for k, own in groups.items() for v in own] + [("a", None), ("gone", None), ("b", float("nan"))]
+    points = (0, 5, 50, 95, 100)
+    got = {r.k: r.asDict() for r in calibration.percentiles(spark.createDataFrame(rows, "k string, v double"), "v", ["k"], points).collect()}
+    for k, own in groups.items():
+        own = sorted(map(float, own))
+        assert got.pop(k) == {"k": k} | {f"p{p}": own[min(int(p / 100 * len(own)), len(own) - 1)] for p in points}
+    assert not got
+    longs = sorted(int(v) for v in rng.integers(-(1 << 62), 1 << 62, 60)) + [(1 << 62) + 1, (1 << 62) + 2]
+    df = spark.createDataFrame([(v,) for v in longs], "v long")
+    assert calibration.percentiles(df, "v", [], points).head().asDict() == {f"p{p}": longs[min(int(p / 100 * 62), 61)] for p in points}
