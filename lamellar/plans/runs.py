@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 
 from lamellar.functions.geometry import Scale, child_shards, shard_filename
 from lamellar.operators import codecs, planning, telemetry, verification
-from lamellar.session import remove
+from lamellar.session import materialize, remove
 from lamellar.sources import volumes
 from lamellar.sources.shards import index_entries, list_shards
 
-from . import pipelines
+from . import ledger, pipelines
 
-EXPORT, PYRAMID, ALL, RETRY = "export", "pyramid", "all", "retry"
+EXPORT, PYRAMID, ALL, RETRY, RESUME = "export", "pyramid", "all", "retry", "resume"
 
 
 class RunStopped(RuntimeError):
@@ -63,11 +63,11 @@ def run(
     """Run a mode over ``scales`` (the first is the sources' own) and verify each scale; the scales' results.
 
     export: the first scale; pyramid: the others; all: both; retry: only source shards whose output is missing, then
-    the others.  ``dry_run`` plans and writes nothing.  No scale is begun after ``limit_minutes``.  Source shards that
+    the others; resume: only source shards that are new or changed since the ledger has them, then the others.  ``dry_run`` plans and writes nothing.  No scale is begun after ``limit_minutes``.  Source shards that
     hold background only need no output.
     """
-    if mode not in (EXPORT, PYRAMID, ALL, RETRY):
-        raise ValueError(f"mode is one of {EXPORT}, {PYRAMID}, {ALL}, {RETRY}")
+    if mode not in (EXPORT, PYRAMID, ALL, RETRY, RESUME):
+        raise ValueError(f"mode is one of {EXPORT}, {PYRAMID}, {ALL}, {RETRY}, {RESUME}")
     began, results = time.monotonic(), []
     levels = ([0] if mode != PYRAMID else []) + (list(range(1, len(scales))) if mode != EXPORT else [])
     for level in levels:
@@ -90,15 +90,23 @@ def run(
 def _first(spark, source: str, out: str, scale: Scale, mode: str, dry_run: bool, label_type: str, z_compress: int, max_tasks: int, result: ScaleResult) -> None:
     sources = source_table(spark, source, 0)
     there = pipelines.written_files(spark, out, 0) if mode == RETRY and volumes.scales_at(out) else None
+    states = materialize(ledger.source_states(spark, source, scale, z_compress), "states")
+    if mode == RESUME and volumes.scales_at(out):
+        states = materialize(ledger.unfinished(spark, states, out, 0), "unfinished")
+        sources = sources.join(states.select("shard"), "shard", "left_semi").select(sources.columns)
     plan = planning.export_plan(sources, scale, outputs=there, max_tasks=max_tasks, z_compress=z_compress)
     result.planned = _tiers(plan)
     if dry_run:
         return
     if result.planned:
-        encoded = pipelines.encode_source(spark, source, scale, label_type, z_compress, only=plan if mode == RETRY else None)
+        encoded = pipelines.encode_source(spark, source, scale, label_type, z_compress, only=plan if mode in (RETRY, RESUME) else None)
         pipelines.write_encoded(encoded, out, scale, 0, z_compress)
         totals = telemetry.outcome_totals(verification.shard_outcomes(encoded, scale, z_compress)).head()
         result.shards_failed, result.chunks_failed = totals["shards_failed"], totals["failed"]
+        written = pipelines.written_files(spark, out, 0)
+        broken = encoded.where("error is not null").select("shard").distinct()
+        own = states.join(plan.select("shard").distinct(), "shard", "left_semi").join(broken, "shard", "left_anti").join(written, "file", "left_semi")
+        ledger.record(own, out, 0)
         remove(encoded)
     compared = pipelines.compare(spark, source, out, scale, 0, z_compress)
     report = verification.report(compared, 0, scale.key).head()

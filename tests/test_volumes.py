@@ -200,6 +200,32 @@ def test_a_retry_reads_only_what_is_missing(spark, tmp_path):
     assert {r.shard: r.total_labels for r in pipelines.profile(spark, out, 0, scale, done).collect()} == {0: 2, 2: 2, 3: 2}
 
 
+def test_a_resumed_run_does_what_is_new(spark, tmp_path):
+    """By the ledger: nothing at first, then a changed source with the others of its file, then a file that is gone; broken sources stay open."""
+    scale = Scale("s0", (64, 8, 8), (8, 8, 8), 0, 1, 2)
+    src, out = tmp_path / "s0", str(tmp_path / "out")
+    src.mkdir()
+    put = lambda k, label: source_shard(src, f"{k * 8}_0_0", {(k, 0, 0): np.full((8, 8, 8), label, np.uint64)})
+    for k in range(8):
+        put(k, k + 1)
+    times = lambda: {p.name: p.stat().st_mtime_ns for p in (tmp_path / "out" / "s0").iterdir()}
+    value = lambda: {r.chunk_x: int(np.frombuffer(bytes(r.voxels), "<u8")[0]) for r in pipelines.read_level(spark, out, 0).collect()}
+    first = runs.run(spark, str(src), out, [scale], runs.EXPORT)
+    assert sum(first[0].planned.values()) == 8 and value() == {k: k + 1 for k in range(8)}
+    before = times()
+    assert runs.run(spark, str(src), out, [scale], runs.RESUME)[0].planned == {} and times() == before
+    put(2, 77)
+    (tmp_path / "out" / "s0" / "3.shard").unlink()
+    again = runs.run(spark, str(src), out, [scale], runs.RESUME)
+    assert sum(again[0].planned.values()) == 4 and value() == {k: 77 if k == 2 else k + 1 for k in range(8)}
+    assert {n for n, t in times().items() if before[n] == t} == {"0.shard", "2.shard"}
+    row = {"chunk_x": 1, "chunk_y": 0, "chunk_z": 0, "labels": [1], "supervoxels": [1], shards.BLOCK_COLUMN: b"broken", "uncompressed_size": 9}
+    (src / "8_0_0.arrow").write_bytes(shards.write_shard([row]))
+    (src / "8_0_0.csv").unlink()
+    for _ in range(2):
+        assert runs.run(spark, str(src), out, [scale], runs.RESUME)[0].chunks_failed == 1
+
+
 def test_filters_reach_source_shards(spark, tmp_path, monkeypatch):
     for k in range(3):
         source_shard(tmp_path, f"{k}_0_0", {(4 * k + i, i % 2, 0): np.full((8, 8, 8), i, np.uint64) for i in range(4)}, index=k < 2)
