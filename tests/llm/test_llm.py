@@ -748,7 +748,8 @@ def test_ties_go_to_the_longest_last_piece():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     result = con.execute(ORACLES[name])
     names = [d[0] for d in result.description]
     df = QUERIES[name](spark, SF)
