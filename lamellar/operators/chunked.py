@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lamellar.functions.geometry import Scale, axis_factors, check_stride
 from lamellar.session import ship
 
-from . import codecs
+from . import codecs, palette
 
 ROWS = "chunk_x int, chunk_y int, chunk_z int, voxels binary"
 _NONE = np.uint64((1 << 64) - 1)
@@ -161,8 +161,12 @@ def packed(volume: np.ndarray) -> bytes | None:
     return gzip.compress(codecs.encode_segmentation(volume), mtime=0) if volume.any() else None
 
 
+def plain(data: bytes) -> bytes:
+    return gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
+
+
 def unpacked(data: bytes, shape: tuple[int, int, int]) -> np.ndarray:
-    return codecs.decode_segmentation(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data, shape)
+    return codecs.decode_segmentation(plain(data), shape)
 
 
 def encode_source(rows: DataFrame, scale: Scale, label_type: str = codecs.LABELS, z_compress: int = 0) -> DataFrame:
@@ -196,8 +200,19 @@ def pieces_of(encoded: DataFrame, scale: Scale, z_compress: int) -> DataFrame:
     return encoded.where("encoded is not null").select("chunk_x", "chunk_y", z.alias("chunk_z"), zero.alias("ox"), zero.alias("oy"), oz.alias("oz"), left(sx, cx, F.col("chunk_x")).alias("nx"), left(sy, cy, F.col("chunk_y")).alias("ny"), nz.alias("nz"), "encoded")
 
 
+def _voted(data: bytes, shape: tuple[int, int, int], factors: tuple[int, int, int]) -> tuple[bytes | None, list[int]]:
+    """A stored chunk voted down, gzipped, and its size; by its tables where cells keep to blocks, else by its voxels."""
+    small = [-(-n // f) for n, f in zip(shape, factors, strict=True)]
+    if palette.fits(factors):
+        out = palette.voted(plain(data), shape, factors)
+        return (gzip.compress(out, mtime=0) if out else None), small
+    cube = np.zeros([n * f for n, f in zip(small, factors, strict=True)], np.uint64)
+    cube[: shape[0], : shape[1], : shape[2]] = unpacked(data, shape)
+    return packed(vote(cube, shape, factors)), small
+
+
 def halved(encoded: DataFrame, parent: Scale, child: Scale) -> DataFrame:
-    """Each stored chunk voted down where it lies: an encoded piece of a chunk of the next scale, none for background."""
+    """Each stored chunk voted down where it lies, by its tables and indices (:mod:`.palette`): an encoded piece of a chunk of the next scale, none for background."""
     if parent.chunk != child.chunk:
         raise ValueError("parent and child chunks differ in size")
     ship(encoded.sparkSession)
@@ -209,13 +224,10 @@ def halved(encoded: DataFrame, parent: Scale, child: Scale) -> DataFrame:
             found = []
             for x, y, z, data in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
                 shape = inside(parent, x, y, z)
-                cube = np.zeros([-(-n // f) * f for n, f in zip(shape, (fz, fy, fx), strict=True)], np.uint64)
-                cube[: shape[0], : shape[1], : shape[2]] = unpacked(data, shape)
-                out = vote(cube, shape, (fz, fy, fx))
-                piece = packed(out)
+                piece, small = _voted(data, shape, (fz, fy, fx))
                 if piece:
                     side = [c // f for c, f in zip(parent.chunk, (fx, fy, fz), strict=True)]
-                    found.append((x // fx, y // fy, z // fz, x % fx * side[0], y % fy * side[1], z % fz * side[2], *out.shape[::-1], piece))
+                    found.append((x // fx, y // fy, z // fz, x % fx * side[0], y % fy * side[1], z % fz * side[2], *small[::-1], piece))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k == 9 else pa.int32()) for k, c in enumerate(zip(*found, strict=True))], names=names)
 
@@ -223,16 +235,26 @@ def halved(encoded: DataFrame, parent: Scale, child: Scale) -> DataFrame:
 
 
 def put_together(pieces: DataFrame, scale: Scale) -> DataFrame:
-    """Stored chunks (chunk_x.., encoded) from encoded pieces; eight, or a stride's, meet in a group, and only encoded bytes are exchanged."""
+    """Stored chunks (chunk_x.., encoded) from encoded pieces; eight, or a stride's, meet in a group, and only encoded bytes are exchanged.
+
+    Pieces of whole blocks are joined block by block, others through their voxels.  Pieces of background only are not made, so
+    neither is a chunk of it.
+    """
     ship(pieces.sparkSession)
 
     def build(key: tuple, rows: pa.Table) -> pa.Table:
         x, y, z = (k.as_py() for k in key)
-        out = np.zeros(inside(scale, x, y, z), np.uint64)
-        for r in rows.to_pylist():
-            part = out[r["oz"] : r["oz"] + r["nz"], r["oy"] : r["oy"] + r["ny"], r["ox"] : r["ox"] + r["nx"]]
-            part[:] = unpacked(r["encoded"], (r["nz"], r["ny"], r["nx"]))[: part.shape[0], : part.shape[1], : part.shape[2]]
-        return pa.table({**{n: pa.array([k.as_py()], pa.int32()) for n, k in zip(AT, key, strict=True)}, "encoded": pa.array([packed(out)], pa.binary())})
+        shape = inside(scale, x, y, z)
+        found = [((r["oz"], r["oy"], r["ox"]), (r["nz"], r["ny"], r["nx"]), r["encoded"]) for r in rows.to_pylist()]
+        if palette.aligned([(o, n) for o, n, _ in found], shape):
+            whole = gzip.compress(palette.joined([(o, n, plain(d)) for o, n, d in found], shape), mtime=0)
+        else:
+            out = np.zeros(shape, np.uint64)
+            for (oz, oy, ox), n, d in found:
+                part = out[oz : oz + n[0], oy : oy + n[1], ox : ox + n[2]]
+                part[:] = unpacked(d, n)[: part.shape[0], : part.shape[1], : part.shape[2]]
+            whole = packed(out)
+        return pa.table({**{n: pa.array([k.as_py()], pa.int32()) for n, k in zip(AT, key, strict=True)}, "encoded": pa.array([whole], pa.binary())})
 
     return pieces.groupBy(*AT).applyInArrow(build, "chunk_x int, chunk_y int, chunk_z int, encoded binary").where("encoded is not null")
 

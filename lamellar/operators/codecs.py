@@ -156,28 +156,79 @@ def encode_segmentation(volume: np.ndarray, block: tuple[int, int, int] = (8, 8,
     Blocks go x fastest; each has its sorted label table, written once per distinct table, and voxel indices
     packed from the low bits of 32-bit words; places outside the volume have index 0.
     """
+    return encode_cells(cells_of(volume, block))
+
+
+def cells_of(volume: np.ndarray, block: tuple[int, int, int]) -> np.ndarray:
+    """A row of voxels per block; places outside the volume hold their block's smallest."""
     grid = [-(-n // b) for n, b in zip(volume.shape, block, strict=True)]
-    head = np.zeros((int(np.prod(grid)), 2), "<u4")
+    full = [g * b for g, b in zip(grid, block, strict=True)]
+    pairs = [n for pair in zip(grid, block, strict=True) for n in pair]
+    rows = lambda a: a.reshape(pairs).transpose(0, 2, 4, 1, 3, 5).reshape(-1, int(np.prod(block)))
+    if tuple(full) == volume.shape:
+        return rows(volume)
+    own = tuple(slice(n) for n in volume.shape)
+    padded, outside = np.full(full, np.iinfo(volume.dtype).max, volume.dtype), np.ones(full, bool)
+    padded[own], outside[own] = volume, False
+    cells = rows(padded)
+    return np.where(rows(outside), cells.min(1, keepdims=True), cells)
+
+
+def encode_cells(cells: np.ndarray, palette: np.ndarray | None = None) -> bytes:
+    """The encoded channel of blocks, a row each: labels or, with a sorted ``palette``, positions in it.
+
+    Tables of up to 16 labels are made for all blocks at once, a pass for each next smallest label; only blocks of more are sorted.
+    """
+    label = (lambda v: v) if palette is None else palette.__getitem__
+    top, few = np.iinfo(cells.dtype).max, 16
+    index, sizes = np.zeros(cells.shape, np.uint8), np.ones(len(cells), np.int64)
+    tables = np.zeros((len(cells), few), cells.dtype)
+    tables[:, 0] = now = cells.min(1)
+    left, own = np.arange(len(cells)), cells
+    for k in range(1, few + 1):
+        above = own > now[:, None]
+        some = above.any(1)
+        left, own, above = left[some], own[some], above[some]
+        if not len(left) or k == few:
+            break
+        index[left] += above
+        sizes[left] += 1
+        tables[left, k] = now = np.where(above, own, top).min(1)
+    sizes[left] = few + 1
+    keys, words = label(tables).astype("<u8"), {0: {}}
+    bits = np.array([0, *(encoding_bits(n) for n in range(1, few + 1)), -1])[sizes]
+    for width in (1, 2, 4):
+        which, per = np.flatnonzero(bits == width), 8 // width
+        padded = np.pad(index[which], ((0, 0), (0, -cells.shape[1] % (32 // width))))
+        padded = padded.reshape(len(which), padded.shape[1] // per, per)
+        words[width] = dict(zip(which.tolist(), (padded << (width * np.arange(per, dtype=np.uint8))).sum(2, dtype=np.uint8), strict=True))
+    parts = []
+    for k, (n, width) in enumerate(zip(sizes.tolist(), bits.tolist(), strict=True)):
+        if n <= few:
+            parts.append((keys[k, :n].tobytes(), width, words[width][k].tobytes() if width else b""))
+        else:
+            found, where = np.unique(cells[k], return_inverse=True)
+            width = encoding_bits(len(found))
+            parts.append((label(found).astype("<u8").tobytes(), width, _packed(where.ravel().astype(np.uint64), width)))
+    return laid_out(parts)
+
+
+def laid_out(parts: list[tuple[bytes, int, bytes]]) -> bytes:
+    """A channel from its blocks' tables, bits and index words, in order."""
+    head = np.zeros((len(parts), 2), "<u4")
     body: list[bytes] = []
     tables: dict[bytes, int] = {}
     at = 2 * len(head)  # in words from the channel's start
-    for k, (z, y, x) in enumerate(np.ndindex(*grid)):
-        own = volume[z * block[0] : (z + 1) * block[0], y * block[1] : (y + 1) * block[1], x * block[2] : (x + 1) * block[2]]
-        table, index = np.unique(own, return_inverse=True)
-        bits = encoding_bits(len(table))
-        full = np.zeros(block, np.uint64)
-        full[: own.shape[0], : own.shape[1], : own.shape[2]] = index.reshape(own.shape)
-        words = _packed(full.ravel(), bits)
-        key = table.astype("<u8").tobytes()
+    for k, (key, width, words) in enumerate(parts):
         start, at = at, at + len(words) // 4
         body.append(words)
         if key not in tables:
             tables[key] = at
             body.append(key)
-            at += 2 * len(table)
+            at += len(key) // 4
         if tables[key] >> 24:
             raise CodecError("a label table begins beyond the format's 24 bits")
-        head[k] = tables[key] | bits << 24, start
+        head[k] = tables[key] | width << 24, start
     return struct.pack("<I", 1) + head.tobytes() + b"".join(body)
 
 
