@@ -169,6 +169,26 @@ def unpacked(data: bytes, shape: tuple[int, int, int]) -> np.ndarray:
     return codecs.decode_segmentation(plain(data), shape)
 
 
+def from_voxels(voxels: DataFrame, scale: Scale) -> DataFrame:
+    """Stored chunks (chunk_x.., encoded) of labelled voxels (x, y, z, label), one label a voxel; others are background.
+
+    A group is a chunk, so at most a chunk's voxels meet; voxels outside the volume and null labels are left out.
+    """
+    ship(voxels.sparkSession)
+    inside_ = " and ".join(f"{a} >= 0 and {a} < {n}" for a, n in zip("xyz", scale.size, strict=True))
+    at = [F.expr(f"cast({a} div {c} as int)").alias(k) for a, c, k in zip("xyz", scale.chunk, AT, strict=True)]
+    own = [F.expr(f"cast({a} % {c} as int)").alias(a) for a, c in zip("xyz", scale.chunk, strict=True)]
+
+    def build(key: tuple, rows: pa.Table) -> pa.Table:
+        out = np.zeros(inside(scale, *(k.as_py() for k in key)), np.uint64)
+        x, y, z, label = (rows.column(c).to_numpy() for c in ("x", "y", "z", "label"))
+        out[z, y, x] = label.view(np.uint64)
+        return pa.table({**{n: pa.array([k.as_py()], pa.int32()) for n, k in zip(AT, key, strict=True)}, "encoded": pa.array([packed(out)], pa.binary())})
+
+    rows = voxels.where(inside_ + " and label is not null").select(*at, *own, F.col("label").cast("long").alias("label"))
+    return rows.groupBy(*AT).applyInArrow(build, "chunk_x int, chunk_y int, chunk_z int, encoded binary").where("encoded is not null")
+
+
 def encode_source(rows: DataFrame, scale: Scale, label_type: str = codecs.LABELS, z_compress: int = 0) -> DataFrame:
     """Source chunks as encoded pieces of output chunks, all steps in one stage and no voxels beyond it.
 

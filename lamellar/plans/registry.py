@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamellar.functions import bits, geometry, models, text
-from lamellar.operators import calibration, chunked, codecs, labels, planning, ranks, telemetry, verification, volume
+from lamellar.operators import calibration, chunked, codecs, labels, labelsets, planning, ranks, telemetry, verification, volume
 from lamellar.session import materialize, scratch, table
 from lamellar.sources import shards
 from lamellar.streaming import progress
@@ -628,6 +628,38 @@ def stream_progress(spark, sf):
     return progress.read_table(spark, f"{at}/table").select("scale", "shard", "done", "chunks_written")
 
 
+@query(
+    "stream_stalled",
+    "WITH e AS (SELECT (event_id % 3)::INT AS scale, user_id::VARCHAR AS shard, ts, event_id, event_id % 13 = 0 AS done FROM events), "
+    "g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL 1 DAY THEN 0 ELSE 1 END AS fresh FROM e WINDOW w AS (PARTITION BY scale, shard ORDER BY ts)), "
+    "s AS (SELECT *, sum(fresh) OVER (PARTITION BY scale, shard ORDER BY ts) AS k FROM g), "
+    "a AS (SELECT scale, shard, max(ts) AS last, count(*) AS events, bool_or(done) AS done, max_by(event_id, (ts, event_id)) AS chunks_written FROM s GROUP BY scale, shard, k) "
+    "SELECT scale, shard, epoch_us(last) AS since, events, chunks_written FROM a WHERE NOT done AND last + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE",
+)
+def stream_stalled(spark, sf):
+    """Shards of the event stream that were silent for a day before they completed."""
+    e = progress.table_stream(spark, f"{sf}/events.parquet")
+    e = e.select(F.when(F.col("event_id") % 13 == 0, "shard_complete").otherwise("progress").alias("event"), F.col("ts").cast("timestamp").alias("ts"), (F.col("event_id") % 3).cast("int").alias("scale"), F.col("user_id").cast("string").alias("shard"), F.col("event_id").alias("chunks_written"), F.lit(1).cast("long").alias("total"))
+    at = scratch(spark, "stream")
+    progress.to_table(progress.stalled(e, "1 day"), f"{at}/table", f"{at}/checkpoint", "append").awaitTermination()
+    return progress.read_table(spark, f"{at}/table").select("scale", "shard", F.unix_micros("since").alias("since"), "events", "chunks_written")
+
+
+@query(
+    "stream_unfinished",
+    "WITH s AS (SELECT event_id // 2 AS run, ts FROM events WHERE event_id % 2 = 0), e AS (SELECT event_id // 2 AS run, ts FROM events WHERE event_id % 2 = 1 AND event_id % 7 <> 0), "
+    "w AS (SELECT least((SELECT max(ts) FROM s), (SELECT max(ts) FROM e)) - INTERVAL 10 MINUTE AS mark) "
+    "SELECT s.run, epoch_us(s.ts) AS started, epoch_us(e.ts) AS ended FROM s LEFT JOIN e ON s.run = e.run AND e.ts >= s.ts AND e.ts <= s.ts + INTERVAL 2 MINUTE, w WHERE e.run IS NOT NULL OR s.ts + INTERVAL 2 MINUTE <= mark",
+)
+def stream_unfinished(spark, sf):
+    """Starts (even events) joined in flight with their ends (odd ones, some lost); those without one within two minutes stay alone."""
+    e = progress.table_stream(spark, f"{sf}/events.parquet").select(F.expr("event_id div 2").alias("run"), F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    at = scratch(spark, "stream")
+    out = progress.finished(e.where("event_id % 2 = 0"), e.where("event_id % 2 = 1 and event_id % 7 <> 0"), ["run"], "2 minutes")
+    progress.to_table(out, f"{at}/table", f"{at}/checkpoint", "append").awaitTermination()
+    return progress.read_table(spark, f"{at}/table").select("run", F.unix_micros("ts").alias("started"), F.unix_micros("end_ts").alias("ended"))
+
+
 # --- calibration ------------------------------------------------------------------------------------------
 
 
@@ -797,3 +829,55 @@ def block_info(spark, sf):
 def segmentation_encode(spark, sf):
     e = codecs.to_segmentation(blocks(spark, sf), gzipped=False, shape=(8, 8, 8))
     return e.select("chunk_x", "chunk_y", "chunk_z", F.octet_length("encoded").alias("n_bytes"), "error")
+
+
+# --- volumes that grow with the table ----------------------------------------------------------------------------
+
+#: Chunks of 16 x 16 x 8 voxels along x, as many as the order keys reach.
+LONG = geometry.Scale("long", (1 << 30, 16, 8), (16, 16, 8))
+LONG_HALF = geometry.Scale("long_half", (1 << 29, 8, 4), (16, 16, 8))
+LONG_VOX = "vox AS (SELECT l_orderkey AS x, l_partkey % 16 AS y, l_linenumber::BIGINT AS z, min(l_suppkey) % 5 AS label FROM lineitem GROUP BY 1, 2, 3)"
+
+
+def _long(spark, sf) -> DataFrame:
+    """A chunk per sixteen order keys, stored encoded: every line item is a voxel, of few labels, so that votes have ties."""
+    li = table(spark, sf, "lineitem")
+    v = li.groupBy(F.col("l_orderkey").alias("x"), (F.col("l_partkey") % 16).alias("y"), F.col("l_linenumber").cast("long").alias("z")).agg((F.min("l_suppkey") % 5).alias("label"))
+    return chunked.from_voxels(v, LONG)
+
+
+@query("encoded_voxels", f"WITH {LONG_VOX} SELECT * FROM vox WHERE label <> 0")
+def encoded_voxels(spark, sf):
+    """Chunks encoded from voxels and decoded again."""
+    return volume.explode_voxels(chunked.decoded(_long(spark, sf), LONG), LONG)
+
+
+@query(
+    "palette_downsample",
+    f"WITH {LONG_VOX}, v AS (SELECT x // 2 AS x, y // 2 AS y, z // 2 AS z, label, count(*) AS n FROM vox WHERE label <> 0 GROUP BY ALL), "
+    "a AS (SELECT * FROM v UNION ALL SELECT x, y, z, 0, (8 - sum(n))::BIGINT FROM v GROUP BY 1, 2, 3 HAVING sum(n) < 8), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY x, y, z ORDER BY n DESC, label) AS k FROM a) SELECT x, y, z, label FROM r WHERE k = 1 AND label <> 0",
+)
+def palette_downsample(spark, sf):
+    """Votes by the tables and indices of encoded chunks, pieces joined encoded, voxels made for the result only."""
+    pieces = chunked.halved(_long(spark, sf), LONG, LONG_HALF)
+    return volume.explode_voxels(chunked.decoded(chunked.put_together(pieces, LONG_HALF), LONG_HALF), LONG_HALF)
+
+
+@query(
+    "label_set_pyramid",
+    "WITH c AS (SELECT DISTINCT l_partkey // 64 AS x, l_orderkey // 1024 AS y, l_linenumber::BIGINT AS z, l_suppkey AS label FROM lineitem) "
+    "SELECT level::INT AS level, x >> level AS x, y >> level AS y, z >> level AS z, count(DISTINCT label)::BIGINT AS unique_labels FROM c, (SELECT unnest([0, 1, 2, 3]) AS level) GROUP BY ALL",
+)
+def label_set_pyramid(spark, sf):
+    """Distinct suppliers of every chunk at four scales, each from the bitmaps of the one before."""
+    rows = table(spark, sf, "lineitem").select(F.expr("l_partkey div 64").alias("chunk_x"), F.expr("l_orderkey div 1024").alias("chunk_y"), F.col("l_linenumber").cast("long").alias("chunk_z"), F.col("l_suppkey").alias("label"))
+    scales = [geometry.Scale(str(k), ((1 << 27) >> k,) * 3) for k in range(4)]
+    own = materialize(labelsets.sets(rows, labelsets.numbered(rows, scales[0])), "sets")
+    out = None
+    for k in range(4):
+        if k:
+            own = materialize(labelsets.raised(own, scales[k - 1], scales[k]), "sets")
+        level = labelsets.counts(own).select(F.lit(k).alias("level"), *(F.col(f"chunk_{a}").alias(a) for a in "xyz"), "unique_labels")
+        out = level if out is None else out.unionByName(level)
+    return out

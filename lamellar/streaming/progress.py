@@ -1,7 +1,7 @@
 """Live telemetry with Structured Streaming: parsed events, progress per shard, completions and windows.
 
 The stream functions are the batch operators on unbounded input: the same events give the same rows.  Windows and
-repeats are forgotten behind the watermark; the latest state of shards is a row per shard and stays, as shards are
+repeats, silent shards and starts without an end are forgotten behind the watermark; the latest state of shards is a row per shard and stays, as shards are
 metadata of a fixed number.  Sinks that need a table write a new version of it per micro-batch with ``foreachBatch``.
 """
 
@@ -47,6 +47,32 @@ def progress(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return out.select("scale", "shard", F.col("s.done").alias("done"), F.col("s.ts").alias("ts"), F.col("s.chunks_written").alias("chunks_written"), F.col("s.chunks_failed").alias("chunks_failed"), F.col("s.total").alias("total"))
 
 
+def stalled(events: DataFrame, quiet: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
+    """Shards that fell silent before they completed: a row once the watermark has passed the last event by ``quiet``.
+
+    scale, shard, since (the last event's time), events (since the shard last woke), chunks_written, total.  State is a row per
+    shard that is active; it goes when the shard falls silent, and a shard that wakes and falls silent again is told again.
+    Events after a completion count as a new activity.  Append mode.
+    """
+    last = F.max(F.struct("ts", "chunks_written", "total"))
+    own = events.withWatermark("ts", delay).groupBy("scale", "shard", F.session_window("ts", quiet)).agg(F.bool_or(F.col("event") == "shard_complete").alias("done"), F.count(F.lit(1)).alias("events"), last.alias("s"))
+    return own.where("not coalesce(done, false)").select("scale", "shard", F.col("s.ts").alias("since"), "events", F.col("s.chunks_written").alias("chunks_written"), F.col("s.total").alias("total"))
+
+
+def finished(starts: DataFrame, ends: DataFrame, keys: list[str], limit: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
+    """Starts (keys, ts) with the ends that come within ``limit`` of them: keys, ts, end_ts; null once no end can come any more.
+
+    A stream-stream left outer join: a start without an end is told when both watermarks have passed its limit, and both
+    sides' state goes by the same rule.  Null keys never have an end.  Append mode.
+    """
+    left = starts.select(*keys, "ts").withWatermark("ts", delay)
+    right = ends.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("ts").alias("end_ts")).withWatermark("end_ts", delay)
+    on = (F.col("end_ts") >= F.col("ts")) & (F.col("end_ts") <= F.col("ts") + F.expr(f"interval {limit}"))
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"__{k}"))
+    return left.join(right, on, "left_outer").select(*keys, "ts", "end_ts")
+
+
 def windowed(events: DataFrame, width: str = "5 minutes", slide: str | None = None, delay: str = "10 minutes") -> DataFrame:
     """Events and largest memory per time window and kind; late events count until the watermark passes."""
     w = F.window("ts", width, slide or width)

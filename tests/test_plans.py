@@ -7,7 +7,7 @@ import pytest
 from conftest import SF
 from lamellar.plans import QUERIES
 
-NATIVE = sorted(set(QUERIES) - {"block_decode", "block_voxels", "chunk_downsample", "block_info", "segmentation_encode", "lpt_tasks", "downres_plan", "stream_windows", "stream_progress"} - {n for n, f in QUERIES.items() if f.__module__.endswith("source_queries")})
+NATIVE = sorted(set(QUERIES) - {"block_decode", "block_voxels", "chunk_downsample", "block_info", "segmentation_encode", "lpt_tasks", "downres_plan", "stream_windows", "stream_progress", "stream_stalled", "stream_unfinished", "encoded_voxels", "palette_downsample"} - {n for n, f in QUERIES.items() if f.__module__.endswith("source_queries")})
 
 
 def plan(df) -> str:
