@@ -833,16 +833,16 @@ def segmentation_encode(spark, sf):
 
 # --- volumes that grow with the table ----------------------------------------------------------------------------
 
-#: Chunks of 16 x 16 x 8 voxels along x, as many as the order keys reach.
-LONG = geometry.Scale("long", (1 << 30, 16, 8), (16, 16, 8))
-LONG_HALF = geometry.Scale("long_half", (1 << 29, 8, 4), (16, 16, 8))
-LONG_VOX = "vox AS (SELECT l_orderkey AS x, l_partkey % 16 AS y, l_linenumber::BIGINT AS z, min(l_suppkey) % 5 AS label FROM lineitem GROUP BY 1, 2, 3)"
+#: Chunks of 16 x 8 x 8 voxels along x, as many as the order keys reach; most voxels have a line item, of few labels.
+LONG = geometry.Scale("long", (1 << 30, 8, 8), (16, 8, 8))
+LONG_HALF = geometry.Scale("long_half", (1 << 29, 4, 4), (16, 8, 8))
+LONG_VOX = "vox AS (SELECT l_orderkey // 32 AS x, l_partkey % 8 AS y, l_linenumber::BIGINT AS z, min(l_suppkey % 5) AS label FROM lineitem GROUP BY 1, 2, 3)"
 
 
 def _long(spark, sf) -> DataFrame:
-    """A chunk per sixteen order keys, stored encoded: every line item is a voxel, of few labels, so that votes have ties."""
+    """A stored chunk per 512 order keys."""
     li = table(spark, sf, "lineitem")
-    v = li.groupBy(F.col("l_orderkey").alias("x"), (F.col("l_partkey") % 16).alias("y"), F.col("l_linenumber").cast("long").alias("z")).agg((F.min("l_suppkey") % 5).alias("label"))
+    v = li.groupBy(F.expr("l_orderkey div 32").alias("x"), (F.col("l_partkey") % 8).alias("y"), F.col("l_linenumber").cast("long").alias("z")).agg(F.min(F.col("l_suppkey") % 5).alias("label"))
     return chunked.from_voxels(v, LONG)
 
 

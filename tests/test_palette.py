@@ -70,3 +70,24 @@ def test_factors_that_cross_blocks_go_by_voxels():
     v = volume(np.random.default_rng(3), (9, 9, 9), 20)
     data, size = chunked._voted(gzip.compress(codecs.encode_segmentation(v)), v.shape, (3, 3, 3))
     assert size == [3, 3, 3] and (chunked.unpacked(data, (3, 3, 3)) == by_voxels(v, (3, 3, 3))).all()
+
+
+def test_chunks_from_voxels_and_up(spark):
+    from lamellar.functions.geometry import Scale
+    from lamellar.operators import volume as v
+
+    a, b = Scale("a", (40, 21, 16), (16, 16, 8)), Scale("b", (20, 11, 8), (16, 16, 8))
+    cube = volume(np.random.default_rng(4), (16, 21, 40), 9)
+    cube[:8, :16, :16] = 0
+    rows = [(int(x), int(y), int(z), int(cube[z, y, x].astype(np.int64))) for z, y, x in np.argwhere(cube)]
+    df = spark.createDataFrame([*rows, (40, 0, 0, 3), (-1, 0, 0, 3), (0, 0, 0, None)], "x long, y long, z long, label long")
+    stored = chunked.from_voxels(df, a)
+    assert stored.where("chunk_x = 0 and chunk_y = 0 and chunk_z = 0").count() == 0
+    back = v.explode_voxels(chunked.decoded(stored, a), a)
+    assert sorted(map(tuple, back.select("x", "y", "z", "label").collect())) == sorted(rows)
+    want = by_voxels(cube, (2, 2, 2))
+    half = v.explode_voxels(chunked.decoded(chunked.put_together(chunked.halved(stored, a, b), b), b), b)
+    got = np.zeros(want.shape, np.int64)
+    for r in half.collect():
+        got[r.z, r.y, r.x] = r.label
+    assert (got.view(np.uint64) == want).all()
