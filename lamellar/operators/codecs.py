@@ -84,7 +84,8 @@ def decode_block(data: bytes, labels: np.ndarray | None = None, supervoxels: np.
     index = np.frombuffer(data, "<u4", total, at)
     if total and index.max() >= n:
         raise CodecError("a sub-block palette names a label that is not there")
-    own = palette[index]
+    # Positions in the palette are put in place first and become labels once, at the end.
+    index = index.astype(np.uint16 if n <= 1 << 16 else np.uint32)
     values = np.frombuffer(data, np.uint8, offset=at + 4 * total)
     start = np.cumsum(sizes) - sizes
     bits = np.where(sizes > 1, np.ceil(np.log2(np.maximum(sizes, 1))), 0).astype(np.int64)
@@ -92,17 +93,37 @@ def decode_block(data: bytes, labels: np.ndarray | None = None, supervoxels: np.
     begin = np.cumsum(64 * bits) - 64 * bits
     if 64 * int(bits.sum()) > len(values):
         raise CodecError("voxels are cut off")
-    out = np.zeros((blocks, VOXELS), np.uint64)
+    out = np.full((blocks, VOXELS), n, index.dtype if n < 1 << 16 else np.uint32)
     one = np.flatnonzero(sizes == 1)
-    out[one] = own[start[one]][:, None]
+    out[one] = index[start[one]][:, None]
     for b in np.unique(bits[sizes > 1]):
         which = np.flatnonzero((bits == b) & (sizes > 1))
-        raw = values[begin[which][:, None] + np.arange(64 * b)]
-        local = np.unpackbits(raw, axis=1).reshape(len(which), VOXELS, b) @ (1 << np.arange(b - 1, -1, -1))
-        if (local >= sizes[which][:, None]).any():
+        local = _opened(values[begin[which][:, None] + np.arange(64 * b)], int(b))
+        if (local.max(1) >= sizes[which]).any():
             raise CodecError("a voxel lies beyond its sub-block's palette")
-        out[which] = own[start[which][:, None] + local]
-    return out.reshape(gz, gy, gx, SUB, SUB, SUB).transpose(0, 3, 1, 4, 2, 5).reshape(shape)
+        out[which] = index.take(start[which].astype(np.int32)[:, None] + local)
+    placed = out.reshape(gz, gy, gx, SUB, SUB, SUB).transpose(0, 3, 1, 4, 2, 5).reshape(shape)
+    return np.append(palette, np.uint64(0)).take(placed)
+
+
+def _opened(raw: np.ndarray, bits: int) -> np.ndarray:
+    """Values of ``bits`` bits, most significant first, of rows of bytes: eight values are ``bits`` bytes, taken as one number."""
+    if bits > 8:
+        return np.unpackbits(raw, axis=1).reshape(len(raw), -1, bits) @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int32))
+    if bits == 1:
+        return np.unpackbits(raw, axis=1)
+    if bits == 8:
+        return raw
+    kind = np.uint8 if bits in (2, 4) else np.uint32 if bits == 3 else np.uint64
+    step = 1 if bits in (2, 4) else bits
+    groups = raw.reshape(len(raw), -1, step)
+    word = groups[:, :, 0].astype(kind)
+    for k in range(1, step):
+        word = word << kind(8) | groups[:, :, k]
+    out = np.empty((*word.shape, 8 * step // bits), np.uint8)
+    for j in range(out.shape[2]):
+        out[:, :, j] = word >> kind(8 * step - bits * (j + 1)) & kind((1 << bits) - 1)
+    return out.reshape(len(raw), -1)
 
 
 def encode_block(volume: np.ndarray) -> bytes:

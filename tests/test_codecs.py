@@ -105,3 +105,11 @@ def test_info():
     stored = zstandard.ZstdCompressor().compress(words(8, 8, 8, 1) + labels(1))
     assert c.block_info(stored)["type"] == "solid" and c.block_info(b"")["type"] == "empty" and c.block_info(b"junk")["type"] == "zstd_error"
     assert c.block_info(zstandard.ZstdCompressor().compress(b"abc"))["type"] == "invalid"
+
+
+def test_every_width_of_indices():
+    rng = np.random.default_rng(5)
+    for n in (2, 3, 4, 5, 8, 9, 16, 17, 32, 33, 64, 65, 128, 129, 256, 257, 512):
+        v = rng.permutation(np.arange(512) % n).astype(np.uint64).reshape(8, 8, 8) * 7 + (1 << 63)
+        assert (c.decode_block(c.encode_block(v), shape=(8, 8, 8)) == v).all(), n
+        assert (c.decode_segmentation(c.encode_segmentation(v), v.shape) == v).all(), n
