@@ -231,29 +231,67 @@ def _voted(data: bytes, shape: tuple[int, int, int], factors: tuple[int, int, in
     return packed(vote(cube, shape, factors)), small
 
 
-def halved(encoded: DataFrame, parent: Scale, child: Scale) -> DataFrame:
-    """Each stored chunk voted down where it lies, by its tables and indices (:mod:`.palette`): an encoded piece of a chunk of the next scale, none for background."""
+def _piece(x: int, y: int, z: int, data: bytes, parent: Scale, child: Scale) -> tuple | None:
+    """A stored chunk voted down: the chunk of the next scale, the place and size of the piece there, its bytes; None for background."""
+    fx, fy, fz = axis_factors(parent, child)
+    piece, small = _voted(data, inside(parent, x, y, z), (fz, fy, fx))
+    side = [c // f for c, f in zip(parent.chunk, (fx, fy, fz), strict=True)]
+    return (x // fx, y // fy, z // fz, x % fx * side[0], y % fy * side[1], z % fz * side[2], *small[::-1], piece) if piece else None
+
+
+def _same_chunks(parent: Scale, child: Scale) -> None:
     if parent.chunk != child.chunk:
         raise ValueError("parent and child chunks differ in size")
+
+
+def halved(encoded: DataFrame, parent: Scale, child: Scale) -> DataFrame:
+    """Each stored chunk voted down where it lies, by its tables and indices (:mod:`.palette`): an encoded piece of a chunk of the next scale, none for background."""
+    _same_chunks(parent, child)
     ship(encoded.sparkSession)
-    fx, fy, fz = axis_factors(parent, child)
     names = [*AT, *_BOX, "encoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = []
-            for x, y, z, data in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
-                shape = inside(parent, x, y, z)
-                piece, small = _voted(data, shape, (fz, fy, fx))
-                if piece:
-                    side = [c // f for c, f in zip(parent.chunk, (fx, fy, fz), strict=True)]
-                    found.append((x // fx, y // fy, z // fz, x % fx * side[0], y % fy * side[1], z % fz * side[2], *small[::-1], piece))
+            found = [p for p in (_piece(*row, parent, child) for row in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True)) if p]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k == 9 else pa.int32()) for k, c in enumerate(zip(*found, strict=True))], names=names)
 
     return encoded.select(*AT, "encoded").mapInArrow(run, _PIECE)
 
 
+def downsampled(encoded: DataFrame, parent: Scale, child: Scale, home: str) -> DataFrame:
+    """Stored chunks of the next scale (``home``, chunk_x.., encoded), voted and joined in one group function.
+
+    ``home`` is a number that parents of one chunk share: rows that are partitioned by it are not exchanged.  A group is a
+    chunk's parents, eight at most, encoded.  The results are those of :func:`halved` and :func:`put_together`.
+    """
+    _same_chunks(parent, child)
+    ship(encoded.sparkSession)
+    above = [f"_{a}" for a in AT]
+    up = [F.expr(f"cast({a} div {f} as int)").alias(n) for a, f, n in zip(AT, axis_factors(parent, child), above, strict=True)]
+
+    def build(key: tuple, rows: pa.Table) -> pa.Table:
+        at = [k.as_py() for k in key]
+        pieces = [_piece(*row, parent, child) for row in zip(*(rows.column(c).to_pylist() for c in (*AT, "encoded")), strict=True)]
+        found = [(p[5:2:-1], p[8:5:-1], p[9]) for p in pieces if p]
+        whole = _whole(found, inside(child, *at[1:])) if found else None
+        return pa.table([pa.array([at[0]], pa.int64()), *(pa.array([k], pa.int32()) for k in at[1:]), pa.array([whole], pa.binary())], names=[home, *AT, "encoded"])
+
+    rows = encoded.select(home, *up, *AT, "encoded")
+    return rows.groupBy(home, *above).applyInArrow(build, f"{home} long, chunk_x int, chunk_y int, chunk_z int, encoded binary").where("encoded is not null")
+
+
+def _whole(found: list[tuple], shape: tuple[int, int, int]) -> bytes | None:
+    """A stored chunk from encoded pieces (offset, size, data), block by block where they are whole blocks, else through their voxels."""
+    if palette.aligned([(o, n) for o, n, _ in found], shape):
+        return gzip.compress(palette.joined([(o, n, plain(d)) for o, n, d in found], shape), mtime=0)
+    out = np.zeros(shape, np.uint64)
+    for (oz, oy, ox), n, d in found:
+        part = out[oz : oz + n[0], oy : oy + n[1], ox : ox + n[2]]
+        part[:] = unpacked(d, n)[: part.shape[0], : part.shape[1], : part.shape[2]]
+    return packed(out)
+
+
 def put_together(pieces: DataFrame, scale: Scale) -> DataFrame:
     """Stored chunks (chunk_x.., encoded) from encoded pieces; eight, or a stride's, meet in a group, and only encoded bytes are exchanged.
 
@@ -266,14 +304,7 @@ def put_together(pieces: DataFrame, scale: Scale) -> DataFrame:
         x, y, z = (k.as_py() for k in key)
         shape = inside(scale, x, y, z)
         found = [((r["oz"], r["oy"], r["ox"]), (r["nz"], r["ny"], r["nx"]), r["encoded"]) for r in rows.to_pylist()]
-        if palette.aligned([(o, n) for o, n, _ in found], shape):
-            whole = gzip.compress(palette.joined([(o, n, plain(d)) for o, n, d in found], shape), mtime=0)
-        else:
-            out = np.zeros(shape, np.uint64)
-            for (oz, oy, ox), n, d in found:
-                part = out[oz : oz + n[0], oy : oy + n[1], ox : ox + n[2]]
-                part[:] = unpacked(d, n)[: part.shape[0], : part.shape[1], : part.shape[2]]
-            whole = packed(out)
+        whole = _whole(found, shape)
         return pa.table({**{n: pa.array([k.as_py()], pa.int32()) for n, k in zip(AT, key, strict=True)}, "encoded": pa.array([whole], pa.binary())})
 
     return pieces.groupBy(*AT).applyInArrow(build, "chunk_x int, chunk_y int, chunk_z int, encoded binary").where("encoded is not null")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lamellar.functions import bits, geometry, models, text
 from lamellar.operators import calibration, chunked, codecs, labels, labelsets, planning, ranks, telemetry, verification, volume
 from lamellar.session import materialize, scratch, table
-from lamellar.sources import shards
+from lamellar.sources import colocated, shards
 from lamellar.streaming import progress
 
 from . import views as V
@@ -881,3 +881,53 @@ def label_set_pyramid(spark, sf):
         level = labelsets.counts(own).select(F.lit(k).alias("level"), *(F.col(f"chunk_{a}").alias(a) for a in "xyz"), "unique_labels")
         out = level if out is None else out.unionByName(level)
     return out
+
+
+LONG_QUARTER = geometry.Scale("long_quarter", (1 << 28, 2, 2), (16, 8, 8))
+
+
+def _vote_sql(name: str, of: str) -> str:
+    """The relation ``name`` of the voxels of ``of``, halved along each axis by majority, background left out."""
+    return (
+        f"{name}_v AS (SELECT x // 2 AS x, y // 2 AS y, z // 2 AS z, label, count(*) AS n FROM {of} WHERE label <> 0 GROUP BY ALL), "
+        f"{name}_a AS (SELECT * FROM {name}_v UNION ALL SELECT x, y, z, 0, (8 - sum(n))::BIGINT FROM {name}_v GROUP BY 1, 2, 3 HAVING sum(n) < 8), "
+        f"{name}_r AS (SELECT *, row_number() OVER (PARTITION BY x, y, z ORDER BY n DESC, label) AS k FROM {name}_a), {name} AS (SELECT x, y, z, label FROM {name}_r WHERE k = 1 AND label <> 0)"
+    )
+
+
+#: Most voxels have line items, of three labels and background about alike, so that votes differ at every scale.
+FULL_VOX = "vox AS (SELECT l_orderkey // 128 AS x, l_partkey % 8 AS y, l_suppkey % 8 AS z, (sum(l_partkey) % 4)::BIGINT AS label FROM lineitem GROUP BY 1, 2, 3)"
+
+
+@query("colocated_downsample", f"WITH {FULL_VOX}, {_vote_sql('half', 'vox')}, {_vote_sql('quarter', 'half')} SELECT * FROM quarter")
+def colocated_downsample(spark, sf):
+    """Two scales up from bucketed tables of encoded chunks, without an exchange between scales; voxels of the last one."""
+    own = colocated.create(spark, scratch(spark, "colocated"), [LONG, LONG_HALF, LONG_QUARTER])
+    v = table(spark, sf, "lineitem").groupBy(F.expr("l_orderkey div 128").alias("x"), (F.col("l_partkey") % 8).alias("y"), (F.col("l_suppkey") % 8).alias("z")).agg((F.sum("l_partkey") % 4).alias("label"))
+    own.write(chunked.from_voxels(v, LONG), 0)
+    for level in (1, 2):
+        own.raise_chunks(level)
+    return volume.explode_voxels(chunked.decoded(own.read(2), LONG_QUARTER), LONG_QUARTER)
+
+
+@query(
+    "colocated_pairs",
+    "WITH c AS (SELECT DISTINCT l_partkey // 64 AS x, l_orderkey // 1024 AS y, l_linenumber::BIGINT AS z, l_suppkey AS label FROM lineitem), "
+    "n AS (SELECT level::INT AS level, x >> level AS x, y >> level AS y, z >> level AS z, count(DISTINCT label)::BIGINT AS n FROM c, (SELECT unnest([0, 1, 2, 3]) AS level) GROUP BY ALL) "
+    "SELECT k.level, p.x AS parent_x, p.y AS parent_y, p.z AS parent_z, k.x, k.y, k.z, p.n AS parent_labels, k.n AS child_labels FROM n p JOIN n k ON k.level = p.level + 1 AND k.x = p.x >> 1 AND k.y = p.y >> 1 AND k.z = p.z >> 1",
+)
+def colocated_pairs(spark, sf):
+    """Distinct suppliers of every chunk beside those of the chunk it becomes, scale by scale, joined bucket by bucket."""
+    rows = table(spark, sf, "lineitem").select(F.expr("l_partkey div 64").alias("chunk_x"), F.expr("l_orderkey div 1024").alias("chunk_y"), F.col("l_linenumber").cast("long").alias("chunk_z"), F.col("l_suppkey").alias("label"))
+    scales = [geometry.Scale(str(k), ((1 << 27) >> k,) * 3) for k in range(4)]
+    own = colocated.create(spark, scratch(spark, "colocated"), scales, span=2)
+    own.write(labelsets.sets(rows, labelsets.numbered(rows, scales[0])), 0)
+    counted = lambda level: labelsets.counts(own.read(level), ["home", *labelsets.AT]).withColumnRenamed("unique_labels", "labels")
+    out = None
+    with colocated.subset_keys(spark):
+        for level in (1, 2, 3):
+            own.raise_sets(level)
+            found = own.pairs(level, counted(level - 1), counted(level))
+            stored = materialize(found.select(F.lit(level).alias("level"), *colocated.ABOVE, *(F.col(f"chunk_{a}").alias(a) for a in "xyz"), "parent_labels", "child_labels"), "pairs")
+            out = stored if out is None else out.unionByName(stored)
+    return out
