@@ -895,15 +895,15 @@ def _vote_sql(name: str, of: str) -> str:
     )
 
 
-#: Most voxels have line items, of three labels and background about alike, so that votes differ at every scale.
-FULL_VOX = "vox AS (SELECT l_orderkey // 128 AS x, l_partkey % 8 AS y, l_suppkey % 8 AS z, (sum(l_partkey) % 4)::BIGINT AS label FROM lineitem GROUP BY 1, 2, 3)"
+#: Nearly every voxel has line items, of three labels about alike, so that votes differ at every scale.
+FULL_VOX = "vox AS (SELECT l_orderkey // 128 AS x, l_partkey % 8 AS y, (l_partkey // 8 + l_linenumber) % 8 AS z, (1 + sum(l_suppkey) % 3)::BIGINT AS label FROM lineitem GROUP BY 1, 2, 3)"
 
 
 @query("colocated_downsample", f"WITH {FULL_VOX}, {_vote_sql('half', 'vox')}, {_vote_sql('quarter', 'half')} SELECT * FROM quarter")
 def colocated_downsample(spark, sf):
     """Two scales up from bucketed tables of encoded chunks, without an exchange between scales; voxels of the last one."""
     own = colocated.create(spark, scratch(spark, "colocated"), [LONG, LONG_HALF, LONG_QUARTER])
-    v = table(spark, sf, "lineitem").groupBy(F.expr("l_orderkey div 128").alias("x"), (F.col("l_partkey") % 8).alias("y"), (F.col("l_suppkey") % 8).alias("z")).agg((F.sum("l_partkey") % 4).alias("label"))
+    v = table(spark, sf, "lineitem").groupBy(F.expr("l_orderkey div 128").alias("x"), (F.col("l_partkey") % 8).alias("y"), F.expr("(l_partkey div 8 + l_linenumber) % 8").alias("z")).agg((1 + F.sum("l_suppkey") % 3).alias("label"))
     own.write(chunked.from_voxels(v, LONG), 0)
     for level in (1, 2):
         own.raise_chunks(level)
