@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from lamellar.functions.geometry import Scale, morton, shard_filename, shard_number, shard_of_name
 from lamellar.operators import chunked, codecs, labels, planning, verification
-from lamellar.session import materialize, remove
-from lamellar.sources import volumes
+from lamellar.session import discard, materialize, remove, scratch
+from lamellar.sources import colocated, volumes
 from lamellar.sources.shards import list_shards, read_ranges, source_entries
 
 
@@ -79,6 +79,25 @@ def pyramid(spark: SparkSession, out: str, scales: list[Scale], first: int = 0)
     return made
 
 
+def pyramid_in_place(spark: SparkSession, out: str, scales: list[Scale], first: int = 0, buckets: int | None = None, span: int = 3) -> dict[int, DataFrame]:
+    """The files and result of :func:`pyramid`, made by way of co-located tables (:mod:`lamellar.sources.colocated`) in scratch.
+
+    The first scale is read and exchanged once; each further one is voted and joined bucket by bucket, and only the writing of
+    its shard files, which are another order, exchanges it.  ``buckets`` and ``span`` are those of the tables.
+    """
+    own = colocated.create(spark, scratch(spark, "colocated"), scales[first:], buckets, span)
+    own.write(volumes.read_volume(spark, out, first).select(*codecs.KEYS, "encoded"), 0)
+    made = {}
+    for level in range(first + 1, len(scales)):
+        own.raise_chunks(level - first)
+        whole = own.read(level - first)
+        volumes.write_volume(whole, out, scales[level], level)
+        made[level] = materialize(whole.select(shard_column(scales[level]).alias("shard")).distinct(), "made")
+    own.forget()
+    discard(spark, own.path)
+    return made
+
+
 def read_level(spark: SparkSession, out: str, level: int, where: str | None = None) -> DataFrame:
     """Decoded chunks of one scale: shard, chunk_x.., voxels.  ``where``, on all but the voxels, prunes what is read."""
     rows = volumes.read_volume(spark, out, level)

@@ -137,6 +137,11 @@ class Colocated:
         high = children.select(HOME, *(F.col(a).cast("long").alias(a) for a in AT), *_others(children, "child"))
         return low.hint("merge").join(high, [HOME, *AT], how).drop(HOME)
 
+    def forget(self) -> None:
+        """Take this session's entries of the scales out of its catalog; the files stay, and :func:`attach` finds them."""
+        for own in _read_meta(self.path)["levels"].values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {_table(own['folder'])}")
+
     def vacuum(self) -> int:
         """Delete folders of scales written again, once nothing reads them; how many."""
         fs, root = store(self.path)
