@@ -1,8 +1,9 @@
 """Exact label sets of chunks as bitmaps, which merge up a pyramid without its lists being exploded again.
 
 Labels get dense numbers once, in the order of the first chunk (by Morton code) that has them, so that what lies together shares
-bitmaps.  A set is a row per 32768 numbers it has any of; its bits are one binary of 4 KB, mostly zeros in small sets, which the
-codecs of exchanges and files take out.  A level up is an OR of at most eight sets by bucket; counts are counts of bits.
+words.  A set is a row per 64 numbers it has any of, its bits one long: a set of one label is as small as the label's own row, and
+no set has more rows than labels.  A level up is an OR of at most eight sets by bucket, a hash aggregate over numbers; counts are
+counts of bits.
 """
 
 from __future__ import annotations
@@ -25,14 +26,13 @@ def numbered(rows: DataFrame, scale: Scale) -> DataFrame:
 
 def sets(rows: DataFrame, numbers: DataFrame) -> DataFrame:
     """Sets (chunk_x.., bucket, bits) of chunks from a row per chunk and label, repeats and nulls allowed."""
-    n = F.col("number")
-    found = rows.select(*AT, "label").join(numbers, "label")
-    return found.groupBy(*AT, F.bitmap_bucket_number(n).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(n)).alias("bits"))
+    own = [F.expr("shiftright(number, 6)").alias("bucket"), F.expr("shiftleft(1L, cast(number & 63 as int))").alias("bits")]
+    return merged(rows.select(*AT, "label").join(numbers, "label").select(*AT, *own), list(AT))
 
 
 def merged(own: DataFrame, keys: list[str]) -> DataFrame:
     """The unions of sets by ``keys``, columns of theirs that are not ``bits``; ``bucket`` is kept."""
-    return own.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return own.groupBy(*keys, "bucket").agg(F.bit_or("bits").alias("bits"))
 
 
 def raised(own: DataFrame, parent: Scale, child: Scale) -> DataFrame:
@@ -43,4 +43,4 @@ def raised(own: DataFrame, parent: Scale, child: Scale) -> DataFrame:
 
 def counts(own: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Distinct labels of each set: keys (chunk_x.. by default), unique_labels."""
-    return own.groupBy(*(keys or AT)).agg(F.sum(F.bitmap_count("bits")).alias("unique_labels"))
+    return own.groupBy(*(keys or AT)).agg(F.sum(F.bit_count("bits")).alias("unique_labels"))

@@ -870,7 +870,7 @@ def palette_downsample(spark, sf):
     "SELECT level::INT AS level, x >> level AS x, y >> level AS y, z >> level AS z, count(DISTINCT label)::BIGINT AS unique_labels FROM c, (SELECT unnest([0, 1, 2, 3]) AS level) GROUP BY ALL",
 )
 def label_set_pyramid(spark, sf):
-    """Distinct suppliers of every chunk at four scales, each from the bitmaps of the one before."""
+    """Distinct suppliers of every chunk at four scales, each from the bits of the one before."""
     rows = table(spark, sf, "lineitem").select(F.expr("l_partkey div 64").alias("chunk_x"), F.expr("l_orderkey div 1024").alias("chunk_y"), F.col("l_linenumber").cast("long").alias("chunk_z"), F.col("l_suppkey").alias("label"))
     scales = [geometry.Scale(str(k), ((1 << 27) >> k,) * 3) for k in range(4)]
     own = materialize(labelsets.sets(rows, labelsets.numbered(rows, scales[0])), "sets")

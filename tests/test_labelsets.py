@@ -48,3 +48,14 @@ def test_numbers_follow_places(spark):
     rows = [(7, 7, 0, 1), (0, 0, 0, 900), (7, 7, 0, 900), (0, 1, 0, 3)]
     df = spark.createDataFrame(rows, SCHEMA)
     assert {r.label: r.number for r in labelsets.numbered(df, A).collect()} == {900: 1, 3: 2, 1: 3}
+
+
+def test_small_sets_stay_small(spark):
+    # A label or two a chunk: what is exchanged is a number a set, not a bitmap's buffer, and by hash, so that nothing is sorted
+    rows = spark.range(20_000).selectExpr("cast(id % 400 as int) as chunk_x", "cast(id div 400 as int) as chunk_y", "cast(id % 3 as int) as chunk_z", "id as label")
+    own = labelsets.sets(rows, labelsets.numbered(rows, A))
+    up = labelsets.raised(own, A, B)
+    assert own.schema["bits"].dataType.simpleString() == up.schema["bits"].dataType.simpleString() == "bigint"
+    assert own.count() == 20_000 >= up.count()
+    assert "SortAggregate" not in up._jdf.queryExecution().executedPlan().toString()
+    assert labelsets.counts(up).agg({"unique_labels": "sum"}).head()[0] == 20_000
