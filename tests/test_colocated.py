@@ -160,3 +160,14 @@ def test_pyramid_in_place_writes_the_same_files(spark, tmp_path):
         assert sorted(map(tuple, one[level].collect())) == sorted(map(tuple, two[level].collect())) != []
         files = [{f.relative_to(path): f.read_bytes() for f in (tmp_path / path).rglob("*.shard")} for path in out]
         assert files[0] == files[1] and len(files[0]) > 3
+
+
+def test_sets_are_words_that_rise_by_hash(spark, tmp_path):
+    df = spark.range(5000).selectExpr("cast(id % 13 as int) as chunk_x", "cast(id % 9 as int) as chunk_y", "cast(id % 3 as int) as chunk_z", "id as label")
+    own = colocated.create(spark, f"{tmp_path}/w", SCALES, buckets=3)
+    own.write(labelsets.sets(df, labelsets.numbered(df, SCALES[0])), 0)
+    own.raise_sets(1)
+    assert [own.read(k).schema["bits"].dataType.simpleString() for k in (0, 1)] == ["bigint"] * 2
+    up = labelsets.merged(own.homed(1).selectExpr("home", "chunk_x div 2 as chunk_x", "bucket", "bits"), ["home", "chunk_x"])
+    assert exchanges(up) == 0 and "SortAggregate" not in plan_of(up)
+    assert labelsets.counts(own.read(1), ["home", *KEYS]).agg({"unique_labels": "sum"}).head()[0] == 5000
