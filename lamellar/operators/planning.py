@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import heapq
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lamellar.functions import models
 from lamellar.functions.geometry import AXES, Scale, child_shards, chunks_per_shard, div, settled, shard_box, shard_filename, shard_of_name
-from lamellar.session import fresh
+from lamellar.session import fresh, materialize, remove
 
 from .ranks import running
 
@@ -42,26 +44,55 @@ def with_tier(shards: DataFrame, least: int = 4) -> DataFrame:
     return out.withColumn("tier_gib", models.pick_tier(F.col("memory_gib"), least))
 
 
-def balanced(rows: DataFrame, weight: str, max_tasks: int, keys: tuple[str, ...] = ("tier_gib",), tie: str = "shard") -> DataFrame:
+#: Rows of a group that :func:`balanced` assigns in one task.
+BLOCK = 1 << 19
+
+
+def balanced(rows: DataFrame, weight: str, max_tasks: int, keys: tuple[str, ...] = ("tier_gib",), tie: str = "shard", block: int = BLOCK) -> DataFrame:
     """``rows`` with task_id: heaviest first (ties by ``tie``, if there is such a column), each to the least loaded task (lowest number among equals).
 
-    Exact greedy balancing is sequential, so each group of ``keys`` is one task here.  A tier's list of shards is metadata, thousands of rows.  For more, see :func:`snake`.
+    Exact greedy balancing is sequential, but all that a row needs of those before it is the loads.  So each group of ``keys`` is
+    cut, in its order, into blocks of at most ``block`` rows; the k-th blocks of all groups are assigned at once, and the loads
+    that they leave, a row per task, start the next.  A task holds a block, however long a group is; steps follow the largest
+    group.  Null weights come last and count 0.  For balance without steps, see :func:`snake`.
     """
-    name, ties = fresh(rows, "task_id")[0], [tie] if tie in rows.columns else []
-    schema = rows.withColumn(name, F.lit(0)).schema
-
-    def assign(group: pd.DataFrame) -> pd.DataFrame:
-        n = min(max_tasks, len(group))
-        ordered = group.sort_values([weight, *ties], ascending=[False, *(True for _ in ties)], kind="stable")
-        loads = [(0, k) for k in range(n)]
-        out = []
-        for w in ordered[weight].tolist():
-            load, k = heapq.heappop(loads)
-            out.append(k)
-            heapq.heappush(loads, (load + w, k))
-        return ordered.assign(**{name: pd.Series(out, index=ordered.index, dtype="int32")})
-
-    return rows.groupBy(*keys).applyInPandas(assign, schema)
+    spark, name = rows.sparkSession, fresh(rows, "task_id")[0]
+    at, after, number, load, *sort = fresh(rows, "__at", "__after", "__number", "__load", "__unknown", "__down", "__last")
+    kind = rows.schema[weight].dataType
+    whole = isinstance(kind, T.IntegralType)
+    total = T.DecimalType(38, 0 if whole else kind.scale) if whole or isinstance(kind, T.DecimalType) else T.DoubleType()
+    order = {sort[0]: F.col(weight).isNull(), sort[1]: F.bitwise_not(F.col(weight)) if whole else -F.col(weight)}
+    if tie in rows.columns:
+        order[sort[2]] = F.col(tie).isNull()
+    ranked = running(rows.withColumns(order), [*order, *([tie] if tie in rows.columns else [])], [F.col(k) for k in keys], low=at, high=after)
+    ranked = materialize(ranked.select(*rows.columns, at, F.expr(f"{at} div {block}").alias(number)), "ranked")
+    schema = T.StructType([*rows.schema, T.StructField(name, T.IntegerType()), T.StructField(load, total)])
+
+    def assign(own: pa.Table, loads: pa.Table) -> pa.Table:
+        own = own.sort_by(at)
+        value = int if whole else lambda v: v
+        known = {k: value(v) for k, v in zip(loads[name].to_pylist(), loads[load].to_pylist(), strict=True)}
+        heap = sorted((known.get(k, 0), k) for k in range(max_tasks))
+        tasks, last, left = [], {}, [None] * len(own)
+        for i, w in enumerate(own[weight].to_pylist()):
+            held, k = heap[0]
+            heapq.heapreplace(heap, (held if w is None or w != w else held + w, k))
+            tasks.append(k)
+            last[k] = i
+        for held, k in heap:
+            if k in last:
+                left[last[k]] = held
+        return own.select(names).append_column(name, pa.array(tasks, pa.int32())).append_column(load, pa.array(left, to_arrow_type(total)))
+
+    names, loads, paths = rows.columns, spark.createDataFrame([], T.StructType([*(rows.schema[k] for k in keys), *schema[-2:]])), []
+    for k in range((ranked.agg(F.max(number)).head()[0] or 0) + 1):
+        one = ranked.where(F.col(number) == k).drop(number)
+        done = materialize(one.groupBy(*keys).cogroup(loads.groupBy(*keys)).applyInArrow(assign, schema), "assigned")
+        paths.append(done.materialized_at)
+        both = loads.withColumn(number, F.lit(0)).unionByName(done.where(F.col(load).isNotNull()).select(*loads.columns, F.lit(1).alias(number)))
+        loads = materialize(both.groupBy(*keys, name).agg(F.max_by(load, number).alias(load)), "loads")
+    remove(ranked)
+    return spark.read.schema(schema).parquet(*paths).drop(load)
 
 
 def snake(rows: DataFrame, weight: str, tasks: int, tie: str, keys: tuple[str, ...] = ("tier_gib",)) -> DataFrame:

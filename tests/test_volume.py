@@ -146,6 +146,33 @@ def test_balanced_tasks(spark):
     assert planning.balanced(rows.limit(3), "bytes", 7).select("task_id").distinct().count() == 3
 
 
+def greedy(rows, tasks):
+    """task by id of (key, id, weight): heaviest first, each to the least loaded."""
+    out, loads = {}, {}
+    for key, i, w in sorted(rows, key=lambda r: (r[2] is None, -(r[2] or 0), r[1])):
+        own = loads.setdefault(key, [0] * tasks)
+        k = own.index(min(own))
+        own[k] += w or 0
+        out[i] = k
+    return out
+
+
+@pytest.mark.parametrize("kind", ["long", "double", "decimal(20,2)"])
+def test_balanced_block_by_block(spark, kind):
+    # Blocks of 40 rows: several steps, ties, equal loads, groups that end early, a null group and null weights
+    rows = [(None if i % 11 == 0 else 4 if i % 3 else 8, i, None if i % 40 == 9 else (i * 37) % 23) for i in range(200)] + [(16, 1000 + i, (1 << 40) + i % 2) for i in range(3)]
+    df = spark.createDataFrame(rows, "tier_gib int, id int, bytes long").withColumn("bytes", F.col("bytes").cast(kind))
+    for block in (40, 1 << 19):
+        got = planning.balanced(df, "bytes", 5, tie="id", block=block)
+        assert got.columns == ["tier_gib", "id", "bytes", "task_id"] and got.schema["bytes"] == df.schema["bytes"]
+        assert {r.id: r.task_id for r in got.collect()} == greedy(rows, 5)
+        assert got.count() == len(rows)
+    assert planning.balanced(df.limit(0), "bytes", 5, tie="id").count() == 0
+    # No task was given a whole group: the rows of the largest one came in files of a block at most
+    files = planning.balanced(df, "bytes", 5, tie="id", block=40).groupBy(F.input_file_name(), "tier_gib").count()
+    assert files.agg(F.max("count")).head()[0] <= 40
+
+
 def test_points_and_faces(spark):
     s = Scale("t", (128, 64, 64), shard=1)
     both = all_shards(s, spark)
