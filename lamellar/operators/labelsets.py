@@ -26,8 +26,13 @@ def numbered(rows: DataFrame, scale: Scale) -> DataFrame:
 
 def sets(rows: DataFrame, numbers: DataFrame) -> DataFrame:
     """Sets (chunk_x.., bucket, bits) of chunks from a row per chunk and label, repeats and nulls allowed."""
+    return merged(words(rows, numbers), list(AT))
+
+
+def words(rows: DataFrame, numbers: DataFrame) -> DataFrame:
+    """What :func:`sets` merges: the word (chunk_x.., bucket, bits) of each row's own label."""
     own = [F.expr("shiftright(number, 6)").alias("bucket"), F.expr("shiftleft(1L, cast(number & 63 as int))").alias("bits")]
-    return merged(rows.select(*AT, "label").join(numbers, "label").select(*AT, *own), list(AT))
+    return rows.select(*AT, "label").join(numbers, "label").select(*AT, *own)
 
 
 def merged(own: DataFrame, keys: list[str]) -> DataFrame:

@@ -921,7 +921,7 @@ def colocated_pairs(spark, sf):
     rows = table(spark, sf, "lineitem").select(F.expr("l_partkey div 64").alias("chunk_x"), F.expr("l_orderkey div 1024").alias("chunk_y"), F.col("l_linenumber").cast("long").alias("chunk_z"), F.col("l_suppkey").alias("label"))
     scales = [geometry.Scale(str(k), ((1 << 27) >> k,) * 3) for k in range(4)]
     own = colocated.create(spark, scratch(spark, "colocated"), scales, span=2)
-    own.write(labelsets.sets(rows, labelsets.numbered(rows, scales[0])), 0)
+    own.write_sets(labelsets.words(rows, materialize(labelsets.numbered(rows, scales[0]), "numbers")), 0)
     counted = lambda level: labelsets.counts(own.read(level), ["home", *labelsets.AT]).withColumnRenamed("unique_labels", "labels")
     out = None
     with colocated.subset_keys(spark):

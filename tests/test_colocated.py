@@ -171,3 +171,20 @@ def test_sets_are_words_that_rise_by_hash(spark, tmp_path):
     up = labelsets.merged(own.homed(1).selectExpr("home", "chunk_x div 2 as chunk_x", "bucket", "bits"), ["home", "chunk_x"])
     assert exchanges(up) == 0 and "SortAggregate" not in plan_of(up)
     assert labelsets.counts(own.read(1), ["home", *KEYS]).agg({"unique_labels": "sum"}).head()[0] == 5000
+
+
+def test_sets_are_written_with_one_exchange(spark, tmp_path):
+    # Repeats, negative labels and a null, in parts; each row goes to its bucket once and is merged there
+    df = spark.range(6000).selectExpr("cast(id % 13 as int) as chunk_x", "cast(id % 9 as int) as chunk_y", "cast(id % 3 as int) as chunk_z", "if(id = 77, null, id % 1000 - 500) as label").repartition(5)
+    words = pipelines.materialize(labelsets.words(df, labelsets.numbered(df, SCALES[0])), "words")
+    own, plain = (colocated.create(spark, f"{tmp_path}/{name}", SCALES, buckets=3, span=1) for name in ("own", "plain"))
+    assert exchanges(labelsets.merged(own.placed(words, 0), ["home", *KEYS])) == 1
+    own.write_sets(words, 0)
+    plain.write(labelsets.merged(words, KEYS), 0)
+    for level in range(3):
+        both = [sorted(tuple(r[c] for c in ("home", *KEYS, "bucket", "bits")) for r in c.read(level).collect()) for c in (own, plain)]
+        assert both[0] == both[1] != [] and len(set(both[0])) == len(both[0])
+        for c in (own, plain):
+            c.raise_sets(level + 1)
+    with pytest.raises(PySparkException, match="outside the grid"):
+        own.write_sets(spark.createDataFrame([(1, 9, 0, 0, 1)], "chunk_x int, chunk_y int, chunk_z int, bucket long, bits long"), 0)
