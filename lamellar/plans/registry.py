@@ -910,6 +910,10 @@ def colocated_downsample(spark, sf):
     return volume.explode_voxels(chunked.decoded(own.read(2), LONG_QUARTER), LONG_QUARTER)
 
 
+#: Line items, each a word of 48 bytes at most, that a bucket of :func:`colocated_pairs` merges and joins in one task.
+BUCKET_ROWS = 1 << 19
+
+
 @query(
     "colocated_pairs",
     "WITH c AS (SELECT DISTINCT l_partkey // 64 AS x, l_orderkey // 1024 AS y, l_linenumber::BIGINT AS z, l_suppkey AS label FROM lineitem), "
@@ -920,7 +924,8 @@ def colocated_pairs(spark, sf):
     """Distinct suppliers of every chunk beside those of the chunk it becomes, scale by scale, joined bucket by bucket."""
     rows = table(spark, sf, "lineitem").select(F.expr("l_partkey div 64").alias("chunk_x"), F.expr("l_orderkey div 1024").alias("chunk_y"), F.col("l_linenumber").cast("long").alias("chunk_z"), F.col("l_suppkey").alias("label"))
     scales = [geometry.Scale(str(k), ((1 << 27) >> k,) * 3) for k in range(4)]
-    own = colocated.create(spark, scratch(spark, "colocated"), scales, span=2)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), colocated.buckets_for(rows.count(), BUCKET_ROWS))
+    own = colocated.create(spark, scratch(spark, "colocated"), scales, buckets, span=2)
     own.write_sets(labelsets.words(rows, materialize(labelsets.numbered(rows, scales[0]), "numbers")), 0)
     counted = lambda level: labelsets.counts(own.read(level), ["home", *labelsets.AT]).withColumnRenamed("unique_labels", "labels")
     out = None

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 
 from lamellar.functions.geometry import Scale
 from lamellar.operators import chunked, labelsets
-from lamellar.plans import pipelines
+from lamellar.plans import pipelines, registry
 from lamellar.sources import colocated, volumes
 
 KEYS = ["chunk_x", "chunk_y", "chunk_z"]
@@ -188,3 +188,15 @@ def test_sets_are_written_with_one_exchange(spark, tmp_path):
             c.raise_sets(level + 1)
     with pytest.raises(PySparkException, match="outside the grid"):
         own.write_sets(spark.createDataFrame([(1, 9, 0, 0, 1)], "chunk_x int, chunk_y int, chunk_z int, bucket long, bits long"), 0)
+
+
+def test_buckets_of_pairs_follow_the_rows(spark, monkeypatch):
+    # However few partitions a session has, no task merges more than its share of line items
+    made, create, at = [], colocated.create, "/root/testdata/sf0.001"
+    monkeypatch.setattr(colocated, "create", lambda *a, **k: made.append(create(*a, **k)) or made[-1])
+    monkeypatch.setattr(registry, "BUCKET_ROWS", 500, raising=False)
+    found = registry.QUERIES["colocated_pairs"](spark, at).count()
+    monkeypatch.setattr(registry, "BUCKET_ROWS", 1 << 19, raising=False)
+    assert found == registry.QUERIES["colocated_pairs"](spark, at).count() > 0
+    rows = spark.read.parquet(f"{at}/lineitem.parquet").count()
+    assert [own.buckets for own in made] == [colocated.buckets_for(rows, 500), 4]
