@@ -275,6 +275,17 @@ def test_periodic_runs(spark):
         assert len(suffix_dedup.minimizers(data, runs=suffix_dedup.periodic(data))[0]) < 800
 
 
+def test_repeats_just_under_the_depth(spark):
+    """A passage of over 50 words that two documents share stays at 399 bytes and goes at 400; n_bytes is the text's length either way."""
+    r = random.Random(3)
+    words = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    short, full = words(70)[:399], words(70)[:400]
+    assert min(len(short.split()), len(full.split())) > 50
+    texts = [f"{words(30)}\n{short}\n{words(20)}", f"{words(10)}\t{short}\t{words(50)}", f"{words(30)}\n{full}\n{words(20)}", f"{words(10)}\t{full}\t{words(50)}", words(200)]
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans) for x in suffix_dedup.remove_repeats(frame(spark, list(enumerate(texts)))).collect()}
+    assert got == {i: (len(t), *((400, 1) if full in t else (0, 0))) for i, t in enumerate(texts)}
+
+
 def test_repeats_of_nothing(empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
